@@ -1,0 +1 @@
+"""No stream source, watermark or stateful operator belongs to the inventory."""
