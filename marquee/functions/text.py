@@ -51,13 +51,13 @@ def _ascii_projection() -> tuple[dict[str, str], dict[str, str]]:
     return single, several
 
 
-@lru_cache(maxsize=1)
-def _expanding_class() -> str:
-    """Pattern for the characters that fold to several, as few ranges with small gaps:
+@lru_cache(maxsize=None)
+def _expanding_class(gap: int) -> str:
+    """Pattern for the characters that fold to several, as ranges that bridge small gaps:
     a long list of single characters is slow to test, and a false hit only costs time."""
     ranges: list[list[int]] = []
     for code in sorted(map(ord, _ascii_projection()[1])):
-        if ranges and code - ranges[-1][1] <= 16:
+        if ranges and code - ranges[-1][1] <= (gap if code > 0x2000 else 16):
             ranges[-1][1] = code
         else:
             ranges.append([code, code])
@@ -84,7 +84,9 @@ def ascii_fold(text: Column | str) -> Column:
         ),
         "",
     )
-    spelled = F.when(text.rlike(_expanding_class()), expanded).otherwise(text)
+    # Few ranges rule out most Latin text before the exact ones are tried.
+    expands = text.rlike(_expanding_class(gap=sys.maxunicode)) & text.rlike(_expanding_class(gap=16))
+    spelled = F.when(expands, expanded).otherwise(text)
     folded = F.regexp_replace(
         F.translate(spelled, "".join(single), "".join(single.values())), r"[^\x00-\x7F]", ""
     )

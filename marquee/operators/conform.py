@@ -15,7 +15,7 @@ from ..functions import (
     year_from_date,
 )
 from ..schemas import OMDB_FIELDS, RATINGS_TYPE, TABLES
-from .lookup import lookup_join
+from .lookup import Lookup, lookup_join
 
 PARSERS = {"rating": parse_rating, "votes": parse_votes, "metascore": parse_metascore}
 
@@ -65,7 +65,7 @@ def merge_records(base: DataFrame, enhancement: DataFrame, keys: list[str]) -> D
     renamed = enhancement.select(
         *(F.col(c).alias(c if c in keys else f"_new_{c}") for c in enhancement.columns)
     )
-    joined = lookup_join(base, renamed, keys)
+    joined = lookup_join(base, keys, Lookup(renamed))
     added = [c for c in enhancement.columns if c not in base.columns]
     shared = set(enhancement.columns) - set(added) - set(keys)
     return joined.select(
@@ -74,14 +74,14 @@ def merge_records(base: DataFrame, enhancement: DataFrame, keys: list[str]) -> D
     )
 
 
-def omdb_enrichment(responses: DataFrame, run_at: str) -> DataFrame:
+def omdb_fields(responses: DataFrame) -> DataFrame:
     """Accepted responses with typed, prefixed fields, keyed by `imdb_id`."""
-    typed = [
+    typed = (
         (PARSERS[kind](name) if kind in PARSERS else F.col(name)).alias(target)
         for name, target, kind in OMDB_FIELDS
-    ]
+    )
     return responses.filter(F.col("Response") == "True").select(
-        F.col("imdbID").alias("imdb_id"), *typed, F.lit(run_at).alias("omdb_enhanced_at")
+        F.col("imdbID").alias("imdb_id"), *typed
     )
 
 

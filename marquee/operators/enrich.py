@@ -9,44 +9,33 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import title_slug
 from ..schemas import YEAR_TOLERANCE
-from .conform import known_year, omdb_enrichment, title_or
-from .lookup import lookup_join
+from .conform import known_year, omdb_fields, title_or
+from .lookup import Lookup, lookup_join
 
 _SLUG, _YEAR = "_slug", "_year"
 
 
 def enrich_by_key(movies: DataFrame, records: DataFrame, key: str = "imdb_id") -> DataFrame:
     """Columns of the record with the movie's id; a movie without id or record keeps nulls."""
-    return lookup_join(movies, records, [key])
+    return lookup_join(movies, [key], Lookup(records))
 
 
-def _page_years(pages: DataFrame, year: str) -> DataFrame:
+def _stated_years(pages: DataFrame, year: str) -> DataFrame:
     """One row per page and year it states."""
     if "years" in pages.columns:
-        return pages.withColumn("_stated", F.explode("years")).drop("years")
-    return pages.withColumn("_stated", F.col(year))
+        return pages.withColumn("_stated", F.explode("years"))
+    return pages.withColumn("_stated", F.col(year)).filter(F.col("_stated").isNotNull())
 
 
-def _accepted_years(pages: DataFrame, tolerance: int) -> DataFrame:
-    """One row per year a page may stand for: the tolerance becomes an equality."""
-    near = F.sequence(F.col("_stated") - tolerance, F.col("_stated") + tolerance)
-    return pages.filter(F.col("_stated").isNotNull()).withColumn(_YEAR, F.explode(near))
-
-
-def _match(
-    movies: DataFrame, entries: DataFrame, fields: dict[str, str], prefer: list[str],
-    gate: str | None, sep: str, title: Column | None, year: Column | None,
-) -> DataFrame:
-    """Join movies to the best entry of their slug and year."""
-    title = title if title is not None else title_or(movies, "title", "omdb_title")
-    year = year if year is not None else known_year(movies)
-    keyed = movies.withColumns({_SLUG: title_slug(title, sep), _YEAR: year})
-    order = [F.col(name) for name in prefer]
-    return lookup_join(keyed, entries, [_SLUG, _YEAR], fields, order, gate).drop(_SLUG, _YEAR)
+def _dashed(slug: Column, sep: str) -> Column:
+    """The slug with dashes, so that all sources share one key. One with a dash of its own
+    answers no title if the source joins words by another mark."""
+    if sep == "-":
+        return slug
+    return F.when(~F.contains(slug, F.lit("-")), F.translate(slug, sep, "-"))
 
 
-def enrich_by_title_year(
-    movies: DataFrame,
+def title_year_lookup(
     pages: DataFrame,
     fields: dict[str, str],
     sep: str = "-",
@@ -54,25 +43,21 @@ def enrich_by_title_year(
     gate: str | None = "critic_score",
     slug: str = "slug",
     page_year: str = "year",
-    title: Column | None = None,
-    year: Column | None = None,
-) -> DataFrame:
-    """Page with the movie's title slug and a year within the tolerance.
+) -> Lookup:
+    """Pages under their slug and every year they may match.
 
-    Each page is entered under every year it may match, so the range condition is a hash
-    key and a slug shared by many movies and many pages never pairs them all. Of several
-    pages the nearest year wins; `gate` must then have a value. `fields` maps page columns
-    to the columns added.
+    The range condition becomes a hash key, so a slug shared by many movies and many pages
+    never pairs them all. Of several pages the nearest year wins.
     """
-    entries = _accepted_years(_page_years(pages, page_year), tolerance).select(
-        F.col(slug).alias(_SLUG), _YEAR, F.abs(F.col(_YEAR) - F.col("_stated")).alias("_gap"),
-        "_stated", *fields,
+    near = F.sequence(F.col("_stated") - tolerance, F.col("_stated") + tolerance)
+    entries = _stated_years(pages, page_year).withColumn(_YEAR, F.explode(near)).select(
+        _dashed(F.col(slug), sep).alias(_SLUG), _YEAR,
+        F.abs(F.col(_YEAR) - F.col("_stated")).alias("_gap"), "_stated", *fields,
     )
-    return _match(movies, entries, fields, ["_gap", "_stated"], gate, sep, title, year)
+    return Lookup(entries, fields, ("_gap", "_stated"), gate)
 
 
-def enrich_by_candidates(
-    movies: DataFrame,
+def candidates_lookup(
     pages: DataFrame,
     fields: dict[str, str],
     sep: str = "_",
@@ -82,37 +67,69 @@ def enrich_by_candidates(
     page_title: str = "title",
     page_year: str = "year",
     scorecard: str = "has_scorecard",
-    title: Column | None = None,
-    year: Column | None = None,
-) -> DataFrame:
-    """First of three candidates that has a scorecard and a near year: the page at the slug,
-    the page at slug plus year, the page whose own title reads the same.
+) -> Lookup:
+    """Pages under each title slug and year they answer, with the rank of the rule.
 
-    The three rules are turned round: each page is entered under the movie slug and year it
-    answers, with the rule's rank, and the best entry per key is kept. The movies are then
-    shuffled once, without one copy per candidate or a ranking window.
+    A movie takes the first of three candidates that has a scorecard and a near year: the
+    page at its slug, the page at slug plus year, the page whose own title reads the same.
+    Turned round, the rules give entries whose least rank is the answer, so movies need no
+    copy per candidate and no ranking window.
     """
     usable = pages.filter(F.col(scorecard)) if scorecard in pages.columns else pages
-    stated = _page_years(usable, page_year)
-    dated = F.regexp_extract(F.col(slug), rf"^(.*){sep}([0-9]{{4}})$", 1)
-    rules = F.array(
-        F.struct(F.lit(1).alias("rank"), F.col(slug).alias("key")),
-        F.struct(F.lit(2).alias("rank"), dated.alias("key")),
-        F.struct(F.lit(3).alias("rank"), title_slug(page_title, sep).alias("key")),
-    )
-    answers = (
-        stated.withColumn("_rule", F.explode(rules))
-        .filter(F.col("_rule.key") != "")
-        .transform(lambda df: _accepted_years(df, tolerance))
-        .filter(
-            (F.col("_rule.rank") != 2) | F.col(slug).endswith(F.col(_YEAR).cast("string"))
+    low, high = F.col("_stated") - tolerance, F.col("_stated") + tolerance
+    parts = rf"^(.*){sep}([0-9]{{4}})$"
+    dated = F.regexp_extract(F.col(slug), parts, 2).try_cast("int")
+    own = _dashed(F.col(slug), sep)
+    read = title_slug(page_title) if page_title in pages.columns else F.lit(None)
+
+    def rule(rank: int, key: Column, first: Column, last: Column) -> Column:
+        return F.struct(
+            F.lit(rank).alias("rank"), key.alias("key"), F.sequence(first, last).alias("years")
+        )
+
+    rules = F.array_compact(F.array(
+        rule(1, own, low, high),
+        F.when(
+            dated.between(low, high),
+            rule(2, _dashed(F.regexp_extract(F.col(slug), parts, 1), sep), dated, dated),
+        ),
+        F.when(read != F.coalesce(own, F.lit("")), rule(3, read, low, high)),
+    ))
+    entries = (
+        _stated_years(usable, page_year)
+        .select("_stated", *fields, F.inline(rules))
+        .select("*", F.explode("years").alias(_YEAR))
+        .select(
+            F.col("key").alias(_SLUG), _YEAR, F.col("rank").alias("_rank"),
+            F.abs(F.col(_YEAR) - F.col("_stated")).alias("_gap"), "_stated", *fields,
         )
     )
-    entries = answers.select(
-        F.col("_rule.key").alias(_SLUG), _YEAR, F.col("_rule.rank").alias("_rank"),
-        F.abs(F.col(_YEAR) - F.col("_stated")).alias("_gap"), "_stated", *fields,
-    )
-    return _match(movies, entries, fields, ["_rank", "_gap", "_stated"], gate, sep, title, year)
+    return Lookup(entries, fields, ("_rank", "_gap", "_stated"), gate)
+
+
+def match_titles(
+    movies: DataFrame, *lookups: Lookup, title: Column | None = None, year: Column | None = None
+) -> DataFrame:
+    """Join movies with a title and a year to the best entry of each lookup."""
+    title = title if title is not None else title_or(movies, "title", "omdb_title")
+    year = year if year is not None else known_year(movies)
+    keyed = movies.withColumns({_SLUG: title_slug(title), _YEAR: year})
+    return lookup_join(keyed, [_SLUG, _YEAR], *lookups).drop(_SLUG, _YEAR)
+
+
+def enrich_by_title_year(
+    movies: DataFrame, pages: DataFrame, fields: dict[str, str], **options
+) -> DataFrame:
+    """Page with the movie's title slug and a year within the tolerance; `fields` maps page
+    columns to the columns added. Options are those of `title_year_lookup`."""
+    return match_titles(movies, title_year_lookup(pages, fields, **options))
+
+
+def enrich_by_candidates(
+    movies: DataFrame, pages: DataFrame, fields: dict[str, str], **options
+) -> DataFrame:
+    """First fitting of a movie's candidate pages. Options are those of `candidates_lookup`."""
+    return match_titles(movies, candidates_lookup(pages, fields, **options))
 
 
 @dataclass(frozen=True)
@@ -133,6 +150,27 @@ class ScoreSource:
     labels: dict[str, str] = default(default_factory=dict)
     enhanced_at: str | None = None
 
+    @property
+    def hit(self) -> str:
+        return f"_hit_{self.name}"
+
+    def lookup(self, snapshot: DataFrame) -> Lookup:
+        rows = self.extractor(snapshot).withColumn(self.hit, F.lit(True))
+        fields = self.fields or {c: c for c in rows.columns if c not in (self.key, self.hit)}
+        fields = {**fields, self.hit: self.hit}
+        if self.match == "id":
+            return Lookup(rows, fields, gate=self.gate)
+        build = title_year_lookup if self.match == "title_year" else candidates_lookup
+        return build(rows, fields, sep=self.sep, gate=self.gate)
+
+    def marked(self, movies: DataFrame, run_at: str) -> DataFrame:
+        marks = dict(self.labels)
+        if self.enhanced_at:
+            marks[self.enhanced_at] = run_at
+        return movies.withColumns(
+            {name: F.when(F.col(self.hit), F.lit(text)) for name, text in marks.items()}
+        ).drop(self.hit)
+
 
 SOURCES: dict[str, ScoreSource] = {}
 
@@ -144,26 +182,9 @@ def register_source(source: ScoreSource) -> ScoreSource:
     return source
 
 
-def enrich(movies: DataFrame, source: ScoreSource, snapshot: DataFrame, run_at: str) -> DataFrame:
-    """One enrichment stage by a registered source."""
-    rows = source.extractor(snapshot).withColumn("_hit", F.lit(True))
-    if source.match == "id":
-        fields = source.fields or {c: c for c in rows.columns if c not in (source.key, "_hit")}
-        found = lookup_join(
-            movies, rows, [source.key], {**fields, "_hit": "_hit"}, gate=source.gate
-        )
-    else:
-        join = enrich_by_title_year if source.match == "title_year" else enrich_by_candidates
-        found = join(
-            movies, rows, {**source.fields, "_hit": "_hit"}, sep=source.sep, gate=source.gate
-        )
-    marks = dict(source.labels)
-    if source.enhanced_at:
-        marks[source.enhanced_at] = run_at
-    return found.withColumns(
-        {name: F.when(F.col("_hit"), F.lit(text)) for name, text in marks.items()}
-    ).drop("_hit")
-
+OMDB = register_source(ScoreSource(
+    name="omdb", match="id", extractor=omdb_fields, gate=None, enhanced_at="omdb_enhanced_at",
+))
 
 METACRITIC = register_source(ScoreSource(
     name="metacritic", match="title_year", sep="-",
@@ -180,6 +201,22 @@ ROTTEN_TOMATOES = register_source(ScoreSource(
 ))
 
 
+def enrich(movies: DataFrame, run_at: str, snapshots: dict[str, DataFrame]) -> DataFrame:
+    """Enrichment by registered sources, `name: snapshot`. Sources by id come first, since
+    their title stands in for a missing one; those by title then share one join."""
+    chosen = [SOURCES[name] for name in snapshots]
+    for source in chosen:
+        if source.match == "id":
+            movies = lookup_join(movies, [source.key], source.lookup(snapshots[source.name]))
+            movies = source.marked(movies, run_at)
+    titled = [source for source in chosen if source.match != "id"]
+    if titled:
+        movies = match_titles(movies, *(source.lookup(snapshots[source.name]) for source in titled))
+    for source in titled:
+        movies = source.marked(movies, run_at)
+    return movies
+
+
 def enrich_all(
     movies: DataFrame,
     run_at: str,
@@ -187,10 +224,6 @@ def enrich_all(
     metacritic: DataFrame | None = None,
     rotten_tomatoes: DataFrame | None = None,
 ) -> DataFrame:
-    """The stages in order; one without a snapshot is left out."""
-    if omdb is not None:
-        movies = enrich_by_key(movies, omdb_enrichment(omdb, run_at))
-    for source, snapshot in ((METACRITIC, metacritic), (ROTTEN_TOMATOES, rotten_tomatoes)):
-        if snapshot is not None:
-            movies = enrich(movies, source, snapshot, run_at)
-    return movies
+    """The three sources; one without a snapshot is left out."""
+    snapshots = {"omdb": omdb, "metacritic": metacritic, "rottentomatoes": rotten_tomatoes}
+    return enrich(movies, run_at, {n: s for n, s in snapshots.items() if s is not None})

@@ -2,66 +2,93 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 
-def _filled(keys: list[str]) -> Column:
-    """The first key as text; null where any key has no value. An empty string is none."""
-    first, *rest = keys
-    text = F.nullif(F.col(first).cast("string"), F.lit(""))
-    for key in rest:
-        text = F.when(F.col(key).isNotNull(), text)
-    return text
+@dataclass(frozen=True)
+class Lookup:
+    """Rows to look up. `fields` maps their columns to the names they get; by default all
+    but the keys. `prefer` orders the rows of a key: the least one is taken, and counts as
+    found only if its `gate` column has a value."""
+
+    rows: DataFrame
+    fields: dict[str, str] | None = None
+    prefer: tuple[str, ...] = ()
+    gate: str | None = None
+
+    def named(self, keys: list[str]) -> dict[str, str]:
+        fields = self.fields or {c: c for c in self.rows.columns if c not in keys}
+        if self.gate and self.gate not in fields:
+            raise ValueError(f"the gate column must be among the fields: {self.gate}")
+        return fields
+
+
+def _usable(df: DataFrame, keys: list[str]) -> Column:
+    """True where every key has a value; an empty string counts as none."""
+    kinds = dict(df.dtypes)
+    filled = (
+        F.coalesce(F.col(key) != "", F.lit(False)) if kinds[key] == "string"
+        else F.col(key).isNotNull()
+        for key in keys
+    )
+    return reduce(and_, filled)
 
 
-def one_per_key(df: DataFrame, keys: list[str], prefer: list[Column] | None = None) -> DataFrame:
-    """The least row of every key: by `prefer`, then by its other columns.
+def one_per_key(df: DataFrame, keys: list[str]) -> DataFrame:
+    """The least row of every key.
 
     A minimum of structs, so map tasks reduce a repeated key before the shuffle and a rerun
     picks the same row.
     """
     others = [name for name in df.columns if name not in keys]
-    ranked = F.min(F.struct(*(prefer or []), F.struct(*others).alias("row"))).alias("best")
-    return df.groupBy(*keys).agg(ranked).select(*keys, "best.row.*")
-
-
-def lookup_join(
-    left: DataFrame,
-    right: DataFrame,
-    keys: list[str],
-    fields: dict[str, str] | None = None,
-    prefer: list[Column] | None = None,
-    gate: str | None = None,
-) -> DataFrame:
-    """Left join to one row per key of `right`, so the left row count never changes.
-
-    `fields` maps columns of `right` to the names they get; by default all but the keys.
-    `prefer` orders the rows of a key, the least one is taken, and it counts as found only
-    if its `gate` column has a value.
-
-    Left rows without a key cannot match; each gets a key of the partition it comes from, so
-    they do not meet in one task. A key that fills much of the left side is split by the
-    adaptive skew join, as the right side has one row of it. Spark broadcasts the right side
-    only if its measured size is under the session's threshold.
+    return df.groupBy(*keys).agg(F.min(F.struct(*others)).alias("row")).select(*keys, "row.*")
+
+
+def lookup_join(left: DataFrame, keys: list[str], *lookups: Lookup) -> DataFrame:
+    """Left join to one row per key of each lookup, so the left row count never changes.
+
+    All lookups on the same keys share one shuffle of the left side. Their rows are reduced
+    to one per key first, which also bounds a key that repeats on both sides.
+
+    `_spread` is part of the join key. Left rows without a key cannot match; it divides them
+    by the partition they come from, so they do not meet in one task. It also makes Spark
+    shuffle the reduced rows for the join itself, which the adaptive skew join needs in order
+    to split a key that fills much of the left side. The right side is broadcast only if its
+    measured size is under the session's threshold.
     """
-    fields = fields or {name: name for name in right.columns if name not in keys}
-    taken = set(left.columns) & set(fields.values())
-    if taken:
-        raise ValueError(f"columns on both sides: {sorted(taken)}")
-    if gate and gate not in fields:
-        raise ValueError(f"the gate column must be among the fields: {gate}")
-    on = ["_key", *keys[1:]]
-    row = F.struct(*(F.col(old).alias(new) for old, new in fields.items())).alias("row")
-    table = (
-        right.withColumn("_key", _filled(keys))
-        .filter(F.col("_key").isNotNull())
-        .groupBy(*on)
-        .agg(F.min(F.struct(*(prefer or []), row)).alias("_found"))
+    names = [lookup.named(keys) for lookup in lookups]
+    new = [name for fields in names for name in fields.values()]
+    taken = sorted(set(left.columns) & set(new))
+    if taken or len(set(new)) < len(new):
+        raise ValueError(f"columns named twice: {taken or new}")
+
+    def packed(i: int) -> DataFrame:
+        rows, fields, prefer = lookups[i].rows, names[i], lookups[i].prefer
+        row = F.struct(*(F.col(old).alias(name) for old, name in fields.items()))
+        found = F.struct(*prefer, row.alias("row")).alias(f"_found{i}")
+        return rows.filter(_usable(rows, keys)).select(*keys, found)
+
+    entries = reduce(
+        lambda a, b: a.unionByName(b, allowMissingColumns=True), map(packed, range(len(lookups)))
     )
-    if gate:
-        table = table.filter(F.col(f"_found.row.{fields[gate]}").isNotNull())
-    nowhere = F.concat(F.lit("\x00"), F.spark_partition_id().cast("string"))
-    joined = left.withColumn("_key", F.coalesce(_filled(keys), nowhere)).join(
-        table, on, "left"
+    table = entries.groupBy(*keys).agg(
+        *(F.min(f"_found{i}").alias(f"_found{i}") for i in range(len(lookups))),
+        # A plain constant would be optimized out of the join key.
+        F.min(F.lit(0)).alias("_spread"),
+    )
+    spread = F.when(_usable(left, keys), F.lit(0)).otherwise(F.spark_partition_id() + 1)
+    joined = left.withColumn("_spread", spread).join(table, [*keys, "_spread"], "left")
+
+    def value(i: int, name: str) -> Column:
+        row, gate = f"_found{i}.row", lookups[i].gate
+        read = F.col(f"{row}.{name}")
+        return F.when(F.col(f"{row}.{names[i][gate]}").isNotNull(), read).alias(name) if gate else read
+
+    return joined.select(
+        *left.columns,
+        *(value(i, name) for i, fields in enumerate(names) for name in fields.values()),
     )
-    return joined.select(*left.columns, *(F.col(f"_found.row.{new}") for new in fields.values()))

@@ -25,43 +25,66 @@ def _role(value: Column, roles: dict, other: str | None) -> Column:
     return named
 
 
-def credits(
-    movies: DataFrame,
-    movie: str = "tmdb_id",
-    cast: str = "cast_data",
-    crew: str = "crew_data",
-    keep: tuple[str, ...] = (),
-    genders: dict[int, str] = GENDER_ROLES,
-    jobs: dict[str, str] = JOB_ROLES,
+_ENTRIES = "array<struct<person:string,role:string>>"
+
+
+def _named(movies: DataFrame, column: str, role: str) -> Column:
+    """Entries from a comma list of names; none where it is absent."""
+    present = next((c for c in (f"omdb_{column}", column) if c in movies.columns), None)
+    if present is None:
+        return F.array().cast(_ENTRIES)
+    names = F.filter(split_names(present), lambda x: x != "N/A")
+    return F.transform(names, lambda x: F.struct(x.alias("person"), F.lit(role).alias("role")))
+
+
+def _listed(movies: DataFrame, column: str, kind: str, role) -> Column:
+    """Entries from a serialized list; null where there is none."""
+    return F.transform(
+        F.from_json(field(movies, column), kind),
+        lambda x: F.struct(x["name"].alias("person"), role(x).alias("role")),
+    ).cast(_ENTRIES)
+
+
+def _cast_entries(movies: DataFrame, column: str, genders: dict[int, str]) -> Column:
+    listed = _listed(movies, column, CAST_TYPE, lambda x: _role(x["gender"], genders, "actor"))
+    return F.coalesce(listed, _named(movies, "actors", "actor"))
+
+
+def _crew_entries(movies: DataFrame, column: str, jobs: dict[str, str]) -> Column:
+    listed = _listed(movies, column, CREW_TYPE, lambda x: _role(x["job"], jobs, "crew"))
+    names = F.concat(_named(movies, "director", "director"), _named(movies, "writer", "writer"))
+    return F.coalesce(listed, names)
+
+
+def _rows(movies: DataFrame, movie: str, keep: tuple[str, ...], entries: Column) -> DataFrame:
+    return movies.select(movie, *keep, F.inline(entries)).filter(F.col("person").isNotNull())
+
+
+def cast_credits(
+    movies: DataFrame, movie: str = "tmdb_id", keep: tuple[str, ...] = (),
+    cast: str = "cast_data", genders: dict[int, str] = GENDER_ROLES,
 ) -> DataFrame:
-    """One row per movie, person and role, from the serialized lists.
+    """One row per movie and cast member. Without a serialized list the names of the comma
+    list `actors` stand in; an entry of unknown gender has the role "actor"."""
+    return _rows(movies, movie, keep, _cast_entries(movies, cast, genders))
 
-    Without a list, the names of the comma lists `actors`, `director` and `writer` stand in;
-    they tell no gender, so those actors keep the role "actor". An entry of unknown gender
-    is an actor too; crew entries with other jobs have the role "crew".
-    """
-    entry = "array<struct<person:string,role:string>>"
-
-    def named(column: str, role: str) -> Column:
-        present = next((c for c in (f"omdb_{column}", column) if c in movies.columns), None)
-        if present is None:
-            return F.array().cast(entry)
-        names = F.filter(split_names(present), lambda x: x != "N/A")
-        return F.transform(names, lambda x: F.struct(x.alias("person"), F.lit(role).alias("role")))
-
-    def listed(column: str, kind: str, role) -> Column:
-        parsed = F.from_json(field(movies, column), kind)
-        return F.transform(
-            parsed, lambda x: F.struct(x["name"].alias("person"), role(x).alias("role"))
-        ).cast(entry)
-
-    cast_rows = listed(cast, CAST_TYPE, lambda x: _role(x["gender"], genders, "actor"))
-    crew_rows = listed(crew, CREW_TYPE, lambda x: _role(x["job"], jobs, "crew"))
-    fallback = F.concat(named("director", "director"), named("writer", "writer"))
-    people = F.concat(
-        F.coalesce(cast_rows, named("actors", "actor")), F.coalesce(crew_rows, fallback)
+
+def crew_credits(
+    movies: DataFrame, movie: str = "tmdb_id", keep: tuple[str, ...] = (),
+    crew: str = "crew_data", jobs: dict[str, str] = JOB_ROLES,
+) -> DataFrame:
+    """One row per movie, crew member and job. Without a serialized list the names of
+    `director` and `writer` stand in; other jobs than the named ones are "crew"."""
+    return _rows(movies, movie, keep, _crew_entries(movies, crew, jobs))
+
+
+def credits(movies: DataFrame, movie: str = "tmdb_id", keep: tuple[str, ...] = ()) -> DataFrame:
+    """Cast and crew rows in one pass over the movies."""
+    entries = F.concat(
+        _cast_entries(movies, "cast_data", GENDER_ROLES),
+        _crew_entries(movies, "crew_data", JOB_ROLES),
     )
-    return movies.select(movie, *keep, F.inline(people)).filter(F.col("person").isNotNull())
+    return _rows(movies, movie, keep, entries)
 
 
 def appearances(credit_rows: DataFrame, movie: str, person: str) -> DataFrame:

@@ -8,8 +8,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators.analysis import enrichment_coverage, file_totals, run_totals
-from ..operators.conform import omdb_enrichment, stamp, to_single_table
-from ..operators.enrich import enrich_all, enrich_by_key
+from ..operators.conform import stamp, to_single_table
+from ..operators.enrich import enrich_all
 from ..operators.quality import abort_on_error, error_counts, validate
 from ..operators.ranking import first_per_group
 from ..sources.files import read_movie_files, write_enhanced
@@ -101,7 +101,7 @@ def single_source_ingest(
     """Key lookups only, into `omdb_movies`. The first malformed file ends the run; with
     `strict_records`, so does the first record that fails validation."""
     raw = _raw(spark, folder, max_movies, run_at, lines, strict=True)
-    enriched = enrich_by_key(raw, omdb_enrichment(omdb, run_at))
+    enriched = enrich_all(raw, run_at, omdb)
     if strict_records:
         enriched = abort_on_error(validate(enriched)).drop("errors")
     movies = _written(spark, enriched, output, run_stamp, prefix)

@@ -118,7 +118,7 @@ SQL["json_round_trip"] = "SELECT event_id, event_type, value, (props->>'$.k')::I
 SQL["scan_table"] = """SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority
   FROM orders ORDER BY o_orderkey LIMIT 10"""
 SQL["snapshot_records"] = _with(OMDB) + """SELECT imdb_id, omdb_title, omdb_genre, omdb_director, omdb_country,
-  omdb_imdb_rating, omdb_imdb_votes, omdb_metascore, """ + _RUN + """ AS omdb_enhanced_at FROM omdb"""
+  omdb_imdb_rating, omdb_imdb_votes, omdb_metascore FROM omdb"""
 SQL["page_fields"] = r"""SELECT page_id, url,
   nullif(regexp_extract(html, '(?is)<html[^>]*?\slang="([^"]*)"', 1), '') AS lang,
   nullif(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1), '') AS title,

@@ -69,9 +69,9 @@ def scan_table(spark, sf_dir):
 def snapshot_records(spark, sf_dir):
     folder = files.shared_dir(spark, "snapshot")
     standins.omdb(spark, sf_dir).write.json(folder)
-    return conform.omdb_enrichment(files.read_snapshot(spark, folder), RUN_AT).select(
+    return conform.omdb_fields(files.read_snapshot(spark, folder)).select(
         "imdb_id", "omdb_title", "omdb_genre", "omdb_director", "omdb_country",
-        "omdb_imdb_rating", "omdb_imdb_votes", "omdb_metascore", "omdb_enhanced_at",
+        "omdb_imdb_rating", "omdb_imdb_votes", "omdb_metascore",
     )
 
 
@@ -166,10 +166,7 @@ def tmdb_rows(spark, sf_dir):
 
 
 def _with_omdb(spark, sf_dir) -> DataFrame:
-    return enrich.enrich_by_key(
-        standins.movies(spark, sf_dir),
-        conform.omdb_enrichment(standins.omdb(spark, sf_dir), RUN_AT),
-    )
+    return enrich.enrich_all(standins.movies(spark, sf_dir), RUN_AT, standins.omdb(spark, sf_dir))
 
 
 @query
@@ -250,7 +247,7 @@ def rating_filter(spark, sf_dir):
 
 @query
 def scored_rows(spark, sf_dir):
-    records = conform.omdb_enrichment(standins.omdb(spark, sf_dir), RUN_AT)
+    records = conform.omdb_fields(standins.omdb(spark, sf_dir))
     return quality.with_score(records, "omdb_imdb_rating").select("imdb_id", "omdb_imdb_rating")
 
 
@@ -354,16 +351,16 @@ def registered_source(spark, sf_dir):
             "case when c_acctbal >= 0 then c_acctbal end as amount",
         )
 
-    source = enrich.register_source(enrich.ScoreSource(
+    enrich.register_source(enrich.ScoreSource(
         name="ledger", match="id", fields={"amount": "balance"}, extractor=ledger, gate="amount",
         labels={"balance_source": "ledger"}, enhanced_at="balance_at",
     ))
     movies = standins.movies(spark, sf_dir).select("tmdb_id", "imdb_id")
-    return enrich.enrich(movies, source, table(spark, sf_dir, "customer"), RUN_AT).drop("imdb_id")
+    return enrich.enrich(movies, RUN_AT, {"ledger": table(spark, sf_dir, "customer")}).drop("imdb_id")
 
 
 def _omdb_table(spark, sf_dir) -> DataFrame:
-    return conform.omdb_enrichment(standins.omdb(spark, sf_dir), RUN_AT).select(
+    return conform.omdb_fields(standins.omdb(spark, sf_dir)).select(
         "imdb_id", F.col("omdb_imdb_rating").alias("imdb_rating")
     )
 
@@ -426,15 +423,19 @@ def source_agreement(spark, sf_dir):
     return _rounded(agreement, 4, "mean_difference", "correlation")
 
 
-CAST = ("actor", "actress")
+KEPT = ("year", "omdb_imdb_rating")
 
 
 def _credits(spark, sf_dir) -> DataFrame:
-    return people.credits(standins.films(spark, sf_dir), keep=("year", "omdb_imdb_rating"))
+    return people.credits(standins.films(spark, sf_dir), keep=KEPT)
 
 
 def _cast(spark, sf_dir) -> DataFrame:
-    return _credits(spark, sf_dir).filter(F.col("role").isin(*CAST))
+    return people.cast_credits(standins.films(spark, sf_dir), keep=KEPT)
+
+
+def _crew(spark, sf_dir) -> DataFrame:
+    return people.crew_credits(standins.films(spark, sf_dir), keep=KEPT)
 
 
 @query
@@ -486,7 +487,7 @@ def director_stats(spark, sf_dir):
 
 
 def _records(spark, sf_dir) -> DataFrame:
-    return conform.omdb_enrichment(standins.omdb(spark, sf_dir), RUN_AT)
+    return conform.omdb_fields(standins.omdb(spark, sf_dir))
 
 
 @query
@@ -531,19 +532,20 @@ def enrichment_coverage(spark, sf_dir):
     return analysis.enrichment_coverage(_enriched(spark, sf_dir))
 
 
-def _top_people(role: str) -> Query:
+def _top_people(rows: Query, role: str) -> Query:
     def run(spark, sf_dir):
         best = people.top_people(
-            _credits(spark, sf_dir), 10, "person", "omdb_imdb_rating", F.col("role") == role
+            rows(spark, sf_dir), 10, "person", "omdb_imdb_rating", F.col("role") == role
         )
         return _rounded(best, 6, "avg_rating")
 
     return run
 
 
-for _role, _name in (("actor", "top_actors"), ("actress", "top_actresses"),
-                     ("director", "top_directors"), ("writer", "top_writers")):
-    QUERIES[_name] = _top_people(_role)
+QUERIES["top_actors"] = _top_people(_cast, "actor")
+QUERIES["top_actresses"] = _top_people(_cast, "actress")
+QUERIES["top_directors"] = _top_people(_crew, "director")
+QUERIES["top_writers"] = _top_people(_crew, "writer")
 
 
 @query
@@ -583,8 +585,7 @@ def cast_filmographies(spark, sf_dir):
 
 @query
 def crew_filmographies(spark, sf_dir):
-    crew = _credits(spark, sf_dir).filter(~F.col("role").isin(*CAST))
-    return people.filmographies(crew, "person", "tmdb_id", "year")
+    return people.filmographies(_crew(spark, sf_dir), "person", "tmdb_id", "year")
 
 
 # Sorts, limits, top-k, set operations

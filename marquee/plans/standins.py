@@ -96,8 +96,8 @@ def rotten_tomatoes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def metacritic_html(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders as crawled Metacritic pages."""
-    return table(spark, sf_dir, "orders").selectExpr(
+    """Orders as crawled Metacritic pages, spread over the cores before the text is built."""
+    return table(spark, sf_dir, "orders").repartition("o_orderkey").selectExpr(
         "o_orderkey as page_id",
         "concat('https://scores.example/movie/order-', o_orderkey, '/?ref=', o_custkey) as url",
         "concat('<!DOCTYPE html><html><head><title>', o_orderpriority, '</title></head><body>"
@@ -117,8 +117,8 @@ def metacritic_html(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def rotten_tomatoes_html(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders as crawled Rotten Tomatoes pages."""
-    return table(spark, sf_dir, "orders").selectExpr(
+    """Orders as crawled Rotten Tomatoes pages, spread likewise."""
+    return table(spark, sf_dir, "orders").repartition("o_orderkey").selectExpr(
         "o_orderkey as page_id",
         "concat('https://tomatoes.example/m/order_', o_orderkey, '/') as url",
         "concat('<html><body><rt-text slot=\"metadataProp\">Drama</rt-text>"

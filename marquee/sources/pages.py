@@ -7,13 +7,16 @@ contain a rule's marker reach the Arrow function that walks it.
 
 from __future__ import annotations
 
+import re
+import sys
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import reduce
-from html.parser import HTMLParser
+from html import unescape
 from operator import or_
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import (
@@ -105,76 +108,107 @@ _NO_CONTENT = frozenset(
 )
 
 
-def _fits(choices: Step, tag: str, attributes: dict) -> bool:
-    for wanted, name, value in choices:
-        if tag != wanted:
-            continue
-        held = attributes.get(name)
-        if name is None or held == value or (name == "class" and value in (held or "").split()):
-            return True
-    return False
-
-
-class _Reader(HTMLParser):
-    """Follows all rules in one walk over a page."""
-
-    def __init__(self, rules):
-        super().__init__(convert_charrefs=True)
-        self.rules = rules
-        self.open = []
-        # Per rule: depths at which its steps opened, and the texts found.
-        self.anchors = [[] for _ in rules]
-        self.done = [False] * len(rules)
-        self.texts = [[] for _ in rules]
-
-    def handle_starttag(self, tag, attrs):
-        attributes = {}
-        for name, value in attrs:
-            attributes[name] = value or ""
-        self.open.append(tag)
-        depth = len(self.open)
-        for i, rule in enumerate(self.rules):
-            anchors = self.anchors[i]
-            if self.done[i] or len(anchors) == len(rule.path):
+# Comments, declarations and scripts count as one token each and hold no elements.
+_TOKEN = re.compile(
+    r"""<!--.*?-->|<[!?][^>]*>|<(script|style)\b[^>]*>.*?</\1\s*>"""
+    r"""|<(/?)([a-z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+[^>]*)>""",
+    re.IGNORECASE | re.DOTALL,
+)
+_ATTRIBUTE = re.compile(
+    r"""([^\s=/"'>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]*)))?""", re.DOTALL
+)
+
+
+def _attributes(text: str) -> dict[str, str]:
+    return {
+        name.lower(): unescape(double or single or bare)
+        for name, double, single, bare in _ATTRIBUTE.findall(text)
+    }
+
+
+class _Follower:
+    """Where one rule is on its path, and the text pieces it has read."""
+
+    __slots__ = ("rule", "next", "anchors", "texts")
+
+    def __init__(self, rule: NestedRule):
+        self.rule = rule
+        self.next = rule.path[0]  # the step to find, None while its text is read
+        self.anchors = []  # depths at which the steps before it opened
+        self.texts = []
+
+    def enter(self, tag, attributes, depth):
+        for wanted, name, value in self.next:
+            if tag != wanted:
                 continue
-            if _fits(rule.path[len(anchors)], tag, attributes):
-                anchors.append(depth)
-                if len(anchors) == len(rule.path):
-                    self.texts[i].append([])
-        if tag in _NO_CONTENT:
-            self._close_to(depth - 1)
-
-    def handle_endtag(self, tag):
-        for depth in range(len(self.open), 0, -1):
-            if self.open[depth - 1] == tag:
-                self._close_to(depth - 1)
+            held = attributes.get(name) if name else value
+            if held == value or (name == "class" and held and value in held.split()):
+                self.anchors.append(depth)
+                left = self.rule.path[len(self.anchors):]
+                self.next = left[0] if left else None
+                if not left:
+                    self.texts.append([])
                 return
 
-    def _close_to(self, depth):
-        del self.open[depth:]
-        for i, rule in enumerate(self.rules):
-            anchors = self.anchors[i]
-            if not anchors or anchors[-1] <= depth:
+    def leave(self) -> bool:
+        """The innermost step closed. True if nothing is left to find: the field is read, or
+        the first match of a step lacks the next one."""
+        if self.rule.every:
+            self.anchors, self.next = [], self.rule.path[0]
+        return not self.rule.every
+
+    def found(self):
+        clean = str.strip if self.rule.trimmed else str
+        texts = [unescape("".join(map(clean, parts))) for parts in self.texts]
+        return texts if self.rule.every else (texts[0] if texts else None)
+
+
+def read_page(page: str | None, rules: tuple[NestedRule, ...]) -> dict:
+    """Texts of all rules in one pass over the page's tags; it ends early when all are read."""
+    followers = [_Follower(rule) for rule in rules]
+    live, reading = followers, []
+    tags = {choice[0] for rule in rules for part in rule.path for choice in part}
+    opened: list[str] = []
+    text_from = 0
+    for token in _TOKEN.finditer(page or ""):
+        if reading:
+            text = page[text_from:token.start()]
+            for follower in reading:
+                follower.texts[-1].append(text)
+        text_from = token.end()
+        closing, tag, attributes = token.group(2, 3, 4)
+        if tag is None:
+            continue
+        tag = tag.lower()
+        if not closing:
+            opened.append(tag)
+            if tag in tags:
+                held = _attributes(attributes) if attributes else {}
+                for follower in live:
+                    if follower.next:
+                        follower.enter(tag, held, len(opened))
+                reading = [follower for follower in live if not follower.next]
+            if tag not in _NO_CONTENT and not attributes.endswith("/"):
                 continue
-            # The innermost step closed: the field is read, or its first match lacks it.
-            if rule.every:
-                anchors.clear()
-            else:
-                self.done[i] = True
-
-    def handle_data(self, data):
-        if self.open and self.open[-1] in ("script", "style"):
-            return
-        for i, rule in enumerate(self.rules):
-            if not self.done[i] and len(self.anchors[i]) == len(rule.path):
-                self.texts[i][-1].append(data.strip() if rule.trimmed else data)
-
-    def found(self) -> dict:
-        texts = [["".join(parts) for parts in found] for found in self.texts]
-        return {
-            rule.field: found if rule.every else (found[0] if found else None)
-            for rule, found in zip(self.rules, texts)
-        }
+        elif tag not in opened:
+            continue
+        # Unclosed elements inside the closed one end with it.
+        closed = ""
+        while closed != tag:
+            closed = opened.pop()
+        depth = len(opened)
+        ended = [f for f in live if f.anchors and f.anchors[-1] > depth]
+        if ended:
+            done = [follower for follower in ended if follower.leave()]
+            live = [follower for follower in live if follower not in done]
+            if not live:
+                break
+            reading = [follower for follower in live if not follower.next]
+    return {follower.rule.field: follower.found() for follower in followers}
+
+
+# The walk is sent to the executors with the job, so they need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
 def nested_fields(html: Column, rules: tuple[NestedRule, ...], markers: tuple[str, ...]) -> Column:
@@ -185,17 +219,11 @@ def nested_fields(html: Column, rules: tuple[NestedRule, ...], markers: tuple[st
     @F.pandas_udf(f"struct<{kinds}>")
     def walk(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rows = []
-            for page in batch:
-                reader = _Reader(rules)
-                if page:
-                    reader.feed(page)
-                    reader.close()
-                rows.append(reader.found())
-            yield pd.DataFrame(rows, columns=names)
+            yield pd.DataFrame([read_page(page, rules) for page in batch], columns=names)
 
     marked = reduce(or_, (F.contains(html, F.lit(marker)) for marker in markers))
-    return walk(F.when(marked, html))
+    # Marked as nondeterministic so that a filter on a field does not walk each page again.
+    return walk.asNondeterministic()(F.when(marked, html))
 
 
 def _walked(pages: DataFrame, html: str, rules, markers) -> DataFrame:

@@ -89,7 +89,7 @@ def table_info(spark: SparkSession, database: str = DATABASE) -> DataFrame:
     rows = [
         (table.name, place, column.name, column.dataType, column.isPartition)
         for table in spark.catalog.listTables(database)
-        for place, column in enumerate(spark.catalog.listColumns(table.name, database), 1)
+        for place, column in enumerate(spark.catalog.listColumns(f"{database}.{table.name}"), 1)
     ]
     return spark.createDataFrame(
         rows, "table_name string, place int, column_name string, data_type string, is_partition boolean"
@@ -101,7 +101,7 @@ def table_rows(spark: SparkSession, database: str = DATABASE) -> DataFrame:
     counts = [
         spark.table(f"{database}.{table}").agg(
             F.lit(table).alias("table_name"),
-            F.lit(len(spark.catalog.listColumns(table, database))).alias("column_count"),
+            F.lit(len(spark.catalog.listColumns(f"{database}.{table}"))).alias("column_count"),
             F.count(F.lit(1)).alias("row_count"),
         )
         for table in TABLES
