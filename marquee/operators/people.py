@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..schemas import CAST_TYPE, CREW_TYPE
 from .analysis import split_names
 from .conform import field
+from .lookup import Lookup, lookup_join
 from .ranking import top
 
 # Gender codes of cast entries and job names of crew entries.
@@ -173,7 +174,7 @@ def collaboration_strength(credit_rows: DataFrame, movie: str, person: str) -> D
     """
     seen = appearances(credit_rows, movie, person)
     sizes = movie_sizes(credit_rows, movie, person)
-    return seen.join(sizes, movie).groupBy(person).agg(
+    return lookup_join(seen, [movie], Lookup(sizes)).groupBy(person).agg(
         F.count(F.lit(1)).alias("movies"),
         F.sum(F.col("people") - 1).alias("shared_appearances"),
         F.max(F.col("people") - 1).alias("most_partners"),
@@ -209,10 +210,10 @@ def director_network(
     edges are never more than the credits.
     """
     seen = appearances(credit_rows, movie, person)
-    one = directed.filter(F.col(director).isNotNull()).groupBy(movie).agg(
-        F.min(director).alias(director)
-    )
+    named = directed.select(movie, director).filter(F.col(director).isNotNull())
     return (
-        seen.join(one, movie).groupBy(director, person)
+        lookup_join(seen, [movie], Lookup(named))
+        .filter(F.col(director).isNotNull())
+        .groupBy(director, person)
         .agg(F.count(F.lit(1)).alias("shared_movies"))
     )

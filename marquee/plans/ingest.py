@@ -8,11 +8,11 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators.analysis import enrichment_coverage, file_totals, run_totals
-from ..operators.conform import stamp, to_single_table
+from ..operators.conform import field, stamp, to_single_table
 from ..operators.enrich import enrich_all
 from ..operators.quality import abort_on_error, error_counts, validate
 from ..operators.ranking import first_per_group
-from ..sources.files import read_movie_files, write_enhanced
+from ..sources.files import CORRUPT, read_movie_files, split_malformed, write_enhanced
 from ..sources.tables import DATABASE, append, insert_all
 
 
@@ -21,43 +21,43 @@ class IngestResult:
     """What one run did. The frames read the run's written output."""
 
     movies: DataFrame
+    malformed: DataFrame
     totals: DataFrame
     files: DataFrame
     statistics: DataFrame
     errors: DataFrame
     tables: dict[str, bool]
-
-    @property
-    def success(self) -> bool:
-        return all(self.tables.values())
+    success: bool
 
 
 def _raw(spark, folder, max_movies, run_at, lines, strict) -> DataFrame:
-    movies = read_movie_files(
-        spark, folder, lines=lines, strict=strict, with_origin=True
-    )
-    if not strict:
-        movies = movies.filter(F.col("_corrupt_record").isNull()).drop("_corrupt_record")
+    movies = read_movie_files(spark, folder, lines=lines, strict=strict, with_origin=True)
     return stamp(first_per_group(movies, max_movies, "source_file", "ordinal"), "tmdb", run_at)
 
 
-def _written(spark: SparkSession, movies: DataFrame, output: str, run_stamp: str, prefix: str) -> DataFrame:
-    """The enriched movies, written once and read back: later steps start from the files, so
-    losing an executor does not bring the joins back."""
+def _written(
+    spark: SparkSession, enriched: DataFrame, output: str, run_stamp: str, prefix: str
+) -> tuple[DataFrame, DataFrame]:
+    """The enriched movies and the malformed rows, written once and read back: later steps
+    start from the files, so losing an executor does not bring the joins back."""
     staged = os.path.join(output, "staged", f"{prefix}_{run_stamp}")
-    movies.write.mode("error").parquet(staged)
-    return spark.read.parquet(staged)
+    enriched.withColumn(CORRUPT, field(enriched, CORRUPT)).write.mode("error").parquet(staged)
+    movies, malformed = split_malformed(spark.read.parquet(staged))
+    write_enhanced(movies.drop("ordinal"), os.path.join(output, "files"), run_stamp, prefix)
+    return movies, malformed
 
 
-def _finish(movies: DataFrame, output: str, run_stamp: str, prefix: str, tables: dict) -> IngestResult:
-    checked = validate(movies)
+def _result(movies: DataFrame, malformed: DataFrame, tables: dict[str, bool]) -> IngestResult:
+    success = all(tables.values()) and malformed.isEmpty()
     return IngestResult(
         movies=movies,
-        totals=run_totals(movies, "source_file").withColumn("success", F.lit(all(tables.values()))),
+        malformed=malformed,
+        totals=run_totals(movies, "source_file").withColumn("success", F.lit(success)),
         files=file_totals(movies, "source_file"),
         statistics=enrichment_coverage(movies),
-        errors=error_counts(checked),
+        errors=error_counts(validate(movies)),
         tables=tables,
+        success=success,
     )
 
 
@@ -75,14 +75,12 @@ def comprehensive_ingest(
     lines: bool = False,
     prefix: str = "comprehensive_enhanced",
 ) -> IngestResult:
-    """All sources into files and the four tables. Malformed rows are left out, a movie that
-    no source knows stays as it is, and a failing table does not stop the others."""
+    """All sources into files and the four tables. Malformed input is set apart, a movie
+    that no source knows stays as it is, and a failing table does not stop the others."""
     raw = _raw(spark, folder, max_movies, run_at, lines, strict=False)
     enriched = enrich_all(raw, run_at, omdb, metacritic, rotten_tomatoes)
-    movies = _written(spark, enriched, output, run_stamp, prefix)
-    write_enhanced(movies.drop("ordinal"), os.path.join(output, "files"), run_stamp, prefix)
-    tables = insert_all(movies, run_at, database)
-    return _finish(movies, output, run_stamp, prefix, tables)
+    movies, malformed = _written(spark, enriched, output, run_stamp, prefix)
+    return _result(movies, malformed, insert_all(movies, run_at, database))
 
 
 def single_source_ingest(
@@ -104,7 +102,6 @@ def single_source_ingest(
     enriched = enrich_all(raw, run_at, omdb)
     if strict_records:
         enriched = abort_on_error(validate(enriched)).drop("errors")
-    movies = _written(spark, enriched, output, run_stamp, prefix)
-    write_enhanced(movies.drop("ordinal"), os.path.join(output, "files"), run_stamp, prefix)
+    movies, malformed = _written(spark, enriched, output, run_stamp, prefix)
     append(to_single_table(movies, run_at), "omdb_movies", database)
-    return _finish(movies, output, run_stamp, prefix, {"omdb_movies": True})
+    return _result(movies, malformed, {"omdb_movies": True})

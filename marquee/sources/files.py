@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..schemas import OMDB_RESPONSE, RAW_FILE_GLOB, RAW_MOVIE, ddl
 
-_BAD = "_corrupt_record"
+CORRUPT = "_corrupt_record"
 
 
 def shared_dir(spark: SparkSession, purpose: str) -> str:
@@ -40,7 +40,7 @@ def read_movie_files(
     `_corrupt_record`. `with_origin` adds `source_file` and `ordinal`, which sorts rows as
     the file has them.
     """
-    schema = ddl(fields) if strict else f"{ddl(fields)}, {_BAD} string"
+    schema = ddl(fields) if strict else f"{ddl(fields)}, {CORRUPT} string"
     movies = (
         spark.read.schema(schema)
         .option("multiLine", not lines)
@@ -58,9 +58,9 @@ def read_movie_files(
 
 def split_malformed(movies: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Rows of a tolerant read: the parsed ones, and the raw text of the others."""
-    bad = F.col(_BAD).isNotNull()
-    kept = [c for c in ("source_file", _BAD) if c in movies.columns]
-    return movies.filter(~bad).drop(_BAD), movies.filter(bad).select(*kept)
+    bad = F.col(CORRUPT).isNotNull()
+    kept = [c for c in ("source_file", CORRUPT) if c in movies.columns]
+    return movies.filter(~bad).drop(CORRUPT), movies.filter(bad).select(*kept)
 
 
 def read_snapshot(spark: SparkSession, path: str, fields=OMDB_RESPONSE, format: str = "json") -> DataFrame:
