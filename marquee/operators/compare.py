@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 
 def compare_sources(
@@ -45,6 +45,14 @@ def rating_differences(compared: DataFrame) -> DataFrame:
     )
 
 
+def correlation(a: str, b: str) -> Column:
+    """Pearson's coefficient over rows with both values; null where one does not vary,
+    which the built-in function takes for a division error."""
+    both = F.col(a).isNotNull() & F.col(b).isNotNull()
+    spread = F.stddev_pop(F.when(both, F.col(a))) * F.stddev_pop(F.when(both, F.col(b)))
+    return F.try_divide(F.covar_pop(a, b), spread)
+
+
 def source_agreement(compared: DataFrame) -> DataFrame:
     """Per pair of sources: movies both rate, mean difference and correlation."""
     measures = []
@@ -54,6 +62,6 @@ def source_agreement(compared: DataFrame) -> DataFrame:
             F.lit(a).alias("source_a"), F.lit(b).alias("source_b"),
             F.count_if(both).alias("movies"),
             F.avg(F.col(a) - F.col(b)).alias("mean_difference"),
-            F.corr(a, b).alias("correlation"),
+            correlation(a, b).alias("correlation"),
         ))
     return rescale(compared).agg(F.array(*measures).alias("pairs")).select(F.inline("pairs"))

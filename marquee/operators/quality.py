@@ -61,11 +61,11 @@ def split_failed(df: DataFrame, errors: str = "errors") -> tuple[DataFrame, Data
 
 
 def abort_on_error(df: DataFrame, errors: str = "errors") -> DataFrame:
-    """Strict mode: the job fails with the first record's messages."""
+    """Strict mode: the job fails with a record's messages. A filter, so that dropping the
+    error column later does not drop the check."""
     text = F.array_join(errors, "; ")
-    return df.withColumn(
-        errors, F.when(F.size(errors) > 0, F.raise_error(text)).otherwise(F.col(errors))
-    )
+    failed = F.raise_error(text).cast("boolean")
+    return df.filter(F.when(F.size(errors) > 0, failed).otherwise(F.lit(True)))
 
 
 def error_counts(df: DataFrame, errors: str = "errors") -> DataFrame:

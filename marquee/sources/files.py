@@ -57,7 +57,9 @@ def read_movie_files(
 
 
 def split_malformed(movies: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Rows of a tolerant read: the parsed ones, and the raw text of the others."""
+    """Rows of a tolerant read: the parsed ones, and the raw text of the others. Pass the
+    written read (as the ingestion runs do), since Spark refuses to scan raw files for the
+    malformed text alone."""
     bad = F.col(CORRUPT).isNotNull()
     kept = [c for c in ("source_file", CORRUPT) if c in movies.columns]
     return movies.filter(~bad).drop(CORRUPT), movies.filter(bad).select(*kept)

@@ -204,6 +204,9 @@ def read_page(page: str | None, rules: tuple[NestedRule, ...]) -> dict:
             if not live:
                 break
             reading = [follower for follower in live if not follower.next]
+    else:
+        for follower in reading:
+            follower.texts[-1].append(page[text_from:])
     return {follower.rule.field: follower.found() for follower in followers}
 
 

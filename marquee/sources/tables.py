@@ -18,22 +18,24 @@ def create_database(spark: SparkSession, database: str = DATABASE, location: str
 
 def create_table(
     spark: SparkSession, table: str, database: str = DATABASE, format: str = "parquet",
-    location: str | None = None,
+    location: str | None = None, max_records_per_file: int | None = None,
 ) -> None:
+    """One table, unless it exists. `max_records_per_file` bounds each file that is written."""
     place = f" LOCATION '{location}/{table}'" if location else ""
+    bound = f" OPTIONS (maxRecordsPerFile '{max_records_per_file}')" if max_records_per_file else ""
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {database}.{table} ({ddl(TABLES[table])}) "
-        f"USING {format} PARTITIONED BY (year){place}"
+        f"USING {format}{bound} PARTITIONED BY (year){place}"
     )
 
 
 def create_all_tables(
     spark: SparkSession, database: str = DATABASE, format: str = "parquet",
-    location: str | None = None,
+    location: str | None = None, max_records_per_file: int | None = None,
 ) -> DataFrame:
     create_database(spark, database, location)
     for table in TABLES:
-        create_table(spark, table, database, format, location)
+        create_table(spark, table, database, format, location, max_records_per_file)
     return table_info(spark, database)
 
 
@@ -43,8 +45,7 @@ def read_table(spark: SparkSession, table: str, database: str = DATABASE) -> Dat
 
 
 def append(
-    rows: DataFrame, table: str, database: str = DATABASE, dedupe_keys: list[str] | None = None,
-    max_records_per_file: int = 0,
+    rows: DataFrame, table: str, database: str = DATABASE, dedupe_keys: list[str] | None = None
 ) -> None:
     """Add rows in one distributed write.
 
@@ -56,11 +57,7 @@ def append(
         rows = one_per_key(rows, dedupe_keys)
     shaped = conform(rows, TABLES[table])
     stored = [name for name, _ in TABLES[table] if name != "year"] + ["year"]
-    (
-        shaped.select(*stored).hint("rebalance", "year")
-        .write.option("maxRecordsPerFile", max_records_per_file)
-        .insertInto(f"{database}.{table}")
-    )
+    shaped.select(*stored).hint("rebalance", "year").write.insertInto(f"{database}.{table}")
 
 
 def insert_all(

@@ -1,0 +1,62 @@
+"""Shapes of the plans that matter at scale."""
+
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from marquee.operators import analysis, ranking
+from marquee.plans.queries import QUERIES
+
+SF = "/root/testdata/sf0.001"
+
+pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - {"insert_all_tables", "table_round_trip"}))
+def test_no_cross_join_and_no_row_python(spark, name):
+    text = plan(QUERIES[name](spark, SF))
+    assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
+    assert "BatchEvalPython" not in text
+    if name not in ("metacritic_pages", "rotten_tomatoes_pages"):
+        assert "ArrowEvalPython" not in text
+
+
+def test_filters_and_columns_reach_the_scan(spark):
+    text = plan(QUERIES["rating_filter"](spark, SF))
+    assert "PushedFilters: [IsNotNull(p_retailprice)" in text
+    assert "ReadSchema: struct<p_partkey:bigint,p_retailprice:double>" in text
+    counts = plan(QUERIES["director_stats"](spark, SF))
+    assert "ReadSchema: struct<l_suppkey:bigint>" in counts
+
+
+def test_top_lists_are_not_full_sorts(spark):
+    for name in ("top_rated", "top_movies", "scan_table", "director_stats"):
+        assert "TakeOrderedAndProject" in plan(QUERIES[name](spark, SF))
+
+
+def test_group_limits_run_before_the_shuffle(spark):
+    assert "WindowGroupLimit" in plan(QUERIES["first_per_file"](spark, SF))
+    assert "WindowGroupLimit" in plan(QUERIES["report_categories"](spark, SF))
+
+
+def test_counts_are_partial_before_the_shuffle(spark):
+    text = plan(QUERIES["report_categories"](spark, SF))
+    assert text.count("Scan parquet") == 1
+    assert "partial_count" in text
+
+
+def test_all_sources_shuffle_the_movies_twice(spark, settings):
+    settings(spark__sql__autoBroadcastJoinThreshold="-1")
+    text = plan(QUERIES["enrich_all_sources"](spark, SF))
+    assert text.count("SortMergeJoin") == 2
+
+
+def test_rows_that_cannot_match_are_not_sorted_out(spark):
+    rows = spark.range(100).select("id", F.lit(None).cast("double").alias("omdb_imdb_rating"))
+    assert ranking.sort_by_rating(rows, tie="id").count() == 100
+    assert analysis.top_movies(rows.withColumn("title", F.lit("x")), columns=("title",), tie="id").count() == 0

@@ -1,0 +1,250 @@
+import json
+import uuid
+
+import pytest
+from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
+
+from marquee.operators import conform, quality
+from marquee.schemas import RAW_MOVIE, TABLES, ddl
+from marquee.sources import files, tables
+
+
+@pytest.fixture
+def database(spark):
+    name = f"t{uuid.uuid4().hex[:10]}"
+    tables.create_all_tables(spark, name)
+    return name
+
+
+def raw(spark, *records):
+    rows = [json.dumps(record) for record in records]
+    return spark.read.schema(ddl(RAW_MOVIE)).json(spark.sparkContext.parallelize(rows))
+
+
+# Conforming
+
+
+def test_conform_orders_types_and_fills(spark):
+    df = spark.createDataFrame([("12", "x", 8.26, [1])], "b string, a string, c double, d array<int>")
+    out = conform.conform(df, (("a", "int"), ("b", "int"), ("c", "decimal(10,1)"), ("e", "array<string>"), ("d", "array<int>")))
+    assert out.dtypes == [("a", "int"), ("b", "int"), ("c", "decimal(10,1)"), ("e", "array<string>"), ("d", "array<int>")]
+    row = out.first()
+    assert row.a is None and row.b == 12 and float(row.c) == 8.3 and row.e is None and row.d == [1]
+
+
+@pytest.mark.parametrize("table, count", [
+    ("tmdb_movies", 30), ("omdb_movies", 26), ("metacritic_ratings", 10), ("rotten_tomatoes_ratings", 10),
+])
+def test_projection_layouts(spark, table, count):
+    movies = raw(spark, {"id": 5, "title": "T", "release_date": "1994-01-02"})
+    out = conform.PROJECTIONS[table](movies, "now")
+    assert out.dtypes == [(name, kind) for name, kind in TABLES[table]] and len(out.columns) == count
+    assert dict(TABLES["rotten_tomatoes_ratings"])["user_count"] == "string"
+
+
+def test_tmdb_projection(spark):
+    movies = raw(
+        spark,
+        {"id": 5, "overview": "x" * 1500, "year": 0, "release_date": "1994-01-02", "genres": [], "popularity": 1.23456},
+        {"id": 5, "tmdb_id": 6, "overview": "", "year": 1980, "release_date": "1994-01-02"},
+    )
+    a, b = conform.to_tmdb_table(movies, "now").orderBy("tmdb_id").collect()
+    assert (a.tmdb_id, a.year, len(a.overview), a.genres, a.data_source) == (5, 1994, 1000, [], "tmdb")
+    assert float(a.popularity) == 1.2346
+    assert (b.tmdb_id, b.year, b.overview, b.created_at, b.updated_at) == (6, 1980, None, "now", "now")
+
+
+def enriched(spark):
+    kind = (
+        "tmdb_id int, imdb_id string, title string, year int, release_date string, omdb_title string, omdb_plot string, "
+        "omdb_ratings array<struct<Source:string,Value:string>>, omdb_imdb_rating double, omdb_imdb_votes bigint, "
+        "omdb_metascore int, omdb_enhanced_at string, metacritic_critic_score double, metacritic_critic_count bigint, "
+        "rt_critic_score double, rt_critic_count bigint, rt_user_count string"
+    )
+    return spark.createDataFrame([
+        (1, "tt1", "One", 1990, "1991-01-01", "O", "p" * 1200, [("IMDb", "8")], 8.25, 99, 80, "then", 61.0, 7, None, None, None),
+        (2, "tt2", "Two", None, "bad", None, "", None, None, 5_000_000_000, None, None, None, None, 55.0, 9, "1k+"),
+    ], kind)
+
+
+def test_omdb_projection(spark):
+    a, b = conform.to_omdb_table(enriched(spark), "now").orderBy("imdb_id").collect()
+    assert len(a.plot) == 1000 and a.ratings == '[{"Source":"IMDb","Value":"8"}]' and a.year == 1990
+    assert float(a.imdb_rating) == 8.3 and a.data_source == "omdb" and a.created_at == "now"
+    # A vote count beyond the column's type is null.
+    assert (b.plot, b.ratings, b.imdb_votes, b.year) == (None, "[]", None, None)
+
+
+def test_single_table_projection(spark):
+    a, b = conform.to_single_table(enriched(spark), "now").orderBy("imdb_id").collect()
+    assert len(a.plot) == 1003 and a.year == 1991 and a.created_at == "then" and a.updated_at == "now"
+    assert (b.ratings, b.year, b.created_at, b.data_source) == (None, None, "now", "tmdb")
+    with_source = enriched(spark).withColumn("data_source", F.lit("other"))
+    assert conform.to_single_table(with_source, "now").first().data_source == "other"
+
+
+def test_score_projections_take_scored_movies_only(spark):
+    [m] = conform.to_metacritic_table(enriched(spark), "now").collect()
+    assert (m.tmdb_id, float(m.critic_score), m.critic_count, m.user_score, m.data_source) == (1, 61.0, 7, None, "metacritic")
+    [r] = conform.to_rotten_tomatoes_table(enriched(spark), "now").collect()
+    assert (r.tmdb_id, r.critic_count, r.user_count, r.data_source) == (2, 9, "1k+", "rottentomatoes")
+
+
+def test_merge(spark):
+    base = spark.createDataFrame([(1, "a", 1), (2, "b", 2)], "id int, x string, y int")
+    newer = spark.createDataFrame([(1, None, 9, "n"), (3, "c", 3, "m")], "id int, x string, y int, z string")
+    got = {r.id: tuple(r) for r in conform.merge_records(base, newer, ["id"]).collect()}
+    assert got == {1: (1, "a", 9, "n"), 2: (2, "b", 2, None)}
+
+
+def test_fallbacks(spark):
+    df = spark.createDataFrame(
+        [("", "B", 0, "1999-01-01"), ("A", "B", 1990, "1999"), (None, None, None, "0000-00"), (None, "", None, None)],
+        "title string, omdb_title string, year int, release_date string",
+    )
+    rows = df.select(conform.title_or(df, "title", "omdb_title").alias("t"), conform.known_year(df).alias("y")).collect()
+    assert [tuple(r) for r in rows] == [("B", 1999), ("A", 1990), (None, None), (None, None)]
+
+
+# Validation
+
+
+def test_validation_messages(spark):
+    df = spark.createDataFrame(
+        [("", None, 10.1, 1899), ("T", "tt", 10.0, 2030), ("T", "tt", -1.0, 2031), ("T", "tt", None, None)],
+        "title string, imdb_id string, omdb_imdb_rating double, year int",
+    )
+    checked = quality.validate(df)
+    assert [r.errors for r in checked.collect()] == [
+        ["Missing required field: title", "Missing required field: imdb_id",
+         "Invalid rating value: 10.1", "Invalid year value: 1899"],
+        [],
+        ["Invalid rating value: -1.0", "Invalid year value: 2031"],
+        [],
+    ]
+    good, failed = quality.split_failed(checked)
+    assert good.columns == df.columns and good.count() == 2 and failed.count() == 2
+    assert quality.error_counts(checked).first()[:] == (4, 2)
+    with pytest.raises(Exception, match="Missing required field|Invalid rating"):
+        quality.abort_on_error(checked).collect()
+    assert quality.abort_on_error(checked.filter("title = 'T' and year = 2030")).count() == 1
+
+
+def test_rating_filter_is_closed_and_drops_missing(spark):
+    df = spark.createDataFrame([(0.0,), (10.0,), (10.1,), (None,), (float("nan"),)], "omdb_imdb_rating double")
+    assert quality.filter_by_rating(df).count() == 2
+    assert quality.filter_by_rating(df, low=10.0).count() == 1
+
+
+def test_year_tolerance(spark):
+    df = spark.createDataFrame([(1990, 1993), (1990, 1994), (1990, 1987), (None, 1990)], "a int, b int")
+    assert [r.n for r in df.select(quality.years_agree("a", "b").alias("n")).collect()] == [True, False, True, None]
+
+
+# Tables
+
+
+def test_create_is_repeatable_and_described(spark, database):
+    info = tables.create_all_tables(spark, database)
+    assert info.count() == 76
+    assert {r.table_name for r in info.collect()} == set(TABLES)
+    partitions = {(r.table_name, r.column_name) for r in info.filter("is_partition").collect()}
+    assert partitions == {(name, "year") for name in TABLES}
+
+
+def test_append_round_trip(spark, database):
+    movies = raw(
+        spark,
+        {"tmdb_id": 1, "title": "It's \"quoted\"; -- x", "year": 1990, "genres": ["O'Neil", "b"], "budget": 2**40},
+        {"tmdb_id": 2, "title": None, "genres": []},
+        {"tmdb_id": 3, "year": 1991, "genre_ids": [1, 2]},
+    )
+    rows = conform.to_tmdb_table(movies, "now")
+    tables.append(rows, "tmdb_movies", database)
+    back = tables.read_table(spark, "tmdb_movies", database)
+    assert back.columns == [name for name, _ in TABLES["tmdb_movies"]]
+    assert sorted(map(str, back.collect())) == sorted(map(str, rows.collect()))
+    tables.append(rows, "tmdb_movies", database)
+    assert back.count() == 6
+    plan = back.filter("year = 1990")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(year" in plan
+
+
+def test_append_can_drop_repeats_and_split_files(spark):
+    database = f"b{uuid.uuid4().hex[:10]}"
+    tables.create_all_tables(spark, database, max_records_per_file=10)
+    movies = spark.range(200).selectExpr("cast(id % 100 as int) as tmdb_id", "1990 as year")
+    tables.append(movies, "tmdb_movies", database, dedupe_keys=["tmdb_id"])
+    back = spark.table(f"{database}.tmdb_movies")
+    assert back.count() == 100 and len(back.inputFiles()) >= 10
+
+
+def test_insert_all_tells_what_failed(spark, database):
+    spark.sql(f"DROP TABLE {database}.metacritic_ratings")
+    done = tables.insert_all(enriched(spark), "now", database)
+    assert done == {"tmdb_movies": True, "omdb_movies": True, "metacritic_ratings": False, "rotten_tomatoes_ratings": True}
+    with pytest.raises(AnalysisException):
+        tables.insert_all(enriched(spark), "now", database, strict=True)
+    counts = {r.table_name: r.row_count for r in tables.table_rows(spark, database).collect()}
+    assert counts["rotten_tomatoes_ratings"] == 1 and counts["tmdb_movies"] == 4
+
+
+# Files
+
+
+def write(folder, name, text):
+    (folder / name).write_text(text, encoding="utf-8")
+
+
+def test_array_files(spark, tmp_path):
+    write(tmp_path, "tmdb_a.json", json.dumps([{"id": i, "title": f"é{i}"} for i in range(30)], indent=2))
+    write(tmp_path, "tmdb_b.json", json.dumps([{"tmdb_id": 99, "unknown": 1}]))
+    write(tmp_path, "other.json", "[{}]")
+    movies = files.read_movie_files(spark, str(tmp_path), with_origin=True)
+    assert movies.count() == 31
+    in_order = [r.id for r in movies.filter("source_file like '%a.json'").orderBy("ordinal").collect()]
+    assert in_order == list(range(30))
+
+
+def test_line_files_keep_their_order_over_splits(spark, tmp_path, settings):
+    settings(spark__sql__files__maxPartitionBytes="4KB", spark__sql__files__openCostInBytes="0")
+    write(tmp_path, "tmdb_l.json", "".join(json.dumps({"id": i, "title": "x" * 40}) + "\n" for i in range(800)))
+    movies = files.read_movie_files(spark, str(tmp_path), lines=True, with_origin=True)
+    assert movies.rdd.getNumPartitions() > 5
+    assert [r.id for r in movies.orderBy("source_file", "ordinal").collect()] == list(range(800))
+
+
+def test_no_file_is_an_error(spark, tmp_path):
+    with pytest.raises(AnalysisException):
+        files.read_movie_files(spark, str(tmp_path)).count()
+
+
+def test_malformed_files(spark, tmp_path):
+    write(tmp_path, "tmdb_a.json", '[{"id": 1}]')
+    write(tmp_path, "tmdb_b.json", '[{"id": 2}, {"id": ')
+    with pytest.raises(Exception, match="FAILED_READ_FILE"):
+        files.read_movie_files(spark, str(tmp_path)).collect()
+    read = files.read_movie_files(spark, str(tmp_path), strict=False, with_origin=True)
+    read.write.parquet(str(tmp_path / "staged"))
+    good, bad = files.split_malformed(spark.read.parquet(str(tmp_path / "staged")))
+    assert [r.id for r in good.collect()] == [1]
+    assert bad.count() == 1 and bad.first().source_file.endswith("tmdb_b.json")
+
+
+def test_sink_writes_a_folder_per_input(spark, tmp_path):
+    movies = spark.createDataFrame(
+        [("file:/x/tmdb_top.json", 1, None), ("file:/x/tmdb_top.json", 2, "b"), ("file:/x/tmdb_new.json", 3, "c")],
+        "source_file string, id int, t string",
+    )
+    out = files.write_enhanced(movies, str(tmp_path / "out"), "20250821_125804")
+    names = sorted(p.name for p in (tmp_path / "out").iterdir() if p.is_dir())
+    assert names == ["output=enhanced_tmdb_new_20250821_125804", "output=enhanced_tmdb_top_20250821_125804"]
+    assert spark.read.json(out).count() == 3
+    parquet = files.write_enhanced(movies, str(tmp_path / "p"), "s", format="parquet")
+    assert spark.read.parquet(parquet).count() == 3
+
+
+def test_shared_dir_follows_the_session(spark, settings):
+    a, b = files.shared_dir(spark, "x"), files.shared_dir(spark, "x")
+    assert a != b and a.startswith(spark.conf.get("spark.checkpoint.dir"))
