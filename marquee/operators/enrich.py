@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions import title_slug
 from ..schemas import YEAR_TOLERANCE
 from .conform import known_year, omdb_fields, title_or
-from .lookup import Lookup, lookup_join
+from .lookup import Lookup, lookup_join, one_per_key
 
 _SLUG, _YEAR = "_slug", "_year"
 
@@ -21,10 +21,10 @@ def enrich_by_key(movies: DataFrame, records: DataFrame, key: str = "imdb_id") -
 
 
 def _stated_years(pages: DataFrame, year: str) -> DataFrame:
-    """One row per page and year it states."""
+    """One row per page and year it states; a long, so that no tolerance overflows."""
     if "years" in pages.columns:
-        return pages.withColumn("_stated", F.explode("years"))
-    return pages.withColumn("_stated", F.col(year)).filter(F.col("_stated").isNotNull())
+        return pages.withColumn("_stated", F.explode(F.col("years").cast("array<bigint>")))
+    return pages.withColumn("_stated", F.col(year).cast("bigint")).filter("_stated is not null")
 
 
 def _dashed(slug: Column, sep: str) -> Column:
@@ -47,12 +47,16 @@ def title_year_lookup(
     """Pages under their slug and every year they may match.
 
     The range condition becomes a hash key, so a slug shared by many movies and many pages
-    never pairs them all. Of several pages the nearest year wins.
+    never pairs them all. Pages of one slug and year are reduced to one before that. Of
+    several years the nearest wins.
     """
     near = F.sequence(F.col("_stated") - tolerance, F.col("_stated") + tolerance)
-    entries = _stated_years(pages, page_year).withColumn(_YEAR, F.explode(near)).select(
-        _dashed(F.col(slug), sep).alias(_SLUG), _YEAR,
-        F.abs(F.col(_YEAR) - F.col("_stated")).alias("_gap"), "_stated", *fields,
+    keyed = _stated_years(pages, page_year).select(
+        _dashed(F.col(slug), sep).alias(_SLUG), "_stated", *fields
+    )
+    distinct = one_per_key(keyed.filter(F.col(_SLUG) != ""), [_SLUG, "_stated"])
+    entries = distinct.withColumn(_YEAR, F.explode(near)).select(
+        _SLUG, _YEAR, F.abs(F.col(_YEAR) - F.col("_stated")).alias("_gap"), "_stated", *fields
     )
     return Lookup(entries, fields, ("_gap", "_stated"), gate)
 
@@ -76,9 +80,11 @@ def candidates_lookup(
     copy per candidate and no ranking window.
     """
     usable = pages.filter(F.col(scorecard)) if scorecard in pages.columns else pages
+    names = [slug, "_stated"] + ([page_title] if page_title in pages.columns else [])
+    distinct = one_per_key(_stated_years(usable, page_year).select(*names, *fields), names)
     low, high = F.col("_stated") - tolerance, F.col("_stated") + tolerance
     parts = rf"^(.*){sep}([0-9]{{4}})$"
-    dated = F.regexp_extract(F.col(slug), parts, 2).try_cast("int")
+    dated = F.regexp_extract(F.col(slug), parts, 2).try_cast("bigint")
     own = _dashed(F.col(slug), sep)
     read = title_slug(page_title) if page_title in pages.columns else F.lit(None)
 
@@ -96,8 +102,7 @@ def candidates_lookup(
         F.when(read != F.coalesce(own, F.lit("")), rule(3, read, low, high)),
     ))
     entries = (
-        _stated_years(usable, page_year)
-        .select("_stated", *fields, F.inline(rules))
+        distinct.select("_stated", *fields, F.inline(rules))
         .select("*", F.explode("years").alias(_YEAR))
         .select(
             F.col("key").alias(_SLUG), _YEAR, F.col("rank").alias("_rank"),
@@ -113,7 +118,7 @@ def match_titles(
     """Join movies with a title and a year to the best entry of each lookup."""
     title = title if title is not None else title_or(movies, "title", "omdb_title")
     year = year if year is not None else known_year(movies)
-    keyed = movies.withColumns({_SLUG: title_slug(title), _YEAR: year})
+    keyed = movies.withColumns({_SLUG: title_slug(title), _YEAR: year.cast("bigint")})
     return lookup_join(keyed, [_SLUG, _YEAR], *lookups).drop(_SLUG, _YEAR)
 
 

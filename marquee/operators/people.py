@@ -89,8 +89,8 @@ def credits(movies: DataFrame, movie: str = "tmdb_id", keep: tuple[str, ...] = (
 
 
 def appearances(credit_rows: DataFrame, movie: str, person: str) -> DataFrame:
-    """Each person once per movie."""
-    return credit_rows.select(movie, person).distinct()
+    """Each person once per movie; credits without a movie connect nobody."""
+    return credit_rows.filter(F.col(movie).isNotNull()).select(movie, person).distinct()
 
 
 def top_people(
@@ -130,11 +130,20 @@ def cast_totals(
     """The summary as one row of totals. Networks are counted as movies that connect at
     least two cast members."""
     cast = ("actor", "actress")
-    per_role = cast_summary(credit_rows, person, role)
-    connected = movie_sizes(credit_rows.filter(F.col(role).isin(*cast)), movie, person)
-    networks = connected.agg(
-        F.lit("network").alias(role), F.count_if(F.col("people") > 1).alias("people"),
-        F.lit(0).cast("bigint").alias("appearances"),
+    # Both branches use the same columns, so that Spark reads and shuffles the credits once.
+    seen = credit_rows.groupBy(movie, person, role).agg(F.count(F.lit(1)).alias("n"))
+    per_role = (
+        seen.groupBy(role, person).agg(F.sum("n").alias("n"))
+        .groupBy(role).agg(F.count(F.lit(1)).alias("people"), F.sum("n").alias("appearances"))
+    )
+    in_cast = F.coalesce(F.sum(F.when(F.col(role).isin(*cast), F.col("n"))), F.lit(0)) > 0
+    networks = (
+        seen.groupBy(movie, person).agg(in_cast.alias("in_cast"))
+        .groupBy(movie).agg(F.count_if("in_cast").alias("people"))
+        .agg(
+            F.lit("network").alias(role), F.count_if(F.col("people") > 1).alias("people"),
+            F.lit(0).cast("bigint").alias("appearances"),
+        )
     )
 
     def of(value: str, *roles: str) -> Column:

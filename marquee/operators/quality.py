@@ -22,7 +22,7 @@ def with_score(df: DataFrame, score: str) -> DataFrame:
 
 def years_agree(left: Column | str, right: Column | str, tolerance: int = YEAR_TOLERANCE) -> Column:
     left, right = (F.col(c) if isinstance(c, str) else c for c in (left, right))
-    return F.abs(left - right) <= tolerance
+    return F.abs(left.cast("bigint") - right.cast("bigint")) <= tolerance
 
 
 def record_errors(

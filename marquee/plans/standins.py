@@ -16,6 +16,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _spread_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders in as many partitions as the session shuffles to: the narrow rows are moved
+    before each becomes a page, whose walk takes far longer than the move."""
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return table(spark, sf_dir, "orders").repartition(partitions, "o_orderkey")
+
+
 def movies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as movies. A third has an empty id, a fifth an empty title, and the year is
     given, zero or missing by status."""
@@ -96,8 +103,8 @@ def rotten_tomatoes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def metacritic_html(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders as crawled Metacritic pages, spread over the cores before the text is built."""
-    return table(spark, sf_dir, "orders").repartition("o_orderkey").selectExpr(
+    """Orders as crawled Metacritic pages."""
+    return _spread_orders(spark, sf_dir).selectExpr(
         "o_orderkey as page_id",
         "concat('https://scores.example/movie/order-', o_orderkey, '/?ref=', o_custkey) as url",
         "concat('<!DOCTYPE html><html><head><title>', o_orderpriority, '</title></head><body>"
@@ -117,8 +124,8 @@ def metacritic_html(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def rotten_tomatoes_html(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders as crawled Rotten Tomatoes pages, spread likewise."""
-    return table(spark, sf_dir, "orders").repartition("o_orderkey").selectExpr(
+    """Orders as crawled Rotten Tomatoes pages."""
+    return _spread_orders(spark, sf_dir).selectExpr(
         "o_orderkey as page_id",
         "concat('https://tomatoes.example/m/order_', o_orderkey, '/') as url",
         "concat('<html><body><rt-text slot=\"metadataProp\">Drama</rt-text>"
