@@ -3,16 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass, field as default
+from dataclasses import dataclass, field as setting
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import title_slug
 from ..schemas import YEAR_TOLERANCE
-from .conform import known_year, omdb_fields, title_or
-from .lookup import Lookup, lookup_join, one_per_key
+from .conform import field, known_year, omdb_fields, title_or
+from .lookup import Lookup, check_names, gated, lookup_join, table_join, union_all
 
-_SLUG, _YEAR = "_slug", "_year"
+_SLUG, _YEAR, _SPAN = "_slug", "_year", "_span"
 
 
 def enrich_by_key(movies: DataFrame, records: DataFrame, key: str = "imdb_id") -> DataFrame:
@@ -20,6 +20,17 @@ def enrich_by_key(movies: DataFrame, records: DataFrame, key: str = "imdb_id") -
     return lookup_join(movies, [key], Lookup(records))
 
 
+@dataclass(frozen=True)
+class PageLookup:
+    """Pages as entries: a slug, the years `_first` to `_last` it answers, the year `_stated`,
+    the `_rank` of the rule, and fields. `tolerance` bounds the distance of those years."""
+
+    entries: DataFrame
+    fields: dict[str, str]
+    tolerance: int
+    gate: str | None
+
+
 def _stated_years(pages: DataFrame, year: str) -> DataFrame:
     """One row per page and year it states; a long, so that no tolerance overflows."""
     if "years" in pages.columns:
@@ -43,22 +54,15 @@ def title_year_lookup(
     gate: str | None = "critic_score",
     slug: str = "slug",
     page_year: str = "year",
-) -> Lookup:
-    """Pages under their slug and every year they may match.
-
-    The range condition becomes a hash key, so a slug shared by many movies and many pages
-    never pairs them all. Pages of one slug and year are reduced to one before that. Of
-    several years the nearest wins.
-    """
-    near = F.sequence(F.col("_stated") - tolerance, F.col("_stated") + tolerance)
-    keyed = _stated_years(pages, page_year).select(
-        _dashed(F.col(slug), sep).alias(_SLUG), "_stated", *fields
-    )
-    distinct = one_per_key(keyed.filter(F.col(_SLUG) != ""), [_SLUG, "_stated"])
-    entries = distinct.withColumn(_YEAR, F.explode(near)).select(
-        _SLUG, _YEAR, F.abs(F.col(_YEAR) - F.col("_stated")).alias("_gap"), "_stated", *fields
+) -> PageLookup:
+    """Pages that answer their slug in the years around the one they state. Of several
+    pages the nearest year wins."""
+    entries = _stated_years(pages, page_year).select(
+        _dashed(F.col(slug), sep).alias(_SLUG), F.lit(1).alias("_rank"),
+        (F.col("_stated") - tolerance).alias("_first"),
+        (F.col("_stated") + tolerance).alias("_last"), "_stated", *fields,
     )
-    return Lookup(entries, fields, ("_gap", "_stated"), gate)
+    return PageLookup(entries, fields, tolerance, gate)
 
 
 def candidates_lookup(
@@ -71,8 +75,8 @@ def candidates_lookup(
     page_title: str = "title",
     page_year: str = "year",
     scorecard: str = "has_scorecard",
-) -> Lookup:
-    """Pages under each title slug and year they answer, with the rank of the rule.
+) -> PageLookup:
+    """Pages under each title slug and the years they answer, with the rank of the rule.
 
     A movie takes the first of three candidates that has a scorecard and a near year: the
     page at its slug, the page at slug plus year, the page whose own title reads the same.
@@ -80,46 +84,83 @@ def candidates_lookup(
     copy per candidate and no ranking window.
     """
     usable = pages.filter(F.col(scorecard)) if scorecard in pages.columns else pages
-    names = [slug, "_stated"] + ([page_title] if page_title in pages.columns else [])
-    distinct = one_per_key(_stated_years(usable, page_year).select(*names, *fields), names)
-    low, high = F.col("_stated") - tolerance, F.col("_stated") + tolerance
     parts = rf"^(.*){sep}([0-9]{{4}})$"
-    dated = F.regexp_extract(F.col(slug), parts, 2).try_cast("bigint")
-    own = _dashed(F.col(slug), sep)
-    read = title_slug(page_title) if page_title in pages.columns else F.lit(None)
+    # Computed once per page, before the rules refer to them several times.
+    keyed = _stated_years(usable, page_year).select(
+        "_stated", *fields,
+        _dashed(F.col(slug), sep).alias("_own"),
+        _dashed(F.regexp_extract(F.col(slug), parts, 1), sep).alias("_undated"),
+        F.regexp_extract(F.col(slug), parts, 2).try_cast("bigint").alias("_dated"),
+        title_slug(field(pages, page_title)).alias("_read"),
+    )
+    low, high = F.col("_stated") - tolerance, F.col("_stated") + tolerance
+    dated = F.col("_dated")
 
-    def rule(rank: int, key: Column, first: Column, last: Column) -> Column:
+    def rule(rank: int, key: str, first: Column, last: Column) -> Column:
         return F.struct(
-            F.lit(rank).alias("rank"), key.alias("key"), F.sequence(first, last).alias("years")
+            F.col(key).alias(_SLUG), F.lit(rank).alias("_rank"),
+            first.alias("_first"), last.alias("_last"),
         )
 
-    rules = F.array_compact(F.array(
-        rule(1, own, low, high),
-        F.when(
-            dated.between(low, high),
-            rule(2, _dashed(F.regexp_extract(F.col(slug), parts, 1), sep), dated, dated),
-        ),
-        F.when(read != F.coalesce(own, F.lit("")), rule(3, read, low, high)),
-    ))
-    entries = (
-        distinct.select("_stated", *fields, F.inline(rules))
-        .select("*", F.explode("years").alias(_YEAR))
-        .select(
-            F.col("key").alias(_SLUG), _YEAR, F.col("rank").alias("_rank"),
-            F.abs(F.col(_YEAR) - F.col("_stated")).alias("_gap"), "_stated", *fields,
-        )
+    rules = F.array(
+        rule(1, "_own", low, high),
+        F.when(dated.between(low, high), rule(2, "_undated", dated, dated)),
+        F.when(~F.col("_read").eqNullSafe(F.col("_own")), rule(3, "_read", low, high)),
     )
-    return Lookup(entries, fields, ("_rank", "_gap", "_stated"), gate)
+    entries = keyed.select("_stated", *fields, F.inline(rules))
+    return PageLookup(entries, fields, tolerance, gate)
 
 
 def match_titles(
-    movies: DataFrame, *lookups: Lookup, title: Column | None = None, year: Column | None = None
+    movies: DataFrame, *lookups: PageLookup, title: Column | None = None, year: Column | None = None
 ) -> DataFrame:
-    """Join movies with a title and a year to the best entry of each lookup."""
+    """Join movies with a title and a year to the best entry of each lookup.
+
+    Years are cut into spans as long as the widest range, so that an entry belongs to two
+    spans at most and the range condition becomes an equality of slug and span. Entries of
+    one slug, rule and year are reduced to one first; what is left of a slug in a span is a
+    short list by construction, from which each movie picks by its own year. A slug shared
+    by many movies and many pages therefore never pairs them all.
+    """
     title = title if title is not None else title_or(movies, "title", "omdb_title")
     year = year if year is not None else known_year(movies)
+    names = [list(lookup.fields.values()) for lookup in lookups]
+    check_names(movies, [name for each in names for name in each])
+    width = 2 * max(lookup.tolerance for lookup in lookups) + 1
+
+    def span(of: str) -> Column:
+        return F.floor(F.col(of) / width)
+
+    def packed(i: int) -> DataFrame:
+        row = F.struct(*(F.col(old).alias(new) for old, new in lookups[i].fields.items()))
+        place = ("_rank", "_first", "_last", "_stated")
+        entries = lookups[i].entries.filter(F.col(_SLUG) != "")
+        return (
+            entries.groupBy(_SLUG, *place).agg(F.min(row).alias("row"))
+            .withColumn(_SPAN, F.explode(F.sequence(span("_first"), span("_last"))))
+            .select(_SLUG, _SPAN, F.struct(*place, "row").alias(f"_found{i}"))
+        )
+
+    each = range(len(lookups))
+    lists = [F.collect_list(f"_found{i}").alias(f"_found{i}") for i in each]
     keyed = movies.withColumns({_SLUG: title_slug(title), _YEAR: year.cast("bigint")})
-    return lookup_join(keyed, [_SLUG, _YEAR], *lookups).drop(_SLUG, _YEAR)
+    joined = table_join(
+        keyed.withColumn(_SPAN, span(_YEAR)), union_all([packed(i) for i in each]),
+        [_SLUG, _SPAN], *lists,
+    )
+
+    def best(i: int) -> Column:
+        near = F.filter(f"_found{i}", lambda x: F.col(_YEAR).between(x["_first"], x["_last"]))
+        return F.array_min(F.transform(near, lambda x: F.struct(
+            x["_rank"], F.abs(x["_stated"] - F.col(_YEAR)).alias("gap"), x["_stated"], x["row"]
+        )))["row"]
+
+    # One projection finds the row, the next reads its fields.
+    found = joined.select(*movies.columns, *(best(i).alias(f"_best{i}") for i in each))
+    read = (
+        gated(F.col(f"_best{i}"), names[i], lookups[i].fields.get(lookups[i].gate)) for i in each
+    )
+    return found.select(*movies.columns, *(column for columns in read for column in columns))
 
 
 def enrich_by_title_year(
@@ -147,19 +188,19 @@ class ScoreSource:
 
     name: str
     match: str
-    fields: dict[str, str] = default(default_factory=dict)
+    fields: dict[str, str] = setting(default_factory=dict)
     extractor: Callable[[DataFrame], DataFrame] = lambda df: df
     sep: str = "-"
     gate: str | None = "critic_score"
     key: str = "imdb_id"
-    labels: dict[str, str] = default(default_factory=dict)
+    labels: dict[str, str] = setting(default_factory=dict)
     enhanced_at: str | None = None
 
     @property
     def hit(self) -> str:
         return f"_hit_{self.name}"
 
-    def lookup(self, snapshot: DataFrame) -> Lookup:
+    def lookup(self, snapshot: DataFrame) -> Lookup | PageLookup:
         rows = self.extractor(snapshot).withColumn(self.hit, F.lit(True))
         fields = self.fields or {c: c for c in rows.columns if c not in (self.key, self.hit)}
         fields = {**fields, self.hit: self.hit}

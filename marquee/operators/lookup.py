@@ -48,47 +48,60 @@ def one_per_key(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.min(F.struct(*others)).alias("row")).select(*keys, "row.*")
 
 
-def lookup_join(left: DataFrame, keys: list[str], *lookups: Lookup) -> DataFrame:
-    """Left join to one row per key of each lookup, so the left row count never changes.
+def union_all(parts: list[DataFrame]) -> DataFrame:
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
-    All lookups on the same keys share one shuffle of the left side. Their rows are reduced
-    to one per key first, which also bounds a key that repeats on both sides.
+
+def table_join(left: DataFrame, entries: DataFrame, keys: list[str], *found: Column) -> DataFrame:
+    """Left join to the entries reduced to one row per key by the aggregates `found`.
 
     `_spread` is part of the join key. Left rows without a key cannot match; it divides them
     by the partition they come from, so they do not meet in one task. It also makes Spark
     shuffle the reduced rows for the join itself, which the adaptive skew join needs in order
     to split a key that fills much of the left side. The right side is broadcast only if its
-    measured size is under the session's threshold.
+    size is under the session's threshold.
     """
-    names = [lookup.named(keys) for lookup in lookups]
-    new = [name for fields in names for name in fields.values()]
+    table = entries.filter(_usable(entries, keys)).groupBy(*keys).agg(
+        *found,
+        # A plain constant would be optimized out of the join key.
+        F.min(F.lit(0)).alias("_spread"),
+    )
+    spread = F.when(_usable(left, keys), F.lit(0)).otherwise(F.spark_partition_id() + 1)
+    return left.withColumn("_spread", spread).join(table, [*keys, "_spread"], "left")
+
+
+def gated(row: Column, names: list[str], gate: str | None) -> list[Column]:
+    """Fields of a found row, null unless its gate has a value."""
+    if gate:
+        row = F.when(row[gate].isNotNull(), row)
+    return [row[name].alias(name) for name in names]
+
+
+def check_names(left: DataFrame, new: list[str]) -> None:
     taken = sorted(set(left.columns) & set(new))
     if taken or len(set(new)) < len(new):
         raise ValueError(f"columns named twice: {taken or new}")
 
-    def packed(i: int) -> DataFrame:
-        rows, fields, prefer = lookups[i].rows, names[i], lookups[i].prefer
-        row = F.struct(*(F.col(old).alias(name) for old, name in fields.items()))
-        found = F.struct(*prefer, row.alias("row")).alias(f"_found{i}")
-        return rows.filter(_usable(rows, keys)).select(*keys, found)
 
-    entries = reduce(
-        lambda a, b: a.unionByName(b, allowMissingColumns=True), map(packed, range(len(lookups)))
-    )
-    table = entries.groupBy(*keys).agg(
-        *(F.min(f"_found{i}").alias(f"_found{i}") for i in range(len(lookups))),
-        # A plain constant would be optimized out of the join key.
-        F.min(F.lit(0)).alias("_spread"),
-    )
-    spread = F.when(_usable(left, keys), F.lit(0)).otherwise(F.spark_partition_id() + 1)
-    joined = left.withColumn("_spread", spread).join(table, [*keys, "_spread"], "left")
+def lookup_join(left: DataFrame, keys: list[str], *lookups: Lookup) -> DataFrame:
+    """Left join to one row per key of each lookup, so the left row count never changes.
 
-    def value(i: int, name: str) -> Column:
-        row, gate = f"_found{i}.row", lookups[i].gate
-        read = F.col(f"{row}.{name}")
-        return F.when(F.col(f"{row}.{names[i][gate]}").isNotNull(), read).alias(name) if gate else read
+    All lookups on the same keys share one shuffle of the left side. Their rows are reduced
+    to one per key first, which also bounds a key that repeats on both sides.
+    """
+    names = [lookup.named(keys) for lookup in lookups]
+    check_names(left, [name for fields in names for name in fields.values()])
 
-    return joined.select(
-        *left.columns,
-        *(value(i, name) for i, fields in enumerate(names) for name in fields.values()),
+    def packed(i: int) -> DataFrame:
+        rows, fields, prefer = lookups[i].rows, names[i], lookups[i].prefer
+        row = F.struct(*(F.col(old).alias(name) for old, name in fields.items()))
+        return rows.select(*keys, F.struct(*prefer, row.alias("row")).alias(f"_found{i}"))
+
+    each = range(len(lookups))
+    least = [F.min(f"_found{i}").alias(f"_found{i}") for i in each]
+    joined = table_join(left, union_all([packed(i) for i in each]), keys, *least)
+    found = (
+        gated(F.col(f"_found{i}.row"), list(names[i].values()), names[i].get(lookups[i].gate))
+        for i in each
     )
+    return joined.select(*left.columns, *(column for columns in found for column in columns))

@@ -167,6 +167,29 @@ def test_page_slug_with_the_other_mark_answers_no_title(spark):
     assert enrich.enrich_by_title_year(movies, rows, FIELDS).first().score == 70.0
 
 
+def test_a_title_shared_by_most_movies_and_pages(spark, settings):
+    """Half of both sides has one slug; the join stays within the movies and is split."""
+    settings(
+        spark__sql__autoBroadcastJoinThreshold="-1",
+        spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="50KB",
+        spark__sql__adaptive__advisoryPartitionSizeInBytes="50KB",
+        spark__sql__adaptive__skewJoin__skewedPartitionFactor="2",
+    )
+    title = F.when(F.col("id") % 2 == 0, F.lit("Untitled")).otherwise(F.concat(F.lit("T "), "id"))
+    movies = spark.range(0, 100_000, 1, 16).select("id", title.alias("title"), F.lit(1990).alias("year"))
+    rows = spark.range(0, 50_000, 1, 8).select(
+        F.lower(F.regexp_replace(title, " ", "-")).alias("slug"), (1980 + F.col("id") % 20).cast("int").alias("year"),
+        F.col("id").cast("double").alias("critic_score"), F.lit(1).alias("user_count"),
+    )
+    got = enrich.enrich_by_title_year(movies, rows, FIELDS)
+    result = got.filter("title = 'Untitled'").groupBy("score").count().collect()
+    # The nearest year is the movies' own, and its least score is that of page 10.
+    assert [tuple(r) for r in result] == [(10.0, 50_000)]
+    counted = got.select("id", "score")
+    assert len(counted.collect()) == 100_000
+    assert "skew=true" in counted._jdf.queryExecution().executedPlan().toString()
+
+
 def test_registered_sources_and_title_fallback(spark):
     movies = spark.createDataFrame(
         [(1, "tt1", "", None, "1990-05-01"), (2, "", "Zed", 1990, None)],

@@ -180,6 +180,42 @@ def test_append_can_drop_repeats_and_split_files(spark):
     assert back.count() == 100 and len(back.inputFiles()) >= 10
 
 
+def test_a_year_with_most_rows_is_written_by_several_tasks(spark, database, settings):
+    settings(spark__sql__adaptive__advisoryPartitionSizeInBytes="100KB")
+    movies = spark.range(0, 60_000, 1, 8).selectExpr(
+        "cast(id as int) as tmdb_id", "cast(id as string) as title",
+        "if(id % 10 = 0, 1980 + cast(id % 7 as int), 1990) as year",
+    )
+    tables.append(movies, "tmdb_movies", database)
+    back = spark.table(f"{database}.tmdb_movies")
+    assert back.count() == 60_000
+    assert sum("year=1990" in name for name in back.inputFiles()) > 2
+
+
+def test_users_query_the_tables_with_sql(spark, database):
+    movies = spark.createDataFrame(
+        [(i, f"tt{i}", f"T{i}", 1990 + i, i / 10, 900 + 50 * i) for i in range(20)],
+        "tmdb_id int, imdb_id string, title string, year int, vote_average double, vote_count int",
+    )
+    tables.insert_all(movies, "now", database, strict=True, tables=("tmdb_movies", "omdb_movies"))
+    assert spark.sql(f"SELECT * FROM {database}.tmdb_movies LIMIT 10").count() == 10
+    best = spark.sql(
+        f"""SELECT title, vote_average, vote_count FROM {database}.tmdb_movies
+            WHERE vote_count > 1000 ORDER BY vote_average DESC LIMIT 5"""
+    ).collect()
+    assert [r.title for r in best] == ["T19", "T18", "T17", "T16", "T15"]
+    compared = spark.sql(
+        f"""SELECT tm.title, tm.vote_average AS tmdb_rating, om.imdb_rating,
+              mr.critic_score AS metacritic_score, rt.critic_score AS rt_score
+            FROM {database}.tmdb_movies tm
+            LEFT JOIN {database}.omdb_movies om ON tm.imdb_id = om.imdb_id
+            LEFT JOIN {database}.metacritic_ratings mr ON tm.tmdb_id = mr.tmdb_id
+            LEFT JOIN {database}.rotten_tomatoes_ratings rt ON tm.tmdb_id = rt.tmdb_id
+            WHERE tm.vote_count > 500"""
+    )
+    assert compared.count() == 20
+
+
 def test_insert_all_tells_what_failed(spark, database):
     spark.sql(f"DROP TABLE {database}.metacritic_ratings")
     done = tables.insert_all(enriched(spark), "now", database)
