@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import re
+import string
 import sys
 import unicodedata
 from functools import lru_cache
@@ -95,11 +95,11 @@ def ascii_fold(text: Column | str) -> Column:
 
 def title_slug(title: Column | str, sep: str = "-") -> Column:
     """URL form of a title. Separator runs are joined before other marks go, so "A & B"
-    keeps two separators."""
-    words = F.regexp_replace(
-        F.lower(ascii_fold(title)), r"[ \t\n\r\f\x0B\x1c-\x1f_\-]+", sep
-    )
-    plain = F.regexp_replace(words, rf"[^{re.escape(sep)}a-z0-9]", "")
+    keeps two separators. One translation then lowers letters and drops the marks."""
+    joined = F.regexp_replace(ascii_fold(title), r"[ \t\n\r\f\x0B\x1c-\x1f_\-]+", sep)
+    kept = string.ascii_lowercase + string.digits + string.ascii_uppercase + sep
+    marks = "".join(chr(code) for code in range(128) if chr(code) not in kept)
+    plain = F.translate(joined, string.ascii_uppercase + marks, string.ascii_lowercase)
     return F.btrim(plain, F.lit(sep))
 
 

@@ -237,16 +237,18 @@ COMPARED = """compared AS (
   SELECT tm.tmdb_id, tm.title, tm.vote_average AS tmdb_rating, om.omdb_imdb_rating AS imdb_rating,
     mr.critic_score AS metacritic_score, rt.critic_score AS rt_score
   FROM movies tm LEFT JOIN omdb om ON tm.imdb_id = om.imdb_id
-  LEFT JOIN (SELECT o_orderkey AS tmdb_id, floor(o_totalprice / 5000) AS critic_score FROM orders
-    WHERE o_orderstatus <> 'P') mr ON tm.tmdb_id = mr.tmdb_id
-  LEFT JOIN (SELECT o_orderkey AS tmdb_id, (o_custkey % 101)::DOUBLE AS critic_score FROM orders
-    WHERE o_orderpriority <> '2-HIGH') rt ON tm.tmdb_id = rt.tmdb_id
+  LEFT JOIN (SELECT o_orderkey AS tmdb_id,
+    CASE WHEN o_orderstatus <> 'P' THEN floor(o_totalprice / 5000) END AS critic_score FROM orders) mr
+    ON tm.tmdb_id = mr.tmdb_id
+  LEFT JOIN (SELECT o_orderkey AS tmdb_id,
+    CASE WHEN o_orderpriority <> '2-HIGH' THEN (o_custkey % 101)::DOUBLE END AS critic_score FROM orders) rt
+    ON tm.tmdb_id = rt.tmdb_id
   WHERE tm.vote_count > 500)"""
 SQL["compare_sources"] = _with(MOVIES, OMDB) + """SELECT tm.title, tm.vote_average AS tmdb_rating,
-  om.omdb_imdb_rating AS imdb_rating, mr.l_quantity AS metacritic_score, rt.o_totalprice AS rt_score
+  om.omdb_imdb_rating AS imdb_rating, mr.l_quantity AS metacritic_score, rt.c_acctbal AS rt_score
   FROM movies tm LEFT JOIN omdb om ON tm.imdb_id = om.imdb_id
   LEFT JOIN lineitem mr ON tm.tmdb_id = mr.l_orderkey
-  LEFT JOIN (SELECT * FROM orders WHERE o_orderstatus = 'F') rt ON tm.tmdb_id = rt.o_orderkey
+  LEFT JOIN customer rt ON tm.tmdb_id = rt.c_custkey
   WHERE tm.vote_count > 500"""
 SQL["compare_sources_sql"] = SQL["compare_sources"]
 SQL["rating_differences"] = _with(MOVIES, OMDB, COMPARED) + """SELECT title,

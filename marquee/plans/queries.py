@@ -366,11 +366,14 @@ def _omdb_table(spark, sf_dir) -> DataFrame:
 
 
 def _score_tables(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
-    lines = table(spark, sf_dir, "lineitem")
-    orders = table(spark, sf_dir, "orders").filter("o_orderstatus = 'F'")
+    """Several critic rows per movie, and an audience row for some movies."""
     return (
-        lines.selectExpr("cast(l_orderkey as int) as tmdb_id", "l_quantity as critic_score"),
-        orders.selectExpr("cast(o_orderkey as int) as tmdb_id", "o_totalprice as critic_score"),
+        table(spark, sf_dir, "lineitem").selectExpr(
+            "cast(l_orderkey as int) as tmdb_id", "l_quantity as critic_score"
+        ),
+        table(spark, sf_dir, "customer").selectExpr(
+            "cast(c_custkey as int) as tmdb_id", "c_acctbal as critic_score"
+        ),
     )
 
 
@@ -400,11 +403,13 @@ def compare_sources_sql(spark, sf_dir):
 
 def _compared(spark, sf_dir) -> DataFrame:
     orders = table(spark, sf_dir, "orders")
-    critics = orders.filter("o_orderstatus <> 'P'").selectExpr(
-        "cast(o_orderkey as int) as tmdb_id", "cast(floor(o_totalprice / 5000) as double) as critic_score"
+    critics = orders.selectExpr(
+        "cast(o_orderkey as int) as tmdb_id",
+        "case when o_orderstatus <> 'P' then cast(floor(o_totalprice / 5000) as double) end as critic_score",
     )
-    tomatoes = orders.filter("o_orderpriority <> '2-HIGH'").selectExpr(
-        "cast(o_orderkey as int) as tmdb_id", "cast(o_custkey % 101 as double) as critic_score"
+    tomatoes = orders.selectExpr(
+        "cast(o_orderkey as int) as tmdb_id",
+        "case when o_orderpriority <> '2-HIGH' then cast(o_custkey % 101 as double) end as critic_score",
     )
     return compare.compare_sources(
         standins.movies(spark, sf_dir), _omdb_table(spark, sf_dir), critics, tomatoes
