@@ -14,7 +14,8 @@ _FLOAT = (
     rf"^{_BLANK}[+-]?(?:(?:{_DIGITS}\.?(?:{_DIGITS})?|\.{_DIGITS})(?:[eE][+-]?{_DIGITS})?"
     rf"|(?i:nan|inf|infinity)){_BLANK}$"
 )
-_FILLER = rf"[{SPACE}_]"
+# Dropped before the cast: blanks, underscores, and the sign of a NaN.
+_FILLER = rf"[{SPACE}_]|[+-](?=[nN])"
 
 
 def column(value: Column | str) -> Column:

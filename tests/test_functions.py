@@ -104,3 +104,24 @@ def test_ratings_json(spark):
 def test_file_stamp(spark):
     rows = spark.sql("select timestamp_ntz'2025-08-21 12:58:04' as t").select(fn.file_stamp("t").alias("s"))
     assert rows.first().s == "20250821_125804"
+
+
+def number(kind, text):
+    try:
+        return kind(text)
+    except ValueError:
+        return None
+
+
+def test_numbers_parse_as_in_python(spark):
+    random.seed(11)
+    alphabet = "0123456789" * 2 + "+-._eE \t naifty,%x"
+    texts = ["".join(random.choices(alphabet, k=random.randint(1, 6))) for _ in range(6000)]
+    texts += ["inf", "+Infinity", "-nan", "iNf ", "infinit", "1_2.3_4e1_0", "1._2", "1_.2", "1e_2", "0_0", "　7"]
+    for text, got in zip(texts, results(spark, fn.parse_rating, texts)):
+        expected = number(float, text)
+        assert str(got) == str(expected) or got == expected, text
+    for text, got in zip(texts, results(spark, fn.parse_votes, texts)):
+        assert got == number(int, text.replace(",", "")), text
+    for text, got in zip(texts, results(spark, fn.year_from_date, texts)):
+        assert got == number(int, text[:4]), text

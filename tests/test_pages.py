@@ -125,3 +125,51 @@ def test_extracted_pages_feed_a_source(spark):
     movies = spark.createDataFrame([(1, "Zed", 1996), (2, "Zed", 1960)], "tmdb_id int, title string, year int")
     got = enrich.enrich(movies, "now", {"crawl": crawled}).orderBy("tmdb_id").collect()
     assert [(r.crawl_score, r.crawl_at) for r in got] == [(97.0, "now"), (None, None)]
+
+
+def test_walk_agrees_with_the_standard_parser(spark):
+    """Whole pages of the test table, read a second time with the library's event parser."""
+    import os
+    from html.parser import HTMLParser
+
+    import pytest
+
+    path = "/root/testdata/sf0.01/pages.parquet"
+    if not os.path.exists(path):
+        pytest.skip("no test tables")
+
+    class Texts(HTMLParser):
+        """Text inside each element of the page, by tag, in order."""
+
+        def __init__(self):
+            super().__init__(convert_charrefs=True)
+            self.open, self.found = [], {}
+
+        def handle_starttag(self, tag, attrs):
+            if tag in ("meta", "br", "img", "hr", "input", "link"):
+                return
+            self.open.append((tag, []))
+            self.found.setdefault(tag, []).append(self.open[-1][1])
+
+        def handle_endtag(self, tag):
+            if any(name == tag for name, _ in self.open):
+                while self.open.pop()[0] != tag:
+                    pass
+
+        def handle_data(self, data):
+            if not (self.open and self.open[-1][0] in ("script", "style")):
+                for _, pieces in self.open:
+                    pieces.append(data)
+
+    tags = ("title", "h1", "a", "footer", "article", "li")
+    rules = tuple(pages.NestedRule(tag, (pages.step(tag),)) for tag in tags)
+    rules += (pages.NestedRule("links", (pages.step("a"),), every=True),)
+    for row in spark.read.parquet(path).select("html").collect():
+        expected = Texts()
+        expected.feed(row.html)
+        expected.close()
+        read = pages.read_page(row.html, rules)
+        for tag in tags:
+            texts = expected.found.get(tag)
+            assert read[tag] == ("".join(texts[0]) if texts else None)
+        assert read["links"] == ["".join(t) for t in expected.found.get("a", [])]
