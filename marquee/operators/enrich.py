@@ -126,6 +126,9 @@ def match_titles(
     year = year if year is not None else known_year(movies)
     names = [list(lookup.fields.values()) for lookup in lookups]
     check_names(movies, [name for each in names for name in each])
+    for lookup in lookups:
+        if lookup.gate and lookup.gate not in lookup.fields:
+            raise ValueError(f"the gate column must be among the fields: {lookup.gate}")
     width = 2 * max(lookup.tolerance for lookup in lookups) + 1
 
     def span(of: str) -> Column:

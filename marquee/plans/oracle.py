@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 MOVIES = """movies AS (
-  SELECT o_orderkey AS tmdb_id,
+  SELECT o_orderkey::INT AS tmdb_id,
     CASE WHEN o_orderstatus = 'P' THEN '' ELSE 'tt' || lpad(o_custkey::VARCHAR, 7, '0') END AS imdb_id,
     CASE WHEN o_orderpriority = '1-URGENT' THEN ''
       ELSE 'Étude & ' || o_orderpriority || ' ' || o_custkey END AS title,
     strftime(o_orderdate, '%Y-%m-%d') AS release_date,
-    CASE o_orderstatus WHEN 'F' THEN year(o_orderdate) WHEN 'O' THEN 0 END AS year,
-    year(o_orderdate) AS known_year,
+    CASE o_orderstatus WHEN 'F' THEN year(o_orderdate)::INT WHEN 'O' THEN 0 END AS year,
+    year(o_orderdate)::INT AS known_year,
     floor(o_totalprice / 50) / 1000 AS vote_average,
     floor(o_totalprice / 100)::INT AS vote_count,
     o_orderpriority, o_custkey
@@ -28,7 +28,7 @@ OMDB = """omdb AS (
 METACRITIC = """metacritic AS (
   SELECT CASE WHEN o_orderpriority = '1-URGENT' THEN 'customer' || lpad(o_custkey::VARCHAR, 9, '0')
       ELSE 'etude--' || replace(lower(o_orderpriority), ' ', '-') || '-' || o_custkey END AS slug,
-    year(o_orderdate) + CASE o_orderstatus WHEN 'P' THEN 2 WHEN 'O' THEN 5 ELSE 0 END AS page_year,
+    year(o_orderdate)::INT + CASE o_orderstatus WHEN 'P' THEN 2 WHEN 'O' THEN 5 ELSE 0 END AS page_year,
     CASE WHEN o_totalprice >= 60000 THEN floor(o_totalprice / 5000) END AS critic_score,
     floor(o_totalprice / 1000)::INT AS critic_count,
     floor(o_totalprice / 500) / 100 AS user_score,
@@ -39,13 +39,13 @@ TOMATOES = """tomatoes AS (
   SELECT CASE o_orderpriority
       WHEN '1-URGENT' THEN 'customer' || lpad(o_custkey::VARCHAR, 9, '0')
       WHEN '2-HIGH' THEN 'etude__2_high_' || o_custkey
-      WHEN '3-MEDIUM' THEN 'etude__3_medium_' || o_custkey || '_' || year(o_orderdate)
+      WHEN '3-MEDIUM' THEN 'etude__3_medium_' || o_custkey || '_' || year(o_orderdate)::INT
       WHEN '4-NOT SPECIFIED' THEN 'page_' || o_orderkey
       ELSE 'etude__5_low_' || o_custkey END AS slug,
     CASE WHEN o_orderpriority IN ('4-NOT SPECIFIED', '5-LOW')
       THEN 'etude__' || regexp_replace(lower(o_orderpriority), '[ -]', '_', 'g') || '_' || o_custkey
       ELSE 'unrelated' END AS title_slug,
-    year(o_orderdate) + CASE o_orderstatus WHEN 'P' THEN 2 WHEN 'O' THEN 5 ELSE 0 END AS page_year,
+    year(o_orderdate)::INT + CASE o_orderstatus WHEN 'P' THEN 2 WHEN 'O' THEN 5 ELSE 0 END AS page_year,
     o_totalprice >= 50000 AS has_scorecard,
     CASE WHEN o_totalprice >= 60000 THEN floor(o_totalprice / 5000) END AS critic_score,
     floor(o_totalprice / 1000)::INT AS critic_count,
@@ -93,14 +93,14 @@ by_candidates AS (
 CREDITS = """credits AS (
   SELECT l_orderkey AS tmdb_id, 'Supplier ' || l_suppkey AS person,
     CASE l_returnflag WHEN 'N' THEN 'actress' ELSE 'actor' END AS role,
-    l_quantity / 5 AS rating, year(l_shipdate) AS year FROM lineitem
+    l_quantity / 5 AS rating, year(l_shipdate)::INT AS year FROM lineitem
   UNION ALL
-  SELECT l_orderkey, 'Part ' || l_partkey, 'actress', l_quantity / 5, year(l_shipdate) FROM lineitem
+  SELECT l_orderkey, 'Part ' || l_partkey, 'actress', l_quantity / 5, year(l_shipdate)::INT FROM lineitem
   UNION ALL
   SELECT l_orderkey, 'Supplier ' || l_suppkey,
-    CASE l_linestatus WHEN 'F' THEN 'director' ELSE 'writer' END, l_quantity / 5, year(l_shipdate) FROM lineitem
+    CASE l_linestatus WHEN 'F' THEN 'director' ELSE 'writer' END, l_quantity / 5, year(l_shipdate)::INT FROM lineitem
   UNION ALL
-  SELECT l_orderkey, 'Part ' || l_partkey, 'producer', l_quantity / 5, year(l_shipdate) FROM lineitem),
+  SELECT l_orderkey, 'Part ' || l_partkey, 'producer', l_quantity / 5, year(l_shipdate)::INT FROM lineitem),
 seen AS (
   SELECT DISTINCT tmdb_id, person FROM credits WHERE role IN ('actor', 'actress'))"""
 
@@ -126,18 +126,18 @@ SQL["page_fields"] = r"""SELECT page_id, url,
   TRY_CAST(nullif(regexp_extract(nullif(regexp_extract(html, '(?is)<script[^>]*>(.*?)</script>', 1), ''),
     'track\(([0-9]+)\)', 1), '') AS INT) AS tracked
   FROM pages"""
-SQL["metacritic_pages"] = """SELECT o_orderkey AS page_id, 'order-' || o_orderkey AS slug, year(o_orderdate) AS year,
+SQL["metacritic_pages"] = """SELECT o_orderkey AS page_id, 'order-' || o_orderkey AS slug, year(o_orderdate)::INT AS year,
   CASE WHEN o_orderstatus <> 'P' THEN floor(o_totalprice / 5000) END AS critic_score,
   regexp_extract(format('{:,}', floor(o_totalprice)::BIGINT), '[0-9]+')::BIGINT AS critic_count,
   CASE WHEN o_orderstatus <> 'O' THEN floor(o_totalprice / 5000) / 10 END AS user_score,
   floor(o_totalprice)::BIGINT AS user_count
   FROM orders"""
 SQL["rotten_tomatoes_pages"] = """SELECT o_orderkey AS page_id, 'order_' || o_orderkey AS slug,
-  year(o_orderdate)::VARCHAR AS years,
+  year(o_orderdate)::INT::VARCHAR AS years,
   o_orderstatus = 'F' AS has_scorecard,
   CASE WHEN o_orderstatus <> 'P' THEN floor(o_totalprice / 5000) END AS critic_score,
   CASE WHEN o_orderstatus <> 'P' THEN floor(o_totalprice / 1000)::BIGINT END AS critic_count,
-  CASE WHEN o_orderstatus = 'F' THEN 77.0 END AS user_score,
+  CASE WHEN o_orderstatus = 'F' THEN 77.0::DOUBLE END AS user_score,
   CASE WHEN o_orderstatus <> 'P' THEN format('{:,}', floor(o_totalprice)::BIGINT) || '+' END AS user_count
   FROM orders"""
 SQL["enhanced_files"] = """SELECT 'enhanced_' || event_type || '_20250821_125804' AS output, count(*) AS movies,
@@ -152,7 +152,7 @@ UNION ALL SELECT 'metacritic_ratings', 10, count(*) FROM by_title_year
 UNION ALL SELECT 'rotten_tomatoes_ratings', 10, count(*) FROM by_candidates"""
 
 # Projections
-SQL["tmdb_rows"] = """SELECT doc_id AS tmdb_id, source AS imdb_id, lang AS title, NULL::INT AS year,
+SQL["tmdb_rows"] = """SELECT doc_id::INT AS tmdb_id, source AS imdb_id, lang AS title, NULL::INT AS year,
   CASE WHEN text = '' THEN NULL WHEN length(text) <= 1000 THEN text ELSE text[1:997] || '...' END AS overview,
   'tmdb' AS data_source, """ + _RUN + """ AS created_at FROM documents"""
 SQL["omdb_rows"] = _with(MOVIES, OMDB) + f"""SELECT m.imdb_id, m.title,
@@ -179,7 +179,7 @@ SQL["single_table_rows"] = _with(MOVIES, OMDB) + f"""SELECT m.imdb_id, m.title,
   '[{{"Source":"Balance","Value":"' || o.omdb_title || '"}}]' AS ratings,
   'tmdb' AS data_source, {_RUN} AS created_at
   FROM movies m LEFT JOIN omdb o USING (imdb_id)"""
-SQL["conformed_rows"] = """SELECT o_orderstatus, o_orderkey::INT AS o_orderkey, NULL AS tagline,
+SQL["conformed_rows"] = """SELECT o_orderstatus, o_orderkey::INT AS o_orderkey, NULL::VARCHAR AS tagline,
   o_totalprice AS o_totalprice, TRY_CAST(o_orderpriority AS INT) AS o_orderpriority FROM orders"""
 SQL["stamped_rows"] = f"""SELECT o_orderkey, 'tmdb' AS data_source, {_RUN} AS processed_at FROM orders"""
 SQL["titles_and_years"] = _with(MOVIES, OMDB) + """SELECT m.tmdb_id, m.known_year,
@@ -209,9 +209,9 @@ CHECKED = """checked AS (
 SQL["record_errors"] = _with(CHECKED) + "SELECT c_custkey, messages FROM checked"
 SQL["accepted_movies"] = _with(MOVIES, OMDB) + """SELECT m.tmdb_id FROM movies m LEFT JOIN omdb o USING (imdb_id)
   WHERE coalesce(nullif(m.title, ''), o.omdb_title) IS NOT NULL AND m.known_year IS NOT NULL"""
-SQL["near_years"] = """SELECT abs(year(o_orderdate) - year(l_shipdate)) AS gap, count(*) AS pairs
+SQL["near_years"] = """SELECT abs(year(o_orderdate)::INT - year(l_shipdate)::INT) AS gap, count(*) AS pairs
   FROM orders JOIN lineitem ON l_orderkey = o_orderkey
-  WHERE abs(year(o_orderdate) - year(l_shipdate)) <= 3 GROUP BY 1"""
+  WHERE abs(year(o_orderdate)::INT - year(l_shipdate)::INT) <= 3 GROUP BY 1"""
 SQL["quarantined_rows"] = _with(CHECKED) + "SELECT c_custkey, messages FROM checked WHERE messages <> ''"
 SQL["error_counts"] = _with(CHECKED) + """SELECT count(*) AS total, count(*) FILTER (messages <> '') AS errors FROM checked"""
 
@@ -280,8 +280,8 @@ SQL["director_network"] = _with(CREDITS) + """SELECT 'Director ' || (tmdb_id % 9
 
 # Aggregations
 SQL["total_movies"] = "SELECT count(*) AS total_movies FROM orders"
-SQL["year_range"] = """SELECT min(year(o_orderdate)) AS min, max(year(o_orderdate)) AS max,
-  round(avg(year(o_orderdate)), 6) AS avg FROM orders"""
+SQL["year_range"] = """SELECT min(year(o_orderdate)::INT) AS min, max(year(o_orderdate)::INT) AS max,
+  round(avg(year(o_orderdate)::INT), 6) AS avg FROM orders"""
 SQL["rating_stats"] = """SELECT round(avg(o_totalprice), 3) AS mean, round(median(o_totalprice), 3) AS median,
   round(stddev_samp(o_totalprice), 3) AS std, min(o_totalprice) AS min, max(o_totalprice) AS max FROM orders"""
 SQL["genre_distribution"] = """SELECT genre, count(*) AS movies
@@ -291,7 +291,7 @@ SQL["director_stats"] = """SELECT l_suppkey, count(*) AS movies FROM lineitem GR
   ORDER BY movies DESC, l_suppkey LIMIT 10"""
 SQL["country_stats"] = _with(OMDB) + """SELECT omdb_country, count(*) AS movies FROM omdb GROUP BY omdb_country
   ORDER BY movies DESC, omdb_country LIMIT 10"""
-SQL["report_categories"] = _with(OMDB) + """SELECT section, value, movies, rank FROM (
+SQL["report_categories"] = _with(OMDB) + """SELECT section, value, movies, rank::INT AS rank FROM (
   SELECT *, row_number() OVER (PARTITION BY section ORDER BY movies DESC, value) AS rank FROM (
     SELECT section, value, count(*) AS movies FROM (
       SELECT 'genre_distribution' AS section, unnest(string_split(omdb_genre, ', ')) AS value FROM omdb
@@ -318,7 +318,7 @@ for _key, _roles in {
 SQL["genre_performance"] = """SELECT genre, count(*) AS movies, round(avg(p_retailprice), 4) AS avg_rating,
   max(p_retailprice) AS max_rating
   FROM (SELECT unnest(string_split(p_name, ' ')) AS genre, p_retailprice FROM part) GROUP BY genre"""
-SQL["year_performance"] = """SELECT year(o_orderdate) AS year, count(*) AS movies,
+SQL["year_performance"] = """SELECT year(o_orderdate)::INT AS year, count(*) AS movies,
   round(avg(o_totalprice), 3) AS avg_rating, max(o_totalprice) AS max_rating FROM orders GROUP BY 1"""
 SQL["person_ratings"] = _with(CREDITS) + """SELECT person, round(avg(rating), 6) AS avg_rating, count(*) AS credits
   FROM credits WHERE role IN ('actor', 'actress') GROUP BY person HAVING count(*) >= 5"""
@@ -354,7 +354,7 @@ SQL["parsed_scores"] = """SELECT c_custkey, CASE WHEN c_acctbal >= 0 THEN c_acct
   CASE WHEN c_acctbal >= 0 THEN floor(c_acctbal * 10)::BIGINT END AS votes,
   CASE WHEN c_acctbal >= 5000 THEN floor(c_acctbal / 100)::INT END AS metascore FROM customer"""
 SQL["years_from_dates"] = """SELECT o_orderkey,
-  CASE WHEN o_orderstatus <> 'P' THEN year(o_orderdate) END AS year FROM orders"""
+  CASE WHEN o_orderstatus <> 'P' THEN year(o_orderdate)::INT END AS year FROM orders"""
 SQL["cut_texts"] = """SELECT doc_id, CASE WHEN length(text) <= 1000 THEN text ELSE text[1:997] || '...' END AS inside,
   CASE WHEN length(text) <= 1000 THEN text ELSE text[1:1000] || '...' END AS outside,
   CASE WHEN lang = 'en' THEN NULL WHEN length(text) <= 50 THEN text ELSE text[1:47] || '...' END AS or_null
@@ -370,10 +370,10 @@ SQL["counts_in_text"] = """SELECT o_orderkey, floor(o_totalprice / 5000) AS perc
 SQL["years_in_text"] = """SELECT o_orderkey,
   TRY_CAST(regexp_extract('No. ' || o_orderkey || ' of ' || strftime(o_orderdate, '%d.%m.%Y'),
     '(?:19|20)[0-9]{2}') AS INT) AS year,
-  CASE WHEN o_orderstatus <> 'O' THEN year(o_orderdate) END AS bracketed FROM orders"""
+  CASE WHEN o_orderstatus <> 'O' THEN year(o_orderdate)::INT END AS bracketed FROM orders"""
 SQL["rating_lists"] = """SELECT c_custkey, CASE WHEN c_acctbal >= 0
     THEN '[{"Source":"Balance","Value":"' || c_name || '"}]' ELSE '[]' END AS ratings,
   CASE WHEN c_acctbal >= 0 THEN '[{"Source":"Balance","Value":"' || c_name || '"}]' END AS or_null FROM customer"""
 SQL["file_stamps"] = "SELECT event_id, strftime(ts, '%Y%m%d_%H%M%S') AS stamp FROM events"
-SQL["name_lists"] = """SELECT p_partkey, len(string_split(p_name, ' ')) AS words,
+SQL["name_lists"] = """SELECT p_partkey, len(string_split(p_name, ' '))::INT AS words,
   replace(p_name, ' ', '|') AS names FROM part"""

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..schemas import OMDB_RESPONSE, RAW_FILE_GLOB, RAW_MOVIE, ddl
 
@@ -75,7 +75,7 @@ def read_pages(spark: SparkSession, path: str, format: str = "parquet") -> DataF
     return spark.read.format(format).load(path).select("url", "html")
 
 
-def file_stem(path) -> "F.Column":
+def file_stem(path: Column) -> Column:
     return F.regexp_extract(path, r"([^/]+?)(?:\.[^./]*)?$", 1)
 
 

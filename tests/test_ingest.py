@@ -2,7 +2,6 @@ import json
 import uuid
 
 import pytest
-from pyspark.sql import functions as F
 
 from marquee.operators.conform import conform
 from marquee.plans.ingest import comprehensive_ingest, single_source_ingest

@@ -1,5 +1,3 @@
-from pyspark.sql import functions as F
-
 from marquee.sources import pages
 
 METACRITIC = """<!DOCTYPE html><html><head><script>var x = '<div data-testid="hero-metadata"><li><span>1800</span></li></div>';</script></head>
