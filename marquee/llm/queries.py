@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
-from . import classifier
+from . import chat, classifier, lines, pii
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,3 +22,29 @@ def query(function: Query) -> Query:
 @query
 def op6_quality_classifier(spark, sf_dir):
     return classifier.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op7_chat_formatting(spark, sf_dir):
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    tricky = spark.createDataFrame(
+        [(-7, 0, "user", chat.TRICKY), (-7, 1, "assistant", chat.TRICKY)], rows.schema
+    )
+    return chat.digest(rows.unionAll(tricky))
+
+
+SQL["op7_chat_formatting"] = chat.SQL
+
+
+@query
+def op8_line_dedup(spark, sf_dir):
+    return lines.digest(table(spark, sf_dir, "documents"))
+
+
+SQL["op8_line_dedup"] = lines.SQL
+
+
+@query
+def op10_pii(spark, sf_dir):
+    """The key of a real run is a secret of the caller; this one makes results repeatable."""
+    return pii.digest(table(spark, sf_dir, "documents"), key="op10")
