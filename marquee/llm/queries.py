@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, classifier, lines, pii
-from .common import table
+from . import bitpack, bpe, chat, classifier, codec, decontaminate, lines, pii
+from .common import shared_dir, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -48,3 +49,19 @@ SQL["op8_line_dedup"] = lines.SQL
 def op10_pii(spark, sf_dir):
     """The key of a real run is a secret of the caller; this one makes results repeatable."""
     return pii.digest(table(spark, sf_dir, "documents"), key="op10")
+
+
+@query
+def op9_decontamination(spark, sf_dir):
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op5_bpe(spark, sf_dir):
+    return bpe.digest(table(spark, sf_dir, "documents"), codec.read_spec(public_tokenizers.path("byte_bpe_50k.json")))
+
+
+@query
+def op2_token_files(spark, sf_dir):
+    spec = codec.read_spec(public_tokenizers.path("word_bpe_49k.json"))
+    return bitpack.digest(table(spark, sf_dir, "documents"), shared_dir(spark, "token-files"), spec)
