@@ -66,8 +66,10 @@ def keep_bitmaps(
     """(id, k1, k2, dropped): for each text that loses lines, the runs of dropped positions as
     (first, last), in order. k1 and k2 are the hashes of the text from `text_key`."""
     hashes = stored(line_hashes(docs, doc_id=doc_id, text=text, min_chars=min_chars), "lines")
+    # read from a table, both sides are dealt out for the join alone, so that Spark divides a hot line
+    holders = stored(last_holders(hashes, min_documents), "holders")
     doomed = (
-        hashes.join(last_holders(hashes, min_documents), ["h1", "h2"])
+        hashes.join(holders, ["h1", "h2"])
         .where(~F.col("id").eqNullSafe(F.col("last")))
     )
     sorted_ = doomed.groupBy("id", "k1", "k2").agg(F.array_sort(F.collect_set("pos")).alias("at"))
