@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bitpack, bpe, chat, classifier, codec, decontaminate, lines, pii
+from . import bitpack, bpe, chat, classifier, codec, decontaminate, licenses, lines, minhash, pii, rules
 from .common import shared_dir, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -65,3 +65,18 @@ def op5_bpe(spark, sf_dir):
 def op2_token_files(spark, sf_dir):
     spec = codec.read_spec(public_tokenizers.path("word_bpe_49k.json"))
     return bitpack.digest(table(spark, sf_dir, "documents"), shared_dir(spark, "token-files"), spec)
+
+
+@query
+def op1_near_duplicates(spark, sf_dir):
+    return minhash.digest(table(spark, sf_dir, "documents"))
+
+
+@query
+def op3_quality_rules(spark, sf_dir):
+    return rules.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op4_license_scan(spark, sf_dir):
+    return licenses.scan(table(spark, sf_dir, "documents"))

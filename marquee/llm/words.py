@@ -51,7 +51,8 @@ def chunks(column: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, in
 
 
 def word_hashes(data: np.ndarray, offsets: np.ndarray, space: np.ndarray, numbers: np.ndarray):
-    """(hash, row, start, end) of the words `[^\\x20\\x09-\\x0D]+`, in order; A-Z as a-z."""
+    """(hash, row, start, end) of the words, in order. `space` says which bytes part words, and
+    `numbers` has 0 for those; bytes with the same number count as the same."""
     if not len(data):
         none = np.zeros(0, np.int64)
         return none.astype(np.uint64), none, none, none
@@ -69,10 +70,8 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray, space: np.ndarray, number
     if not len(starts):
         none = np.zeros(0, np.int64)
         return none.astype(np.uint64), none, none, none
-    place = np.arange(len(data)) - np.repeat(starts, np.diff(np.append(starts, len(data))), axis=0) if starts[0] == 0 else None
-    if place is None:
-        spans = np.diff(np.concatenate(([0], starts, [len(data)])))
-        place = np.arange(len(data)) - np.repeat(np.concatenate(([0], starts)), spans)
+    spans = np.diff(np.concatenate(([0], starts, [len(data)])))
+    place = np.arange(len(data)) - np.repeat(np.concatenate(([0], starts)), spans)
     place[~inside] = 0
     powers = np.multiply.accumulate(np.full(int(place.max()) + 1, 0x9E3779B97F4A7C15, np.uint64))
     hashes = np.add.reduceat(numbers[data] * powers[place], starts)
