@@ -105,7 +105,10 @@ class TokenFile:
 
 
 def _file_system(folder: str):
-    return pa.fs.FileSystem.from_uri(folder)
+    import pyarrow.fs
+
+    short = folder.startswith("file:/") and not folder.startswith("file://")
+    return pyarrow.fs.FileSystem.from_uri("file://" + folder[5:] if short else folder)
 
 
 def write_tokens(
@@ -119,8 +122,6 @@ def write_tokens(
     sent = spark.sparkContext.broadcast(spec)
 
     def write(batches):
-        import pyarrow.fs  # noqa: F401
-
         codec, partition = codec_of(sent.value), TaskContext.get().partitionId()
         bits, files = bits_for(codec.size), _file_system(folder)
         end = np.array([end_id], "<u4").tobytes()
@@ -169,8 +170,6 @@ def read_tokens(manifest: DataFrame, folder: str) -> DataFrame:
         so_far += row["n"]
 
     def read(batches):
-        import pyarrow.fs  # noqa: F401
-
         files = _file_system(folder)
         for batch in batches:
             for partition, path, before in zip(*(batch.column(n).to_pylist() for n in ("partition", "path", "before"))):

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, functions as F
 
-from .common import fold_of, small_batches
+from .common import fold_of, packed, small_batches, unpacked
 from .words import byte_tables, chunks, word_hashes
 
 FOLDS = 5
@@ -227,10 +227,8 @@ def accepted(
 ) -> DataFrame:
     """The rows of `docs` that the classifier takes, with their columns."""
     model = train(docs, labels, doc_id=doc_id, text=text, label=label)
-    mark = "__score"
-    while mark in docs.columns:
-        mark += "_"
-    return score(docs, model, text=text, into=mark).where(F.col(mark) >= threshold).select(*docs.columns)
+    rows = score(packed(docs, text=text), model)
+    return unpacked(rows.where(F.col("score") >= threshold), docs)
 
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])

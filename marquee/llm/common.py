@@ -3,13 +3,11 @@
 from __future__ import annotations
 
 import os
-import tempfile
-import uuid
-from contextlib import contextmanager
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from ..sources.files import shared_dir
+
 ROWS_PER_BATCH = 500
 #: Rows that may be sent to every executor; each such table here has rows of under 100 bytes.
 BROADCAST_ROWS = 200_000
@@ -19,19 +17,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession, purpose: str) -> str:
-    """A new folder below spark.checkpoint.dir; where that is unset, as in tests, a temporary
-    folder becomes the setting."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = spark.sparkContext._jsc.sc().getCheckpointDir()
-        base = base.get() if base.isDefined() else None
-    if not base:
-        base = tempfile.mkdtemp(prefix="marquee-llm-")
-        spark.sparkContext.setCheckpointDir(base)
-    return os.path.join(base, f"{purpose}-{uuid.uuid4().hex}")
-
-
 def stored(df: DataFrame, purpose: str) -> DataFrame:
     """`df` written to the shared folder and read again: the plan is cut, and a lost executor
     costs nothing that was done before."""
@@ -50,16 +35,6 @@ def drop_stored(df: DataFrame) -> None:
         path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
-@contextmanager
-def kept(df: DataFrame):
-    """`df` held on the executors for several reads; blocks that go lost are computed anew."""
-    df = df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        yield df
-    finally:
-        df.unpersist()
-
-
 def small_batches(spark: SparkSession) -> None:
     """Python workers get a few hundred rows at a time: whole texts may be long. A smaller
     setting of the session stays."""
@@ -74,6 +49,21 @@ def sent_if_small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
 
 
+def packed(docs: DataFrame, **named: str) -> DataFrame:
+    """The rows of `docs` as one column `row` beside the named columns, so that no name of a column
+    can clash with those that an operator adds."""
+    return docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), *(
+        F.col(f"`{column}`").alias(name) for name, column in named.items()
+    ))
+
+
+def unpacked(rows: DataFrame, docs: DataFrame, **replaced: Column) -> DataFrame:
+    """The columns of `docs` again, some of them replaced."""
+    return rows.select(*(
+        (replaced[c] if c in replaced else F.col("row")[c]).alias(c) for c in docs.columns
+    ))
+
+
 def text_key(text: Column) -> tuple[Column, Column]:
     """Two 64-bit hashes that stand for a text."""
     return F.xxhash64(text), F.xxhash64(F.lit("second"), text)

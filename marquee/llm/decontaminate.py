@@ -19,7 +19,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import sent_if_small, stored, text_key
+from .common import packed, sent_if_small, stored, text_key, unpacked
 
 WINDOW = 8
 MIN_LITERAL = 4
@@ -159,6 +159,7 @@ def without_leaks(
 ) -> DataFrame:
     """The documents that hold no item, with all their columns."""
     found = stored(leaks(docs, benchmark, text=text, item_id=item_id).select("k1", "k2").distinct(), "leaks")
-    marks = sent_if_small(found.toDF("__k1", "__k2"))
-    k1, k2 = text_key(F.col(text))
-    return docs.join(marks, (k1 == F.col("__k1")) & (k2 == F.col("__k2")), "left_anti")
+    key1, key2 = text_key(F.col("text"))
+    rows = packed(docs, text=text).select("row", key1.alias("key1"), key2.alias("key2"))
+    same = (F.col("key1") == F.col("k1")) & (F.col("key2") == F.col("k2"))
+    return unpacked(rows.join(sent_if_small(found), same, "left_anti"), docs)

@@ -86,7 +86,7 @@ def _grams(batches):
     parts, numbers = _tables()
     for batch in batches:
         k1, k2 = (batch.column(c).to_numpy() for c in ("k1", "k2"))
-        for first, _, data, offsets in chunks(batch.column("text"), 500_000):
+        for first, _, data, offsets in chunks(batch.column("text")):
             hashes, of, _, _ = word_hashes(data, offsets, parts, numbers)
             if len(hashes) < GRAM:
                 continue

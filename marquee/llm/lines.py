@@ -15,13 +15,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import stored, text_key
+from .common import packed, stored, text_key, unpacked
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 SPACE = " \t\n\x0b\x0c\r"
 MIN_CHARS = 20
 MIN_DOCUMENTS = 3
-NAMES = ("__id", "__text", "__k1", "__k2")
 
 
 def line_key(line: Column) -> Column:
@@ -82,52 +81,41 @@ def keep_bitmaps(
     )
 
 
-def apply_bitmaps(
-    docs: DataFrame, bitmaps: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
-    kept: str = "kept_text", n_lines: str = "n_lines", n_dropped: str = "n_dropped",
-) -> DataFrame:
-    """`docs` with the text that is left, the lines before, and the lines dropped."""
-    whole = F.coalesce(F.col(text), F.lit(""))
+def apply_bitmaps(rows: DataFrame, bitmaps: DataFrame, text: Column) -> DataFrame:
+    """`rows` (with a column id) with the text that is left (kept), n_lines and n_dropped."""
+    whole = F.coalesce(text, F.lit(""))
     k1, k2 = text_key(whole)
-    names = [f"__{n}" for n in ("id", "k1", "k2", "dropped")]
-    marks = bitmaps.toDF(*names)
-    both = docs.withColumns({"__key1": k1, "__key2": k2}).join(
-        marks,
-        (F.col("__key1") == F.col("__k1")) & (F.col("__key2") == F.col("__k2"))
-        & F.col(doc_id).eqNullSafe(F.col("__id")),
+    both = rows.withColumns({"key1": k1, "key2": k2}).join(
+        bitmaps.withColumnRenamed("id", "of"),
+        (F.col("key1") == F.col("k1")) & (F.col("key2") == F.col("k2")) & F.col("id").eqNullSafe(F.col("of")),
         "left",
-    )
-    lines, runs = _lines(whole), F.col("__dropped")
+    ).drop("key1", "key2", "k1", "k2", "of")
+    lines, runs = _lines(whole), F.col("dropped")
     gone = F.flatten(F.transform(runs, lambda r: F.sequence(r["first"], r["last"])))
     left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), gone)
     count = F.aggregate(runs, F.lit(0).cast("long"), lambda n, r: n + r["last"] - r["first"] + 1)
-    rest = F.array_join(F.transform(F.col("__left"), lambda i: F.get(F.col("__lines"), i)), "\n")
+    rest = F.array_join(F.transform(F.col("left"), lambda i: F.get(F.col("lines"), i)), "\n")
     return both.withColumns({
-        n_lines: F.size(lines).cast("long"),
-        n_dropped: F.coalesce(count, F.lit(0).cast("long")),
-        "__lines": F.when(runs.isNotNull(), lines),
-        "__left": F.when(runs.isNotNull(), left),
-    }).withColumn(kept, F.when(runs.isNull(), whole).otherwise(rest)).drop(
-        "__key1", "__key2", "__lines", "__left", *names
-    )
+        "n_lines": F.size(lines).cast("long"),
+        "n_dropped": F.coalesce(count, F.lit(0).cast("long")),
+        "lines": F.when(runs.isNotNull(), lines),
+        "left": F.when(runs.isNotNull(), left),
+    }).withColumn("kept", F.when(runs.isNull(), whole).otherwise(rest)).drop("lines", "left", "dropped")
 
 
 def digest(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", **limits) -> DataFrame:
     """(doc_id, n_lines, n_dropped, kept_sha256) for each row."""
-    docs = docs.select(F.col(doc_id), F.col(text))
-    bitmaps = keep_bitmaps(docs, doc_id=doc_id, text=text, **limits)
-    return apply_bitmaps(docs, bitmaps, doc_id=doc_id, text=text).select(
-        doc_id, "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256")
+    rows = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"))
+    return apply_bitmaps(rows, keep_bitmaps(docs, doc_id=doc_id, text=text, **limits), F.col("text")).select(
+        F.col("id").alias(doc_id), "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256")
     )
 
 
 def without_repeats(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", **limits) -> DataFrame:
     """`docs` with the text that is left, and their other columns."""
     bitmaps = keep_bitmaps(docs, doc_id=doc_id, text=text, **limits)
-    cut = apply_bitmaps(
-        docs, bitmaps, doc_id=doc_id, text=text, kept="__kept", n_lines="__n", n_dropped="__gone"
-    )
-    return cut.select(*(F.col("__kept").alias(c) if c == text else F.col(c) for c in docs.columns))
+    cut = apply_bitmaps(packed(docs, id=doc_id), bitmaps, F.col("row")[text])
+    return unpacked(cut, docs, **{text: F.col("kept")})
 
 
 SQL = f"""

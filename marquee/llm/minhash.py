@@ -31,14 +31,13 @@ import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, functions as F
 
-from .common import sent_if_small, small_batches, stored, text_key
+from .common import packed, sent_if_small, small_batches, stored, text_key, unpacked
 from .components import components
 from .words import SEED, byte_tables, chunks, mix, word_hashes
 
 TREES, DEPTH, LEAST_DEPTH = 12, 10, 3
 NEIGHBOURS = 4
 ROUGH = 0.65
-CHUNK = 500_000
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray]:
@@ -80,7 +79,7 @@ def signatures(sets: np.ndarray, begins: np.ndarray) -> np.ndarray:
 def _signed(words: int):
     def run(batches):
         for batch in batches:
-            for first, last, data, offsets in chunks(batch.column("text"), CHUNK):
+            for first, last, data, offsets in chunks(batch.column("text")):
                 sets, begins = shingle_sets(data, offsets, words)
                 sizes = np.diff(begins)
                 full = np.flatnonzero(sizes)
@@ -184,7 +183,7 @@ def _confirmed(percent: int):
 def _sets(words: int):
     def run(batches):
         for batch in batches:
-            for first, last, data, offsets in chunks(batch.column("text"), CHUNK):
+            for first, last, data, offsets in chunks(batch.column("text")):
                 sets, begins = shingle_sets(data, offsets, words)
                 yield pa.RecordBatch.from_arrays([
                     batch.column("node").slice(first, last - first),
@@ -266,14 +265,11 @@ def one_of_each(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
     rows without an id in a group that has none, one stays."""
     found = groups(docs, doc_id=doc_id, text=text, words=words, percent=percent)
     grouped = found.where(F.col("id").eqNullSafe(F.col("component")))
-    first = stored(grouped.select("id", "k1", "k2").distinct(), "kept").toDF("__id", "__k1", "__k2")
-    k1, k2 = text_key(F.coalesce(F.col(text), F.lit("")))
-    rows = docs.withColumns({"__key1": k1, "__key2": k2}).join(
-        first,
-        F.col(doc_id).eqNullSafe(F.col("__id")) & (F.col("__key1") == F.col("__k1")) & (F.col("__key2") == F.col("__k2")),
-        "left_semi",
-    )
-    return rows.dropDuplicates([doc_id, "__key1", "__key2"]).select(*docs.columns)
+    first = stored(grouped.select("id", "k1", "k2").distinct(), "kept").withColumnRenamed("id", "of")
+    key1, key2 = text_key(F.coalesce(F.col("text"), F.lit("")))
+    rows = packed(docs, id=doc_id, text=text).select("row", "id", key1.alias("key1"), key2.alias("key2"))
+    same = F.col("id").eqNullSafe(F.col("of")) & (F.col("key1") == F.col("k1")) & (F.col("key2") == F.col("k2"))
+    return unpacked(rows.join(first, same, "left_semi").dropDuplicates(["id", "key1", "key2"]), docs)
 
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -14,6 +14,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from .common import packed
+
 ROUNDS = 10
 #: 1900-01-01 to 2099-12-31 are 17 * 4297 days.
 FIRST_DAY, DAYS = "1900-01-01", (17, 4297)
@@ -217,19 +219,21 @@ def pseudonymise(
 ) -> DataFrame:
     """`docs` with pseudonyms in place of personal data (column `into`), and the kinds found, in
     order, one for each value (column `found`); all other columns pass through."""
-    source = F.col(text)
+    source = F.col("text")
     maybe = source.rlike("[0-9@]")
-    taken = {"__values": F.when(maybe, F.regexp_extract_all(source, F.lit(CANDIDATE), F.lit(0)))}
-    seen = docs.withColumns(taken).withColumn("__kinds", F.transform("__values", kind_of))
-    hit = F.coalesce(F.exists("__kinds", lambda k: k.isNotNull()), F.lit(False))
-    new = F.zip_with("__values", "__kinds", lambda v, k: pseudonym(v, k, key))
+    taken = F.when(maybe, F.regexp_extract_all(source, F.lit(CANDIDATE), F.lit(0)))
+    rows = packed(docs, text=text).withColumn("values", taken).withColumn("kinds", F.transform("values", kind_of))
+    hit = F.coalesce(F.exists("kinds", lambda k: k.isNotNull()), F.lit(False))
+    new = F.zip_with("values", "kinds", lambda v, k: pseudonym(v, k, key))
     woven = F.array_join(F.flatten(F.zip_with(
         F.split(source, CANDIDATE, -1), new, lambda gap, value: F.array(gap, F.coalesce(value, F.lit("")))
     )), "")
-    return seen.withColumns({
-        into: F.when(hit, woven).otherwise(source),
-        found: F.coalesce(F.filter("__kinds", lambda k: k.isNotNull()), F.array().cast("array<string>")),
-    }).drop("__values", "__kinds")
+    there = F.coalesce(F.filter("kinds", lambda k: k.isNotNull()), F.array().cast("array<string>"))
+    out = {into: F.when(hit, woven).otherwise(source), found: there}
+    return rows.select(
+        *(out.get(c, F.col("row")[c]).alias(c) for c in docs.columns),
+        *(column.alias(name) for name, column in out.items() if name not in docs.columns),
+    )
 
 
 def digest(docs: DataFrame, key: str) -> DataFrame:

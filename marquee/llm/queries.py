@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from . import bitpack, bpe, chat, classifier, codec, decontaminate, licenses, lines, minhash, pii, rules
-from .common import shared_dir, table
+from ..sources.files import shared_dir
+from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
