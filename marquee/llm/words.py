@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark import cloudpickle
 
 SEED = 20_250_131
-CHUNK_BYTES = 2_000_000
+CHUNK_BYTES = 250_000
 
 
 def mix(h: np.ndarray) -> np.ndarray:
