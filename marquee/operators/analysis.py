@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..sources.files import drop_dir, shared_dir
 from .ranking import top, top_per_group
 
-# Up to this many values are sorted by one task; more are narrowed down first.
-ONE_TASK_VALUES = 1_000_000
-_ACCURACY = 10_000
+
+def rated(value: Column | str) -> Column:
+    """A rating; one that is no number counts as none."""
+    value = F.col(value) if isinstance(value, str) else value
+    return F.when(~F.isnan(value.cast("double")), value)
 
 
 def total(df: DataFrame, name: str = "total_movies") -> DataFrame:
@@ -21,59 +24,47 @@ def year_range(df: DataFrame, year: str = "year") -> DataFrame:
     )
 
 
-def _value_at(values: DataFrame, rank: int, n: int) -> float:
-    """The value at a 0-based rank of n sorted values `v`.
+def median(df: DataFrame, value: str) -> Column:
+    """Exact median as a constant; the middle two are averaged.
 
-    A sketch proposes two values around the rank, exact counts tell on which side of them
-    the rank lies, and the search goes on there. Each round either ends on a repeated value
-    or keeps a small share of the rows, so only a bounded remainder is ever sorted.
+    One plan for any number of rows: counts per value are written in ranges of the values, and
+    cumulative counts, by range and then within one, tell where both middle ranks lie. The rows
+    themselves are read by the one job that counts them.
     """
-    while n > ONE_TASK_VALUES:
-        margin = 2 / _ACCURACY
-        spots = [max(0.0, rank / n - margin), min(1.0, rank / n + margin)]
-        low, high = values.agg(F.percentile_approx("v", spots, _ACCURACY)).first()[0]
-        less, at_low, between, at_high = values.agg(
-            F.count_if(F.col("v") < low),
-            F.count_if(F.col("v") == low),
-            F.count_if((F.col("v") > low) & (F.col("v") < high)),
-            F.count_if((F.col("v") == high) & (F.lit(high) > F.lit(low))),
-        ).first()
-        if rank < less:
-            values, n = values.filter(F.col("v") < low), less
-        elif rank < less + at_low:
-            return low
-        elif rank < less + at_low + between:
-            values, rank = values.filter(F.col("v").between(low, high)), rank - less - at_low
-            values, n = values.filter((F.col("v") != low) & (F.col("v") != high)), between
-        elif rank < less + at_low + between + at_high:
-            return high
-        else:
-            passed = less + at_low + between + at_high
-            values, rank, n = values.filter(F.col("v") > high), rank - passed, n - passed
-    ordered = F.sort_array(F.collect_list("v"))
-    return values.agg(F.element_at(ordered, rank + 1)).first()[0]
-
-
-def median(df: DataFrame, value: str) -> Column:
-    """Exact median as a constant; the middle two are averaged. Runs jobs to find it."""
-    values = df.select(F.col(value).cast("double").alias("v")).filter(F.col("v").isNotNull())
-    n = values.count()
-    if n == 0:
-        return F.lit(None).cast("double")
-    if n <= ONE_TASK_VALUES:
-        return F.lit(values.agg(F.median("v")).first()[0])
-    low = _value_at(values, (n - 1) // 2, n)
-    high = low if n % 2 else _value_at(values, n // 2, n)
-    return F.lit((low + high) / 2)
+    spark = df.sparkSession
+    counts = (
+        df.select(rated(value).cast("double").alias("v")).filter(F.col("v").isNotNull())
+        .groupBy("v").agg(F.count(F.lit(1)).alias("n"))
+        .repartitionByRange("v").withColumn("part", F.spark_partition_id())
+    )
+    folder = shared_dir(spark, "median")
+    counts.write.parquet(folder)
+    held = spark.read.schema(counts.schema).parquet(folder)
+    parts = held.groupBy("part").agg(F.sum("n").alias("total"))  # one row per range
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    placed = held.join(parts.select(
+        "part", F.coalesce(F.sum("total").over(before), F.lit(0)).alias("base"), F.sum("total").over(whole).alias("all")
+    ), "part")
+    last = F.col("base") + F.sum("n").over(Window.partitionBy("part").orderBy("v"))
+    ranked = placed.withColumn("last", last).withColumn("first", F.col("last") - F.col("n"))
+
+    def at(rank: Column) -> Column:
+        return F.max(F.when((F.col("first") <= rank) & (rank < F.col("last")), F.col("v")))
+
+    row = ranked.agg(at(F.floor((F.col("all") - 1) / 2)).alias("low"), at(F.floor(F.col("all") / 2)).alias("high")).first()
+    drop_dir(spark, folder)
+    return F.lit(None if row.low is None else (row.low + row.high) / 2).cast("double")
 
 
 def rating_stats(df: DataFrame, rating: str = "omdb_imdb_rating") -> DataFrame:
     """Mean, median, sample standard deviation and extremes."""
+    value = rated(rating)
     return df.agg(
-        F.avg(rating).alias("mean"),
-        F.stddev_samp(rating).alias("std"),
-        F.min(rating).alias("min"),
-        F.max(rating).alias("max"),
+        F.avg(value).alias("mean"),
+        F.stddev_samp(value).alias("std"),
+        F.min(value).alias("min"),
+        F.max(value).alias("max"),
     ).select("mean", median(df, rating).alias("median"), "std", "min", "max")
 
 
@@ -124,12 +115,12 @@ def top_movies(
     df: DataFrame, k: int = 10, rating: str = "omdb_imdb_rating",
     columns: tuple[str, ...] = ("title", "omdb_imdb_rating", "year"), tie: str = "tmdb_id",
 ) -> DataFrame:
-    return top(df, k, rating, tie).select(*columns)
+    return top(df.filter(rated(rating).isNotNull()), k, rating, tie).select(*columns)
 
 
 def mean_of_file_means(df: DataFrame, rating: str, file: str) -> DataFrame:
     """Unweighted mean of the files' mean ratings, and how many files have one."""
-    means = df.groupBy(file).agg(F.avg(rating).alias("mean"))
+    means = df.groupBy(file).agg(F.avg(rated(rating)).alias("mean"))
     return means.agg(
         F.avg("mean").alias("average_rating"), F.count("mean").alias("total_ratings_analyzed")
     )
@@ -140,11 +131,13 @@ def file_totals(df: DataFrame, file: str) -> DataFrame:
     return df.groupBy(file).agg(F.count(F.lit(1)).alias("movies"))
 
 
-def run_totals(df: DataFrame, file: str) -> DataFrame:
-    return file_totals(df, file).agg(
+def run_totals(df: DataFrame, file: str, failed: Column | None = None) -> DataFrame:
+    """Files, movies, and whether no row of the run is `failed`."""
+    bad = F.count_if(F.lit(False) if failed is None else failed)
+    return df.groupBy(file).agg(F.count(F.lit(1)).alias("movies"), bad.alias("failed")).agg(
         F.count(F.lit(1)).alias("files_processed"),
         F.coalesce(F.sum("movies"), F.lit(0)).alias("total_movies"),
-        F.lit(True).alias("success"),
+        (F.coalesce(F.sum("failed"), F.lit(0)) == 0).alias("success"),
     )
 
 
@@ -177,8 +170,8 @@ def performance(
     group = F.col(group) if isinstance(group, str) else group
     return df.groupBy(group.alias(name)).agg(
         F.count(F.lit(1)).alias("movies"),
-        F.avg(rating).alias("avg_rating"),
-        F.max(rating).alias("max_rating"),
+        F.avg(rated(rating)).alias("avg_rating"),
+        F.max(rated(rating)).alias("max_rating"),
     )
 
 

@@ -10,12 +10,17 @@ def compare_sources(
     min_votes: int = 500,
 ) -> DataFrame:
     """The four tables side by side for movies with enough votes. As in SQL, a source with
-    several rows for a movie repeats it."""
+    several rows for a movie repeats it. An empty id is none: it matches no row, and movies
+    without one are spread by the partition they come from."""
     scores = ("tmdb_id", F.col("critic_score"))
+    filled = F.coalesce(F.col("imdb_id") != "", F.lit(False))
+    # No id starts with this character.
+    spread = F.concat(F.lit("\0"), F.spark_partition_id().cast("string"))
     return (
         tmdb.filter(F.col("vote_count") > min_votes)
-        .select("tmdb_id", "imdb_id", "title", F.col("vote_average").alias("tmdb_rating"))
-        .join(omdb.select("imdb_id", "imdb_rating"), "imdb_id", "left")
+        .select("tmdb_id", F.when(filled, F.col("imdb_id")).otherwise(spread).alias("imdb_id"), "title",
+                F.col("vote_average").alias("tmdb_rating"))
+        .join(omdb.filter(filled).select("imdb_id", "imdb_rating"), "imdb_id", "left")
         .join(metacritic.select(scores[0], scores[1].alias("metacritic_score")), "tmdb_id", "left")
         .join(rotten_tomatoes.select(scores[0], scores[1].alias("rt_score")), "tmdb_id", "left")
         .select("title", "tmdb_rating", "imdb_rating", "metacritic_score", "rt_score")

@@ -86,8 +86,12 @@ def omdb_fields(responses: DataFrame) -> DataFrame:
 
 
 def _project(movies: DataFrame, table: str, run_at: str, values: dict[str, Column]) -> DataFrame:
-    stamps = {"created_at": F.lit(run_at), "updated_at": F.lit(run_at)}
-    chosen = {**stamps, **values}
+    shared = {
+        # An empty id would meet every other empty one in the tables' joins.
+        "imdb_id": blank_to_null(field(movies, "imdb_id")),
+        "created_at": F.lit(run_at), "updated_at": F.lit(run_at),
+    }
+    chosen = {**shared, **values}
     fields = TABLES[table]
     shaped = movies.select(
         *(chosen.get(name, field(movies, name, kind)).alias(name) for name, kind in fields)

@@ -39,13 +39,15 @@ def _usable(df: DataFrame, keys: list[str]) -> Column:
 
 
 def one_per_key(df: DataFrame, keys: list[str]) -> DataFrame:
-    """The least row of every key.
+    """The least row of every key, and every row without one.
 
     A minimum of structs, so map tasks reduce a repeated key before the shuffle and a rerun
-    picks the same row.
+    picks the same row. Rows in which a part of the key is null or empty are no duplicates
+    of each other.
     """
     others = [name for name in df.columns if name not in keys]
-    return df.groupBy(*keys).agg(F.min(F.struct(*others)).alias("row")).select(*keys, "row.*")
+    keyed = df.filter(_usable(df, keys)).groupBy(*keys).agg(F.min(F.struct(*others)).alias("row"))
+    return keyed.select(*keys, "row.*").unionByName(df.filter(~_usable(df, keys)))
 
 
 def union_all(parts: list[DataFrame]) -> DataFrame:

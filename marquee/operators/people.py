@@ -1,13 +1,16 @@
-"""Cast and crew: credits, rankings, filmographies and collaboration."""
+"""Cast and crew: credits, rankings, filmographies and collaboration.
+
+A person is an id; where a credit has none, the name stands in. Column `key` holds it, `person`
+the name to show.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..schemas import CAST_TYPE, CREW_TYPE
 from .analysis import split_names
 from .conform import field
-from .lookup import Lookup, lookup_join
 from .ranking import top
 
 # Gender codes of cast entries and job names of crew entries.
@@ -15,9 +18,6 @@ GENDER_ROLES = {1: "actress", 2: "actor"}
 JOB_ROLES = {"Director": "director", "Writer": "writer", "Producer": "producer"}
 ROLES = ("actor", "actress", "director", "writer", "producer")
 
-# A list of names this long may be broadcast; its limit is its size bound.
-BROADCAST_ROWS = 10_000
-
 
 def _role(value: Column, roles: dict, other: str | None) -> Column:
     named = F.lit(other)
@@ -26,7 +26,7 @@ def _role(value: Column, roles: dict, other: str | None) -> Column:
     return named
 
 
-_ENTRIES = "array<struct<person:string,role:string>>"
+_ENTRIES = "array<struct<key:string,person:string,role:string>>"
 
 
 def _named(movies: DataFrame, column: str, role: str) -> Column:
@@ -35,14 +35,19 @@ def _named(movies: DataFrame, column: str, role: str) -> Column:
     if present is None:
         return F.array().cast(_ENTRIES)
     names = F.filter(split_names(present), lambda x: x != "N/A")
-    return F.transform(names, lambda x: F.struct(x.alias("person"), F.lit(role).alias("role")))
+    return F.transform(
+        names, lambda x: F.struct(x.alias("key"), x.alias("person"), F.lit(role).alias("role"))
+    )
 
 
 def _listed(movies: DataFrame, column: str, kind: str, role) -> Column:
     """Entries from a serialized list; null where there is none."""
     return F.transform(
         F.from_json(field(movies, column), kind),
-        lambda x: F.struct(x["name"].alias("person"), role(x).alias("role")),
+        lambda x: F.struct(
+            F.coalesce(F.concat(F.lit("#"), x["id"].cast("string")), x["name"]).alias("key"),
+            x["name"].alias("person"), role(x).alias("role"),
+        ),
     ).cast(_ENTRIES)
 
 
@@ -79,6 +84,18 @@ def crew_credits(
     return _rows(movies, movie, keep, _crew_entries(movies, crew, jobs))
 
 
+def director_credits(
+    movies: DataFrame, movie: str = "tmdb_id", crew: str = "crew_data"
+) -> DataFrame:
+    """One row per movie and director: those of the crew, else those of the comma list."""
+    listed = F.filter(
+        _listed(movies, crew, CREW_TYPE, lambda x: _role(x["job"], JOB_ROLES, "crew")),
+        lambda x: x["role"] == "director",
+    )
+    entries = F.when(F.size(listed) > 0, listed).otherwise(_named(movies, "director", "director"))
+    return _rows(movies, movie, (), entries)
+
+
 def credits(movies: DataFrame, movie: str = "tmdb_id", keep: tuple[str, ...] = ()) -> DataFrame:
     """Cast and crew rows in one pass over the movies."""
     entries = F.concat(
@@ -88,57 +105,59 @@ def credits(movies: DataFrame, movie: str = "tmdb_id", keep: tuple[str, ...] = (
     return _rows(movies, movie, keep, entries)
 
 
-def appearances(credit_rows: DataFrame, movie: str, person: str) -> DataFrame:
+def appearances(credit_rows: DataFrame, movie: str) -> DataFrame:
     """Each person once per movie; credits without a movie connect nobody."""
-    return credit_rows.filter(F.col(movie).isNotNull()).select(movie, person).distinct()
+    return credit_rows.filter(F.col(movie).isNotNull()).groupBy(movie, "key").agg(
+        F.min("person").alias("person")
+    )
 
 
 def top_people(
-    credit_rows: DataFrame, k: int, person: str, rating: str, role: Column | None = None
+    credit_rows: DataFrame, k: int, rating: str, role: Column | None = None
 ) -> DataFrame:
     """People with most credits, and the mean rating of them."""
     rows = credit_rows if role is None else credit_rows.filter(role)
     return top(
-        rows.groupBy(person).agg(
-            F.count(F.lit(1)).alias("credits"), F.avg(rating).alias("avg_rating")
-        ), k, "credits", person,
+        rows.groupBy("key").agg(
+            F.min("person").alias("person"), F.count(F.lit(1)).alias("credits"),
+            F.avg(rating).alias("avg_rating"),
+        ), k, "credits", "person", "key",
     )
 
 
-def person_ratings(
-    credit_rows: DataFrame, person: str, rating: str, at_least: int = 1
-) -> DataFrame:
+def person_ratings(credit_rows: DataFrame, rating: str, at_least: int = 1) -> DataFrame:
     """Mean rating of everyone with enough rated credits."""
-    rated = credit_rows.groupBy(person).agg(
-        F.avg(rating).alias("avg_rating"), F.count(rating).alias("credits")
+    rated = credit_rows.groupBy("key").agg(
+        F.min("person").alias("person"), F.avg(rating).alias("avg_rating"),
+        F.count(rating).alias("credits"),
     )
     return rated.filter(F.col("credits") >= at_least)
 
 
-def cast_summary(credit_rows: DataFrame, person: str, role: str) -> DataFrame:
+def cast_summary(credit_rows: DataFrame, role: str = "role") -> DataFrame:
     """Distinct people and appearances per role. People are reduced to one row per role
     before they are counted, so no distinct count fans the rows out."""
     return (
-        credit_rows.groupBy(role, person).agg(F.count(F.lit(1)).alias("n"))
+        credit_rows.groupBy(role, "key").agg(F.count(F.lit(1)).alias("n"))
         .groupBy(role).agg(F.count(F.lit(1)).alias("people"), F.sum("n").alias("appearances"))
     )
 
 
 def cast_totals(
-    credit_rows: DataFrame, movie: str = "tmdb_id", person: str = "person", role: str = "role"
+    credit_rows: DataFrame, movie: str = "tmdb_id", role: str = "role"
 ) -> DataFrame:
     """The summary as one row of totals. Networks are counted as movies that connect at
     least two cast members."""
     cast = ("actor", "actress")
     # Both branches use the same columns, so that Spark reads and shuffles the credits once.
-    seen = credit_rows.groupBy(movie, person, role).agg(F.count(F.lit(1)).alias("n"))
+    seen = credit_rows.groupBy(movie, "key", role).agg(F.count(F.lit(1)).alias("n"))
     per_role = (
-        seen.groupBy(role, person).agg(F.sum("n").alias("n"))
+        seen.groupBy(role, "key").agg(F.sum("n").alias("n"))
         .groupBy(role).agg(F.count(F.lit(1)).alias("people"), F.sum("n").alias("appearances"))
     )
     in_cast = F.coalesce(F.sum(F.when(F.col(role).isin(*cast), F.col("n"))), F.lit(0)) > 0
     networks = (
-        seen.groupBy(movie, person).agg(in_cast.alias("in_cast"))
+        seen.groupBy(movie, "key").agg(in_cast.alias("in_cast"))
         .groupBy(movie).agg(F.count_if("in_cast").alias("people"))
         .agg(
             F.lit("network").alias(role), F.count_if(F.col("people") > 1).alias("people"),
@@ -160,69 +179,60 @@ def cast_totals(
     )
 
 
-def filmographies(
-    credit_rows: DataFrame, person: str, movie: str, *columns: str
-) -> DataFrame:
-    """Movies of each person in order: one row per credit, so that no person's list has to
-    fit one row. The range sort divides a long list by the movie key."""
-    return credit_rows.select(person, *columns, movie).distinct().orderBy(person, *columns, movie)
+def filmographies(credit_rows: DataFrame, movie: str, *columns: str) -> DataFrame:
+    """Movies of each person: one row per credit, so that no person's list has to fit one row.
+    Lists are gathered by person and sorted within their part; the rebalance divides a part
+    that is too large."""
+    listed = credit_rows.select("key", "person", *columns, movie).distinct()
+    return listed.hint("rebalance", "key").sortWithinPartitions("key", *columns, movie)
 
 
-def movie_sizes(credit_rows: DataFrame, movie: str, person: str) -> DataFrame:
-    """Distinct people per movie."""
-    return appearances(credit_rows, movie, person).groupBy(movie).agg(
-        F.count(F.lit(1)).alias("people")
-    )
-
-
-def collaboration_strength(credit_rows: DataFrame, movie: str, person: str) -> DataFrame:
+def collaboration_strength(credit_rows: DataFrame, movie: str) -> DataFrame:
     """Per person: movies, and appearances of others next to theirs.
 
     This is each node's weighted degree in the network of people who share a movie, summed
-    from the movies' sizes without listing a pair.
+    from the movies' sizes without listing a pair: the size of a movie is counted in the
+    window over its distinct people, and the sums are shuffled by person.
     """
-    seen = appearances(credit_rows, movie, person)
-    sizes = movie_sizes(credit_rows, movie, person)
-    return lookup_join(seen, [movie], Lookup(sizes)).groupBy(person).agg(
-        F.count(F.lit(1)).alias("movies"),
-        F.sum(F.col("people") - 1).alias("shared_appearances"),
-        F.max(F.col("people") - 1).alias("most_partners"),
+    people = F.count(F.lit(1)).over(Window.partitionBy(movie)) - 1
+    return appearances(credit_rows, movie).withColumn("others", people).groupBy("key").agg(
+        F.min("person").alias("person"), F.count(F.lit(1)).alias("movies"),
+        F.sum("others").alias("shared_appearances"), F.max("others").alias("most_partners"),
     )
 
 
-def leader_network(credit_rows: DataFrame, movie: str, person: str, k: int = 10) -> DataFrame:
+def leader_network(credit_rows: DataFrame, movie: str, k: int = 10) -> DataFrame:
     """All partners of the k people with most movies, with the number of shared movies.
 
     The leaders' movies number at most k per movie, so the work stays within k times the
     credits; the partner side of a crowded movie is divided by the adaptive skew join.
     """
-    seen = appearances(credit_rows, movie, person)
-    films = seen.groupBy(person).agg(F.count(F.lit(1)).alias("movies"))
-    leaders = top(films, k, "movies", person).select(F.col(person).alias("leader"))
-    if k <= BROADCAST_ROWS:
-        leaders = F.broadcast(leaders)
-    led = seen.withColumnRenamed(person, "leader").join(leaders, "leader")
+    seen = appearances(credit_rows, movie)
+    films = seen.groupBy("key").agg(
+        F.min("person").alias("leader"), F.count(F.lit(1)).alias("movies")
+    )
+    leaders = top(films, k, "movies", "leader", "key").select(F.col("key").alias("leader_key"), "leader")
+    led = seen.select(movie, F.col("key").alias("leader_key")).join(leaders, "leader_key")
     return (
         led.join(seen, movie)
-        .filter(F.col("leader") != F.col(person))
-        .groupBy("leader", F.col(person).alias("partner"))
-        .agg(F.count(F.lit(1)).alias("shared_movies"))
+        .filter(F.col("leader_key") != F.col("key"))
+        .groupBy("leader_key", "leader", "key")
+        .agg(F.min("person").alias("partner"), F.count(F.lit(1)).alias("shared_movies"))
+        .withColumnRenamed("key", "partner_key")
     )
 
 
-def director_network(
-    credit_rows: DataFrame, directed: DataFrame, movie: str, person: str, director: str = "director"
-) -> DataFrame:
-    """Director and cast member pairs with the number of movies they share.
-
-    `directed` has one director text per movie, so each credit meets one director and the
-    edges are never more than the credits.
-    """
-    seen = appearances(credit_rows, movie, person)
-    named = directed.select(movie, director).filter(F.col(director).isNotNull())
+def director_network(cast_rows: DataFrame, director_rows: DataFrame, movie: str) -> DataFrame:
+    """Director and cast member pairs with the number of movies they share. Each movie has a
+    few directors, so that the pairs are a small multiple of the credits."""
+    directors = appearances(director_rows, movie).select(
+        movie, F.col("key").alias("director_key"), F.col("person").alias("director")
+    )
     return (
-        lookup_join(seen, [movie], Lookup(named))
-        .filter(F.col(director).isNotNull())
-        .groupBy(director, person)
-        .agg(F.count(F.lit(1)).alias("shared_movies"))
+        appearances(cast_rows, movie).join(directors, movie)
+        .groupBy("director_key", "key")
+        .agg(
+            F.min("director").alias("director"), F.min("person").alias("person"),
+            F.count(F.lit(1)).alias("shared_movies"),
+        )
     )

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import blank_to_null
 from ..schemas import RATING_RANGE, YEAR_RANGE, YEAR_TOLERANCE
+from .conform import field
 
 
 def filter_by_rating(
@@ -26,6 +27,7 @@ def years_agree(left: Column | str, right: Column | str, tolerance: int = YEAR_T
 
 
 def record_errors(
+    df: DataFrame,
     required: dict[str, str] | None = None,
     rating: str = "omdb_imdb_rating",
     year: str = "year",
@@ -34,24 +36,24 @@ def record_errors(
 ) -> Column:
     """Messages for what is wrong with a record, in a fixed order; empty if nothing is.
 
-    `required` maps a message's field name to the column that holds it.
+    `required` maps a message's field name to the column that holds it. A column that the
+    records lack is missing if it is required; an absent rating or year is not checked, nor
+    is a rating that is no number.
     """
     required = required or {"title": "title", "imdb_id": "imdb_id"}
     checks = [
-        F.when(blank_to_null(F.col(name)).isNull(), F.lit(f"Missing required field: {label}"))
+        F.when(blank_to_null(field(df, name)).isNull(), F.lit(f"Missing required field: {label}"))
         for label, name in required.items()
     ]
     for name, label, (low, high) in ((rating, "rating", rating_range), (year, "year", year_range)):
-        value = F.col(name)
-        checks.append(F.when(
-            (value < low) | (value > high),
-            F.concat(F.lit(f"Invalid {label} value: "), value.cast("string")),
-        ))
+        value = field(df, name, "double")
+        wrong = ((value < low) | (value > high)) & ~F.isnan(value.cast("double"))
+        checks.append(F.when(wrong, F.concat(F.lit(f"Invalid {label} value: "), value.cast("string"))))
     return F.array_compact(F.array(*checks))
 
 
 def validate(df: DataFrame, **fields) -> DataFrame:
-    return df.withColumn("errors", record_errors(**fields))
+    return df.withColumn("errors", record_errors(df, **fields))
 
 
 def split_failed(df: DataFrame, errors: str = "errors") -> tuple[DataFrame, DataFrame]:

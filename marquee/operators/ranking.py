@@ -4,8 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-_SPLIT = 64
-
 
 def sort_by_rating(
     df: DataFrame, rating: str = "omdb_imdb_rating", tie: str = "tmdb_id", descending: bool = True
@@ -28,15 +26,17 @@ def first_rows(df: DataFrame, n: int, *order: str) -> DataFrame:
 def first_per_group(df: DataFrame, n: int | None, group: str, *order: str) -> DataFrame:
     """First n rows of every group (file); 0 or None keeps all.
 
-    The first ranking runs in slices of a group, which bounds what reaches the second to
-    n rows per slice however large the group is.
+    The first ranking runs in slices of a group, as many as the session shuffles to, so that
+    each task of it gets a share of a large group and hands on n rows at most. Spark limits
+    ranks in the map tasks too; where n is above its bound for that, the slices do the work.
     """
     if not n:
         return df
+    split = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     slices = Window.partitionBy(group, "_slice").orderBy(*order)
     whole = Window.partitionBy(group).orderBy(*order)
     return (
-        df.withColumn("_slice", F.pmod(F.xxhash64(*order), F.lit(_SPLIT)))
+        df.withColumn("_slice", F.pmod(F.xxhash64(*order), F.lit(split)))
         .withColumn("_n", F.row_number().over(slices))
         .filter(F.col("_n") <= n)
         .withColumn("_n", F.row_number().over(whole))

@@ -12,21 +12,25 @@ from ..operators.conform import field, stamp, to_single_table
 from ..operators.enrich import enrich_all
 from ..operators.quality import abort_on_error, error_counts, validate
 from ..operators.ranking import first_per_group
-from ..sources.files import CORRUPT, read_movie_files, split_malformed, write_enhanced
-from ..sources.tables import DATABASE, append, insert_all
+from ..sources.files import CORRUPT, output_files, read_movie_files, split_malformed, write_enhanced
+from ..sources.tables import DATABASE, Inserted, append, insert_all
 
 
 @dataclass(frozen=True)
 class IngestResult:
-    """What one run did. The frames read the run's written output."""
+    """What one run did. The frames read the run's written output: `files` counts movies by
+    input file, `output_files` by file written, `inserted` by table with the error of one
+    that failed."""
 
     movies: DataFrame
     malformed: DataFrame
     totals: DataFrame
     files: DataFrame
+    output_files: DataFrame
     statistics: DataFrame
     errors: DataFrame
-    tables: dict[str, bool]
+    inserted: DataFrame
+    tables: dict[str, Inserted]
     success: bool
 
 
@@ -37,23 +41,30 @@ def _raw(spark, folder, max_movies, run_at, lines, strict) -> DataFrame:
 
 def _written(
     spark: SparkSession, enriched: DataFrame, output: str, run_stamp: str, prefix: str
-) -> tuple[DataFrame, DataFrame]:
+) -> tuple[DataFrame, DataFrame, DataFrame]:
     """The enriched movies and the malformed rows, written once and read back: later steps
     start from the files, so losing an executor does not bring the joins back."""
     staged = os.path.join(output, "staged", f"{prefix}_{run_stamp}")
     enriched.withColumn(CORRUPT, field(enriched, CORRUPT)).write.mode("error").parquet(staged)
     movies, malformed = split_malformed(spark.read.parquet(staged))
-    write_enhanced(movies.drop("ordinal"), os.path.join(output, "files"), run_stamp, prefix)
-    return movies, malformed
+    folder = write_enhanced(movies.drop("ordinal"), os.path.join(output, "files"), run_stamp, prefix)
+    return movies, malformed, output_files(spark, folder, run_stamp, prefix)
 
 
-def _result(movies: DataFrame, malformed: DataFrame, tables: dict[str, bool]) -> IngestResult:
-    success = all(tables.values()) and malformed.isEmpty()
+def _result(
+    movies: DataFrame, malformed: DataFrame, written: DataFrame, tables: dict[str, Inserted]
+) -> IngestResult:
+    success = all(t.ok for t in tables.values()) and malformed.isEmpty()
+    inserted = movies.sparkSession.createDataFrame(
+        [(name, t.rows, t.error) for name, t in tables.items()], "table_name string, rows bigint, error string"
+    )
     return IngestResult(
         movies=movies,
         malformed=malformed,
         totals=run_totals(movies, "source_file").withColumn("success", F.lit(success)),
         files=file_totals(movies, "source_file"),
+        output_files=written,
+        inserted=inserted,
         statistics=enrichment_coverage(movies),
         errors=error_counts(validate(movies)),
         tables=tables,
@@ -79,8 +90,8 @@ def comprehensive_ingest(
     that no source knows stays as it is, and a failing table does not stop the others."""
     raw = _raw(spark, folder, max_movies, run_at, lines, strict=False)
     enriched = enrich_all(raw, run_at, omdb, metacritic, rotten_tomatoes)
-    movies, malformed = _written(spark, enriched, output, run_stamp, prefix)
-    return _result(movies, malformed, insert_all(movies, run_at, database))
+    movies, malformed, written = _written(spark, enriched, output, run_stamp, prefix)
+    return _result(movies, malformed, written, insert_all(movies, run_at, database))
 
 
 def single_source_ingest(
@@ -102,6 +113,6 @@ def single_source_ingest(
     enriched = enrich_all(raw, run_at, omdb)
     if strict_records:
         enriched = abort_on_error(validate(enriched)).drop("errors")
-    movies, malformed = _written(spark, enriched, output, run_stamp, prefix)
-    append(to_single_table(movies, run_at), "omdb_movies", database)
-    return _result(movies, malformed, {"omdb_movies": True})
+    movies, malformed, written = _written(spark, enriched, output, run_stamp, prefix)
+    rows = append(to_single_table(movies, run_at), "omdb_movies", database)
+    return _result(movies, malformed, written, {"omdb_movies": Inserted(rows)})

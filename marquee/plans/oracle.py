@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from ..schemas import TABLES
+
 MOVIES = """movies AS (
   SELECT o_orderkey::INT AS tmdb_id,
     CASE WHEN o_orderstatus = 'P' THEN '' ELSE 'tt' || lpad(o_custkey::VARCHAR, 7, '0') END AS imdb_id,
@@ -12,6 +14,18 @@ MOVIES = """movies AS (
     year(o_orderdate)::INT AS known_year,
     floor(o_totalprice / 50) / 1000 AS vote_average,
     floor(o_totalprice / 100)::INT AS vote_count,
+    replace(o_orderpriority, '-', '|') AS genres,
+    'original ' || o_orderkey AS original_title,
+    'overview ' || o_orderkey || ' ' || repeat('x', (o_orderkey % 1200)::INT) AS overview,
+    'tagline ' || o_orderkey AS tagline, 'status ' || o_orderstatus AS status,
+    (o_orderkey % 300)::INT AS runtime, o_orderkey * 1000 AS budget, o_orderkey * 3000 AS revenue,
+    (o_orderkey % 1000)::DOUBLE AS popularity, o_custkey || '|7' AS genre_ids,
+    'language ' || (o_orderkey % 5) AS original_language,
+    'company ' || o_custkey || '|second' AS production_companies,
+    'country ' || o_custkey AS production_countries, 'spoken ' || o_custkey AS spoken_languages,
+    'cast ' || o_orderkey AS cast_data, 'crew ' || o_orderkey AS crew_data,
+    'backdrop ' || o_orderkey AS backdrop_path, 'poster ' || o_orderkey AS poster_path,
+    'home ' || o_orderkey AS homepage, 'external ' || o_orderkey AS external_ids,
     o_orderpriority, o_custkey
   FROM orders)"""
 
@@ -22,7 +36,14 @@ OMDB = """omdb AS (
     CASE WHEN c_nationkey = 7 THEN 'N/A' ELSE 'NATION_' || c_nationkey || ', WORLD' END AS omdb_country,
     CASE WHEN c_acctbal >= 0 THEN floor(c_acctbal / 100) / 10 END AS omdb_imdb_rating,
     CASE WHEN c_acctbal >= 0 THEN floor(c_acctbal * 10)::BIGINT END AS omdb_imdb_votes,
-    CASE WHEN c_acctbal >= 0 THEN floor(c_acctbal / 100)::INT END AS omdb_metascore
+    CASE WHEN c_acctbal >= 0 THEN floor(c_acctbal / 100)::INT END AS omdb_metascore,
+    'rated ' || c_nationkey AS omdb_rated, 'released ' || c_custkey AS omdb_released,
+    (c_custkey % 200) || ' min' AS omdb_runtime, 'Writer ' || c_nationkey AS omdb_writer,
+    'Actor ' || c_custkey || ', Actor ' || c_nationkey AS omdb_actors, repeat(c_name, 80) AS omdb_plot,
+    'Language ' || c_nationkey AS omdb_language, 'awards ' || c_custkey AS omdb_awards,
+    'poster ' || c_custkey AS omdb_poster, '[{"Source":"Balance","Value":"' || c_name || '"}]' AS omdb_ratings,
+    'box office ' || c_custkey AS omdb_box_office, 'production ' || c_custkey AS omdb_production,
+    'website ' || c_custkey AS omdb_website
   FROM customer WHERE c_mktsegment <> 'MACHINERY')"""
 
 METACRITIC = """metacritic AS (
@@ -90,19 +111,25 @@ by_candidates AS (
     WHERE has_scorecard AND abs(page_year - known_year) <= 3)
   WHERE n = 1 AND critic_score IS NOT NULL)"""
 
+# Several suppliers share a name; a director without an id goes by the name.
 CREDITS = """credits AS (
-  SELECT l_orderkey AS tmdb_id, 'Supplier ' || l_suppkey AS person,
+  SELECT l_orderkey AS tmdb_id, '#' || l_suppkey AS key, 'Supplier ' || (l_suppkey % 7) AS person,
     CASE l_returnflag WHEN 'N' THEN 'actress' ELSE 'actor' END AS role,
     l_quantity / 5 AS rating, year(l_shipdate)::INT AS year FROM lineitem
   UNION ALL
-  SELECT l_orderkey, 'Part ' || l_partkey, 'actress', l_quantity / 5, year(l_shipdate)::INT FROM lineitem
+  SELECT l_orderkey, '#' || (1000000000 + l_partkey), 'Part ' || l_partkey, 'actress', l_quantity / 5,
+    year(l_shipdate)::INT FROM lineitem
   UNION ALL
-  SELECT l_orderkey, 'Supplier ' || l_suppkey,
+  SELECT l_orderkey, '#' || l_suppkey, 'Supplier ' || (l_suppkey % 7),
     CASE l_linestatus WHEN 'F' THEN 'director' ELSE 'writer' END, l_quantity / 5, year(l_shipdate)::INT FROM lineitem
   UNION ALL
-  SELECT l_orderkey, 'Part ' || l_partkey, 'producer', l_quantity / 5, year(l_shipdate)::INT FROM lineitem),
+  SELECT l_orderkey, 'Director ' || (l_orderkey % 97), 'Director ' || (l_orderkey % 97), 'director', l_quantity / 5,
+    year(l_shipdate)::INT FROM lineitem
+  UNION ALL
+  SELECT l_orderkey, '#' || (1000000000 + l_partkey), 'Part ' || l_partkey, 'producer', l_quantity / 5,
+    year(l_shipdate)::INT FROM lineitem),
 seen AS (
-  SELECT DISTINCT tmdb_id, person FROM credits WHERE role IN ('actor', 'actress'))"""
+  SELECT DISTINCT tmdb_id, key, person FROM credits WHERE role IN ('actor', 'actress'))"""
 
 
 def _with(*parts: str) -> str:
@@ -114,17 +141,20 @@ _RUN = "'2025-08-21T12:58:04'"
 SQL: dict[str, str] = {}
 
 # Scans, sources and sinks
-SQL["json_round_trip"] = "SELECT event_id, event_type, value, (props->>'$.k')::INT AS k FROM events"
-SQL["scan_table"] = """SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority
-  FROM orders ORDER BY o_orderkey LIMIT 10"""
-SQL["snapshot_records"] = _with(OMDB) + """SELECT imdb_id, omdb_title, omdb_genre, omdb_director, omdb_country,
-  omdb_imdb_rating, omdb_imdb_votes, omdb_metascore FROM omdb"""
-SQL["page_fields"] = r"""SELECT page_id, url,
-  nullif(regexp_extract(html, '(?is)<html[^>]*?\slang="([^"]*)"', 1), '') AS lang,
-  nullif(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1), '') AS title,
-  nullif(regexp_extract(html, '(?is)<a[^>]*?\shref="([^"]*)"', 1), '') AS first_link,
-  TRY_CAST(nullif(regexp_extract(nullif(regexp_extract(html, '(?is)<script[^>]*>(.*?)</script>', 1), ''),
-    'track\(([0-9]+)\)', 1), '') AS INT) AS tracked
+_MOMENT = "strftime({}, '%Y-%m-%d %H:%M:%S')"
+SQL["json_round_trip"] = f"""SELECT event_id, user_id, {_MOMENT.format('ts')} AS moment, event_type, value,
+  (props->>'$.k')::INT AS k FROM events"""
+SQL["array_files"] = SQL["json_round_trip"]
+SQL["malformed_array_files"] = """SELECT 'parsed' AS kind, count(*) AS n, sum(event_id)::BIGINT AS ids
+  FROM events WHERE event_id // 500 % 3 <> 0
+  UNION ALL SELECT 'malformed', count(DISTINCT event_id // 500), NULL FROM events WHERE event_id // 500 % 3 = 0"""
+SQL["scan_table"] = f"""SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, {_MOMENT.format('o_orderdate')} AS o_orderdate,
+  o_orderpriority FROM orders ORDER BY o_orderkey LIMIT 10"""
+SQL["snapshot_records"] = _with(OMDB) + "SELECT * FROM omdb"
+SQL["page_fields"] = """SELECT page_id, url, split_part(split_part(html, '<html lang="', 2), '"', 1) AS lang,
+  split_part(split_part(html, '<title>', 2), '</title>', 1) AS title,
+  nullif(split_part(split_part(split_part(split_part(html, '<nav>', 2), '</nav>', 1), '<a href="', 2), '"', 1), '') AS first_link,
+  split_part(split_part(html, ';track(', 2), ')', 1)::INT AS tracked
   FROM pages"""
 SQL["metacritic_pages"] = """SELECT o_orderkey AS page_id, 'order-' || o_orderkey AS slug, year(o_orderdate)::INT AS year,
   CASE WHEN o_orderstatus <> 'P' THEN floor(o_totalprice / 5000) END AS critic_score,
@@ -140,44 +170,71 @@ SQL["rotten_tomatoes_pages"] = """SELECT o_orderkey AS page_id, 'order_' || o_or
   CASE WHEN o_orderstatus = 'F' THEN 77.0::DOUBLE END AS user_score,
   CASE WHEN o_orderstatus <> 'P' THEN format('{:,}', floor(o_totalprice)::BIGINT) || '+' END AS user_count
   FROM orders"""
-SQL["enhanced_files"] = """SELECT 'enhanced_' || event_type || '_20250821_125804' AS output, count(*) AS movies,
-  sum(event_id)::BIGINT AS id_sum FROM events GROUP BY event_type"""
-SQL["table_round_trip"] = _with(MOVIES) + f"""SELECT tmdb_id, imdb_id, title, release_date, known_year AS year,
-  vote_average::DOUBLE AS vote_average, vote_count, replace(o_orderpriority, '-', '|') AS genres,
-  'tmdb' AS data_source, {_RUN} AS created_at FROM movies"""
+SQL["enhanced_files"] = f"""SELECT 'enhanced_' || event_type || '_20250821_125804' AS output, event_id, user_id,
+  {_MOMENT.format('ts')} AS moment, event_type, value, props FROM events"""
+SQL["output_files"] = """SELECT 'enhanced_' || event_type || '_20250821_125804' AS output, count(*) AS movies
+  FROM events GROUP BY event_type"""
+_TMDB = f"""SELECT tmdb_id, nullif(imdb_id, '') AS imdb_id, title, original_title, release_date, known_year AS year,
+  CASE WHEN length(overview) <= 1000 THEN overview ELSE overview[1:997] || '...' END AS overview, tagline, status,
+  runtime, budget, revenue, popularity, vote_average::DOUBLE AS vote_average, vote_count, genres, genre_ids,
+  original_language, production_companies, production_countries, spoken_languages, cast_data, crew_data,
+  backdrop_path, poster_path, homepage, external_ids, 'tmdb' AS data_source, {_RUN} AS created_at,
+  {_RUN} AS updated_at FROM movies"""
+SQL["table_round_trip"] = _with(MOVIES) + _TMDB
+SQL["bounded_files"] = _with(MOVIES) + """SELECT count(*) AS row_count, true AS within_bound, true AS several FROM movies"""
+SQL["deduped_rows"] = _with(MOVIES) + """, keyed AS (
+  SELECT CASE WHEN o_orderpriority <> '5-LOW' THEN imdb_id END AS imdb_id, tmdb_id FROM movies)
+SELECT imdb_id, min(tmdb_id) AS tmdb_id FROM keyed WHERE imdb_id <> '' GROUP BY imdb_id
+UNION ALL SELECT imdb_id, tmdb_id FROM keyed WHERE coalesce(imdb_id, '') = ''"""
 SQL["insert_all_tables"] = _with(MOVIES, OMDB, METACRITIC, TOMATOES, TITLED, BY_TITLE_YEAR, BY_CANDIDATES) + """
 SELECT 'tmdb_movies' AS table_name, 30 AS column_count, count(*) AS row_count FROM movies
 UNION ALL SELECT 'omdb_movies', 26, count(*) FROM movies
 UNION ALL SELECT 'metacritic_ratings', 10, count(*) FROM by_title_year
 UNION ALL SELECT 'rotten_tomatoes_ratings', 10, count(*) FROM by_candidates"""
+SQL["inserted_counts"] = f"SELECT table_name, row_count AS rows FROM ({SQL['insert_all_tables']})"
+_COLUMNS = ", ".join(
+    f"('{table}', {place}, '{name}', '{kind}', {str(name == 'year').lower()})"
+    for table, fields in TABLES.items()
+    for place, (name, kind) in enumerate([f for f in fields if f[0] != "year"] + [f for f in fields if f[0] == "year"], 1)
+)
+SQL["table_columns"] = f"""SELECT c.*, r.row_count
+  FROM (VALUES {_COLUMNS}) c(table_name, place, column_name, data_type, is_partition)
+  JOIN ({SQL['insert_all_tables']}) r USING (table_name)"""
 
 # Projections
-SQL["tmdb_rows"] = """SELECT doc_id::INT AS tmdb_id, source AS imdb_id, lang AS title, NULL::INT AS year,
+_NO_FIELDS = ", ".join(
+    f"NULL AS {name}" for name, _ in TABLES["tmdb_movies"]
+    if name not in ("tmdb_id", "imdb_id", "title", "overview", "data_source", "created_at", "updated_at")
+)
+SQL["tmdb_rows"] = f"""SELECT doc_id::INT AS tmdb_id, source AS imdb_id, lang AS title, {_NO_FIELDS},
   CASE WHEN text = '' THEN NULL WHEN length(text) <= 1000 THEN text ELSE text[1:997] || '...' END AS overview,
-  'tmdb' AS data_source, """ + _RUN + """ AS created_at FROM documents"""
-SQL["omdb_rows"] = _with(MOVIES, OMDB) + f"""SELECT m.imdb_id, m.title,
-  m.known_year AS year, o.omdb_title, o.omdb_genre AS genre,
-  CASE WHEN o.omdb_title IS NOT NULL THEN repeat(o.omdb_title, 80)[1:997] || '...' END AS plot,
-  CASE WHEN o.omdb_title IS NOT NULL
-    THEN '[{{"Source":"Balance","Value":"' || o.omdb_title || '"}}]' ELSE '[]' END AS ratings,
-  o.omdb_imdb_rating::DOUBLE AS imdb_rating, o.omdb_imdb_votes::INT AS imdb_votes,
-  o.omdb_metascore AS metascore, 'omdb' AS data_source, {_RUN} AS updated_at
+  'tmdb' AS data_source, {_RUN} AS created_at, {_RUN} AS updated_at FROM documents"""
+_KEPT_TEXTS = ", ".join(
+    f"o.omdb_{name} AS {name}" for name in
+    ("rated", "released", "runtime", "genre", "director", "writer", "actors", "language", "country", "awards", "poster",
+     "box_office", "production", "website")
+)
+_OMDB_ROW = f"""SELECT nullif(m.imdb_id, '') AS imdb_id, m.title, m.known_year AS year, o.omdb_title, {_KEPT_TEXTS},
+  o.omdb_imdb_rating::DOUBLE AS imdb_rating, o.omdb_imdb_votes::INT AS imdb_votes, o.omdb_metascore AS metascore,
+  {_RUN} AS updated_at, {_RUN} AS created_at, """
+SQL["omdb_rows"] = _with(MOVIES, OMDB) + _OMDB_ROW + """
+  CASE WHEN length(o.omdb_plot) <= 1000 THEN o.omdb_plot ELSE o.omdb_plot[1:997] || '...' END AS plot,
+  coalesce(o.omdb_ratings, '[]') AS ratings, 'omdb' AS data_source
   FROM movies m LEFT JOIN omdb o USING (imdb_id)"""
 ENRICHED = (MOVIES, OMDB, METACRITIC, TOMATOES, TITLED, BY_TITLE_YEAR, BY_CANDIDATES)
-SQL["metacritic_rows"] = _with(*ENRICHED) + f"""SELECT tmdb_id, m.imdb_id, m.title, m.known_year AS year,
+SQL["metacritic_rows"] = _with(*ENRICHED) + f"""SELECT tmdb_id, nullif(m.imdb_id, '') AS imdb_id, m.title, m.known_year AS year,
   metacritic_critic_score::DOUBLE AS critic_score, metacritic_critic_count AS critic_count,
   round(metacritic_user_score * 10 + 1e-6) / 10 AS user_score, metacritic_user_count AS user_count,
   'metacritic' AS data_source, {_RUN} AS created_at
   FROM movies m JOIN by_title_year USING (tmdb_id)"""
-SQL["rotten_tomatoes_rows"] = _with(*ENRICHED) + f"""SELECT tmdb_id, m.imdb_id, m.title, m.known_year AS year,
+SQL["rotten_tomatoes_rows"] = _with(*ENRICHED) + f"""SELECT tmdb_id, nullif(m.imdb_id, '') AS imdb_id, m.title, m.known_year AS year,
   rt_critic_score::DOUBLE AS critic_score, rt_critic_count AS critic_count,
   rt_user_score::DOUBLE AS user_score, rt_user_count AS user_count,
   'rottentomatoes' AS data_source, {_RUN} AS created_at
   FROM movies m JOIN by_candidates USING (tmdb_id)"""
-SQL["single_table_rows"] = _with(MOVIES, OMDB) + f"""SELECT m.imdb_id, m.title, m.known_year AS year, o.omdb_title,
-  repeat(o.omdb_title, 80)[1:1000] || '...' AS plot,
-  '[{{"Source":"Balance","Value":"' || o.omdb_title || '"}}]' AS ratings,
-  'tmdb' AS data_source, {_RUN} AS created_at
+SQL["single_table_rows"] = _with(MOVIES, OMDB) + _OMDB_ROW + """
+  CASE WHEN length(o.omdb_plot) <= 1000 THEN o.omdb_plot ELSE o.omdb_plot[1:1000] || '...' END AS plot,
+  o.omdb_ratings AS ratings, 'tmdb' AS data_source
   FROM movies m LEFT JOIN omdb o USING (imdb_id)"""
 SQL["conformed_rows"] = """SELECT o_orderstatus, o_orderkey::INT AS o_orderkey, NULL::VARCHAR AS tagline,
   o_totalprice AS o_totalprice, TRY_CAST(o_orderpriority AS INT) AS o_orderpriority FROM orders"""
@@ -224,10 +281,13 @@ SQL["enrich_by_title_year"] = _with(*ENRICHED[:3], TITLED, BY_TITLE_YEAR) + """S
 SQL["enrich_by_candidates"] = _with(MOVIES, OMDB, TOMATOES, TITLED, BY_CANDIDATES) + """SELECT m.tmdb_id,
   rt_critic_score, rt_critic_count, rt_user_score, rt_user_count
   FROM movies m LEFT JOIN by_candidates t ON t.tmdb_id = m.tmdb_id AND m.title <> ''"""
-SQL["enrich_all_sources"] = _with(*ENRICHED) + f"""SELECT m.tmdb_id, o.omdb_title, o.omdb_imdb_rating,
-  t.metacritic_critic_score, CASE WHEN t.tmdb_id IS NOT NULL THEN 'metacritic' END AS metacritic_data_source,
-  c.rt_critic_score, c.rt_user_count, CASE WHEN c.tmdb_id IS NOT NULL THEN {_RUN} END AS rt_enhanced_at
-  FROM movies m LEFT JOIN omdb o USING (imdb_id) LEFT JOIN by_title_year t ON t.tmdb_id = m.tmdb_id
+SQL["enrich_all_sources"] = _with(*ENRICHED) + f"""SELECT m.* EXCLUDE (known_year, o_orderpriority, o_custkey),
+  o.* EXCLUDE (imdb_id), CASE WHEN o.omdb_title IS NOT NULL THEN {_RUN} END AS omdb_enhanced_at,
+  t.* EXCLUDE (tmdb_id), CASE WHEN t.tmdb_id IS NOT NULL THEN 'metacritic' END AS metacritic_data_source,
+  CASE WHEN t.tmdb_id IS NOT NULL THEN {_RUN} END AS metacritic_enhanced_at,
+  c.* EXCLUDE (tmdb_id), CASE WHEN c.tmdb_id IS NOT NULL THEN 'rottentomatoes' END AS rt_data_source,
+  CASE WHEN c.tmdb_id IS NOT NULL THEN {_RUN} END AS rt_enhanced_at
+  FROM movies m LEFT JOIN omdb o ON o.imdb_id = m.imdb_id LEFT JOIN by_title_year t ON t.tmdb_id = m.tmdb_id
   LEFT JOIN by_candidates c ON c.tmdb_id = m.tmdb_id"""
 SQL["registered_source"] = _with(MOVIES) + f"""SELECT m.tmdb_id, CASE WHEN c_acctbal >= 0 THEN c_acctbal END AS balance,
   CASE WHEN c_acctbal >= 0 THEN 'ledger' END AS balance_source,
@@ -251,6 +311,13 @@ SQL["compare_sources"] = _with(MOVIES, OMDB) + """SELECT tm.title, tm.vote_avera
   LEFT JOIN customer rt ON tm.tmdb_id = rt.c_custkey
   WHERE tm.vote_count > 500"""
 SQL["compare_sources_sql"] = SQL["compare_sources"]
+SQL["compare_written_tables"] = _with(*ENRICHED) + """SELECT m.title, m.vote_average AS tmdb_rating, om.rating AS imdb_rating,
+  t.metacritic_critic_score AS metacritic_score, c.rt_critic_score AS rt_score
+  FROM movies m
+  LEFT JOIN (SELECT m.imdb_id, o.omdb_imdb_rating AS rating FROM movies m LEFT JOIN omdb o USING (imdb_id)
+    WHERE m.imdb_id <> '') om USING (imdb_id)
+  LEFT JOIN by_title_year t ON t.tmdb_id = m.tmdb_id LEFT JOIN by_candidates c ON c.tmdb_id = m.tmdb_id
+  WHERE m.vote_count > 500"""
 SQL["rating_differences"] = _with(MOVIES, OMDB, COMPARED) + """SELECT title,
   round(tmdb_rating * 10 - imdb_rating * 10, 4) AS tmdb_rating_vs_imdb_rating,
   round(tmdb_rating * 10 - metacritic_score, 4) AS tmdb_rating_vs_metacritic_score,
@@ -267,16 +334,19 @@ SQL["source_agreement"] = _with(MOVIES, OMDB, COMPARED) + " UNION ALL ".join(
     for i, a in enumerate(_SCALE) for b in list(_SCALE)[i + 1:]
 )
 _LEADERS = """leaders AS (
-  SELECT person AS leader FROM seen GROUP BY person ORDER BY count(*) DESC, person LIMIT 10)"""
-SQL["leader_network"] = _with(CREDITS, _LEADERS) + """SELECT leader, b.person AS partner, count(*) AS shared_movies
-  FROM leaders JOIN seen a ON a.person = leader JOIN seen b ON b.tmdb_id = a.tmdb_id AND b.person <> leader
-  GROUP BY 1, 2"""
-SQL["collaboration_strength"] = _with(CREDITS) + """SELECT person, count(*) AS movies,
+  SELECT key AS leader_key, person AS leader FROM seen GROUP BY key, person ORDER BY count(*) DESC, person, key LIMIT 10)"""
+SQL["leader_network"] = _with(CREDITS, _LEADERS) + """SELECT leader_key, leader, b.key AS partner_key, b.person AS partner,
+  count(*) AS shared_movies
+  FROM leaders JOIN seen a ON a.key = leader_key JOIN seen b ON b.tmdb_id = a.tmdb_id AND b.key <> leader_key
+  GROUP BY ALL"""
+SQL["collaboration_strength"] = _with(CREDITS) + """SELECT key, person, count(*) AS movies,
   sum(people - 1)::BIGINT AS shared_appearances, max(people - 1) AS most_partners
   FROM seen JOIN (SELECT tmdb_id, count(*) AS people FROM seen GROUP BY tmdb_id) USING (tmdb_id)
-  GROUP BY person"""
-SQL["director_network"] = _with(CREDITS) + """SELECT 'Director ' || (tmdb_id % 97) AS director, person,
-  count(*) AS shared_movies FROM seen GROUP BY 1, 2"""
+  GROUP BY key, person"""
+SQL["director_network"] = _with(CREDITS) + """SELECT d.key AS director_key, d.person AS director, seen.key, seen.person,
+  count(*) AS shared_movies
+  FROM seen JOIN (SELECT DISTINCT tmdb_id, key, person FROM credits WHERE role = 'director') d USING (tmdb_id)
+  GROUP BY ALL"""
 
 # Aggregations
 SQL["total_movies"] = "SELECT count(*) AS total_movies FROM orders"
@@ -300,8 +370,8 @@ SQL["report_categories"] = _with(OMDB) + """SELECT section, value, movies, rank:
     GROUP BY section, value)) WHERE rank <= 10"""
 SQL["mean_of_file_means"] = """SELECT round(avg(mean), 3) AS average_rating, count(mean) AS total_ratings_analyzed
   FROM (SELECT avg(o_totalprice) AS mean FROM orders GROUP BY o_orderpriority)"""
-SQL["run_totals"] = """SELECT count(DISTINCT event_type) AS files_processed, count(*) AS total_movies, true AS success
-  FROM events"""
+SQL["run_totals"] = """SELECT count(DISTINCT event_type) AS files_processed, count(*) AS total_movies,
+  count(*) FILTER (value < 0) = 0 AS success FROM events"""
 SQL["file_totals"] = "SELECT event_type, count(*) AS movies FROM events GROUP BY event_type"
 SQL["coverage"] = """SELECT count(*) AS total_movies, count(*) FILTER (l_returnflag = 'A') AS omdb_enhanced,
   count(*) FILTER (l_discount > 0.05) AS metacritic_enhanced FROM lineitem"""
@@ -313,31 +383,31 @@ for _key, _roles in {
     "top_actors": "'actor'", "top_actresses": "'actress'", "top_directors": "'director'",
     "top_writers": "'writer'",
 }.items():
-    SQL[_key] = _with(CREDITS) + f"""SELECT person, count(*) AS credits, round(avg(rating), 6) AS avg_rating
-  FROM credits WHERE role IN ({_roles}) GROUP BY person ORDER BY credits DESC, person LIMIT 10"""
+    SQL[_key] = _with(CREDITS) + f"""SELECT key, person, count(*) AS credits, round(avg(rating), 6) AS avg_rating
+  FROM credits WHERE role IN ({_roles}) GROUP BY key, person ORDER BY credits DESC, person, key LIMIT 10"""
 SQL["genre_performance"] = """SELECT genre, count(*) AS movies, round(avg(p_retailprice), 4) AS avg_rating,
   max(p_retailprice) AS max_rating
   FROM (SELECT unnest(string_split(p_name, ' ')) AS genre, p_retailprice FROM part) GROUP BY genre"""
 SQL["year_performance"] = """SELECT year(o_orderdate)::INT AS year, count(*) AS movies,
   round(avg(o_totalprice), 3) AS avg_rating, max(o_totalprice) AS max_rating FROM orders GROUP BY 1"""
-SQL["person_ratings"] = _with(CREDITS) + """SELECT person, round(avg(rating), 6) AS avg_rating, count(*) AS credits
-  FROM credits WHERE role IN ('actor', 'actress') GROUP BY person HAVING count(*) >= 5"""
-SQL["cast_summary"] = _with(CREDITS) + """SELECT role, count(DISTINCT person) AS people, count(*) AS appearances
+SQL["person_ratings"] = _with(CREDITS) + """SELECT key, person, round(avg(rating), 6) AS avg_rating, count(*) AS credits
+  FROM credits WHERE role IN ('actor', 'actress') GROUP BY key, person"""
+SQL["cast_summary"] = _with(CREDITS) + """SELECT role, count(DISTINCT key) AS people, count(*) AS appearances
   FROM credits GROUP BY role"""
 SQL["cast_totals"] = _with(CREDITS) + """SELECT
-  count(DISTINCT person) FILTER (role = 'actor') AS total_actors,
-  count(DISTINCT person) FILTER (role = 'actress') AS total_actresses,
-  count(DISTINCT person) FILTER (role = 'director') AS total_directors,
-  count(DISTINCT person) FILTER (role = 'writer') AS total_writers,
-  count(DISTINCT person) FILTER (role = 'producer') AS total_producers,
+  count(DISTINCT key) FILTER (role = 'actor') AS total_actors,
+  count(DISTINCT key) FILTER (role = 'actress') AS total_actresses,
+  count(DISTINCT key) FILTER (role = 'director') AS total_directors,
+  count(DISTINCT key) FILTER (role = 'writer') AS total_writers,
+  count(DISTINCT key) FILTER (role = 'producer') AS total_producers,
   count(*) FILTER (role IN ('actor', 'actress')) AS total_cast_appearances,
   count(*) FILTER (role NOT IN ('actor', 'actress')) AS total_crew_appearances,
   (SELECT count(*) FROM (SELECT tmdb_id FROM seen GROUP BY tmdb_id HAVING count(*) > 1))
     AS total_collaboration_networks
   FROM credits"""
-SQL["cast_filmographies"] = _with(CREDITS) + """SELECT DISTINCT person, year, tmdb_id FROM credits
+SQL["cast_filmographies"] = _with(CREDITS) + """SELECT DISTINCT key, person, year, 'Film ' || tmdb_id AS title, tmdb_id FROM credits
   WHERE role IN ('actor', 'actress')"""
-SQL["crew_filmographies"] = _with(CREDITS) + """SELECT DISTINCT person, year, tmdb_id FROM credits
+SQL["crew_filmographies"] = _with(CREDITS) + """SELECT DISTINCT key, person, year, 'Film ' || tmdb_id AS title, tmdb_id FROM credits
   WHERE role NOT IN ('actor', 'actress')"""
 
 # Sorts, limits, top-k, set operations

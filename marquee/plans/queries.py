@@ -24,6 +24,7 @@ from ..functions import (
     year_in_text,
 )
 from ..operators import analysis, compare, conform, enrich, people, quality, ranking
+from ..schemas import TABLES
 from ..sources import files, pages, tables
 from . import standins
 from .report import categories
@@ -46,42 +47,98 @@ def _doubles(df: DataFrame, *names: str) -> DataFrame:
     return df.withColumns({name: F.col(name).cast("double") for name in names})
 
 
+def _plain(df: DataFrame) -> DataFrame:
+    """All columns: decimals as doubles, lists of values as text, lists of records as JSON."""
+    def shown(name: str, kind: str):
+        if kind.startswith("decimal"):
+            return F.col(name).cast("double")
+        if kind.startswith("array<struct"):
+            return F.to_json(name)
+        if kind.startswith("array"):
+            return F.array_join(F.col(name).cast("array<string>"), "|")
+        return F.col(name)
+
+    return df.select(*(shown(name, kind).alias(name) for name, kind in df.dtypes))
+
+
+def _moment(name: str):
+    """A time as text, as files without time zones hold it."""
+    return F.date_format(name, "yyyy-MM-dd HH:mm:ss")
+
+
 # Scans, sources and sinks
 
 
+EVENT_FIELDS = (
+    ("event_id", "bigint"), ("user_id", "bigint"), ("moment", "string"), ("event_type", "string"),
+    ("value", "double"), ("props", "string"),
+)
+
+
+def _events(spark, sf_dir) -> DataFrame:
+    return table(spark, sf_dir, "events").withColumn("moment", _moment("ts")).drop("ts")
+
+
+def _read_back(events: DataFrame) -> DataFrame:
+    return events.withColumn("k", F.from_json("props", "k int")["k"]).drop("props")
+
+
 @query
 def json_round_trip(spark, sf_dir):
     folder = files.shared_dir(spark, "events")
-    events = table(spark, sf_dir, "events").drop("ts")
-    events.write.json(folder)
-    fields = (("event_id", "bigint"), ("event_type", "string"), ("value", "double"), ("props", "string"))
-    back = files.read_movie_files(spark, folder, "part-*", fields, lines=True)
-    return back.select("event_id", "event_type", "value", F.from_json("props", "k int")["k"].alias("k"))
+    _events(spark, sf_dir).write.json(folder)
+    return _read_back(files.read_movie_files(spark, folder, "part-*", EVENT_FIELDS, lines=True))
+
+
+def _array_files(spark, sf_dir, cut: bool) -> str:
+    """A JSON array file for each 500 events; with `cut`, each third one lacks its end."""
+    folder = files.shared_dir(spark, "arrays")
+    part = F.floor(F.col("event_id") / 500)
+    records = F.concat(F.lit("["), F.array_join(F.collect_list(F.to_json(F.struct(*(n for n, _ in EVENT_FIELDS)))), ","))
+    end = F.when((F.col("part") % 3 == 0) & F.lit(cut), F.lit("")).otherwise(F.lit("]"))
+    arrays = _events(spark, sf_dir).groupBy(part.alias("part")).agg(records.alias("value"))
+    arrays.select("part", F.concat("value", end).alias("value")).write.partitionBy("part").text(folder)
+    return folder
+
+
+@query
+def array_files(spark, sf_dir):
+    folder = _array_files(spark, sf_dir, cut=False)
+    return _read_back(files.read_movie_files(spark, folder, "part=*/part-*", EVENT_FIELDS))
+
+
+@query
+def malformed_array_files(spark, sf_dir):
+    folder, staged = _array_files(spark, sf_dir, cut=True), files.shared_dir(spark, "staged")
+    files.read_movie_files(spark, folder, "part=*/part-*", EVENT_FIELDS, strict=False).write.parquet(staged)
+    good, bad = files.split_malformed(spark.read.parquet(staged))
+    return good.agg(
+        F.lit("parsed").alias("kind"), F.count(F.lit(1)).alias("n"), F.sum("event_id").alias("ids")
+    ).unionByName(bad.agg(
+        F.lit("malformed").alias("kind"), F.count(F.lit(1)).alias("n"), F.lit(None).cast("bigint").alias("ids")
+    ))
 
 
 @query
 def scan_table(spark, sf_dir):
     orders = table(spark, sf_dir, "orders")
-    return ranking.first_rows(orders, 10, "o_orderkey").drop("o_orderdate")
+    return ranking.first_rows(orders, 10, "o_orderkey").withColumn("o_orderdate", _moment("o_orderdate"))
 
 
 @query
 def snapshot_records(spark, sf_dir):
     folder = files.shared_dir(spark, "snapshot")
     standins.omdb(spark, sf_dir).write.json(folder)
-    return conform.omdb_fields(files.read_snapshot(spark, folder)).select(
-        "imdb_id", "omdb_title", "omdb_genre", "omdb_director", "omdb_country",
-        "omdb_imdb_rating", "omdb_imdb_votes", "omdb_metascore",
-    )
+    return _plain(conform.omdb_fields(files.read_snapshot(spark, folder)))
 
 
 @query
 def page_fields(spark, sf_dir):
-    return pages.extract_flat(table(spark, sf_dir, "pages"), [
-        pages.FlatRule("lang", "html", "lang"),
-        pages.FlatRule("title", "title"),
-        pages.FlatRule("first_link", "a", "href"),
-        pages.FlatRule("tracked", "script", pattern=r"track\(([0-9]+)\)", kind="int"),
+    return pages.extract(table(spark, sf_dir, "pages"), [
+        pages.Rule("lang", (pages.Step("html"),), attribute="lang"),
+        pages.Rule("title", (pages.Step("title"),)),
+        pages.Rule("first_link", (pages.Step("nav"), pages.Step("a")), attribute="href"),
+        pages.Rule("tracked", (pages.Step("script"),), pattern=r"track\(([0-9]+)\)", kind="int"),
     ])
 
 
@@ -104,23 +161,31 @@ def rotten_tomatoes_pages(spark, sf_dir):
     )
 
 
+def _sunk_events(spark, sf_dir) -> str:
+    folder = files.shared_dir(spark, "enhanced")
+    origin = F.concat(F.lit("/raw/"), "event_type", F.lit(".json"))
+    return files.write_enhanced(_events(spark, sf_dir).withColumn("source_file", origin), folder, RUN_STAMP)
+
+
 @query
 def enhanced_files(spark, sf_dir):
-    folder = files.shared_dir(spark, "enhanced")
-    events = table(spark, sf_dir, "events").drop("ts").withColumn(
-        "source_file", F.concat(F.lit("/raw/"), "event_type", F.lit(".json"))
-    )
-    files.write_enhanced(events, folder, RUN_STAMP)
-    back = spark.read.schema("event_id bigint, output string").json(folder)
-    return back.groupBy("output").agg(
-        F.count(F.lit(1)).alias("movies"), F.sum("event_id").alias("id_sum")
-    )
+    kinds = ", ".join(f"{name} {kind}" for name, kind in (*EVENT_FIELDS, ("output", "string")))
+    return spark.read.schema(kinds).json(_sunk_events(spark, sf_dir))
+
+
+@query
+def output_files(spark, sf_dir):
+    written = files.output_files(spark, _sunk_events(spark, sf_dir), RUN_STAMP)
+    name = F.regexp_extract("path", "output=([^/]+)/", 1)
+    return written.groupBy(name.alias("output")).agg(F.sum("movies").alias("movies"))
 
 
-def _new_database(spark: SparkSession) -> str:
-    """The four tables in a database of their own, in the shared folder."""
+def _new_database(spark: SparkSession, **options) -> str:
+    """The four tables in a database of their own, in the shared folder; the result of a query
+    reads them, so they stay with the session."""
     database = f"stage_{uuid.uuid4().hex[:12]}"
-    tables.create_all_tables(spark, database, location=files.shared_dir(spark, database))
+    folder = files.shared_dir(spark, database)
+    tables.create_all_tables(spark, database, location=folder, **options)
     return database
 
 
@@ -130,12 +195,30 @@ def table_round_trip(spark, sf_dir):
     tables.append(
         conform.to_tmdb_table(standins.movies(spark, sf_dir), RUN_AT), "tmdb_movies", database
     )
-    return _doubles(tables.read_table(spark, "tmdb_movies", database), "vote_average").select(
-        "tmdb_id", "imdb_id", "title", "release_date", "year", "vote_average", "vote_count",
-        F.array_join("genres", "|").alias("genres"), "data_source", "created_at",
+    return _plain(tables.read_table(spark, "tmdb_movies", database))
+
+
+@query
+def bounded_files(spark, sf_dir):
+    """Rows of a table whose files hold 50 at most, and whether they do."""
+    database = _new_database(spark, max_records_per_file=50)
+    tables.append(conform.to_tmdb_table(standins.movies(spark, sf_dir), RUN_AT), "tmdb_movies", database)
+    sizes = spark.table(f"{database}.tmdb_movies").groupBy("_metadata.file_path").agg(F.count(F.lit(1)).alias("n"))
+    return sizes.agg(
+        F.sum("n").alias("row_count"), (F.max("n") <= 50).alias("within_bound"), (F.count(F.lit(1)) > 1).alias("several")
     )
 
 
+@query
+def deduped_rows(spark, sf_dir):
+    """One row per id; movies without one are no repeats of each other."""
+    database = _new_database(spark)
+    keyed = standins.movies(spark, sf_dir).select(
+        F.expr("case when genres[0] <> '5' then imdb_id end").alias("imdb_id"), "tmdb_id")
+    tables.append(keyed, "tmdb_movies", database, dedupe_keys=["imdb_id"])
+    return tables.read_table(spark, "tmdb_movies", database).select("imdb_id", "tmdb_id")
+
+
 def _enriched(spark, sf_dir) -> DataFrame:
     return enrich.enrich_all(
         standins.movies(spark, sf_dir), RUN_AT, standins.omdb(spark, sf_dir),
@@ -143,13 +226,33 @@ def _enriched(spark, sf_dir) -> DataFrame:
     )
 
 
-@query
-def insert_all_tables(spark, sf_dir):
+def _written_tables(spark, sf_dir) -> tuple[str, dict[str, tables.Inserted]]:
+    """A database with the enriched movies in all four tables, and what the insert told."""
     database = _new_database(spark)
     staged = files.shared_dir(spark, "staged")
     _enriched(spark, sf_dir).write.parquet(staged)
-    tables.insert_all(spark.read.parquet(staged), RUN_AT, database, strict=True)
-    return tables.table_rows(spark, database)
+    done = tables.insert_all(spark.read.parquet(staged), RUN_AT, database, strict=True)
+    files.drop_dir(spark, staged)
+    return database, done
+
+
+@query
+def insert_all_tables(spark, sf_dir):
+    return tables.table_rows(spark, _written_tables(spark, sf_dir)[0])
+
+
+@query
+def inserted_counts(spark, sf_dir):
+    _, done = _written_tables(spark, sf_dir)
+    return spark.createDataFrame([(name, t.rows) for name, t in done.items()], "table_name string, rows bigint")
+
+
+@query
+def table_columns(spark, sf_dir):
+    """The columns that the catalog has, with the rows of their table."""
+    database, _ = _written_tables(spark, sf_dir)
+    rows = tables.table_rows(spark, database).select("table_name", "row_count")
+    return tables.table_info(spark, database).join(rows, "table_name")
 
 
 # Projections
@@ -160,9 +263,7 @@ def tmdb_rows(spark, sf_dir):
     documents = conform.select_as(
         table(spark, sf_dir, "documents"), tmdb_id="doc_id", imdb_id="source", title="lang", overview="text"
     )
-    return conform.to_tmdb_table(documents, RUN_AT).select(
-        "tmdb_id", "imdb_id", "title", "year", "overview", "data_source", "created_at"
-    )
+    return _plain(conform.to_tmdb_table(documents, RUN_AT))
 
 
 def _with_omdb(spark, sf_dir) -> DataFrame:
@@ -171,11 +272,7 @@ def _with_omdb(spark, sf_dir) -> DataFrame:
 
 @query
 def omdb_rows(spark, sf_dir):
-    rows = conform.to_omdb_table(_with_omdb(spark, sf_dir), RUN_AT)
-    return _doubles(rows, "imdb_rating").select(
-        "imdb_id", "title", "year", "omdb_title", "genre", "plot", "ratings", "imdb_rating",
-        "imdb_votes", "metascore", "data_source", "updated_at",
-    )
+    return _plain(conform.to_omdb_table(_with_omdb(spark, sf_dir), RUN_AT))
 
 
 @query
@@ -192,9 +289,7 @@ def rotten_tomatoes_rows(spark, sf_dir):
 
 @query
 def single_table_rows(spark, sf_dir):
-    return conform.to_single_table(_with_omdb(spark, sf_dir), RUN_AT).select(
-        "imdb_id", "title", "year", "omdb_title", "plot", "ratings", "data_source", "created_at"
-    )
+    return _plain(conform.to_single_table(_with_omdb(spark, sf_dir), RUN_AT))
 
 
 @query
@@ -337,10 +432,7 @@ def enrich_by_candidates(spark, sf_dir):
 
 @query
 def enrich_all_sources(spark, sf_dir):
-    return _enriched(spark, sf_dir).select(
-        "tmdb_id", "omdb_title", "omdb_imdb_rating", "metacritic_critic_score",
-        "metacritic_data_source", "rt_critic_score", "rt_user_count", "rt_enhanced_at",
-    )
+    return _plain(_enriched(spark, sf_dir))
 
 
 @query
@@ -401,6 +493,14 @@ def compare_sources_sql(spark, sf_dir):
     ), "tmdb_rating")
 
 
+@query
+def compare_written_tables(spark, sf_dir):
+    """The comparison over the tables that a run wrote, movies without an id among them."""
+    database, _ = _written_tables(spark, sf_dir)
+    compared = compare.compare_sources(*(tables.read_table(spark, name, database) for name in TABLES))
+    return _doubles(compared, *compared.columns[1:])
+
+
 def _compared(spark, sf_dir) -> DataFrame:
     orders = table(spark, sf_dir, "orders")
     critics = orders.selectExpr(
@@ -428,7 +528,7 @@ def source_agreement(spark, sf_dir):
     return _rounded(agreement, 4, "mean_difference", "correlation")
 
 
-KEPT = ("year", "omdb_imdb_rating")
+KEPT = ("title", "year", "omdb_imdb_rating")
 
 
 def _credits(spark, sf_dir) -> DataFrame:
@@ -445,19 +545,18 @@ def _crew(spark, sf_dir) -> DataFrame:
 
 @query
 def leader_network(spark, sf_dir):
-    return people.leader_network(_cast(spark, sf_dir), "tmdb_id", "person")
+    return people.leader_network(_cast(spark, sf_dir), "tmdb_id")
 
 
 @query
 def collaboration_strength(spark, sf_dir):
-    return people.collaboration_strength(_cast(spark, sf_dir), "tmdb_id", "person")
+    return people.collaboration_strength(_cast(spark, sf_dir), "tmdb_id")
 
 
 @query
 def director_network(spark, sf_dir):
-    return people.director_network(
-        _cast(spark, sf_dir), standins.films(spark, sf_dir), "tmdb_id", "person"
-    )
+    directors = people.director_credits(standins.films(spark, sf_dir))
+    return people.director_network(_cast(spark, sf_dir), directors, "tmdb_id")
 
 
 # Aggregations
@@ -515,7 +614,7 @@ def mean_of_file_means(spark, sf_dir):
 
 @query
 def run_totals(spark, sf_dir):
-    return analysis.run_totals(table(spark, sf_dir, "events"), "event_type")
+    return analysis.run_totals(table(spark, sf_dir, "events"), "event_type", F.col("value") < 0)
 
 
 @query
@@ -540,7 +639,7 @@ def enrichment_coverage(spark, sf_dir):
 def _top_people(rows: Query, role: str) -> Query:
     def run(spark, sf_dir):
         best = people.top_people(
-            rows(spark, sf_dir), 10, "person", "omdb_imdb_rating", F.col("role") == role
+            rows(spark, sf_dir), 10, "omdb_imdb_rating", F.col("role") == role
         )
         return _rounded(best, 6, "avg_rating")
 
@@ -569,13 +668,13 @@ def year_performance(spark, sf_dir):
 
 @query
 def person_ratings(spark, sf_dir):
-    rated = people.person_ratings(_cast(spark, sf_dir), "person", "omdb_imdb_rating", at_least=5)
+    rated = people.person_ratings(_cast(spark, sf_dir), "omdb_imdb_rating")
     return _rounded(rated, 6, "avg_rating")
 
 
 @query
 def cast_summary(spark, sf_dir):
-    return people.cast_summary(_credits(spark, sf_dir), "person", "role")
+    return people.cast_summary(_credits(spark, sf_dir))
 
 
 @query
@@ -585,12 +684,12 @@ def cast_totals(spark, sf_dir):
 
 @query
 def cast_filmographies(spark, sf_dir):
-    return people.filmographies(_cast(spark, sf_dir), "person", "tmdb_id", "year")
+    return people.filmographies(_cast(spark, sf_dir), "tmdb_id", "year", "title")
 
 
 @query
 def crew_filmographies(spark, sf_dir):
-    return people.filmographies(_crew(spark, sf_dir), "person", "tmdb_id", "year")
+    return people.filmographies(_crew(spark, sf_dir), "tmdb_id", "year", "title")
 
 
 # Sorts, limits, top-k, set operations

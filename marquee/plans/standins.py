@@ -37,6 +37,25 @@ def movies(spark: SparkSession, sf_dir: str) -> DataFrame:
         "cast(floor(o_totalprice / 50) / 1000 as decimal(10,3)) as vote_average",
         "cast(floor(o_totalprice / 100) as int) as vote_count",
         "split(o_orderpriority, '-') as genres",
+        "concat('original ', o_orderkey) as original_title",
+        "concat('overview ', o_orderkey, ' ', repeat('x', cast(o_orderkey % 1200 as int))) as overview",
+        "concat('tagline ', o_orderkey) as tagline",
+        "concat('status ', o_orderstatus) as status",
+        "cast(o_orderkey % 300 as int) as runtime",
+        "o_orderkey * 1000 as budget",
+        "o_orderkey * 3000 as revenue",
+        "cast(o_orderkey % 1000 as decimal(10,4)) as popularity",
+        "array(cast(o_custkey as int), 7) as genre_ids",
+        "concat('language ', o_orderkey % 5) as original_language",
+        "array(concat('company ', o_custkey), 'second') as production_companies",
+        "array(concat('country ', o_custkey)) as production_countries",
+        "array(concat('spoken ', o_custkey)) as spoken_languages",
+        "concat('cast ', o_orderkey) as cast_data",
+        "concat('crew ', o_orderkey) as crew_data",
+        "concat('backdrop ', o_orderkey) as backdrop_path",
+        "concat('poster ', o_orderkey) as poster_path",
+        "concat('home ', o_orderkey) as homepage",
+        "concat('external ', o_orderkey) as external_ids",
     )
 
 
@@ -46,26 +65,26 @@ def omdb(spark: SparkSession, sf_dir: str) -> DataFrame:
         "concat('tt', lpad(cast(c_custkey as string), 7, '0')) as imdbID",
         "case when c_mktsegment = 'MACHINERY' then 'False' else 'True' end as Response",
         "c_name as Title",
-        "cast(null as string) as Rated",
-        "cast(null as string) as Released",
-        "'100 min' as Runtime",
+        "concat('rated ', c_nationkey) as Rated",
+        "concat('released ', c_custkey) as Released",
+        "concat(c_custkey % 200, ' min') as Runtime",
         "concat(c_mktsegment, ', NATION_', c_nationkey) as Genre",
         "concat('Director ', c_nationkey) as Director",
-        "cast(null as string) as Writer",
-        "cast(null as string) as Actors",
+        "concat('Writer ', c_nationkey) as Writer",
+        "concat('Actor ', c_custkey, ', Actor ', c_nationkey) as Actors",
         "repeat(c_name, 80) as Plot",
-        "cast(null as string) as Language",
+        "concat('Language ', c_nationkey) as Language",
         "case when c_nationkey = 7 then 'N/A' else concat('NATION_', c_nationkey, ', WORLD') end as Country",
-        "cast(null as string) as Awards",
-        "cast(null as string) as Poster",
+        "concat('awards ', c_custkey) as Awards",
+        "concat('poster ', c_custkey) as Poster",
         "array(named_struct('Source', 'Balance', 'Value', c_name)) as Ratings",
         "case when c_acctbal < 0 then 'N/A' "
         "else cast(cast(floor(c_acctbal / 100) as double) / 10 as string) end as imdbRating",
         "case when c_acctbal < 0 then 'N/A' else format_number(floor(c_acctbal * 10), 0) end as imdbVotes",
         "case when c_acctbal < 0 then 'N/A' else cast(floor(c_acctbal / 100) as string) end as Metascore",
-        "cast(null as string) as BoxOffice",
-        "cast(null as string) as Production",
-        "cast(null as string) as Website",
+        "concat('box office ', c_custkey) as BoxOffice",
+        "concat('production ', c_custkey) as Production",
+        "concat('website ', c_custkey) as Website",
     )
 
 
@@ -141,17 +160,19 @@ def rotten_tomatoes_html(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def films(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line items as films with serialized cast and crew; an order is one movie id."""
+    """Line items as films with serialized cast and crew; an order is one movie id. Several
+    suppliers share a name, and most films have two directors."""
     return table(spark, sf_dir, "lineitem").selectExpr(
         "l_orderkey as tmdb_id",
         "concat('Film ', l_orderkey) as title",
         "year(l_shipdate) as year",
         "l_quantity / 5 as omdb_imdb_rating",
         "concat('Director ', l_orderkey % 97) as director",
-        "concat('[{\"id\":', l_suppkey, ',\"name\":\"Supplier ', l_suppkey, '\",\"gender\":', "
+        "concat('[{\"id\":', l_suppkey, ',\"name\":\"Supplier ', l_suppkey % 7, '\",\"gender\":', "
         "case l_returnflag when 'A' then 2 when 'N' then 1 else 0 end, ',\"order\":0},"
-        "{\"id\":', l_partkey, ',\"name\":\"Part ', l_partkey, '\",\"gender\":1,\"order\":1}]') as cast_data",
-        "concat('[{\"id\":', l_suppkey, ',\"name\":\"Supplier ', l_suppkey, '\",\"job\":\"', "
+        "{\"id\":', 1000000000 + l_partkey, ',\"name\":\"Part ', l_partkey, '\",\"gender\":1,\"order\":1}]') as cast_data",
+        "concat('[{\"id\":', l_suppkey, ',\"name\":\"Supplier ', l_suppkey % 7, '\",\"job\":\"', "
         "case l_linestatus when 'F' then 'Director' else 'Writer' end, '\"},"
-        "{\"id\":', l_partkey, ',\"name\":\"Part ', l_partkey, '\",\"job\":\"Producer\"}]') as crew_data",
+        "{\"name\":\"Director ', l_orderkey % 97, '\",\"job\":\"Director\"},"
+        "{\"id\":', 1000000000 + l_partkey, ',\"name\":\"Part ', l_partkey, '\",\"job\":\"Producer\"}]') as crew_data",
     )

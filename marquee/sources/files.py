@@ -14,16 +14,24 @@ CORRUPT = "_corrupt_record"
 
 
 def shared_dir(spark: SparkSession, purpose: str) -> str:
-    """A new folder name under the cluster's checkpoint folder; a temporary one only when
-    Spark runs in a single process and names none."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if base is None:
-        if not spark.conf.get("spark.master", "").startswith("local"):
+    """A new folder name under the checkpoint folder that all machines share. Where the session
+    names none, as in tests, and has no other machine, a temporary folder becomes its setting."""
+    context = spark.sparkContext
+    base = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not base:
+        if not context._jsc.sc().isLocal():
             raise ValueError("spark.checkpoint.dir must name a shared folder")
-        base = tempfile.mkdtemp(prefix="marquee-")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="marquee-"))
+        base = context.getCheckpointDir()
     return os.path.join(base, f"{purpose}-{uuid.uuid4().hex}")
 
 
+def drop_dir(spark: SparkSession, folder: str) -> None:
+    """Delete a folder of `shared_dir` that nothing reads any more."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def read_movie_files(
     spark: SparkSession,
     folder: str,
@@ -104,3 +112,13 @@ def write_enhanced(
         .save(folder)
     )
     return folder
+
+
+def output_files(
+    spark: SparkSession, folder: str, run_stamp: str, prefix: str = "enhanced", format: str = "json"
+) -> DataFrame:
+    """The files that a run of `write_enhanced` wrote, with their movies."""
+    path = os.path.join(folder, f"output={prefix}_*_{run_stamp}")
+    reader = spark.read.format(format)
+    rows = (reader.schema("id bigint") if format == "json" else reader).load(path)
+    return rows.groupBy(F.col("_metadata.file_path").alias("path")).agg(F.count(F.lit(1)).alias("movies"))

@@ -1,22 +1,19 @@
-"""Fields out of HTML pages.
+"""Fields out of HTML pages, by one table of rules whose expressions run in the JVM.
 
-Flat rules read the first element of a kind with an expression in the JVM. Nested rules
-("the span in the score box in the critic section") need the element tree; only pages that
-contain a rule's marker reach the Arrow function that walks it.
+A rule is a path of steps; each is the first match inside the one before. A step reads on to the
+end tag of its element or, for a section that holds elements of its own kind, to the mark that
+opens the next section. Comments hold no elements, nor do scripts and styles unless a rule asks for
+them; attributes may be quoted either way or not at all.
 """
 
 from __future__ import annotations
 
 import re
-import sys
-from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import reduce
-from html import unescape
+from html.entities import name2codepoint
 from operator import or_
 
-import pandas as pd
-from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import (
@@ -28,214 +25,159 @@ from ..functions import (
     year_in_text,
 )
 
+_VALUE = r"""(?:"[^"]*"|'[^']*'|[^\s>"']+)"""
+_ATTRIBUTES = rf"""(?:\s+[^\s=>/"']+(?:\s*=\s*{_VALUE})?)*"""
+_COMMENT = r"(?s)<!--.*?-->"
+_UNREAD = r"(?is)<(script|style)(?=[\s>]).*?</\1\s*>"
+_ENTITY = r"&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});"
+_PAIR, _ENTRY = "\x02", "\x01"
+
+
+def decode(text: Column) -> Column:
+    """Text with characters in place of entities: by name, as in the standard library's table, or
+    by number. An unknown name stays."""
+    named = F.str_to_map(
+        F.lit(_ENTRY.join(f"{name}{_PAIR}{chr(code)}" for name, code in sorted(name2codepoint.items()))),
+        F.lit(_ENTRY), F.lit(_PAIR),
+    )
+
+    def character(entity: Column) -> Column:
+        digits = F.regexp_replace(entity, "[^0-9a-fA-F]", "")
+        number = F.when(entity.rlike("^&#[xX]"), F.conv(digits, 16, 10)).otherwise(digits).try_cast("int")
+        utf16 = F.when(number < 0x10000, F.lpad(F.hex(number), 4, "0")).otherwise(F.concat(
+            F.lpad(F.hex(F.lit(0xD800) + F.floor((number - 0x10000) / 0x400)), 4, "0"),
+            F.lpad(F.hex(F.lit(0xDC00) + (number - 0x10000) % 0x400), 4, "0"),
+        ))
+        fits = number.between(1, 0xD7FF) | number.between(0xE000, 0x10FFFF)
+        by_number = F.when(fits, F.decode(F.unhex(utf16), "UTF-16BE")).otherwise("\ufffd")
+        by_name = F.coalesce(F.element_at(named, F.btrim(entity, F.lit("&;"))), entity)
+        return F.when(entity.startswith("&#"), by_number).otherwise(by_name)
+
+    woven = F.array_join(F.flatten(F.zip_with(
+        F.split(text, _ENTITY, -1), F.transform(F.regexp_extract_all(text, F.lit(_ENTITY), F.lit(0)), character),
+        lambda gap, char: F.array(gap, F.coalesce(char, F.lit(""))),
+    )), "")
+    return F.when(F.contains(text, F.lit("&")), woven).otherwise(text)
+
 
 @dataclass(frozen=True)
-class FlatRule:
-    """First `tag` of a page: its text, or its attribute; then a pattern's group; then a type."""
+class Step:
+    """The first `tag`, or the first that has the attribute value (one of the names, for a class).
+    It reads to its end tag, or to what `until` matches."""
 
-    field: str
     tag: str
     attribute: str | None = None
+    value: str | None = None
+    until: str | None = None
+
+    def opening(self) -> str:
+        if not self.attribute:
+            return rf"<{self.tag}{_ATTRIBUTES}\s*/?>"
+        value = re.escape(self.value)
+        if self.attribute == "class":
+            held = rf"""(?:"(?:[^"]*\s)?{value}(?:\s[^"]*)?"|'(?:[^']*\s)?{value}(?:\s[^']*)?'|{value}(?=[\s>]))"""
+        else:
+            held = rf"""(?:"{value}"|'{value}'|{value}(?=[\s>]))"""
+        return rf"<{self.tag}{_ATTRIBUTES}?\s+{self.attribute}\s*=\s*{held}{_ATTRIBUTES}\s*/?>"
+
+    def inside(self, html: Column) -> Column:
+        """What the element holds; null where there is none."""
+        end = self.until or rf"</{self.tag}\s*>"
+        return F.when(
+            html.rlike(f"(?is){self.opening()}"),
+            F.regexp_extract(html, rf"(?is){self.opening()}(.*?)(?:{end}|\z)", 1),
+        )
+
+
+@dataclass(frozen=True)
+class Rule:
+    """Text at the end of a path, or an attribute there; then a pattern's group; then a type.
+    With `every`, the texts of all elements that match the only step."""
+
+    field: str
+    path: tuple[Step, ...]
+    attribute: str | None = None
     pattern: str | None = None
     kind: str = "string"
+    every: bool = False
 
     def column(self, html: Column) -> Column:
-        start = rf"(?is)<{self.tag}(?=[\s>])"
-        markup = (
-            rf'{start}[^>]*?\s{self.attribute}="([^"]*)"' if self.attribute
-            else rf"{start}[^>]*>(.*?)</{self.tag}>"
-        )
-        found = F.nullif(F.regexp_extract(html, markup, 1), F.lit(""))
+        *outer, last = self.path
+        if all(step.tag not in ("script", "style") for step in self.path):
+            html = F.regexp_replace(html, _UNREAD, "")
+        for step in outer:
+            html = step.inside(html)
+        if self.every:
+            found = F.regexp_extract_all(html, F.lit(rf"(?is){last.opening()}(.*?)(?:</{last.tag}\s*>|\z)"), F.lit(1))
+            return F.transform(found, _text)
+        if self.attribute:
+            # The first element of the step, whether it has the attribute or not.
+            tag = F.regexp_extract(html, f"(?is){last.opening()}", 0)
+            held = rf"""(?is)\s{self.attribute}\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))"""
+            found = decode(F.concat(*(F.regexp_extract(tag, held, group) for group in (1, 2, 3))))
+        else:
+            found = _text(last.inside(html))
+        found = F.nullif(found, F.lit(""))
         if self.pattern:
             found = F.nullif(F.regexp_extract(found, self.pattern, 1), F.lit(""))
         return found if self.kind == "string" else found.try_cast(self.kind)
 
 
-def extract_flat(pages: DataFrame, rules: list[FlatRule], html: str = "html") -> DataFrame:
-    others = [name for name in pages.columns if name != html]
-    return pages.select(*others, *(rule.column(F.col(html)).alias(rule.field) for rule in rules))
-
-
-# A step is a choice of (tag, attribute, value); no attribute accepts any element of the tag.
-Step = tuple[tuple[str, str | None, str | None], ...]
+def _text(html: Column) -> Column:
+    """The text of a piece of a page, without tags."""
+    return decode(F.regexp_replace(html, r"<[^>]*>", ""))
 
 
-def step(tag: str, attribute: str | None = None, value: str | None = None) -> Step:
-    return ((tag, attribute, value),)
-
-
-@dataclass(frozen=True)
-class NestedRule:
-    """Text of the element at the end of a path: each step is the first match inside the
-    one before. With `every`, the texts of all elements that match the only step; with
-    `trimmed`, the text pieces are trimmed before they are joined."""
-
-    field: str
-    path: tuple[Step, ...]
-    every: bool = False
-    trimmed: bool = False
+def extract(pages: DataFrame, rules: list[Rule], html: str = "html", into: str | None = None) -> DataFrame:
+    """The rules' fields beside the other columns, or as one struct `into`."""
+    page = F.regexp_replace(F.col(html), _COMMENT, "")
+    others = [name for name in pages.columns if name != html]
+    fields = [rule.column(F.col("_page")).alias(rule.field) for rule in rules]
+    cleaned = pages.select(*others, page.alias("_page"))
+    return cleaned.select(*others, *([F.struct(*fields).alias(into)] if into else fields))
 
 
 # Where the pages keep their scores.
-_CRITICS = step("div", "data-testid", "critic-score-info")
-_USERS = step("div", "data-testid", "user-score-info")
-_SCORE = (step("div", "class", "c-siteReviewScore"), step("span"))
-METACRITIC_RULES = (
-    NestedRule("year", (step("div", "data-testid", "hero-metadata"), step("li"), step("span"))),
-    NestedRule("critic_score", (_CRITICS, *_SCORE)),
-    NestedRule("critic_count", (_CRITICS, step("a", "data-testid", "critic-path")), trimmed=True),
-    NestedRule("user_score", (_USERS, *_SCORE)),
-    NestedRule("user_count", (_USERS, step("a", "data-testid", "user-path")), trimmed=True),
-)
+_NEXT = r"""<div[^>]*\sdata-testid\s*=\s*["']?(?:hero-metadata|critic-score-info|user-score-info)"""
+_HERO = Step("div", "data-testid", "hero-metadata", _NEXT)
+_CRITICS = Step("div", "data-testid", "critic-score-info", _NEXT)
+_USERS = Step("div", "data-testid", "user-score-info", _NEXT)
+_SCORE = (Step("div", "class", "c-siteReviewScore"), Step("span"))
+METACRITIC_RULES = [
+    Rule("year", (_HERO, Step("li"), Step("span"))),
+    Rule("critic_score", (_CRITICS, *_SCORE)),
+    Rule("critic_count", (_CRITICS, Step("a", "data-testid", "critic-path"))),
+    Rule("user_score", (_USERS, *_SCORE)),
+    Rule("user_count", (_USERS, Step("a", "data-testid", "user-path"))),
+]
 METACRITIC_MARKERS = ("hero-metadata",)
 
-_SCORECARD = (("div", "class", "media-scorecard"), ("media-scorecard", None, None))
-ROTTEN_TOMATOES_RULES = (
-    NestedRule("scorecard", (_SCORECARD,)),
-    NestedRule("any_critic_score", (step("rt-text", "slot", "criticsScore"),)),
-    NestedRule("any_user_score", (step("rt-text", "slot", "audienceScore"),)),
-    NestedRule("critic_score", (_SCORECARD, step("rt-text", "slot", "criticsScore"))),
-    NestedRule("critic_count", (_SCORECARD, step("rt-link", "slot", "criticsReviews"))),
-    NestedRule("user_score", (_SCORECARD, step("rt-text", "slot", "audienceScore"))),
-    NestedRule("user_count", (_SCORECARD, step("rt-link", "slot", "audienceReviews"))),
-    NestedRule("metadata", (step("rt-text", "slot", "metadataProp"),), every=True),
-)
+# The card is an element of its own name, or a div of that class.
+_SCORECARD = rf"""(?is)(?:<media-scorecard(?=[\s/>])|{Step("div", "class", "media-scorecard").opening()})"""
+_CARD_END = r"</media-scorecard\s*>|<rt-text[^>]*\sslot\s*=\s*[\"']?metadataProp"
+ROTTEN_TOMATOES_RULES = [
+    Rule("any_critic_score", (Step("rt-text", "slot", "criticsScore"),)),
+    Rule("any_user_score", (Step("rt-text", "slot", "audienceScore"),)),
+    Rule("metadata", (Step("rt-text", "slot", "metadataProp"),), every=True),
+]
+SCORECARD_RULES = [
+    Rule("critic_score", (Step("rt-text", "slot", "criticsScore"),)),
+    Rule("critic_count", (Step("rt-link", "slot", "criticsReviews"),)),
+    Rule("user_score", (Step("rt-text", "slot", "audienceScore"),)),
+    Rule("user_count", (Step("rt-link", "slot", "audienceReviews"),)),
+]
 ROTTEN_TOMATOES_MARKERS = ("media-scorecard", "metadataProp", "criticsScore")
 # End of fixed values.
 
-_NO_CONTENT = frozenset(
-    "area base br col embed hr img input link meta param source track wbr".split()
-)
-
-
-# Comments, declarations and scripts count as one token each and hold no elements.
-_TOKEN = re.compile(
-    r"""<!--.*?-->|<[!?][^>]*>|<(script|style)\b[^>]*>.*?</\1\s*>"""
-    r"""|<(/?)([a-z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+[^>]*)>""",
-    re.IGNORECASE | re.DOTALL,
-)
-_ATTRIBUTE = re.compile(
-    r"""([^\s=/"'>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]*)))?""", re.DOTALL
-)
 
-
-def _attributes(text: str) -> dict[str, str]:
-    return {
-        name.lower(): unescape(double or single or bare)
-        for name, double, single, bare in _ATTRIBUTE.findall(text)
-    }
-
-
-class _Follower:
-    """Where one rule is on its path, and the text pieces it has read."""
-
-    __slots__ = ("rule", "next", "anchors", "texts")
-
-    def __init__(self, rule: NestedRule):
-        self.rule = rule
-        self.next = rule.path[0]  # the step to find, None while its text is read
-        self.anchors = []  # depths at which the steps before it opened
-        self.texts = []
-
-    def enter(self, tag, attributes, depth):
-        for wanted, name, value in self.next:
-            if tag != wanted:
-                continue
-            held = attributes.get(name) if name else value
-            if held == value or (name == "class" and held and value in held.split()):
-                self.anchors.append(depth)
-                left = self.rule.path[len(self.anchors):]
-                self.next = left[0] if left else None
-                if not left:
-                    self.texts.append([])
-                return
-
-    def leave(self) -> bool:
-        """The innermost step closed. True if nothing is left to find: the field is read, or
-        the first match of a step lacks the next one."""
-        if self.rule.every:
-            self.anchors, self.next = [], self.rule.path[0]
-        return not self.rule.every
-
-    def found(self):
-        clean = str.strip if self.rule.trimmed else str
-        texts = [unescape("".join(map(clean, parts))) for parts in self.texts]
-        return texts if self.rule.every else (texts[0] if texts else None)
-
-
-def read_page(page: str | None, rules: tuple[NestedRule, ...]) -> dict:
-    """Texts of all rules in one pass over the page's tags; it ends early when all are read."""
-    followers = [_Follower(rule) for rule in rules]
-    live, reading = followers, []
-    tags = {choice[0] for rule in rules for part in rule.path for choice in part}
-    opened: list[str] = []
-    text_from = 0
-    for token in _TOKEN.finditer(page or ""):
-        if reading:
-            text = page[text_from:token.start()]
-            for follower in reading:
-                follower.texts[-1].append(text)
-        text_from = token.end()
-        closing, tag, attributes = token.group(2, 3, 4)
-        if tag is None:
-            continue
-        tag = tag.lower()
-        if not closing:
-            opened.append(tag)
-            if tag in tags:
-                held = _attributes(attributes) if attributes else {}
-                for follower in live:
-                    if follower.next:
-                        follower.enter(tag, held, len(opened))
-                reading = [follower for follower in live if not follower.next]
-            if tag not in _NO_CONTENT and not attributes.endswith("/"):
-                continue
-        elif tag not in opened:
-            continue
-        # Unclosed elements inside the closed one end with it.
-        closed = ""
-        while closed != tag:
-            closed = opened.pop()
-        depth = len(opened)
-        ended = [f for f in live if f.anchors and f.anchors[-1] > depth]
-        if ended:
-            done = [follower for follower in ended if follower.leave()]
-            live = [follower for follower in live if follower not in done]
-            if not live:
-                break
-            reading = [follower for follower in live if not follower.next]
-    else:
-        for follower in reading:
-            follower.texts[-1].append(page[text_from:])
-    return {follower.rule.field: follower.found() for follower in followers}
-
-
-# The walk is sent to the executors with the job, so they need no copy of this package.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
-
-
-def nested_fields(html: Column, rules: tuple[NestedRule, ...], markers: tuple[str, ...]) -> Column:
-    """Struct of the rules' texts; pages without a marker stay in the JVM as null."""
-    kinds = ", ".join(f"{r.field}: {'array<string>' if r.every else 'string'}" for r in rules)
-    names = [rule.field for rule in rules]
-
-    @F.pandas_udf(f"struct<{kinds}>")
-    def walk(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            yield pd.DataFrame([read_page(page, rules) for page in batch], columns=names)
-
-    marked = reduce(or_, (F.contains(html, F.lit(marker)) for marker in markers))
-    # Marked as nondeterministic so that a filter on a field does not walk each page again.
-    return walk.asNondeterministic()(F.when(marked, html))
-
-
-def _walked(pages: DataFrame, html: str, rules, markers) -> DataFrame:
-    return pages.withColumn("_page", nested_fields(F.col(html), rules, markers)).drop(html)
+def _marked(html: str, markers: tuple[str, ...]) -> Column:
+    """The page if it has a marker; the rules of others are not tried."""
+    return F.when(reduce(or_, (F.contains(F.col(html), F.lit(m)) for m in markers)), F.col(html))
 
 
 def extract_metacritic(pages: DataFrame, html: str = "html") -> DataFrame:
     """Scores of each page; a page that states no year is not one and is left out."""
-    page = _walked(pages, html, METACRITIC_RULES, METACRITIC_MARKERS)
+    page = extract(pages.withColumn(html, _marked(html, METACRITIC_MARKERS)), METACRITIC_RULES, html, "_page")
     others = [name for name in page.columns if name != "_page"]
     return page.select(
         *others,
@@ -250,14 +192,24 @@ def extract_metacritic(pages: DataFrame, html: str = "html") -> DataFrame:
 
 def extract_rotten_tomatoes(pages: DataFrame, html: str = "html") -> DataFrame:
     """Scores of each page, the years its details state, and whether both scores are shown."""
-    page = _walked(pages, html, ROTTEN_TOMATOES_RULES, ROTTEN_TOMATOES_MARKERS)
-    others = [name for name in page.columns if name != "_page"]
-    shown = [F.col(f"_page.{c}").isNotNull() for c in ("scorecard", "any_critic_score", "any_user_score")]
+    others = [name for name in pages.columns if name != html]
+    clean = F.regexp_replace(F.regexp_replace(_marked(html, ROTTEN_TOMATOES_MARKERS), _COMMENT, ""), _UNREAD, "")
+    card = F.regexp_extract(F.col("_clean"), rf"{_SCORECARD}(.*?)(?:{_CARD_END}|\z)", 0)
+    page = pages.select(*others, clean.alias("_clean")).select(
+        *others, "_clean", F.when(F.col("_clean").rlike(_SCORECARD), card).alias("_card")
+    ).select(
+        *others, F.struct(
+            F.col("_card").isNotNull().alias("scorecard"),
+            *(rule.column(F.col("_clean")).alias(rule.field) for rule in ROTTEN_TOMATOES_RULES),
+            *(rule.column(F.col("_card")).alias(rule.field) for rule in SCORECARD_RULES),
+        ).alias("_page"),
+    )
     years = F.array_compact(F.transform("_page.metadata", year_in_text))
     return page.select(
         *others,
         F.coalesce(years, F.array().cast("array<int>")).alias("years"),
-        (shown[0] & shown[1] & shown[2]).alias("has_scorecard"),
+        (F.col("_page.scorecard") & F.col("_page.any_critic_score").isNotNull()
+         & F.col("_page.any_user_score").isNotNull()).alias("has_scorecard"),
         parse_percent("_page.critic_score").alias("critic_score"),
         first_integer("_page.critic_count").alias("critic_count"),
         parse_percent("_page.user_score").alias("user_score"),

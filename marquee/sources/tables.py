@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from ..operators.conform import PROJECTIONS, conform
 from ..operators.lookup import one_per_key
@@ -46,25 +48,40 @@ def read_table(spark: SparkSession, table: str, database: str = DATABASE) -> Dat
 
 def append(
     rows: DataFrame, table: str, database: str = DATABASE, dedupe_keys: list[str] | None = None
-) -> None:
-    """Add rows in one distributed write.
+) -> int:
+    """Add rows in one distributed write, and tell how many.
 
     Rows are gathered by year so that a year has few files; the rebalance divides a large
     year. Appending twice duplicates rows, as an INSERT does; `dedupe_keys` keeps one row
-    per key of this batch.
+    per key of this batch, and all rows without one. The rows are counted by the write.
     """
     if dedupe_keys:
         rows = one_per_key(rows, dedupe_keys)
     shaped = conform(rows, TABLES[table])
     stored = [name for name, _ in TABLES[table] if name != "year"] + ["year"]
-    shaped.select(*stored).hint("rebalance", "year").write.insertInto(f"{database}.{table}")
+    written = Observation()
+    gathered = shaped.select(*stored).hint("rebalance", "year")
+    gathered.observe(written, F.count(F.lit(1)).alias("rows")).write.insertInto(f"{database}.{table}")
+    return written.get["rows"]
+
+
+@dataclass(frozen=True)
+class Inserted:
+    """Rows added to a table, or why none were."""
+
+    rows: int = 0
+    error: str | None = None
+
+    @property
+    def ok(self) -> bool:
+        return self.error is None
 
 
 def insert_all(
     movies: DataFrame, run_at: str, database: str = DATABASE, strict: bool = False,
     tables: tuple[str, ...] = tuple(TABLES),
-) -> dict[str, bool]:
-    """Project movies onto each table and append; tells which tables succeeded.
+) -> dict[str, Inserted]:
+    """Project movies onto each table and append; tells what became of each table.
 
     The input is read once per table, so pass a written or cheap DataFrame rather than a
     long plan. Not atomic: one table's failure leaves the others written.
@@ -72,12 +89,11 @@ def insert_all(
     done = {}
     for table in tables:
         try:
-            append(PROJECTIONS[table](movies, run_at), table, database)
-            done[table] = True
-        except Exception:
+            done[table] = Inserted(append(PROJECTIONS[table](movies, run_at), table, database))
+        except Exception as error:
             if strict:
                 raise
-            done[table] = False
+            done[table] = Inserted(error=f"{type(error).__name__}: {error}")
     return done
 
 

@@ -55,8 +55,7 @@ def test_even_median_and_empty(spark):
 
 
 @pytest.mark.parametrize("kind", ["spread", "ties", "constant", "two blocks"])
-def test_median_of_many_values(spark, monkeypatch, kind):
-    monkeypatch.setattr(analysis, "ONE_TASK_VALUES", 50)
+def test_median_of_many_values(spark, kind):
     random.seed(kind)
     for n in (1000, 1001):
         values = {
@@ -70,6 +69,27 @@ def test_median_of_many_values(spark, monkeypatch, kind):
         assert df.select(analysis.median(df, "r")).first()[0] == statistics.median(values)
 
 
+def test_median_reads_its_input_once(spark):
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    df = spark.range(5_000).selectExpr("cast(id % 77 as double) as r").mapInArrow(counted, "r double")
+    assert df.select(analysis.median(df, "r")).first()[0] == 38
+    # one job counts the values; the check itself reads its rows once more
+    assert read.value <= 3 * 5_000
+
+
+def test_a_rating_that_is_no_number_is_none(spark):
+    df = films(spark, [("A", float("nan"), 1990), ("B", 8.0, 1991), ("C", 6.0, 1992)])
+    assert analysis.rating_stats(df).first()[:] == (7.0, 7.0, 2**0.5, 6.0, 8.0)
+    assert [r.title for r in analysis.top_movies(df).collect()] == ["B", "C"]
+    assert analysis.year_performance(df, "year", "omdb_imdb_rating").filter("year = 1990").first()[1:] == (1, None, None)
+
+
 def test_categories_count_each_section_apart(spark):
     rows = [("Drama, Crime", "A, B", "N/A"), ("Drama", "A, B", "Japan, United States"), (None, None, "N/A"), ("", "C", None)]
     df = spark.createDataFrame(rows, "genre string, director string, country string")

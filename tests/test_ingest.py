@@ -44,7 +44,11 @@ def test_comprehensive(spark, world):
     result = comprehensive_ingest(
         spark, str(raw), out, *RUN, omdb=omdb, metacritic=critics, rotten_tomatoes=tomatoes, database=database
     )
-    assert result.success and all(result.tables.values())
+    assert result.success and all(t.ok for t in result.tables.values())
+    assert {tuple(r) for r in result.inserted.collect()} == {
+        ("tmdb_movies", 4, None), ("omdb_movies", 4, None), ("metacritic_ratings", 2, None), ("rotten_tomatoes_ratings", 1, None)}
+    written = result.output_files.collect()
+    assert sum(r.movies for r in written) == 4 and all("output=comprehensive_enhanced_tmdb_" in r.path for r in written)
     assert result.totals.first()[:] == (2, 4, True)
     assert result.statistics.first()[:] == (4, 2, 2, 1)
     assert result.errors.first()[:] == (4, 2)
@@ -65,7 +69,25 @@ def test_comprehensive_goes_on_after_malformed_input(spark, world):
     result = comprehensive_ingest(spark, str(raw), out, *RUN, omdb=omdb, database=database)
     assert not result.success and result.malformed.count() == 1
     assert result.totals.first()[:] == (2, 4, False)
-    assert all(result.tables.values())
+    assert all(t.ok for t in result.tables.values())
+
+
+@pytest.mark.parametrize("left_out", ["omdb", "metacritic", "rotten_tomatoes", "all"])
+def test_every_stage_is_optional(spark, world, left_out):
+    raw, out, omdb, critics, tomatoes, database = world
+    sources = {"omdb": omdb, "metacritic": critics, "rotten_tomatoes": tomatoes}
+    used = {n: s for n, s in sources.items() if n != left_out and left_out != "all"}
+    result = comprehensive_ingest(spark, str(raw), out, *RUN, database=database, **used)
+    assert result.success and result.errors.first().total == 4
+    assert {r.table_name: r.rows for r in result.inserted.collect()}["tmdb_movies"] == 4
+
+
+def test_a_failed_table_is_told(spark, world):
+    raw, out, omdb, _, _, database = world
+    spark.sql(f"DROP TABLE {database}.omdb_movies")
+    result = comprehensive_ingest(spark, str(raw), out, *RUN, omdb=omdb, database=database)
+    assert not result.success and not result.totals.first().success
+    assert "omdb_movies" in {r.table_name: r.error for r in result.inserted.collect()}["omdb_movies"]
 
 
 def test_limit_is_per_file(spark, world):
@@ -78,7 +100,7 @@ def test_limit_is_per_file(spark, world):
 def test_single_source(spark, world):
     raw, out, omdb, _, _, database = world
     result = single_source_ingest(spark, str(raw), out, *RUN, omdb, database=database)
-    assert result.success and result.tables == {"omdb_movies": True}
+    assert result.success and [(n, t.rows) for n, t in result.tables.items()] == [("omdb_movies", 4)]
     rows = {r.imdb_id: r for r in tables.read_table(spark, "omdb_movies", database).collect()}
     assert len(rows) == 4
     assert (rows["tt1"].year, rows["tt1"].genre, rows["tt1"].imdb_votes, rows["tt1"].data_source) == (1990, "Drama, Crime", 1234, "tmdb")

@@ -180,6 +180,13 @@ def test_append_can_drop_repeats_and_split_files(spark):
     assert back.count() == 100 and len(back.inputFiles()) >= 10
 
 
+def test_rows_without_a_key_are_no_repeats(spark, database):
+    rows = [("tt1", 1), ("tt1", 2), (None, 3), (None, 4), ("", 5), ("", 6)]
+    movies = spark.createDataFrame(rows, "imdb_id string, tmdb_id int")
+    assert tables.append(movies, "tmdb_movies", database, dedupe_keys=["imdb_id"]) == 5
+    assert sorted(r.tmdb_id for r in tables.read_table(spark, "tmdb_movies", database).collect()) == [1, 3, 4, 5, 6]
+
+
 def test_a_year_with_most_rows_is_written_by_several_tasks(spark, database, settings):
     settings(spark__sql__adaptive__advisoryPartitionSizeInBytes="100KB")
     movies = spark.range(0, 60_000, 1, 8).selectExpr(
@@ -219,7 +226,9 @@ def test_users_query_the_tables_with_sql(spark, database):
 def test_insert_all_tells_what_failed(spark, database):
     spark.sql(f"DROP TABLE {database}.metacritic_ratings")
     done = tables.insert_all(enriched(spark), "now", database)
-    assert done == {"tmdb_movies": True, "omdb_movies": True, "metacritic_ratings": False, "rotten_tomatoes_ratings": True}
+    assert {name: (t.ok, t.rows) for name, t in done.items()} == {
+        "tmdb_movies": (True, 2), "omdb_movies": (True, 2), "metacritic_ratings": (False, 0), "rotten_tomatoes_ratings": (True, 1)}
+    assert "metacritic_ratings" in done["metacritic_ratings"].error
     with pytest.raises(AnalysisException):
         tables.insert_all(enriched(spark), "now", database, strict=True)
     counts = {r.table_name: r.row_count for r in tables.table_rows(spark, database).collect()}
