@@ -145,7 +145,7 @@ def write_tokens(
             ("before", pa.int64()), ("n_docs", pa.int64()), ("n_ids", pa.int64()),
         ])
         for batch in batches:
-            encoded = codec.encode(batch.column("text").to_pylist())
+            encoded = codec.encode(batch.column("text"))
             for one, ids in zip(batch.column("id").to_pylist(), encoded):
                 held.append((one, ids + end))
                 count += len(ids) // 4 + 1

@@ -79,7 +79,7 @@ def encode_short(docs: DataFrame, spec: Broadcast, *, text: str, into: str = "id
     """`docs` with the ids of each text, little-endian unsigned 32-bit numbers in a binary column."""
     @F.arrow_udf("binary")
     def ids(texts: pa.Array) -> pa.Array:
-        return pa.array(codec_of(spec.value).encode(texts.fill_null("").to_pylist()), pa.binary())
+        return pa.array(codec_of(spec.value).encode(texts), pa.binary())
 
     return docs.withColumn(into, ids(F.col(text)))
 
@@ -104,7 +104,7 @@ def encode_long(texts: DataFrame, spec: Broadcast, *, text: str = "text") -> Dat
         for batch in batches:
             ids = [
                 np.frombuffer(x, "<u4").astype(_narrow(codec)).tobytes()
-                for x in codec.encode(batch.column("piece").to_pylist())
+                for x in codec.encode(batch.column("piece"))
             ]
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(n) for n in ("k1", "k2", "leaf")), pa.array(ids, pa.binary())],
