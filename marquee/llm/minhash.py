@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, functions as F
 
-from .common import packed, sent_if_small, small_batches, stored, text_key, unpacked
+from .common import drop_stored, packed, sent_if_small, small_batches, stored, text_key, unpacked
 from .components import components
 from .words import SEED, byte_tables, chunks, mix, word_hashes
 
@@ -155,7 +155,9 @@ def candidates(nodes: DataFrame) -> DataFrame:
     # twice NEIGHBOURS rows of each partition
     ends = near.where("node IS NOT NULL").select(*order).distinct().repartitionByRange(1, *order).sortWithinPartitions(*order)
     across = ends.mapInArrow(_neighbours, PAIRS)
-    return near.unionAll(across).where("a IS NOT NULL").select("a", "b").distinct()
+    found = stored(near.unionAll(across).where("a IS NOT NULL").select("a", "b").distinct(), "candidates")
+    drop_stored(near)
+    return found
 
 
 def _agreeing(batches):
@@ -213,8 +215,9 @@ def groups(
     )
     sides = [nodes.select(F.col("node").alias(s), F.col("n").alias("n" + s), F.col("marks").alias("m" + s)) for s in "ab"]
     alike = F.lit(100) * F.least("na", "nb") >= F.lit(percent) * F.greatest("na", "nb")
+    met = candidates(nodes)
     pairs = stored(
-        candidates(nodes).join(sides[0], "a").join(sides[1], "b").where(alike).select("a", "b", "ma", "mb")
+        met.join(sides[0], "a").join(sides[1], "b").where(alike).select("a", "b", "ma", "mb")
         .mapInArrow(_agreeing, "a binary, b binary, agree double").where(F.col("agree") >= percent / 80 * ROUGH),
         "pairs",
     )
@@ -241,11 +244,14 @@ def groups(
         pairs.join(best, ["a", "b"], "left_anti").join(part[0], "a", "left").join(part[1], "b", "left")
         .where(~F.coalesce(F.col("root_a") == F.col("root_b"), F.lit(False)))
     )
-    roots = stored(components(links.unionAll(confirm(rest))), "roots")
+    more = confirm(rest)
+    roots = stored(components(links.unionAll(more)), "roots")
 
     named = nodes.select("node", "id").join(roots, "node", "left").select("node", "id", F.coalesce("root", "node").alias("root"))
     least = named.groupBy("root").agg(F.min("id").alias("component"))
     labels = stored(named.join(least, "root").select("node", "component"), "labels")
+    for done in (met, pairs, asked, members, best, links, more, roots, nodes):
+        drop_stored(done)
     return signed.select("id", "k1", "k2", "n", "node").join(labels, "node", "left").select(
         "id", "k1", "k2", F.col("n").alias("n_shingles"),
         F.when(F.col("node").isNull(), F.col("id")).otherwise(F.col("component")).alias("component"),
