@@ -33,6 +33,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from .codec import codec_of
 from .common import small_batches, stored
+from .words import release
 
 MAGIC = b"TOKBITS1"
 BLOCK = 4_096
@@ -153,6 +154,7 @@ def write_tokens(
                     yield flush()
         if held:
             yield flush()
+        release()
 
     rows = docs.select(F.col(doc_id).cast("long").alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     order = (F.col("id"), F.xxhash64("text"))
@@ -183,6 +185,7 @@ def read_tokens(manifest: DataFrame, folder: str) -> DataFrame:
                     pa.array(bases[partition] + before + ends - file.counts, pa.int64()),
                     pa.array(file.counts, pa.int64()), pa.array(sums, pa.int64()),
                 ], names=["doc_id", "start", "n_tokens", "ids_crc32"])
+        release()
 
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     dealt = manifest.select("partition", "path", "before").repartition(tasks, "path")

@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from .codec import Codec, codec_of
 from .common import small_batches, text_key
+from .words import release
 
 #: Code points of a leaf; longer texts are cut.
 LEAF = 16_384
@@ -75,17 +76,32 @@ def _narrow(codec: Codec):
     return np.dtype("<u2" if len(codec.table) <= 1 << 16 else "<u4")
 
 
-def encode_short(docs: DataFrame, spec: Broadcast, *, text: str, into: str = "ids") -> DataFrame:
-    """`docs` with the ids of each text, little-endian unsigned 32-bit numbers in a binary column."""
-    @F.arrow_udf("binary")
-    def ids(texts: pa.Array) -> pa.Array:
-        return pa.array(codec_of(spec.value).encode(texts), pa.binary())
+CODED = "struct<ids: binary, decoded: string>"
 
-    return docs.withColumn(into, ids(F.col(text)))
+
+def _coded(ids: list[bytes], codec: Codec) -> pa.StructArray:
+    """The ids, and the texts decoded from them; broken UTF-8 becomes replacement characters."""
+    texts = [codec.decode(np.frombuffer(x, "<u4")).decode("utf-8", "replace") for x in ids]
+    return pa.StructArray.from_arrays(
+        [pa.array(ids, pa.binary()), pa.array(texts, pa.string())], names=["ids", "decoded"])
+
+
+def encode_short(docs: DataFrame, spec: Broadcast, *, text: str, into: str = "coded") -> DataFrame:
+    """`docs` with a struct of the ids of each text, little-endian unsigned 32-bit numbers in a
+    binary field, and of the text decoded from them."""
+    @F.arrow_udf(CODED)
+    def coded(texts: pa.Array) -> pa.Array:
+        codec = codec_of(spec.value)
+        out = _coded(codec.encode(texts), codec)
+        release()
+        return out
+
+    return docs.withColumn(into, coded(F.col(text)))
 
 
 def encode_long(texts: DataFrame, spec: Broadcast, *, text: str = "text") -> DataFrame:
-    """(k1, k2, ids): the ids of each different text; k1 and k2 are its hashes from `text_key`."""
+    """(k1, k2, coded): the ids of each different text, and the text decoded from them, as from
+    `encode_short`; k1 and k2 are the hashes of the text from `text_key`."""
     k1, k2 = text_key(F.col(text))
 
     def cut(batches):
@@ -110,31 +126,31 @@ def encode_long(texts: DataFrame, spec: Broadcast, *, text: str = "text") -> Dat
                 [*(batch.column(n) for n in ("k1", "k2", "leaf")), pa.array(ids, pa.binary())],
                 names=["k1", "k2", "leaf", "ids"],
             )
+        release()
 
     def joined(key, table):
         codec = codec_of(spec.value)
         table = table.sort_by("leaf")
         parts = [np.frombuffer(x, _narrow(codec)).astype("<u4") for x in table["ids"].to_pylist()]
-        return pa.table({
+        out = pa.table({
             "k1": pa.array([key[0].as_py()], pa.int64()), "k2": pa.array([key[1].as_py()], pa.int64()),
-            "ids": pa.array([join_all(parts, codec).tobytes()], pa.binary()),
+            "coded": _coded([join_all(parts, codec).tobytes()], codec),
         })
+        release()
+        return out
 
     leaves = texts.select(k1.alias("k1"), k2.alias("k2"), F.col(text).alias("text")).mapInArrow(
         cut, "k1 long, k2 long, leaf int, piece string")
     once = leaves.dropDuplicates(["k1", "k2", "leaf"])
     encoded = once.mapInArrow(encode, "k1 long, k2 long, leaf int, ids binary")
-    return encoded.groupBy("k1", "k2").applyInArrow(joined, "k1 long, k2 long, ids binary")
+    return encoded.groupBy("k1", "k2").applyInArrow(joined, f"k1 long, k2 long, coded {CODED}")
 
 
 def decode(rows: DataFrame, spec: Broadcast, *, ids: str = "ids", into: str = "decoded") -> DataFrame:
     """`rows` with the text of their ids; broken UTF-8 becomes replacement characters."""
     @F.arrow_udf("string")
     def text(column: pa.Array) -> pa.Array:
-        codec = codec_of(spec.value)
-        return pa.array([
-            codec.decode(np.frombuffer(x, "<u4")).decode("utf-8", "replace") for x in column.fill_null(b"").to_pylist()
-        ], pa.string())
+        return _coded(column.fill_null(b"").to_pylist(), codec_of(spec.value)).field("decoded")
 
     return rows.withColumn(into, text(F.col(ids)))
 
@@ -147,13 +163,12 @@ def digest(docs: DataFrame, spec: str, *, doc_id: str = "doc_id", text: str = "t
     rows = docs.select(F.col(doc_id), F.coalesce(F.col(text), F.lit("")).alias("text"))
     is_long = F.length("text") > LEAF
     numbers = (
-        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"),
+        (F.octet_length("coded.ids") / 4).cast("long").alias("n_tokens"), F.sha2("coded.ids", 256).alias("ids_sha256"),
+        F.sha2("coded.decoded", 256).alias("decoded_sha256"),
     )
-    short = encode_short(rows.where(~is_long), sent, text="text").drop("text")
-    short = decode(short, sent).select(doc_id, *numbers)
+    short = encode_short(rows.where(~is_long), sent, text="text").select(doc_id, *numbers)
     k1, k2 = text_key(F.col("text"))
-    by_text = decode(encode_long(rows.where(is_long), sent), sent).select("k1", "k2", *numbers)
+    by_text = encode_long(rows.where(is_long), sent).select("k1", "k2", *numbers)
     long = rows.where(is_long).select(doc_id, k1.alias("k1"), k2.alias("k2")).join(by_text, ["k1", "k2"])
     return short.unionByName(long.drop("k1", "k2"))
 

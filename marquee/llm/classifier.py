@@ -20,7 +20,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, functions as F
 
 from .common import fold_of, packed, small_batches, unpacked
-from .words import byte_tables, chunks, word_hashes
+from .words import byte_tables, chunks, release, word_hashes
 
 FOLDS = 5
 POSITIVES = 3_000
@@ -95,8 +95,12 @@ class Model:
     bias: float
 
     def scaled(self, values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-        share = (sizes / (sizes + SMOOTHING))[:, None]
-        return np.clip((values - self.mean) / self.scale, -FARTHEST, FARTHEST) * GROUPS * share
+        share = (sizes / (sizes + SMOOTHING))[:, None].astype(self.mean.dtype)
+        out = (values - self.mean) / self.scale
+        np.clip(out, -FARTHEST, FARTHEST, out=out)
+        out *= GROUPS.astype(out.dtype)
+        out *= share
+        return out
 
     def score(self, values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         line = self.scaled(values, sizes) @ self.weights + self.bias
@@ -111,8 +115,11 @@ def fit(
     logistic loss; where the second part is negative, a step goes against its gradient."""
     if not len(positive[0]) or not len(unlabelled[0]):
         return Model(np.zeros(WIDTH), np.ones(WIDTH), np.zeros(WIDTH), float(np.log(prior / (1 - prior))))
-    both = np.concatenate([positive[0], unlabelled[0]]).astype(np.float64)
-    model = Model(both.mean(0), both.std(0) + 1e-4, np.zeros(WIDTH), 0.0)
+    n = len(positive[0]) + len(unlabelled[0])
+    parts = (positive[0], unlabelled[0])
+    mean = sum(x.sum(0, dtype=np.float64) for x in parts) / n
+    spread = sum(np.square(x - mean.astype(np.float32)).sum(0, dtype=np.float64) for x in parts) / n
+    model = Model(mean.astype(np.float32), (np.sqrt(spread) + 1e-4).astype(np.float32), np.zeros(WIDTH), 0.0)
     p, u = (model.scaled(*x).astype(np.float32) for x in (positive, unlabelled))
     w, b = np.zeros(WIDTH), 0.0
     moment, square = np.zeros(WIDTH + 1), np.zeros(WIDTH + 1)
@@ -200,7 +207,10 @@ def score(docs: DataFrame, model: Model, *, text: str = "text", into: str = "sco
     @F.arrow_udf("double")
     def scored(texts: pa.Array) -> pa.Array:
         values, sizes = statistics(texts)
-        return pa.array(model.score(values, sizes), pa.float64())
+        out = pa.array(model.score(values, sizes), pa.float64())
+        del values
+        release()
+        return out
 
     return docs.withColumn(into, scored(F.col(text)))
 

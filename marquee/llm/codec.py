@@ -20,9 +20,9 @@ from pyspark import cloudpickle
 
 from .words import SEED, chunks, mix
 
-MEMO_UNITS = 300_000
+MEMO_UNITS = 200_000
 MEMO_BYTES = 48
-BATCH_BYTES = 2_000_000
+BATCH_BYTES = 1_000_000
 RUN = re.compile(" ?[A-Za-zÀ-ÖØ-öø-ÿ]+")
 
 

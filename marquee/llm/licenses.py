@@ -23,7 +23,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from .common import sent_if_small, small_batches, stored, text_key
-from .words import byte_tables, chunks, mix, word_hashes
+from .words import byte_tables, chunks, mix, release, word_hashes
 
 GRAM = 3
 SLACK = 2
@@ -96,6 +96,7 @@ def _grams(batches):
                 pa.array(k1[first + of[at]]), pa.array(k2[first + of[at]]),
                 pa.array((at - begins).astype(np.int64)), pa.array(_gram_hashes(hashes)[at]),
             ], names=["k1", "k2", "at", "hash"])
+    release()
 
 
 def template_places(spark: SparkSession) -> DataFrame:
@@ -181,6 +182,7 @@ def phrases(docs: DataFrame, *, text: str = "text", into: str = "phrases") -> Da
                     if label not in labels[row]:
                         labels[row].append(label)
         none = n_base == 0
+        release()
         return pa.StructArray.from_arrays([
             pa.array(n_words), pa.array(n_base), pa.array(low, mask=none), pa.array(high, mask=none),
             pa.array([sorted(x) for x in labels], pa.list_(pa.string())),

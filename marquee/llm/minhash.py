@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from .common import drop_stored, packed, sent_if_small, small_batches, stored, text_key, unpacked
 from .components import components
-from .words import SEED, byte_tables, chunks, mix, word_hashes
+from .words import SEED, byte_tables, chunks, mix, release, word_hashes
 
 TREES, DEPTH, LEAST_DEPTH = 12, 10, 3
 NEIGHBOURS = 4
@@ -99,6 +99,7 @@ def _signed(words: int):
                     pa.array([nodes[i].tobytes() if i >= 0 else None for i in place], pa.binary()),
                     pa.array([big[i].tobytes() if i >= 0 else None for i in place], pa.binary()),
                 ], names=["id", "k1", "k2", "n", "node", "marks"])
+        release()
 
     return run
 
@@ -140,6 +141,7 @@ def _neighbours(batches):
     ends += (tail or [])
     if ends:
         yield row_batch([], [], ends)
+    release()
 
 
 PAIRS = "a binary, b binary, tree int, path binary, node binary"
@@ -178,6 +180,7 @@ def _confirmed(percent: int):
                 both = len(np.intersect1d(x, y, assume_unique=True))
                 good.append(100 * both >= percent * (len(x) + len(y) - both))
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(good, pa.bool_()))
+        release()
 
     return run
 
@@ -191,6 +194,7 @@ def _sets(words: int):
                     batch.column("node").slice(first, last - first),
                     pa.array([sets[i:j].astype("<u8").tobytes() for i, j in zip(begins[:-1], begins[1:])], pa.binary()),
                 ], names=["node", "members"])
+        release()
 
     return run
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import sys
 from collections.abc import Iterator
 
@@ -13,6 +14,15 @@ SEED = 20_250_131
 CHUNK_BYTES = 250_000
 
 
+def release() -> None:
+    """Give memory that was freed back to the machine: a worker stays for later tasks."""
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux":
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # not every C library has it
+        if trim:
+            trim(0)
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """Spread the bits of 64-bit hashes (the finalizer of splitmix64)."""
     h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)

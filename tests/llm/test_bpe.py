@@ -82,6 +82,13 @@ def test_rows(spark):
     assert rows(bpe.digest(clashing(spark, docs), codec.read_spec(public_tokenizers.path(FILES[0])))) == by_hand(docs)
 
 
+def test_decode_of_stored_ids(spark):
+    docs = [(1, "plain"), (2, ""), (3, "é 漢字 <|endoftext|>")]
+    sent = spark.sparkContext.broadcast(codec.read_spec(public_tokenizers.path(FILES[0])))
+    coded = bpe.encode_short(documents(spark, docs), sent, text="text").selectExpr("doc_id", "coded.ids AS ids")
+    assert sorted((r.doc_id, r.decoded) for r in bpe.decode(coded, sent).collect()) == docs
+
+
 def test_empty_table(spark):
     assert bpe.digest(documents(spark, []), codec.read_spec(public_tokenizers.path(FILES[0]))).collect() == []
 
