@@ -80,7 +80,8 @@ def ascii_fold(text: Column | str) -> Column:
     expanded = F.array_join(
         F.transform(
             F.regexp_extract_all(text, F.lit("(?s)(.)"), F.lit(1)),
-            lambda char: F.coalesce(F.element_at(table, char), char),
+            # Only characters beyond ASCII are looked up.
+            lambda char: F.when(char < "\x80", char).otherwise(F.coalesce(F.element_at(table, char), char)),
         ),
         "",
     )

@@ -15,9 +15,12 @@ from .lookup import Lookup, check_names, gated, lookup_join, table_join, union_a
 _SLUG, _YEAR, _SPAN = "_slug", "_year", "_span"
 
 
-def enrich_by_key(movies: DataFrame, records: DataFrame, key: str = "imdb_id") -> DataFrame:
-    """Columns of the record with the movie's id; a movie without id or record keeps nulls."""
-    return lookup_join(movies, [key], Lookup(records))
+def enrich_by_key(
+    movies: DataFrame, records: DataFrame, key: str = "imdb_id", unique: bool = False
+) -> DataFrame:
+    """Columns of the record with the movie's id; a movie without id or record keeps nulls.
+    `unique` records must not repeat an id."""
+    return lookup_join(movies, [key], Lookup(records, unique=unique))
 
 
 @dataclass(frozen=True)
@@ -186,7 +189,7 @@ class ScoreSource:
     """How one source's snapshot is read and matched.
 
     `match` is "id", "title_year" or "candidates"; `extractor` turns the raw snapshot (say
-    crawled pages) into matchable rows.
+    crawled pages) into matchable rows. A snapshot by id may be declared `unique`.
     """
 
     name: str
@@ -198,6 +201,7 @@ class ScoreSource:
     key: str = "imdb_id"
     labels: dict[str, str] = setting(default_factory=dict)
     enhanced_at: str | None = None
+    unique: bool = False
 
     @property
     def hit(self) -> str:
@@ -208,7 +212,7 @@ class ScoreSource:
         fields = self.fields or {c: c for c in rows.columns if c not in (self.key, self.hit)}
         fields = {**fields, self.hit: self.hit}
         if self.match == "id":
-            return Lookup(rows, fields, gate=self.gate)
+            return Lookup(rows, fields, gate=self.gate, unique=self.unique)
         build = title_year_lookup if self.match == "title_year" else candidates_lookup
         return build(rows, fields, sep=self.sep, gate=self.gate)
 

@@ -13,12 +13,14 @@ from pyspark.sql import Column, DataFrame, functions as F
 class Lookup:
     """Rows to look up. `fields` maps their columns to the names they get; by default all
     but the keys. `prefer` orders the rows of a key: the least one is taken, and counts as
-    found only if its `gate` column has a value."""
+    found only if its `gate` column has a value. `unique` says that no key repeats, which is
+    checked; such rows are joined as they are."""
 
     rows: DataFrame
     fields: dict[str, str] | None = None
     prefer: tuple[str, ...] = ()
     gate: str | None = None
+    unique: bool = False
 
     def named(self, keys: list[str]) -> dict[str, str]:
         fields = self.fields or {c: c for c in self.rows.columns if c not in keys}
@@ -72,6 +74,27 @@ def table_join(left: DataFrame, entries: DataFrame, keys: list[str], *found: Col
     return left.withColumn("_spread", spread).join(table, [*keys, "_spread"], "left")
 
 
+def unique_join(left: DataFrame, keys: list[str], lookup: Lookup) -> DataFrame:
+    """Left join to rows of which no key repeats: one shuffle of each side, and columns that
+    nobody reads are not read. A job over the keys alone fails if one repeats.
+
+    `_spread` divides left rows without a key, as in `table_join`.
+    """
+    fields = lookup.named(keys)
+    check_names(left, list(fields.values()))
+    rows = lookup.rows.filter(_usable(lookup.rows, keys))
+    if not rows.groupBy(*keys).count().filter("count > 1").isEmpty():
+        raise ValueError(f"a key of a lookup declared unique repeats: {', '.join(keys)}")
+    if lookup.gate:
+        rows = rows.filter(F.col(lookup.gate).isNotNull())
+    # Always 0, but no constant that would be optimized out of the join key.
+    zero = F.pmod(F.xxhash64(*keys), F.lit(1)).cast("int")
+    table = rows.select(*keys, zero.alias("_spread"), *(F.col(old).alias(new) for old, new in fields.items()))
+    spread = F.when(_usable(left, keys), F.lit(0)).otherwise(F.spark_partition_id() + 1)
+    joined = left.withColumn("_spread", spread).join(table, [*keys, "_spread"], "left")
+    return joined.select(*left.columns, *fields.values())
+
+
 def gated(row: Column, names: list[str], gate: str | None) -> list[Column]:
     """Fields of a found row, null unless its gate has a value."""
     if gate:
@@ -91,6 +114,11 @@ def lookup_join(left: DataFrame, keys: list[str], *lookups: Lookup) -> DataFrame
     All lookups on the same keys share one shuffle of the left side. Their rows are reduced
     to one per key first, which also bounds a key that repeats on both sides.
     """
+    for lookup in (x for x in lookups if x.unique):
+        left = unique_join(left, keys, lookup)
+    lookups = tuple(x for x in lookups if not x.unique)
+    if not lookups:
+        return left
     names = [lookup.named(keys) for lookup in lookups]
     check_names(left, [name for fields in names for name in fields.values()])
 

@@ -152,7 +152,8 @@ SQL["scan_table"] = f"""SELECT o_orderkey, o_custkey, o_orderstatus, o_totalpric
   o_orderpriority FROM orders ORDER BY o_orderkey LIMIT 10"""
 SQL["snapshot_records"] = _with(OMDB) + "SELECT * FROM omdb"
 SQL["page_fields"] = """SELECT page_id, url, split_part(split_part(html, '<html lang="', 2), '"', 1) AS lang,
-  split_part(split_part(html, '<title>', 2), '</title>', 1) AS title,
+  replace(replace(replace(replace(split_part(split_part(html, '<title>', 2), '</title>', 1),
+    '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&amp;', '&') AS title,
   nullif(split_part(split_part(split_part(split_part(html, '<nav>', 2), '</nav>', 1), '<a href="', 2), '"', 1), '') AS first_link,
   split_part(split_part(html, ';track(', 2), ')', 1)::INT AS tracked
   FROM pages"""
@@ -370,6 +371,9 @@ SQL["report_categories"] = _with(OMDB) + """SELECT section, value, movies, rank:
     GROUP BY section, value)) WHERE rank <= 10"""
 SQL["mean_of_file_means"] = """SELECT round(avg(mean), 3) AS average_rating, count(mean) AS total_ratings_analyzed
   FROM (SELECT avg(o_totalprice) AS mean FROM orders GROUP BY o_orderpriority)"""
+SQL["file_statistics"] = """SELECT o_orderpriority, count(*) AS movies, count(o_totalprice) AS rated,
+  round(avg(o_totalprice), 3) AS avg_rating, min(o_totalprice) AS min_rating, max(o_totalprice) AS max_rating
+  FROM orders GROUP BY o_orderpriority"""
 SQL["run_totals"] = """SELECT count(DISTINCT event_type) AS files_processed, count(*) AS total_movies,
   count(*) FILTER (value < 0) = 0 AS success FROM events"""
 SQL["file_totals"] = "SELECT event_type, count(*) AS movies FROM events GROUP BY event_type"

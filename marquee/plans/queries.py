@@ -27,7 +27,7 @@ from ..operators import analysis, compare, conform, enrich, people, quality, ran
 from ..schemas import TABLES
 from ..sources import files, pages, tables
 from . import standins
-from .report import categories
+from .report import categories, file_statistics as statistics_by_file
 from .standins import RUN_AT, RUN_STAMP, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -412,7 +412,7 @@ def enrich_by_key(spark, sf_dir):
     customers = table(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("o_custkey"), "c_name", "c_mktsegment", "c_acctbal"
     )
-    return enrich.enrich_by_key(orders, customers, "o_custkey")
+    return enrich.enrich_by_key(orders, customers, "o_custkey", unique=True)
 
 
 @query
@@ -444,7 +444,7 @@ def registered_source(spark, sf_dir):
         )
 
     enrich.register_source(enrich.ScoreSource(
-        name="ledger", match="id", fields={"amount": "balance"}, extractor=ledger, gate="amount",
+        name="ledger", match="id", fields={"amount": "balance"}, extractor=ledger, gate="amount", unique=True,
         labels={"balance_source": "ledger"}, enhanced_at="balance_at",
     ))
     movies = standins.movies(spark, sf_dir).select("tmdb_id", "imdb_id")
@@ -612,6 +612,11 @@ def mean_of_file_means(spark, sf_dir):
     )
 
 
+@query
+def file_statistics(spark, sf_dir):
+    return _rounded(statistics_by_file(table(spark, sf_dir, "orders"), "o_orderpriority", "o_totalprice"), 3, "avg_rating")
+
+
 @query
 def run_totals(spark, sf_dir):
     return analysis.run_totals(table(spark, sf_dir, "events"), "event_type", F.col("value") < 0)

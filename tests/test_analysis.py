@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from marquee.operators import analysis, ranking
-from marquee.plans.report import analysis_report
+from marquee.plans.report import analysis_report, cast_report, summary_report
 
 # Published rows of the ten-film set; the five-film set is rows 1, 2, 4, 5, 6.
 TEN = [
@@ -119,6 +119,26 @@ def test_report_shape(spark):
     json.dumps(report)
 
 
+def test_summary_of_files(spark):
+    df = films(spark, TEN).withColumn("file", F.when(F.col("year") < 1980, "old").otherwise("new"))
+    report = summary_report(df.unionByName(df.limit(1).withColumns({"file": F.lit("none"), "omdb_imdb_rating": F.lit(None).cast("double")})), "file")
+    assert [(f["file"], f["movies"], f["rated"]) for f in report["files_processed"]] == [("new", 7, 7), ("none", 1, 0), ("old", 3, 3)]
+    assert report["total_movies"] == 11 and report["total_ratings_analyzed"] == 2
+    old, new = [9.2, 9.0, 9.0], [9.3, 9.1, 9.0, 8.6, 8.6, 8.5, 8.0]
+    assert report["average_rating"] == pytest.approx((sum(old) / 3 + sum(new) / 7) / 2)
+
+
+def test_cast_report(spark):
+    cast = json.dumps([{"id": 1, "name": "A", "gender": 2}, {"id": 2, "name": "B", "gender": 1}])
+    crew = json.dumps([{"id": 3, "name": "D", "job": "Director"}])
+    df = spark.createDataFrame([(1, cast, crew, 8.0), (2, cast, crew, 6.0)], "tmdb_id int, cast_data string, crew_data string, omdb_imdb_rating double")
+    report = cast_report(df)
+    assert report["total_actors"] == 1 and report["total_collaboration_networks"] == 2
+    assert report["top_directors"] == [{"key": "#3", "person": "D", "credits": 2, "avg_rating": 7.0}]
+    assert report["top_writers"] == []
+    assert cast_report(df.drop("omdb_imdb_rating"))["top_actors"][0]["avg_rating"] is None
+
+
 def test_totals_and_coverage(spark):
     df = spark.createDataFrame(
         [("a", "T", 5.0, None), ("a", "", None, 3.0), ("b", None, None, None)],

@@ -213,3 +213,17 @@ def test_registered_sources_and_title_fallback(spark):
     assert [r.metacritic_data_source for r in got] == ["metacritic", "metacritic"]
     with pytest.raises(ValueError):
         enrich.register_source(enrich.ScoreSource("x", "telepathy"))
+
+
+def test_unique_lookup(spark, settings):
+    left = spark.createDataFrame([("a", 1), ("b", 2), (None, 3), ("", 4), ("a", 5), ("c", 6)], "key string, n int")
+    right = spark.createDataFrame(
+        [("a", 1.0, "x"), ("b", None, "y"), (None, 9.0, "z"), (None, 8.0, "z"), ("", 7.0, "z")], "key string, score double, plot string")
+    found = lookup_join(left, ["key"], Lookup(right, gate="score", unique=True))
+    plain = lookup_join(left, ["key"], Lookup(right, gate="score"))
+    assert sorted(map(str, found.collect())) == sorted(map(str, plain.collect()))
+    with pytest.raises(ValueError, match="repeats"):
+        lookup_join(left, ["key"], Lookup(right.unionAll(right), unique=True))
+    settings(spark__sql__autoBroadcastJoinThreshold="-1")
+    plan = found.select("n", "score")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 2 and "Aggregate" not in plan

@@ -54,6 +54,12 @@ def test_all_sources_shuffle_the_movies_twice(spark, settings):
     assert text.count("SortMergeJoin") == 2
 
 
+def test_strength_of_collaboration_shuffles_three_times(spark, settings):
+    settings(spark__sql__autoBroadcastJoinThreshold="-1")
+    text = plan(QUERIES["collaboration_strength"](spark, SF))
+    assert text.count("Exchange hashpartitioning") <= 3 and "Join" not in text
+
+
 def test_rows_that_cannot_match_are_not_sorted_out(spark):
     rows = spark.range(100).select("id", F.lit(None).cast("double").alias("omdb_imdb_rating"))
     assert ranking.sort_by_rating(rows, tie="id").count() == 100
