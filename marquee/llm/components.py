@@ -27,12 +27,11 @@ def components(links: DataFrame) -> DataFrame:
     state = _state(edges)
     while True:
         both = edges.unionAll(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        # read from tables, both sides of a join are dealt out for it alone, so that Spark divides a hub
-        least = stored(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "least")
+        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = stored(
             both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(), "large"
         )
-        low = stored(large.groupBy("u").agg(F.min("v").alias("m")), "low")
+        low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = stored(
             large.join(low, "u").select(F.explode(F.array(
                 F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct(F.col("u"), F.col("m").alias("v"))
@@ -40,8 +39,8 @@ def components(links: DataFrame) -> DataFrame:
             "small",
         )
         after = _state(small)
-        for done in (edges, least, large, low):
-            drop_stored(done)
+        drop_stored(edges)
+        drop_stored(large)
         edges = small
         if after == state:
             break
