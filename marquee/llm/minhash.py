@@ -282,4 +282,33 @@ def one_of_each(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
     return unpacked(rows.join(first, same, "left_semi").dropDuplicates(["id", "key1", "key2"]), docs)
 
 
+#: The same groups by all pairs, for small tables.
+SQL = """
+WITH RECURSIVE words AS (
+  SELECT doc_id, list_filter(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'),
+    lambda x: x <> '') AS w
+  FROM documents
+), sets AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' ')) END) AS s
+  FROM words
+), shingles AS (
+  SELECT doc_id, unnest(s) AS g FROM sets
+), shared AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS n
+  FROM shingles a JOIN shingles b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL
+), links AS (
+  SELECT x, y FROM shared JOIN sets a ON a.doc_id = x JOIN sets b ON b.doc_id = y
+  WHERE 100 * n >= 80 * (len(a.s) + len(b.s) - n)
+), reached(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM documents
+  UNION
+  SELECT r.doc_id, e.y FROM reached r JOIN (SELECT x, y FROM links UNION ALL SELECT y, x FROM links) e ON e.x = r.other
+)
+SELECT doc_id, len(s) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM sets JOIN (SELECT doc_id, min(other) AS component_id FROM reached GROUP BY doc_id) USING (doc_id)
+"""
+
+
 cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -73,6 +73,9 @@ def op1_near_duplicates(spark, sf_dir):
     return minhash.digest(table(spark, sf_dir, "documents"))
 
 
+SQL["op1_near_duplicates"] = minhash.SQL
+
+
 @query
 def op3_quality_rules(spark, sf_dir):
     return rules.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
