@@ -12,6 +12,12 @@ that are read again from the texts. First the best candidate of each node is con
 one whose ends are not yet in one group, so that no candidate is left out. Groups are the connected
 components of the links.
 
+A crowded region may hold more nodes with the same least prefix than a window. Its nodes, unless
+they are one group by then, go an exact way: each is entered under its first shingles, rare ones
+first, so many that two sets of the wanted similarity share one of them; those that meet there and
+are long enough to be alike are confirmed, first with the smallest of each shingle, then all whose
+ends are still in different groups. So a pair that shares the least prefix in any tree is not missed.
+
 Chances: two sets of similarity 0.8 share three given values with 0.51; they miss each other in
 twelve trees with 0.0002, and more alike ones far less. Between signatures that agree in less than
 `ROUGH` of the values and a similarity of 0.8 lie four standard deviations.
@@ -38,6 +44,8 @@ from .words import SEED, byte_tables, chunks, mix, release, word_hashes
 TREES, DEPTH, LEAST_DEPTH = 12, 10, 3
 NEIGHBOURS = 4
 ROUGH = 0.65
+#: Counts by which shingles are ordered from rare to common; any fixed order gives the same links.
+BUCKETS = 1 << 18
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray]:
@@ -162,6 +170,107 @@ def candidates(nodes: DataFrame) -> DataFrame:
     return found
 
 
+def crowded(nodes: DataFrame, roots: DataFrame) -> DataFrame:
+    """(node, root): nodes that share the least prefix of a tree with more nodes than a window
+    holds, if not all of these are in one group; root is a hash."""
+    runs = F.array(*(
+        F.xxhash64(F.lit(t), F.substring("marks", 1 + 4 * DEPTH * t, 4 * LEAST_DEPTH)) for t in range(TREES)
+    ))
+    rows = (
+        nodes.select("node", runs.alias("runs")).join(roots, "node", "left")
+        .select("node", F.xxhash64(F.coalesce("root", "node")).alias("root"), F.explode("runs").alias("run"))
+    )
+    full = stored(
+        rows.groupBy("run").agg(F.count(F.lit(1)).alias("size"), F.min("root").alias("low"), F.max("root").alias("high"))
+        .where((F.col("size") > NEIGHBOURS + 1) & (F.col("low") < F.col("high"))).select("run"),
+        "runs",
+    )
+    found = stored(rows.join(sent_if_small(full), "run").select("node", "root").distinct(), "crowded")
+    drop_stored(full)
+    return found
+
+
+def _bucket(shingles: np.ndarray) -> np.ndarray:
+    return (shingles & np.uint64(BUCKETS - 1)).astype(np.int64)
+
+
+def _counted(batches):
+    total = np.zeros(BUCKETS, np.int64)
+    for batch in batches:
+        total += np.bincount(_bucket(np.frombuffer(b"".join(batch.column("members").to_pylist()), "<u8")), minlength=BUCKETS)
+    at = np.flatnonzero(total)
+    yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(total[at], pa.int64())], names=["bucket", "n"])
+
+
+def _first_shingles(common: np.ndarray, percent: int):
+    """Two sets of the similarity share at least one of these; `rest` counts the shingles from there on."""
+    def run(batches):
+        for batch in batches:
+            first, of, sizes, rests = [], [], [], []
+            for i, members in enumerate(batch.column("members").to_pylist()):
+                s = np.frombuffer(members, "<u8")
+                n = len(s)
+                k = n - -(-percent * n // 100) + 1
+                first.append(s[np.lexsort((s, common[_bucket(s)]))][:k])
+                of.append(np.full(k, i))
+                sizes.append(np.full(k, n))
+                rests.append(n - np.arange(k))
+            if not first:
+                continue
+            rows = pa.array(np.concatenate(of))
+            yield pa.RecordBatch.from_arrays([
+                pa.array(np.concatenate(first).astype(np.uint64).view(np.int64)), batch.column("node").take(rows),
+                batch.column("root").take(rows), pa.array(np.concatenate(sizes), pa.int64()),
+                pa.array(np.concatenate(rests), pa.int64()),
+            ], names=["g", "node", "root", "n", "rest"])
+        release()
+
+    return run
+
+
+def _meeting(some: DataFrame, others: DataFrame, percent: int, once: bool) -> DataFrame:
+    """(a, b): nodes of different groups that meet under a shingle and are long enough to be alike
+    if it is the first that they share."""
+    x, y = (d.select("g", *(F.col(c).alias(c + s) for c in ("node", "root", "n", "rest"))) for d, s in ((some, "1"), (others, "2")))
+    apart = F.col("root1") < F.col("root2") if once else F.col("root1") != F.col("root2")
+    enough = F.least("rest1", "rest2") * F.lit(100 + percent) >= F.lit(percent) * (F.col("n1") + F.col("n2"))
+    alike = F.lit(100) * F.least("n1", "n2") >= F.lit(percent) * F.greatest("n1", "n2")
+    return x.join(y, "g").where(apart & alike & enough).select(
+        F.least("node1", "node2").alias("a"), F.greatest("node1", "node2").alias("b")).distinct()
+
+
+def _divided(rows: DataFrame) -> DataFrame:
+    """(g, hub): shingles that nodes of different groups hold, and the smallest of these nodes."""
+    return (
+        rows.groupBy("g").agg(F.min("root").alias("low"), F.max("root").alias("high"),
+                              F.min(F.struct("n", "node", "root", "rest")).alias("hub"))
+        .where("low < high").select("g", "hub")
+    )
+
+
+def exact_links(crowd: DataFrame, members: DataFrame, links: DataFrame, confirm, percent: int) -> DataFrame:
+    """The links between nodes of `crowd` (node, root), so many that no pair of the similarity lies
+    in different components of these and `links`."""
+    counts = members.mapInArrow(_counted, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
+    common = np.zeros(BUCKETS, np.int64)  # at most BUCKETS rows
+    common[counts.column("bucket").to_numpy()] = counts.column("n").to_numpy()
+    kinds = "g long, node binary, root long, n long, rest long"
+    rows = stored(members.join(crowd, "node").mapInArrow(_first_shingles(common, percent), kinds), "first-shingles")
+    hubs = _divided(rows).select("g", "hub.*")
+    near = confirm(stored(_meeting(rows, hubs, percent, once=False), "met-hubs"), members)
+    after = components(links.unionAll(near))
+    fresh = (
+        rows.drop("root").join(after, "node", "left")
+        .select("g", "node", F.xxhash64(F.coalesce("root", "node")).alias("root"), "n", "rest")
+    )
+    fresh = stored(fresh, "first-shingles")
+    left = stored(fresh.join(_divided(fresh).select("g"), "g"), "divided")
+    far = confirm(stored(_meeting(left, left, percent, once=True), "met"), members)
+    for done in (rows, fresh, left):
+        drop_stored(done)
+    return near.unionAll(far)
+
+
 def _agreeing(batches):
     for batch in batches:
         x, y = (
@@ -225,16 +334,21 @@ def groups(
         .mapInArrow(_agreeing, "a binary, b binary, agree double").where(F.col("agree") >= percent / 80 * ROUGH),
         "pairs",
     )
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    asked = stored(nodes.join(wanted, "node").select("node", "id", "k1", "k2"), "wanted")
-    keys = sent_if_small(asked.toDF("node", "i", "h1", "h2"))
-    members = stored(
-        source.join(keys, F.col("id").eqNullSafe(F.col("i")) & (F.col("k1") == F.col("h1")) & (F.col("k2") == F.col("h2")))
-        .select("node", "text").dropDuplicates(["node"]).mapInArrow(_sets(words), "node binary, members binary"),
-        "members",
-    )
 
-    def confirm(some: DataFrame) -> DataFrame:
+    def sets_of(wanted: DataFrame) -> DataFrame:
+        asked = stored(nodes.join(wanted, "node").select("node", "id", "k1", "k2"), "wanted")
+        keys = sent_if_small(asked.toDF("node", "i", "h1", "h2"))
+        found = stored(
+            source.join(keys, F.col("id").eqNullSafe(F.col("i")) & (F.col("k1") == F.col("h1")) & (F.col("k2") == F.col("h2")))
+            .select("node", "text").dropDuplicates(["node"]).mapInArrow(_sets(words), "node binary, members binary"),
+            "members",
+        )
+        drop_stored(asked)
+        return found
+
+    members = sets_of(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct())
+
+    def confirm(some: DataFrame, members: DataFrame = members) -> DataFrame:
         full = some.select("a", "b").join(members.toDF("a", "sa"), "a").join(members.toDF("b", "sb"), "b")
         return stored(full.select("a", "b", "sa", "sb").mapInArrow(_confirmed(percent), "a binary, b binary"), "links")
 
@@ -249,12 +363,21 @@ def groups(
         .where(~F.coalesce(F.col("root_a") == F.col("root_b"), F.lit(False)))
     )
     more = confirm(rest)
-    roots = stored(components(links.unionAll(more)), "roots")
+    links = stored(links.unionAll(more), "all-links")
+    roots = stored(components(links), "roots")
+    crowd = crowded(nodes, roots)
+    if not crowd.isEmpty():
+        drop_stored(members)
+        members = sets_of(crowd.select("node"))
+        added = stored(exact_links(crowd, members, links, confirm, percent), "exact-links")
+        before, roots = roots, stored(components(links.unionAll(added)), "roots")
+        drop_stored(before)
+        drop_stored(added)
 
     named = nodes.select("node", "id").join(roots, "node", "left").select("node", "id", F.coalesce("root", "node").alias("root"))
     least = named.groupBy("root").agg(F.min("id").alias("component"))
     labels = stored(named.join(least, "root").select("node", "component"), "labels")
-    for done in (met, pairs, asked, members, best, links, more, roots, nodes):
+    for done in (met, pairs, members, best, links, more, roots, crowd, nodes):
         drop_stored(done)
     return signed.select("id", "k1", "k2", "n", "node").join(labels, "node", "left").select(
         "id", "k1", "k2", F.col("n").alias("n_shingles"),

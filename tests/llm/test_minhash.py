@@ -87,6 +87,24 @@ def test_many_copies_of_one_text(spark):
     assert rows(minhash.digest(documents(spark, docs))) == by_hand(docs)
 
 
+def test_crowded_region(spark):
+    """On each boilerplate two short texts are near copies of each other; longer texts on it, that
+    are near copies of none, stand between them in every order."""
+    r = random.Random(5)
+    fresh = iter(range(10**6))
+    docs, want = [], {}
+    for region in range(4):
+        common = [f"c{region}_{i}" for i in range(203)]
+        for i, own in enumerate([24, 24] + [60] * 700):
+            doc = 1_000 * region + i
+            docs.append((doc, " ".join(common + [f"x{next(fresh)}" for _ in range(own)])))
+            want[doc] = 1_000 * region if own == 24 else doc
+    short, other, long = (shingles(t, 4) for _, t in docs[:3])
+    assert 100 * len(short & other) >= 80 * len(short | other) and 100 * len(short & long) < 75 * len(short | long)
+    r.shuffle(docs)
+    assert {r.doc_id: r.component_id for r in minhash.digest(documents(spark, docs)).collect()} == want
+
+
 def test_empty_table(spark):
     assert minhash.digest(documents(spark, [])).collect() == []
     assert minhash.one_of_each(documents(spark, [])).collect() == []
