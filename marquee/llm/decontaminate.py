@@ -7,9 +7,13 @@ their places). Where a window holds placeholders, each value of the item must st
 of the document all along the diagonal: a question with other numbers or names is caught, a chance
 likeness of templates is not. Only DataFrame functions run.
 
+Windows of the plain tokens in lower case are looked up beside the templates, whatever they hold:
+they count without a test of values. Where the templates alone do not cover an item, both together
+may; so a copy word for word is found whatever its values are and whatever stands around it.
+
 Cases: a null or empty text on either side has no tokens and no hits. An item shorter than a window
-is one window. Windows with fewer than `MIN_LITERAL` literal tokens say nothing and are left out, so
-that an item without that many is never found. Repeated items and documents are found each by
+is one window. Template windows with fewer than `MIN_LITERAL` literal tokens say nothing and are left
+out, so that an item without that many is found in exact copies only. Repeated items and documents are found each by
 themselves; items with a null id are left out. An empty table on either side gives an empty result.
 """
 
@@ -55,6 +59,11 @@ def canonical(raw: Column) -> Column:
     return F.transform(raw, one)
 
 
+def plain(raw: Column) -> Column:
+    """Tokens without the marks of names, apart from all canonical ones."""
+    return F.transform(raw, lambda t: F.concat(F.lit(MARK), F.replace(t, F.lit(MARK), F.lit(""))))
+
+
 def _is_slot(token: Column) -> Column:
     return token.startswith("#")
 
@@ -90,24 +99,31 @@ def leaks(
     lengths = sorted(r["length"] for r in rows) or [window]
     slots = F.size(F.filter(F.slice("canonical", F.col("item_at") + 1, F.col("length")), _is_slot))
     hashed = items.withColumn("length", size).withColumn("hashes", token_hashes(F.col("canonical")))
-    item_windows = reduce(DataFrame.unionAll, (
+    templated = reduce(DataFrame.unionAll, (
         hashed.where(F.col("length") == n)
         .select("item", "canonical", "length", F.posexplode(window_hashes(F.col("hashes"), n)).alias("item_at", "hash"))
         for n in lengths
     )).where(F.col("length") - slots >= MIN_LITERAL).select(
-        "hash", "item", "item_at", "length", (slots > 0).alias("has_slots"),
+        "hash", "item", "item_at", "length", (slots > 0).alias("has_slots"), F.lit(False).alias("exact"),
     )
-    item_windows = stored(item_windows, "item-windows")
+    exact = items.select("item", size.alias("length"), token_hashes(plain(F.col("tokens"))).alias("hashes"))
+    exact = reduce(DataFrame.unionAll, (
+        exact.where(F.col("length") == n)
+        .select("item", "length", F.posexplode(window_hashes(F.col("hashes"), n)).alias("item_at", "hash"))
+        for n in lengths
+    )).select("hash", "item", "item_at", "length", F.lit(False).alias("has_slots"), F.lit(True).alias("exact"))
+    item_windows = stored(templated.unionAll(exact), "item-windows")
 
     k1, k2 = text_key(F.col(text))
     doc_tokens = docs.select(k1.alias("k1"), k2.alias("k2"), tokens(F.col(text)).alias("tokens"))
-    hashed = doc_tokens.select("k1", "k2", token_hashes(canonical(F.col("tokens"))).alias("hashes"))
+    forms = F.array(*(token_hashes(form(F.col("tokens"))) for form in (canonical, plain)))
+    hashed = doc_tokens.select("k1", "k2", F.explode(forms).alias("hashes"))
     doc_windows = reduce(DataFrame.unionAll, (
         hashed.select("k1", "k2", F.posexplode(window_hashes(F.col("hashes"), n)).alias("at", "hash")) for n in lengths
     ))
     hits = doc_windows.join(sent_if_small(item_windows), "hash")
     diagonals = stored(
-        hits.groupBy("k1", "k2", "item", (F.col("at") - F.col("item_at")).alias("shift"), "length")
+        hits.groupBy("k1", "k2", "item", (F.col("at") - F.col("item_at")).alias("shift"), "length", "exact")
         .agg(F.collect_set("item_at").alias("places"), F.max("has_slots").alias("has_slots")),
         "diagonals",
     )
@@ -115,7 +131,7 @@ def leaks(
     diagonals = diagonals.withColumn("covered", covered)
 
     literal = diagonals.where(~F.col("has_slots")).select(
-        "k1", "k2", "item", "covered", F.array().cast("array<int>").alias("changed"))
+        "k1", "k2", "item", "exact", "covered", F.array().cast("array<int>").alias("changed"))
     pairs = F.transform(
         F.filter("covered", lambda p: _is_slot(F.get(F.col("canonical"), p))),
         lambda p: F.struct(
@@ -130,15 +146,18 @@ def leaks(
         .withColumn("pairs", pairs)
         .where(F.size(F.array_distinct("pairs.mine")) == F.size(F.array_distinct(
             F.transform("pairs", lambda x: F.struct(x["mine"], x["other"])))))
-        .select("k1", "k2", "item", "covered",
+        .select("k1", "k2", "item", "exact", "covered",
                 F.filter("pairs", lambda x: x["mine"] != x["other"])["at"].alias("changed"))
     )
+    by_templates = F.array_distinct(F.flatten(F.collect_list(F.when(~F.col("exact"), F.col("covered")))))
+    needed = F.least(F.col("n"), F.lit(min_covered))
     return (
         literal.unionAll(slotted).groupBy("k1", "k2", "item")
-        .agg(F.array_distinct(F.flatten(F.collect_list("covered"))).alias("covered"),
+        .agg(by_templates.alias("by_templates"), F.array_distinct(F.flatten(F.collect_list("covered"))).alias("both"),
              F.array_distinct(F.flatten(F.collect_list("changed"))).alias("changed"))
         .join(items.select("item", F.size("canonical").alias("n")), "item")
-        .where(F.size("covered") >= F.least(F.col("n"), F.lit(min_covered)))
+        .withColumn("covered", F.when(F.size("by_templates") >= needed, F.col("by_templates")).otherwise(F.col("both")))
+        .where(F.size("covered") >= needed)
         .select("k1", "k2", "item", F.size("covered").cast("long").alias("n_covered"), F.size("changed").cast("long").alias("n_changed"))
     )
 

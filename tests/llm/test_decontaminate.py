@@ -83,6 +83,18 @@ def test_slots_must_agree(spark):
     assert got.get((12, 2), (0, 0, 99, 0))[2] != got[11, 2][2]
 
 
+def found_in(spark, text, item):
+    got = decontaminate.contaminated(documents(spark, [(1, text)]), bench(spark, [(1, item)]))
+    return [r.n_covered for r in got.collect()]
+
+
+def test_copies_with_few_literal_tokens(spark):
+    sums = "What is 17 * 23 + 41 * 19 - 8 * 12 + 5?"
+    assert found_in(spark, f"Now this. {sums} Next.", sums) == [9]
+    assert found_in(spark, "It counts: 1 2 3.", "1 2 3") == [3]
+    assert found_in(spark, sums.replace("41", "43"), sums) == []
+
+
 def test_documents_without_leaks(spark):
     table = clashing(spark, DOCS)
     left = decontaminate.without_leaks(table, bench(spark, ITEMS))
