@@ -103,6 +103,14 @@ def test_one_value_changed_in_one_place(spark):
     assert found_in(spark, text, item)
 
 
+@pytest.mark.parametrize("text, item, n", [
+    ("Now question 3 What is the largest planet that orbits around the sun?", "What is the largest planet that orbits around the sun?", 10),
+    ("He lives in the old city of\nParis in northern France now.", "He lives in the old city of Paris in northern France", 11),
+])
+def test_copies_in_other_surroundings(spark, text, item, n):
+    assert found_in(spark, text, item) == [n]
+
+
 def test_documents_without_leaks(spark):
     table = clashing(spark, DOCS)
     left = decontaminate.without_leaks(table, bench(spark, ITEMS))
