@@ -27,7 +27,7 @@ def test_query_matches_sql(spark, name):
 def test_all_are_registered():
     names = set(registry.queries())
     assert set(QUERIES) | {"pipeline"} <= names
-    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 14)}
     assert set(registry.oracle_sql()) <= names
     assert [n for n, _ in corpus_pipeline.STAGES] == [
         "quality_classifier", "line_dedup", "minhash_near_dedup", "benchmark_decontamination", "bpe_encoding"]
