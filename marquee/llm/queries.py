@@ -7,7 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bitpack, bpe, chat, classifier, codec, decontaminate, licenses, lines, merkle, minhash, pii, rules, shards
+from . import (
+    bitpack, bpe, chat, classifier, codec, codes, decontaminate, licenses, lines, merkle, minhash, pii, rules, shards,
+)
 from ..sources.files import shared_dir
 from .common import table
 
@@ -86,6 +88,14 @@ def op4_license_scan(spark, sf_dir):
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 
+@query
+def op11_vector_codes(spark, sf_dir):
+    return codes.digest(table(spark, sf_dir, "embeddings"))
+
+
+SQL["op11_vector_codes"] = codes.SQL
+
+
 @query
 def op12_merkle_manifest(spark, sf_dir):
     return merkle.digest(table(spark, sf_dir, "documents"))

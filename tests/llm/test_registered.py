@@ -16,7 +16,7 @@ def plain(rows, order):
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_query_matches_sql(spark, name):
     con = duckdb.connect()
-    for table in ("documents", "benchmark", "labels", "conversations"):
+    for table in ("documents", "benchmark", "labels", "conversations", "embeddings"):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF}/{table}.parquet'")
     result, want = QUERIES[name](spark, SF), con.sql(SQL[name])
     assert sorted(result.columns) == sorted(want.columns)
