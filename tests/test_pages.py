@@ -43,6 +43,30 @@ def test_metacritic_fields_fail_alone(spark):
     assert got[3].critic_score is None and got[3].user_score == 8.9
 
 
+def test_an_element_ends_at_its_own_end_tag(spark):
+    scores = '<div class="c-siteReviewScore"><span>82</span></div>'
+    beside = METACRITIC.replace('<div class="c-siteReviewScore g-bg-green"><span>82</span></div></div>',
+                                '</div><div class="c-siteReviewScore"><span>55</span></div>')
+    nested = METACRITIC.replace('<div class="c-siteReviewScore g-bg-green"><span>82</span></div></div>',
+                                f"<div><div></div><br/><img src='</div>'>{scores}</div></div>")
+    assert beside != METACRITIC != nested
+    got = {r.page_id: r for r in pages.extract_metacritic(frame(spark, beside, nested)).collect()}
+    assert [got[i].critic_score for i in (0, 1)] == [None, 82.0] and got[0].user_score == 8.9
+    aside = """<div class="media-scorecard"><div><rt-text slot="audienceScore">60%</rt-text></div></div>
+<aside><rt-text slot="criticsScore">12%</rt-text></aside>"""
+    deep = aside.replace("</div></div>", '</div><p><rt-text slot="criticsScore">99%</rt-text></div>')
+    got = pages.extract_rotten_tomatoes(frame(spark, aside, deep)).orderBy("page_id").collect()
+    assert [(r.critic_score, r.user_score, r.has_scorecard) for r in got] == [(None, 60.0, True), (99.0, 60.0, True)]
+
+
+def test_open_and_stray_tags(spark):
+    rule = pages.Rule("text", (pages.Step("section"), pages.Step("div"), pages.Step("b")))
+    assert fields(spark, "<section><div><p></section><b>x</b>", rule) is None
+    assert fields(spark, "<section></div></p><div><i><b>x</section></b>", rule) == "x"
+    assert fields(spark, "<section><div/><b>x</b></section>", rule) is None
+    assert fields(spark, "<SECTION><Div><section></section><input><b>x<i>y</i></B></div>", rule) == "xy"
+
+
 def test_first_match_is_not_retried(spark):
     html = METACRITIC.replace("<ul><li><span> 1994\n</span></li>", "<ul><li>none</li>")
     assert pages.extract_metacritic(frame(spark, html)).count() == 0
@@ -71,7 +95,7 @@ def fields(spark, html, *rules):
 
 
 def test_odd_markup(spark):
-    first = pages.Rule("first", (pages.Step("div", "id", "a", until="</div>"), pages.Step("p")))
+    first = pages.Rule("first", (pages.Step("div", "id", "a"), pages.Step("p")))
     every = pages.Rule("all", (pages.Step("i"),), every=True)
     assert fields(spark, '<div id=a><img src="x>y"><br/><p>1 &lt; 2</p></div>', first) == "1 < 2"
     assert fields(spark, '</p></div><div id="a" title="</div>"><P>x</P></div>', first) == "x"
@@ -86,6 +110,7 @@ def test_odd_markup(spark):
 def test_every_quoting_and_entities(spark):
     lang, link = pages.Rule("lang", (pages.Step("html"),), attribute="lang"), pages.Rule("link", (pages.Step("a"),), attribute="href")
     title = pages.Rule("title", (pages.Step("title"),))
+    assert fields(spark, "<title>&apos;&nbsp;&NotEqualTilde;&nope;&#0;&fjlig;</title>", title) == "'\xa0\u2242\u0338&nope;\ufffdfj"
     assert fields(spark, "<html lang=en><title>A &amp; B &#233;&#x1F600; &amp;lt;</title><a href='/q'>", lang, title, link) == (
         "en", "A & B é\U0001F600 &lt;", "/q")
     assert fields(spark, '<HTML class="x" LANG = "fr"><!-- <title>no</title> <a href="/no"> --><a name="n">1</a><a href="/two">', lang, title, link) == (
@@ -100,7 +125,7 @@ def test_long_pages_and_many_attributes(spark):
 def test_no_python_on_the_way(spark):
     for read in (pages.extract_metacritic, pages.extract_rotten_tomatoes):
         plan = read(frame(spark, METACRITIC))._jdf.queryExecution().executedPlan().toString()
-        assert "Python" not in plan and "Arrow" not in plan
+        assert "MapInArrow" not in plan and "EvalPython" not in plan
         assert "Contains" in plan or "contains" in plan
 
 
@@ -182,3 +207,13 @@ def test_rules_agree_with_the_standard_parser(spark):
             found = expected.found.get(tag)
             assert row[tag] == ("".join(found[0]) or None if found else None)
         assert row.links == ["".join(t) for t in expected.found.get("a", [])]
+
+
+def test_no_expression_is_copied(spark):
+    """The filter stays above the page's reading, and each pattern is in the plan once."""
+    plan = pages.extract_metacritic(frame(spark, METACRITIC))._jdf.queryExecution().optimizedPlan().toString()
+    lines = plan.split("\n")
+    at = next(i for i, line in enumerate(lines) if "Filter" in line)
+    assert "regexp_extract(" in "".join(lines[at + 1:]) and "regexp_extract_all" not in lines[at]
+    for value in ("hero-metadata", "critic-path", "user-path"):
+        assert plan.count(f'"{value}"') + plan.count(f'"{value.replace("-", chr(92) + "-")}"') == 1, value
