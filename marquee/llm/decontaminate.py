@@ -2,8 +2,11 @@
 
 Texts become tokens; numbers, units and names (words with a capital inside a sentence) become typed
 placeholders, all else is in lower case. Windows of tokens from all documents meet the windows of
-the benchmark by hash. Hits of a document and an item are gathered by diagonal (the distance of
-their places). Where a window holds placeholders, each value of the item must stand for one value
+the benchmark by hash. Each benchmark window has an anchor, its longest two literal tokens in a row
+(or the longest one): documents are read into tokens once, and a window is built only where a table
+of the anchors says that one may stand around the token. Hits of a document and an item are gathered
+by diagonal (the distance of their places), and diagonals that differ by at most `GAP` into chains;
+an item is found if one chain covers enough of it. Where a window holds placeholders, each value of the item must stand for one value
 of the document all along the diagonal: a question with other numbers or names is caught, a chance
 likeness of templates is not. Only DataFrame functions run.
 
@@ -13,22 +16,27 @@ may; so a copy word for word is found whatever its values are and whatever stand
 
 Cases: a null or empty text on either side has no tokens and no hits. An item shorter than a window
 is one window. Template windows with fewer than `MIN_LITERAL` literal tokens say nothing and are left
-out, so that an item without that many is found in exact copies only. Repeated items and documents are found each by
+out, so that an item without that many is found in exact copies only. Of several chains the one that
+covers most counts, then the one with fewest changes. Repeated items and documents are found each by
 themselves; items with a null id are left out. An empty table on either side gives an empty result.
+Columns of other names take no part and are kept.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..sources.pages import settled
 from .common import packed, sent_if_small, stored, text_key, unpacked
 
 WINDOW = 8
 MIN_LITERAL = 4
 #: Tokens of an item that a document must hold, or all of them if the item has fewer.
 MIN_COVERED = 13
+#: Tokens by which neighbouring diagonals of one passage may differ: words put in or left out.
+GAP = 16
+#: Slots of the table of anchors, a literal of the plan. Keys that share a slot cost time only.
+SLOTS = 1 << 18
 #: A capital inside a sentence gets a mark before the text goes to lower case.
 MARK = "\x01"
 INNER_CAPITAL = r"(?<=[\p{L}\p{M}0-9,;] )\p{Lu}(?=\p{Ll})"
@@ -68,17 +76,8 @@ def _is_slot(token: Column) -> Column:
     return token.startswith("#")
 
 
-def token_hashes(canonical_tokens: Column) -> Column:
-    return F.transform(canonical_tokens, lambda t: F.xxhash64(t))
-
-
-def window_hashes(hashes: Column, length: int) -> Column:
-    """The hash of the window at each place of an array of token hashes."""
-    def one(i: Column) -> Column:
-        return F.xxhash64(*(F.get(hashes, i + j) for j in range(length)))
-
-    last = F.greatest(F.size(hashes) - length, F.lit(0))
-    return F.when(F.size(hashes) >= length, F.transform(F.sequence(F.lit(0), last), one))
+def _bare(token: Column) -> Column:
+    return F.replace(token, F.lit(MARK), F.lit(""))
 
 
 def templates(benchmark: DataFrame, *, item_id: str, text: str) -> DataFrame:
@@ -87,6 +86,109 @@ def templates(benchmark: DataFrame, *, item_id: str, text: str) -> DataFrame:
     return raw.where("item IS NOT NULL AND size(tokens) > 0").withColumn("canonical", canonical(F.col("tokens"))).distinct()
 
 
+def _pair_key(hashes: Column, place: Column) -> Column:
+    return F.xxhash64(F.get(hashes, place), F.get(hashes, place + 1))
+
+
+def item_windows(items: DataFrame, window: int) -> DataFrame:
+    """The windows of the items: (hash, item, item_at, length, has_slots, exact, key, offset).
+
+    `key` is the anchor, the longest two literal tokens in a row (or the longest one), and `offset`
+    its place in the window."""
+    n = F.least(F.size("canonical"), F.lit(window))
+    rows = items.select("item", "tokens", "canonical", n.alias("length")).select(
+        "*", F.transform("tokens", _bare).alias("bare"), plain(F.col("tokens")).alias("plain"),
+    ).select("*", F.transform("bare", lambda t: F.xxhash64(t)).alias("hashes"))
+
+    def form(name: str, exact: bool) -> DataFrame:
+        at = F.explode(F.sequence(F.lit(0), F.size("tokens") - F.col("length")))
+        slices = rows.select("item", "bare", "hashes", "length", name, at.alias("item_at")).select(
+            "*", F.slice(name, F.col("item_at") + 1, F.col("length")).alias("held"))
+        literal = slices.withColumn("slots", F.size(F.filter("held", _is_slot)))
+        def good(k):
+            return ~_is_slot(F.get("held", k - F.col("item_at")))
+
+        def length_of(k):
+            return F.length(F.get("bare", k))
+
+        places = F.sequence(F.col("item_at"), F.col("item_at") + F.col("length") - 1)
+        end = F.col("item_at") + F.col("length") - 1
+        pairs = F.transform(F.filter(places, lambda k: (k < end) & good(k) & good(k + 1)), lambda k: F.struct(
+            (length_of(k) + length_of(k + 1)).alias("size"), _pair_key(F.col("hashes"), k).alias("key"), k.alias("k")))
+        singles = F.transform(F.filter(places, good), lambda k: F.struct(
+            length_of(k).alias("size"), F.get("hashes", k).alias("key"), k.alias("k")))
+        anchored = literal.where(F.lit(exact) | (F.col("length") - F.col("slots") >= MIN_LITERAL)).withColumn(
+            "anchor", F.coalesce(F.array_max(pairs), F.array_max(singles)))
+        return anchored.select(
+            F.xxhash64("held").alias("hash"), "item", "item_at", "length",
+            (~F.lit(exact) & (F.col("slots") > 0)).alias("has_slots"), F.lit(exact).alias("exact"),
+            F.col("anchor.key").alias("key"), (F.col("anchor.k") - F.col("item_at")).alias("offset"),
+            F.array_max(pairs).isNull().alias("single"),
+        )
+
+    return form("canonical", False).unionAll(form("plain", True))
+
+
+def _anchor_table(windows: DataFrame) -> tuple[Column, list[tuple[int, int]], bool]:
+    """A table of `SLOTS` numbers, whose bits tell for each slot of a key which (length, offset) of
+    windows may stand around it; those pairs; and whether some anchors are single tokens."""
+    rows = windows.select("length", "offset", "single").distinct().collect()  # at most 2 for each place in a window
+    kinds = sorted({(r["length"], r["offset"]) for r in rows})
+    bit = F.lit(0).cast("long")
+    for number, (length, offset) in enumerate(kinds):
+        bit = F.when((F.col("length") == length) & (F.col("offset") == offset), F.lit(1 << number).cast("long")).otherwise(bit)
+    held = {r["slot"]: r["bits"] for r in windows.groupBy(_slot(F.col("key")).alias("slot")).agg(
+        F.bit_or(bit).alias("bits")).collect()}  # at most SLOTS
+    numbers = ",".join(str(held.get(slot, 0)) for slot in range(SLOTS))
+    return F.split(F.lit(numbers), ",").cast("array<bigint>"), kinds, any(r["single"] for r in rows)
+
+
+def _slot(key: Column) -> Column:
+    return key.bitwiseAND(F.lit(SLOTS - 1)).cast("int")
+
+
+def doc_windows(docs: DataFrame, windows: DataFrame) -> DataFrame:
+    """(k1, k2, at, hash): the windows of the texts (k1, k2, tokens) that stand around an anchor."""
+    table, kinds, singles = _anchor_table(windows)
+    if not kinds:
+        return docs.limit(0).select("k1", "k2", F.lit(0).alias("at"), F.lit(0).cast("long").alias("hash"))
+    hashed = settled(docs, ["k1", "k2", "tokens"], hashes=F.transform("tokens", lambda t: F.xxhash64(_bare(t))))
+    hashes, size = F.col("hashes"), F.size("tokens")
+
+    def bits(i: Column) -> Column:
+        found = F.get(table, _slot(_pair_key(hashes, i)))
+        return found.bitwiseOR(F.get(table, _slot(F.get(hashes, i)))) if singles else found
+
+    places = F.when(size > 0, F.filter(F.sequence(F.lit(0), size - 1), lambda i: bits(i) != 0))
+    around = F.array(*(
+        F.struct(F.lit(n).alias("bit"), F.lit(length).alias("length"), F.lit(offset).alias("offset"))
+        for n, (length, offset) in enumerate(kinds)
+    ))
+
+    def standing(i: Column) -> Column:
+        fits = F.filter(around, lambda c: (F.call_function("getbit", bits(i), c["bit"]) == 1) & (i >= c["offset"])
+                        & (i - c["offset"] + c["length"] <= size))
+        return F.transform(fits, lambda c: F.struct((i - c["offset"]).alias("at"), c["length"].alias("length")))
+
+    at = settled(hashed, ["k1", "k2", "tokens"], at=F.array_distinct(F.flatten(F.transform(places, standing))))
+    held = at.where(F.size("at") > 0)
+
+    def forms(w: Column) -> Column:
+        held = F.slice("tokens", w["at"] + 1, w["length"])
+        return F.array(*(F.struct(w["at"].alias("at"), F.xxhash64(form(held)).alias("hash")) for form in (canonical, plain)))
+
+    return held.select("k1", "k2", F.inline(F.flatten(F.transform("at", forms))))
+
+
+def chains(diagonals: DataFrame) -> DataFrame:
+    """`diagonals` with the number of their chain: diagonals of a text and an item of which each
+    lies within `GAP` of the next."""
+    by_shift = Window.partitionBy("k1", "k2", "item").orderBy("shift")
+    far = F.coalesce((F.col("shift") - F.lag("shift").over(by_shift) > GAP).cast("int"), F.lit(0))
+    return diagonals.withColumn("far", far).withColumn(
+        "chain", F.sum("far").over(by_shift.rangeBetween(Window.unboundedPreceding, 0))).drop("far")
+
+
 def leaks(
     docs: DataFrame, benchmark: DataFrame, *, text: str = "text", item_id: str = "item_id",
     item_text: str = "text", window: int = WINDOW, min_covered: int = MIN_COVERED,
@@ -94,34 +196,10 @@ def leaks(
     """(k1, k2, item, n_covered, n_changed): texts, by the hashes from `text_key`, that hold an
     item; how many of its tokens, and how many of those with another number, unit or name."""
     items = stored(templates(benchmark, item_id=item_id, text=item_text), "templates")
-    size = F.least(F.size("canonical"), F.lit(window))
-    rows = items.select(size.alias("length")).distinct().collect()  # at most `window` rows
-    lengths = sorted(r["length"] for r in rows) or [window]
-    slots = F.size(F.filter(F.slice("canonical", F.col("item_at") + 1, F.col("length")), _is_slot))
-    hashed = items.withColumn("length", size).withColumn("hashes", token_hashes(F.col("canonical")))
-    templated = reduce(DataFrame.unionAll, (
-        hashed.where(F.col("length") == n)
-        .select("item", "canonical", "length", F.posexplode(window_hashes(F.col("hashes"), n)).alias("item_at", "hash"))
-        for n in lengths
-    )).where(F.col("length") - slots >= MIN_LITERAL).select(
-        "hash", "item", "item_at", "length", (slots > 0).alias("has_slots"), F.lit(False).alias("exact"),
-    )
-    exact = items.select("item", size.alias("length"), token_hashes(plain(F.col("tokens"))).alias("hashes"))
-    exact = reduce(DataFrame.unionAll, (
-        exact.where(F.col("length") == n)
-        .select("item", "length", F.posexplode(window_hashes(F.col("hashes"), n)).alias("item_at", "hash"))
-        for n in lengths
-    )).select("hash", "item", "item_at", "length", F.lit(False).alias("has_slots"), F.lit(True).alias("exact"))
-    item_windows = stored(templated.unionAll(exact), "item-windows")
-
+    windows = stored(item_windows(items, window), "item-windows")
     k1, k2 = text_key(F.col(text))
-    doc_tokens = docs.select(k1.alias("k1"), k2.alias("k2"), tokens(F.col(text)).alias("tokens"))
-    forms = F.array(*(token_hashes(form(F.col("tokens"))) for form in (canonical, plain)))
-    hashed = doc_tokens.select("k1", "k2", F.explode(forms).alias("hashes"))
-    doc_windows = reduce(DataFrame.unionAll, (
-        hashed.select("k1", "k2", F.posexplode(window_hashes(F.col("hashes"), n)).alias("at", "hash")) for n in lengths
-    ))
-    hits = doc_windows.join(sent_if_small(item_windows), "hash")
+    doc_tokens = settled(docs, [], k1=k1, k2=k2, tokens=tokens(F.col(text)))
+    hits = doc_windows(doc_tokens, windows).join(sent_if_small(windows.drop("key", "offset", "single")), "hash")
     diagonals = stored(
         hits.groupBy("k1", "k2", "item", (F.col("at") - F.col("item_at")).alias("shift"), "length", "exact")
         .agg(F.collect_set("item_at").alias("places"), F.max("has_slots").alias("has_slots")),
@@ -131,7 +209,7 @@ def leaks(
     diagonals = diagonals.withColumn("covered", covered)
 
     literal = diagonals.where(~F.col("has_slots")).select(
-        "k1", "k2", "item", "exact", "covered", F.array().cast("array<int>").alias("changed"))
+        "k1", "k2", "item", "shift", "exact", "covered", F.array().cast("array<int>").alias("changed"))
     pairs = F.transform(
         F.filter("covered", lambda p: _is_slot(F.get(F.col("canonical"), p))),
         lambda p: F.struct(
@@ -146,19 +224,21 @@ def leaks(
         .withColumn("pairs", pairs)
         .where(F.size(F.array_distinct("pairs.mine")) == F.size(F.array_distinct(
             F.transform("pairs", lambda x: F.struct(x["mine"], x["other"])))))
-        .select("k1", "k2", "item", "exact", "covered",
+        .select("k1", "k2", "item", "shift", "exact", "covered",
                 F.filter("pairs", lambda x: x["mine"] != x["other"])["at"].alias("changed"))
     )
     by_templates = F.array_distinct(F.flatten(F.collect_list(F.when(~F.col("exact"), F.col("covered")))))
     needed = F.least(F.col("n"), F.lit(min_covered))
     return (
-        literal.unionAll(slotted).groupBy("k1", "k2", "item")
+        chains(literal.unionAll(slotted)).groupBy("k1", "k2", "item", "chain")
         .agg(by_templates.alias("by_templates"), F.array_distinct(F.flatten(F.collect_list("covered"))).alias("both"),
-             F.array_distinct(F.flatten(F.collect_list("changed"))).alias("changed"))
+             F.size(F.array_distinct(F.flatten(F.collect_list("changed")))).cast("long").alias("changed"))
         .join(items.select("item", F.size("canonical").alias("n")), "item")
         .withColumn("covered", F.when(F.size("by_templates") >= needed, F.col("by_templates")).otherwise(F.col("both")))
         .where(F.size("covered") >= needed)
-        .select("k1", "k2", "item", F.size("covered").cast("long").alias("n_covered"), F.size("changed").cast("long").alias("n_changed"))
+        .groupBy("k1", "k2", "item").agg(F.max(F.struct(
+            F.size("covered").cast("long").alias("n_covered"), (-F.col("changed")).alias("kept"))).alias("best"))
+        .select("k1", "k2", "item", "best.n_covered", (-F.col("best.kept")).alias("n_changed"))
     )
 
 

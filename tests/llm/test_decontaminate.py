@@ -24,31 +24,50 @@ def tokens(text):
     return out
 
 
-def by_hand(docs, items, window=decontaminate.WINDOW):
+def by_hand(docs, items, window=decontaminate.WINDOW, gap=decontaminate.GAP):
+    """Every window of the texts against every window of the items, by templates and word for word."""
     found = set()
+    read = [(item, tokens(body)) for item, body in items if item is not None and tokens(body)]
+    index = {}
+    for number, (_, t) in enumerate(read):
+        n = min(len(t), window)
+        for j in range(len(t) - n + 1):
+            index.setdefault((True, *(v for v, _ in t[j : j + n])), []).append((number, j))
+            kinds = [k for _, k in t[j : j + n]]
+            if sum(not k.startswith("#") for k in kinds) >= decontaminate.MIN_LITERAL:
+                index.setdefault((False, *kinds), []).append((number, j))
+    lengths = {min(len(t), window) for _, t in read}
     for doc, text in docs:
-        d = tokens(text)
-        for item, body in items:
-            t = tokens(body)
-            n = min(len(t), window)
-            if not t or item is None:
-                continue
-            shifts = {}
-            for j in range(len(t) - n + 1):
-                kinds = [k for _, k in t[j : j + n]]
-                if sum(not k.startswith("#") for k in kinds) < decontaminate.MIN_LITERAL:
-                    continue
-                for i in range(len(d) - n + 1):
-                    if [k for _, k in d[i : i + n]] == kinds:
-                        shifts.setdefault(i - j, set()).update(range(j, j + n))
-            covered, changes = set(), set()
-            for shift, places in shifts.items():
+        d, hits = tokens(text), {}
+        for n in lengths:
+            for i in range(len(d) - n + 1):
+                for exact in (True, False):
+                    for number, j in index.get((exact, *(x[not exact] for x in d[i : i + n])), ()):
+                        if min(len(read[number][1]), window) == n:
+                            hits.setdefault(number, {}).setdefault((i - j, exact), set()).update(range(j, j + n))
+        for number, diagonals in hits.items():
+            item, t = read[number]
+            kept = []
+            for (shift, exact), places in diagonals.items():
                 pairs = [(t[p][0], d[p + shift][0], p) for p in places if t[p][1].startswith("#")]
-                if len({a for a, _, _ in pairs}) == len({(a, b) for a, b, _ in pairs}):
-                    covered |= places
-                    changes |= {p for a, b, p in pairs if a != b}
-            if covered and len(covered) >= min(len(t), decontaminate.MIN_COVERED):
-                found.add((doc, item, len(covered), len(changes)))
+                if exact or len({a for a, _, _ in pairs}) == len({(a, b) for a, b, _ in pairs}):
+                    kept.append((shift, exact, places, set() if exact else {p for a, b, p in pairs if a != b}))
+            kept.sort(key=lambda x: x[0])
+            chains = []
+            for one in kept:
+                if not chains or one[0] - chains[-1][-1][0] > gap:
+                    chains.append([])
+                chains[-1].append(one)
+            needed, best = min(len(t), decontaminate.MIN_COVERED), None
+            for chain in chains:
+                covered = set().union(*(p for _, exact, p, _ in chain if not exact))
+                if len(covered) < needed:
+                    covered = set().union(*(p for _, _, p, _ in chain))
+                changes = set().union(*(c for *_, c in chain))
+                if len(covered) >= needed:
+                    best = max(best or (0, 0), (len(covered), -len(changes)))
+            if best:
+                found.add((doc, item, best[0], -best[1]))
     return sorted(found, key=str)
 
 
@@ -88,6 +107,25 @@ def found_in(spark, text, item):
     return [r.n_covered for r in got.collect()]
 
 
+def test_pieces_far_apart_are_no_passage(spark):
+    """Two pieces of eight words count together in their order, with a few words between them."""
+    words = "the old man went down to the sea with his boat and his son came after him".split()
+    first, second, filler = " ".join(words[:8]), " ".join(words[9:]), "and then it was " * 200
+    item = " ".join(words)
+    assert found_in(spark, f"{first} then and only then {second}", item) == [16]
+    assert found_in(spark, f"{second} {filler} {first}", item) == []
+    assert found_in(spark, f"{first} {filler} {second}", item) == []
+
+
+def test_items_of_several_lengths(spark):
+    words = "It was 3 men of Rome who saw 7 ships go down with all hands near Malta in 20 days".split()
+    items = [(n, " ".join(words[n : 2 * n])) for n in range(1, 10)] + [(20, " ".join(words)), (21, "a 1 b 2 c 3 d 4 e 5")]
+    docs = [(i, " ".join(words[i:] + ["and", "so"] + words[:i])) for i in range(12)] + [
+        (30, "a 9 b 8 c 7 d 6 e 5"), (31, "x a 1 b 2 c 3 d 4 e 5 y"), (32, " ".join(words).replace("7", "8"))]
+    got = rows(decontaminate.contaminated(documents(spark, docs), bench(spark, items)))
+    assert got == by_hand(docs, items) and {r[1] for r in got} == {*range(1, 10), 20, 21}
+
+
 def test_copies_with_few_literal_tokens(spark):
     sums = "What is 17 * 23 + 41 * 19 - 8 * 12 + 5?"
     assert found_in(spark, f"Now this. {sums} Next.", sums) == [9]
@@ -130,12 +168,6 @@ def test_registered_query(spark):
     out = QUERIES["op9_decontamination"](spark, SF)
     docs = [tuple(r) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()]
     items = [tuple(r) for r in spark.read.parquet(f"{SF}/benchmark.parquet").select("item_id", "text").collect()]
-    grams = {}
-    for item, text in items:
-        for j in range(len(tokens(text)) - 7):
-            grams.setdefault(tuple(k for _, k in tokens(text)[j : j + 8]), set()).add(item)
-    near = [(d, t) for d, t in docs if any(
-        tuple(k for _, k in tokens(t)[i : i + 8]) in grams for i in range(len(tokens(t)) - 7))] if len(docs) < 1000 else docs
-    assert rows(out) == by_hand(near, items)
+    assert rows(out) == by_hand(docs, items)
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
