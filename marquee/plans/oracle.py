@@ -148,6 +148,11 @@ SQL["array_files"] = SQL["json_round_trip"]
 SQL["malformed_array_files"] = """SELECT 'parsed' AS kind, count(*) AS n, sum(event_id)::BIGINT AS ids
   FROM events WHERE event_id // 500 % 3 <> 0
   UNION ALL SELECT 'malformed', count(DISTINCT event_id // 500), NULL FROM events WHERE event_id // 500 % 3 = 0"""
+SQL["split_array_files"] = SQL["json_round_trip"]
+SQL["malformed_records"] = """SELECT event_id // 500 AS part, (count(*) - (event_id // 500 % 3 = 0)::INT)::BIGINT AS parsed,
+  (event_id // 500 % 3 = 0)::BIGINT AS malformed, sum(event_id)::BIGINT AS ids FROM events GROUP BY event_id // 500"""
+SQL["enhanced_raw_keys"] = f"""SELECT event_id, upper(event_type) AS event_type, {_MOMENT.format('ts')} AS moment, value,
+  user_id || '|' || event_id * 2 AS ids, props AS note FROM events"""
 SQL["scan_table"] = f"""SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, {_MOMENT.format('o_orderdate')} AS o_orderdate,
   o_orderpriority FROM orders ORDER BY o_orderkey LIMIT 10"""
 SQL["snapshot_records"] = _with(OMDB) + "SELECT * FROM omdb"

@@ -119,6 +119,27 @@ def malformed_array_files(spark, sf_dir):
     ))
 
 
+@query
+def split_array_files(spark, sf_dir):
+    """Array files read in ranges of a few kilobytes."""
+    folder = _array_files(spark, sf_dir, cut=False)
+    return _read_back(files.read_records(
+        spark, folder, "part=*/part-*", EVENT_FIELDS, keep_raw=False, range_bytes=1 << 14).drop("source_file", "ordinal"))
+
+
+@query
+def malformed_records(spark, sf_dir):
+    """Of an array that is cut off, only the last record is malformed: events by file and kind."""
+    folder, staged = _array_files(spark, sf_dir, cut=True), files.shared_dir(spark, "staged")
+    files.read_records(
+        spark, folder, "part=*/part-*", EVENT_FIELDS, strict=False, range_bytes=1 << 14).write.parquet(staged)
+    good, bad = files.split_malformed(spark.read.parquet(staged))
+    cut = bad.select(F.from_json(files.CORRUPT, "event_id bigint")["event_id"].alias("event_id"), F.lit(1).alias("cut"))
+    both = good.select("event_id", F.lit(0).alias("cut")).unionByName(cut)
+    return both.groupBy(F.floor(F.col("event_id") / 500).alias("part")).agg(
+        F.sum(1 - F.col("cut")).alias("parsed"), F.sum("cut").alias("malformed"), F.sum("event_id").alias("ids"))
+
+
 @query
 def scan_table(spark, sf_dir):
     orders = table(spark, sf_dir, "orders")
@@ -173,6 +194,21 @@ def enhanced_files(spark, sf_dir):
     return spark.read.schema(kinds).json(_sunk_events(spark, sf_dir))
 
 
+@query
+def enhanced_raw_keys(spark, sf_dir):
+    """Events as records with keys that no typed field has: these come back beside the fields."""
+    folder, out = files.shared_dir(spark, "raw"), files.shared_dir(spark, "enhanced")
+    kept = F.struct("event_id", "event_type", "moment", F.struct(
+        "value", F.array("user_id", F.col("event_id") * 2).alias("ids")).alias("extra"), F.col("props").alias("note"))
+    _events(spark, sf_dir).select(F.to_json(kept).alias("value")).write.text(folder)
+    typed = files.read_records(spark, folder, "part-*", EVENT_FIELDS[:1] + EVENT_FIELDS[3:4], lines=True)
+    stamped = typed.withColumns({"event_type": F.upper("event_type"), "source_file": F.lit("/raw/events.json")})
+    files.write_enhanced(stamped.drop("ordinal"), out, RUN_STAMP)
+    kinds = "event_id bigint, event_type string, moment string, extra struct<value:double,ids:array<bigint>>, note string"
+    return spark.read.schema(kinds).json(f"{out}/*").select(
+        "event_id", "event_type", "moment", "extra.value", F.array_join(F.col("extra.ids").cast("array<string>"), "|").alias("ids"), "note")
+
+
 @query
 def output_files(spark, sf_dir):
     written = files.output_files(spark, _sunk_events(spark, sf_dir), RUN_STAMP)
