@@ -1,19 +1,20 @@
 """Line dedup: lines that many documents share stay in one of them.
 
-Hashes of the long lines are range-partitioned by hash and document and sorted, the largest id
-first, so that the first occurrence of a line in the stream is the one that stays. A line of a
-third of all documents is divided among tasks, each of which hands on one row for it. The result
-is a bitmap for each document as runs of dropped lines; texts are not moved until it is applied.
+Hashes of the long lines are range-partitioned by hash and document and sorted by document and
+position in each range, so that the first occurrence of a line in a document streams out of the
+sort; these are counted, and the last document of a line keeps it. A line of a third of all
+documents is divided among ranges, each of which hands on one row for it. The result is a bitmap for each document as runs of dropped lines; texts are not moved until it is applied.
 Only DataFrame functions run.
 
 Cases: a null text is an empty one, with one empty line. A null id counts as one document, lower
 than all others. Rows with the same id are one document: each keeps its own lines. Rows that are
-equal get equal results. An empty table gives an empty result.
+equal get equal results. An empty table gives an empty result. A long text is a list of lines like
+others. Columns of other names are kept, whatever they are called.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .common import packed, stored, text_key, unpacked
 
@@ -46,14 +47,16 @@ def line_hashes(docs: DataFrame, *, doc_id: str, text: str, min_chars: int) -> D
 
 
 def last_holders(hashes: DataFrame, min_documents: int) -> DataFrame:
-    """(h1, h2, last): the lines of at least `min_documents` documents, and the largest id."""
-    in_order = (
-        hashes.select("h1", "h2", "id").repartitionByRange("h1", "h2", "id")
-        .sortWithinPartitions("h1", "h2", F.col("id").desc())
-    )
-    once = in_order.groupBy("h1", "h2", "id").agg(F.lit(1).alias("one"))
+    """(h1, h2, last): the lines of at least `min_documents` documents, and the largest id.
+
+    The first occurrence of a line in a document streams out of its sorted range; a range hands on
+    one row for each of its lines.
+    """
+    in_ranges = hashes.select("h1", "h2", "id", "pos").repartitionByRange("h1", "h2", "id")
+    in_document = Window.partitionBy("h1", "h2", "id").orderBy("pos")
+    firsts = in_ranges.withColumn("nth", F.row_number().over(in_document)).where("nth = 1")
     return (
-        once.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("documents"), F.max("id").alias("last"))
+        firsts.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("documents"), F.max("id").alias("last"))
         .where(F.col("documents") >= min_documents).drop("documents")
     )
 

@@ -84,3 +84,14 @@ def test_small_alphabet(spark, texts):
 def test_only_native_plans(spark, name):
     plan = lines.digest(documents(spark, DOCS))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_the_sort_feeds_the_first_occurrences(spark):
+    """Ranges are sorted by document and position and not dealt out anew before the window."""
+    hashes = lines.line_hashes(documents(spark, DOCS), doc_id="doc_id", text="text", min_chars=20)
+    plan = lines.last_holders(hashes, 3)._jdf.queryExecution().executedPlan().toString().splitlines()
+    at = {name: next(i for i, line in enumerate(plan) if name in line)
+          for name in ("Window [", "Sort [h1", "rangepartitioning")}
+    assert at["Window ["] < at["Sort [h1"] < at["rangepartitioning"]
+    assert all(x in plan[at["Sort [h1"]] for x in ("h2", "id", "pos"))
+    assert not any("hashpartitioning" in line for line in plan[at["Window ["]:])
