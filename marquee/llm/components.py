@@ -7,9 +7,29 @@ from pyspark.sql import DataFrame, functions as F
 from .common import drop_stored, stored
 
 
+#: Neighbours from which a node is a hub, and parts into which its rows are divided.
+HUB, SALTS = 200, 64
+
+
 def _state(edges: DataFrame):
-    row = edges.agg(F.count(F.lit(1)), F.sum(F.pmod(F.xxhash64("u", "v"), F.lit(1 << 40)))).first()
-    return tuple(row)
+    """Count and a hash that no number of edges makes too large."""
+    return tuple(edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first())
+
+
+def _beside_least(rows: DataFrame, of: DataFrame, n: int) -> DataFrame:
+    """`rows` (u, v) with the least neighbour m that u has in `of` (u, v).
+
+    The rows of a hub are dealt out by a salt, and its least neighbour goes to each part. So many
+    neighbours make a hub that at most 20,000 nodes are one, whatever the number of edges `n` is.
+    """
+    many = max(HUB, n // 10_000)
+    least = of.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("degree"))
+    hubs = F.broadcast(least.where(F.col("degree") > many).select(F.col("u").alias("hub")))
+    salted = rows.join(hubs, F.col("u") == F.col("hub"), "left").select(
+        "u", "v", F.when(F.col("hub").isNotNull(), F.pmod(F.xxhash64("v"), F.lit(SALTS))).otherwise(0).cast("int").alias("salt"))
+    spread = least.select("u", "m", F.explode(F.sequence(
+        F.lit(0), F.when(F.col("degree") > many, SALTS - 1).otherwise(0))).alias("salt"))
+    return salted.join(spread, ["u", "salt"]).select("u", "v", "m")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -17,7 +37,7 @@ def components(links: DataFrame) -> DataFrame:
 
     In a large star, the larger neighbours of a node are linked to the least node it sees; in a
     small star, the smaller ones. Each round is written out; the number of rounds grows with the
-    logarithm of the longest path. Nulls and links of a node with itself say nothing.
+    logarithm of the longest path. Hubs are divided. Nulls and links of a node with itself say nothing.
     """
     edges = stored(
         links.where("a IS NOT NULL AND b IS NOT NULL AND a <> b")
@@ -27,13 +47,13 @@ def components(links: DataFrame) -> DataFrame:
     state = _state(edges)
     while True:
         both = edges.unionAll(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = stored(
-            both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(), "large"
+            _beside_least(both.where("v > u"), both, 2 * state[0])
+            .select(F.col("v").alias("u"), F.least("u", "m").alias("v")).distinct(),
+            "large",
         )
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = stored(
-            large.join(low, "u").select(F.explode(F.array(
+            _beside_least(large, large, 2 * state[0]).select(F.explode(F.array(
                 F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct(F.col("u"), F.col("m").alias("v"))
             )).alias("e")).select("e.*").where("u <> v").distinct(),
             "small",

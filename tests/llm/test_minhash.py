@@ -117,6 +117,32 @@ def test_components(spark):
     assert components.components(spark.createDataFrame([], "a long, b long")).collect() == []
 
 
+def test_state_of_many_links(spark):
+    """A sum of 40-bit hashes would not fit for so many."""
+    edges = spark.range(20_000_000).selectExpr("id AS v", "id + 1 AS u")
+    count, mark = components._state(edges)
+    assert count == 20_000_000 and mark != components._state(edges.where("v <> 77"))[1]
+
+
+def test_hubs_are_divided(spark, monkeypatch):
+    monkeypatch.setattr(components, "HUB", 20)
+    monkeypatch.setattr(components, "SALTS", 4)
+    r = random.Random(9)
+    links = [(5, 1_000 + i) for i in range(300)] + [(1_299, 3_000 + i) for i in range(100)] + [(3_050, 2)]
+    links += [(9_000 + r.randrange(40), 9_000 + r.randrange(40)) for _ in range(60)]
+    root = {}
+    def find(x):
+        while root.setdefault(x, x) != x:
+            x = root[x]
+        return x
+    for a, b in links:
+        if a != b:
+            low, high = sorted((find(a), find(b)))
+            root[high] = low
+    found = {r.node: r.root for r in components.components(spark.createDataFrame(links, "a long, b long")).collect()}
+    assert found == {x: find(x) for x in root}
+
+
 @pytest.mark.skipif(not HAVE_TABLES, reason="no test tables")
 def test_registered_query(spark):
     docs = [tuple(r) for r in spark.read.parquet(f"{SF_LARGER}/documents.parquet").select("doc_id", "text").collect()]
