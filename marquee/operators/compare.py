@@ -5,6 +5,34 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 
+#: A key is heavy if it holds this share of a table, and more rows than this; so at most 1,000 are.
+HEAVY_SHARE, HEAVY_ROWS = 0.001, 1_000
+#: Parts into which the rows of a heavy key are dealt.
+PARTS = 64
+
+
+def left_join_evenly(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """Left join in which a key that fills much of `right` is met by many tasks.
+
+    The rows of a heavy key are dealt out by the partition that they come from, and the left rows
+    of that key, and of no other, go to every part. They do have a match, in one part at least, so
+    those without one there are left out.
+    """
+    size = right.agg(F.count(F.lit(1))).scalar()
+    counts = right.filter(F.col(key).isNotNull()).groupBy(F.col(key).alias("_key")).agg(F.count(F.lit(1)).alias("_n"))
+    limit = F.greatest(size * HEAVY_SHARE, F.lit(float(HEAVY_ROWS)))
+    heavy = F.broadcast(counts.filter(F.col("_n") > limit).select("_key", F.lit(True).alias("_heavy")))  # 1,000 rows at most
+
+    def marked(rows: DataFrame) -> DataFrame:
+        return rows.join(heavy, F.col(key) == F.col("_key"), "left").drop("_key")
+
+    dealt = F.when(F.col("_heavy"), F.pmod(F.spark_partition_id(), F.lit(PARTS))).otherwise(0)
+    rows = marked(right).withColumn("_part", dealt).withColumn("_matched", F.lit(True)).drop("_heavy")
+    everywhere = F.explode(F.sequence(F.lit(0), F.when(F.col("_heavy"), PARTS - 1).otherwise(0)))
+    both = marked(left).withColumn("_part", everywhere).join(rows, [key, "_part"], "left")
+    return both.filter(F.col("_heavy").isNull() | F.col("_matched").isNotNull()).drop("_part", "_heavy", "_matched")
+
+
 def compare_sources(
     tmdb: DataFrame, omdb: DataFrame, metacritic: DataFrame, rotten_tomatoes: DataFrame,
     min_votes: int = 500,
@@ -16,15 +44,13 @@ def compare_sources(
     filled = F.coalesce(F.col("imdb_id") != "", F.lit(False))
     # No id starts with this character.
     spread = F.concat(F.lit("\0"), F.spark_partition_id().cast("string"))
-    return (
-        tmdb.filter(F.col("vote_count") > min_votes)
-        .select("tmdb_id", F.when(filled, F.col("imdb_id")).otherwise(spread).alias("imdb_id"), "title",
-                F.col("vote_average").alias("tmdb_rating"))
-        .join(omdb.filter(filled).select("imdb_id", "imdb_rating"), "imdb_id", "left")
-        .join(metacritic.select(scores[0], scores[1].alias("metacritic_score")), "tmdb_id", "left")
-        .join(rotten_tomatoes.select(scores[0], scores[1].alias("rt_score")), "tmdb_id", "left")
-        .select("title", "tmdb_rating", "imdb_rating", "metacritic_score", "rt_score")
-    )
+    movies = tmdb.filter(F.col("vote_count") > min_votes).select(
+        "tmdb_id", F.when(filled, F.col("imdb_id")).otherwise(spread).alias("imdb_id"), "title",
+        F.col("vote_average").alias("tmdb_rating"))
+    both = left_join_evenly(movies, omdb.filter(filled).select("imdb_id", "imdb_rating"), "imdb_id")
+    both = left_join_evenly(both, metacritic.select(scores[0], scores[1].alias("metacritic_score")), "tmdb_id")
+    return left_join_evenly(both, rotten_tomatoes.select(scores[0], scores[1].alias("rt_score")), "tmdb_id").select(
+        "title", "tmdb_rating", "imdb_rating", "metacritic_score", "rt_score")
 
 
 # The top of each source's scale.

@@ -149,26 +149,23 @@ def cast_totals(
     """The summary as one row of totals. Networks are counted as movies that connect at
     least two cast members."""
     cast = ("actor", "actress")
-    # Both branches use the same columns, so that Spark reads and shuffles the credits once.
-    seen = credit_rows.groupBy(movie, "key", role).agg(F.count(F.lit(1)).alias("n"))
-    per_role = (
-        seen.groupBy(role, "key").agg(F.sum("n").alias("n"))
-        .groupBy(role).agg(F.count(F.lit(1)).alias("people"), F.sum("n").alias("appearances"))
-    )
-    in_cast = F.coalesce(F.sum(F.when(F.col(role).isin(*cast), F.col("n"))), F.lit(0)) > 0
-    networks = (
-        seen.groupBy(movie, "key").agg(in_cast.alias("in_cast"))
-        .groupBy(movie).agg(F.count_if("in_cast").alias("people"))
-        .agg(
-            F.lit("network").alias(role), F.count_if(F.col("people") > 1).alias("people"),
-            F.lit(0).cast("bigint").alias("appearances"),
-        )
-    )
+    # One reading of the credits answers both questions. A movie connects two people if the least
+    # and the greatest of its cast differ; two hashes stand for a key, as numbers sort in place.
+    in_cast = F.col(role).isin(*cast)
+    marks = (F.xxhash64("key"), F.xxhash64(F.lit("second"), "key"))
+    rows = credit_rows.select(
+        movie, "key", role, *(F.when(in_cast, mark).alias(f"m{i}") for i, mark in enumerate(marks)))
+    differ = (F.min("m0") != F.max("m0")) | (F.min("m1") != F.max("m1"))
+    counted = rows.groupingSets([[role, "key"], [movie]], role, "key", movie).agg(
+        F.grouping(movie).alias("by_role"), F.count(F.lit(1)).alias("n"), F.coalesce(differ, F.lit(False)).alias("connects"))
+    by_role = F.col("by_role") == 1
+    per_role = counted.groupBy(F.when(by_role, F.col(role)).otherwise("network").alias(role)).agg(
+        F.count_if(by_role | F.col("connects")).alias("people"), F.sum(F.when(by_role, F.col("n"))).alias("appearances"))
 
     def of(value: str, *roles: str) -> Column:
         return F.coalesce(F.sum(F.when(F.col(role).isin(*roles), F.col(value))), F.lit(0))
 
-    return per_role.unionByName(networks).agg(
+    return per_role.agg(
         *(of("people", name).alias(f"total_{name}{'es' if name == 'actress' else 's'}")
           for name in ROLES),
         of("appearances", *cast).alias("total_cast_appearances"),

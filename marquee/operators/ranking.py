@@ -45,6 +45,28 @@ def first_per_group(df: DataFrame, n: int | None, group: str, *order: str) -> Da
     )
 
 
+def first_of_files(df: DataFrame, n: int | None, file: str = "source_file", ordinal: str = "ordinal") -> DataFrame:
+    """First n rows of every file, by an `ordinal` of (block, row); 0 or None keeps all.
+
+    Rows are counted by file and block, and the counts before a block tell whether it is kept, cut
+    or dropped. Only the rows of blocks that are cut, one for each file, are ranked, each block by
+    itself; all others are judged where they lie.
+    """
+    if not n:
+        return df
+    block = F.col(f"{ordinal}.block")
+    counts = df.groupBy(F.col(file).alias("_file"), block.alias("_block")).agg(F.count(F.lit(1)).alias("_rows"))
+    earlier = Window.partitionBy("_file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("_rows").over(earlier), F.lit(0))
+    wanted = counts.withColumn("_left", n - before).filter(F.col("_left") > 0)
+    same = F.col(file).eqNullSafe(F.col("_file")) & block.eqNullSafe(F.col("_block"))
+    marked = df.join(wanted, same)
+    whole = marked.filter(F.col("_rows") <= F.col("_left")).select(*df.columns)
+    rank = F.row_number().over(Window.partitionBy(file, "_block").orderBy(ordinal))
+    cut = marked.filter(F.col("_rows") > F.col("_left")).withColumn("_rank", rank)
+    return whole.unionByName(cut.filter(F.col("_rank") <= F.col("_left")).select(*df.columns))
+
+
 def top_per_group(df: DataFrame, k: int, group: str, by: str, *ties: str) -> DataFrame:
     """The k highest rows of every group with their rank, from few groups and pre-counted rows."""
     ranked = Window.partitionBy(group).orderBy(F.col(by).desc(), *ties)

@@ -11,7 +11,7 @@ from ..operators.analysis import enrichment_coverage, file_totals, run_totals
 from ..operators.conform import field, stamp, to_single_table
 from ..operators.enrich import enrich_all
 from ..operators.quality import abort_on_error, error_counts, validate
-from ..operators.ranking import first_per_group
+from ..operators.ranking import first_of_files
 from ..sources.files import CORRUPT, output_files, read_movie_files, split_malformed, write_enhanced
 from ..sources.tables import DATABASE, Inserted, append, insert_all
 
@@ -36,7 +36,7 @@ class IngestResult:
 
 def _raw(spark, folder, max_movies, run_at, lines, strict) -> DataFrame:
     movies = read_movie_files(spark, folder, lines=lines, strict=strict, with_origin=True)
-    return stamp(first_per_group(movies, max_movies, "source_file", "ordinal"), "tmdb", run_at)
+    return stamp(first_of_files(movies, max_movies), "tmdb", run_at)
 
 
 def _written(
@@ -85,13 +85,15 @@ def comprehensive_ingest(
     database: str = DATABASE,
     lines: bool = False,
     prefix: str = "comprehensive_enhanced",
+    once: bool = False,
 ) -> IngestResult:
     """All sources into files and the four tables. Malformed input is set apart, a movie
-    that no source knows stays as it is, and a failing table does not stop the others."""
+    that no source knows stays as it is, and a failing table does not stop the others. With
+    `once`, tables get no row again that this run (`run_at`) has written before."""
     raw = _raw(spark, folder, max_movies, run_at, lines, strict=False)
     enriched = enrich_all(raw, run_at, omdb, metacritic, rotten_tomatoes)
     movies, malformed, written = _written(spark, enriched, output, run_stamp, prefix)
-    return _result(movies, malformed, written, insert_all(movies, run_at, database))
+    return _result(movies, malformed, written, insert_all(movies, run_at, database, once=once))
 
 
 def single_source_ingest(

@@ -422,6 +422,8 @@ SQL["crew_filmographies"] = _with(CREDITS) + """SELECT DISTINCT key, person, yea
 # Sorts, limits, top-k, set operations
 SQL["sorted_by_rating"] = _with(OMDB) + "SELECT imdb_id, omdb_imdb_rating FROM omdb"
 SQL["top_movies"] = "SELECT p_name, p_retailprice, p_size FROM part ORDER BY p_retailprice DESC, p_partkey LIMIT 10"
+SQL["first_of_files"] = """SELECT event_id, event_type FROM (
+  SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY event_id) AS n FROM events) WHERE n <= 25"""
 SQL["first_per_file"] = """SELECT event_type, event_id, value FROM (
   SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY event_id) AS n FROM events) WHERE n <= 25"""
 SQL["concatenated_files"] = """SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_orderstatus = 'F'
@@ -456,3 +458,6 @@ SQL["rating_lists"] = """SELECT c_custkey, CASE WHEN c_acctbal >= 0
 SQL["file_stamps"] = "SELECT event_id, strftime(ts, '%Y%m%d_%H%M%S') AS stamp FROM events"
 SQL["name_lists"] = """SELECT p_partkey, len(string_split(p_name, ' '))::INT AS words,
   replace(p_name, ' ', '|') AS names FROM part"""
+for _name, _rows in (("tmdb", "table_round_trip"), ("omdb", "omdb_rows"), ("metacritic", "metacritic_rows"),
+                     ("rotten_tomatoes", "rotten_tomatoes_rows")):
+    SQL[f"repeated_{_name}_inserts"] = SQL[_rows]

@@ -283,6 +283,35 @@ def inserted_counts(spark, sf_dir):
     return spark.createDataFrame([(name, t.rows) for name, t in done.items()], "table_name string, rows bigint")
 
 
+def _written_twice(spark, sf_dir, table: str) -> DataFrame:
+    """A table after two equal runs of the insert into all four, the second of which adds nothing."""
+    database, staged = _new_database(spark), files.shared_dir(spark, "staged")
+    _enriched(spark, sf_dir).write.parquet(staged)
+    for _ in range(2):
+        tables.insert_all(spark.read.parquet(staged), RUN_AT, database, strict=True, once=True)
+    return tables.read_table(spark, table, database)
+
+
+@query
+def repeated_tmdb_inserts(spark, sf_dir):
+    return _plain(_written_twice(spark, sf_dir, "tmdb_movies"))
+
+
+@query
+def repeated_omdb_inserts(spark, sf_dir):
+    return _plain(_written_twice(spark, sf_dir, "omdb_movies"))
+
+
+@query
+def repeated_metacritic_inserts(spark, sf_dir):
+    return _doubles(_written_twice(spark, sf_dir, "metacritic_ratings"), "critic_score", "user_score")
+
+
+@query
+def repeated_rotten_tomatoes_inserts(spark, sf_dir):
+    return _doubles(_written_twice(spark, sf_dir, "rotten_tomatoes_ratings"), "critic_score", "user_score")
+
+
 @query
 def table_columns(spark, sf_dir):
     """The columns that the catalog has, with the rows of their table."""
@@ -749,6 +778,16 @@ def top_movies(spark, sf_dir):
     )
 
 
+@query
+def first_of_files(spark, sf_dir):
+    """The first 25 lines of a file for each type of event."""
+    folder = files.shared_dir(spark, "events")
+    ordered = _events(spark, sf_dir).repartition("event_type").sortWithinPartitions("event_type", "event_id")
+    ordered.withColumn("kind", F.col("event_type")).write.partitionBy("kind").json(folder)
+    read = files.read_movie_files(spark, folder, "kind=*/part-*", EVENT_FIELDS, lines=True, with_origin=True)
+    return ranking.first_of_files(read, 25).select("event_id", "event_type")
+
+
 @query
 def first_per_file(spark, sf_dir):
     events = table(spark, sf_dir, "events").select("event_type", "event_id", "value")

@@ -92,7 +92,7 @@ def read_records(
             F.lit(True).alias("whole"),
         ).where(F.trim("record") != "")
     else:
-        place = F.struct(F.lit(0).cast("long").alias("block"), F.col("place").alias("row"))
+        place = F.struct((F.col("place") - F.col("place") % range_bytes).alias("block"), F.col("place").alias("row"))
         records = array_records(spark, path, range_bytes).select("source_file", place.alias("ordinal"), "record", "whole")
     typed = F.from_json("record", f"{ddl(fields)}, {CORRUPT} string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
     parsed = records.select("*", typed.alias("typed"))

@@ -46,18 +46,52 @@ def read_table(spark: SparkSession, table: str, database: str = DATABASE) -> Dat
     return spark.table(f"{database}.{table}").select(*(name for name, _ in TABLES[table]))
 
 
+def _marks(columns: list[str]) -> list:
+    """Two 64-bit hashes that stand for a row."""
+    return [F.xxhash64(*columns).alias("_m1"), F.xxhash64(F.lit("second"), *columns).alias("_m2")]
+
+
+def not_yet_in(rows: DataFrame, table: str, database: str = DATABASE) -> DataFrame:
+    """Rows that the table does not have, all columns alike.
+
+    Since the time of the run is one of them, these are the rows that an earlier attempt of the
+    same run did not write. Only the years of the batch are read, of those the rows of its runs.
+    """
+    columns = [name for name, _ in TABLES[table]]
+    found = rows.select("year", "created_at").distinct().collect()  # one for each run and partition of the table
+    years = sorted({r.year for r in found if r.year is not None})
+    runs = sorted({r.created_at for r in found if r.created_at is not None})
+    there = spark_table(rows.sparkSession, table, database)
+    in_years = F.col("year").isin(years) | F.col("year").isNull() if any(r.year is None for r in found) else F.col("year").isin(years)
+    in_runs = F.col("created_at").isin(runs) if all(r.created_at is not None for r in found) else F.lit(True)
+    held = there.filter(in_years & in_runs).select(F.col("year").alias("_year"), *_marks(columns)).distinct()
+    named = rows.select("*", *(m.alias(f"_own{i}") for i, m in enumerate(_marks(columns))))
+    same = F.col("year").eqNullSafe(F.col("_year")) & (F.col("_own0") == F.col("_m1")) & (F.col("_own1") == F.col("_m2"))
+    return named.join(held, same, "left_anti").drop("_own0", "_own1")
+
+
+def spark_table(spark: SparkSession, table: str, database: str) -> DataFrame:
+    """The table as it is now, whatever this session has read of it before."""
+    spark.catalog.refreshTable(f"{database}.{table}")
+    return spark.table(f"{database}.{table}")
+
+
 def append(
-    rows: DataFrame, table: str, database: str = DATABASE, dedupe_keys: list[str] | None = None
+    rows: DataFrame, table: str, database: str = DATABASE, dedupe_keys: list[str] | None = None,
+    once: bool = False,
 ) -> int:
     """Add rows in one distributed write, and tell how many.
 
     Rows are gathered by year so that a year has few files; the rebalance divides a large
-    year. Appending twice duplicates rows, as an INSERT does; `dedupe_keys` keeps one row
-    per key of this batch, and all rows without one. The rows are counted by the write.
+    year. Appending twice duplicates rows, as an INSERT does, unless `once` leaves out those that
+    the same run has written before; `dedupe_keys` keeps one row per key of this batch, and all
+    rows without one. The rows are counted by the write.
     """
     if dedupe_keys:
         rows = one_per_key(rows, dedupe_keys)
     shaped = conform(rows, TABLES[table])
+    if once:
+        shaped = not_yet_in(shaped, table, database)
     stored = [name for name, _ in TABLES[table] if name != "year"] + ["year"]
     written = Observation()
     gathered = shaped.select(*stored).hint("rebalance", "year")
@@ -79,17 +113,18 @@ class Inserted:
 
 def insert_all(
     movies: DataFrame, run_at: str, database: str = DATABASE, strict: bool = False,
-    tables: tuple[str, ...] = tuple(TABLES),
+    tables: tuple[str, ...] = tuple(TABLES), once: bool = False,
 ) -> dict[str, Inserted]:
     """Project movies onto each table and append; tells what became of each table.
 
     The input is read once per table, so pass a written or cheap DataFrame rather than a
-    long plan. Not atomic: one table's failure leaves the others written.
+    long plan. Not atomic: one table's failure leaves the others written. With `once` a run may
+    be repeated: each table gets what it lacks.
     """
     done = {}
     for table in tables:
         try:
-            done[table] = Inserted(append(PROJECTIONS[table](movies, run_at), table, database))
+            done[table] = Inserted(append(PROJECTIONS[table](movies, run_at), table, database, once=once))
         except Exception as error:
             if strict:
                 raise

@@ -176,6 +176,20 @@ def test_first_per_group_keeps_the_first(spark, n):
     assert ranking.first_per_group(df, None, "file", "ordinal").count() == 3000
 
 
+@pytest.mark.parametrize("n", [1, 40, 1_000, 2_500, 9_000])
+def test_first_of_files_over_blocks(spark, n):
+    """Blocks of 100 rows; only that which is cut is ranked."""
+    df = spark.range(3_000).selectExpr(
+        "id", "IF(id % 3 = 0, 'small', 'large') AS source_file",
+        "named_struct('block', (id * 37 % 3000) div 100 * 1000, 'row', id * 37 % 3000) AS ordinal")
+    kept = ranking.first_of_files(df, n)
+    assert kept.columns == df.columns
+    for name in ("small", "large"):
+        every = sorted(r.id * 37 % 3000 for r in df.collect() if r.source_file == name)
+        assert sorted(r.id * 37 % 3000 for r in kept.collect() if r.source_file == name) == every[:n]
+    assert ranking.first_of_files(df, None).count() == ranking.first_of_files(df, 0).count() == 3_000
+
+
 def test_concat_keeps_duplicates_and_fills_columns(spark):
     a = spark.createDataFrame([(1, "x"), (1, "x")], "id int, a string")
     b = spark.createDataFrame([(1, "y")], "id int, b string")

@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from marquee.operators import compare
 
@@ -37,3 +38,26 @@ def test_differences_and_agreement(spark):
     # One common movie does not vary.
     assert pairs["tmdb_rating", "rt_score"].movies == 1
     assert pairs["tmdb_rating", "rt_score"].correlation is None
+
+
+def test_a_hot_movie_is_met_by_many_tasks(spark, settings):
+    """One movie has a third of all scores, and no session option is set for it."""
+    settings(spark__sql__autoBroadcastJoinThreshold="-1")
+    left = spark.range(2_000).selectExpr("CAST(id AS INT) AS tmdb_id", "concat('t', id) AS title")
+    scores = spark.range(0, 30_000, 1, 16).selectExpr(
+        "CAST(IF(id % 3 = 0, 7, id % 1999) AS INT) AS tmdb_id", "CAST(id AS DOUBLE) AS score")
+    joined = compare.left_join_evenly(left, scores, "tmdb_id")
+    assert joined.columns == ["tmdb_id", "title", "score"]
+    assert sorted(map(tuple, joined.collect()), key=str) == sorted(
+        map(tuple, left.join(scores, "tmdb_id", "left").select("tmdb_id", "title", "score").collect()), key=str)
+    settings(spark__sql__adaptive__coalescePartitions__enabled="false", spark__sql__shuffle__partitions="40")
+    tasks = joined.groupBy(F.spark_partition_id().alias("p")).count().orderBy(F.desc("count")).collect()
+    assert tasks[0]["count"] < 0.2 * 30_001 and sum(r["count"] for r in tasks) == joined.count()
+
+
+def test_keys_without_a_value_and_empty_tables(spark):
+    left = spark.createDataFrame([(None, "a"), (1, "b"), (1, "b")], "k int, t string")
+    right = spark.createDataFrame([(None, 1.0), (1, 2.0), (2, 3.0)], "k int, s double")
+    rows = [(None, "a", None), (1, "b", 2.0), (1, "b", 2.0)]
+    assert sorted(map(tuple, compare.left_join_evenly(left, right, "k").collect()), key=str) == sorted(rows, key=str)
+    assert compare.left_join_evenly(left, right.limit(0), "k").count() == 3

@@ -199,6 +199,25 @@ def test_a_year_with_most_rows_is_written_by_several_tasks(spark, database, sett
     assert sum("year=1990" in name for name in back.inputFiles()) > 2
 
 
+def test_a_repeated_run_adds_nothing(spark, database):
+    years = [(i, f"tt{i}", f"Film {i}", 1990 + i % 3 if i % 5 else None) for i in range(30)] + [(1, "tt1", "Film 1", 1991)] * 2
+    movies = spark.createDataFrame(years, "tmdb_id int, imdb_id string, title string, year int")
+    tables.create_table(spark, "tmdb_movies", database)
+    def run(rows, at):
+        return tables.append(conform.to_tmdb_table(rows, at), "tmdb_movies", database, once=True)
+    assert run(movies, "first") == 32
+    assert run(movies, "first") == 0
+    assert run(movies.limit(0), "first") == 0
+    more = movies.unionByName(spark.createDataFrame([(99, "tt99", "New", 1990)], movies.schema))
+    assert run(more, "first") == 1
+    assert run(movies, "second") == 32
+    assert tables.read_table(spark, "tmdb_movies", database).count() == 65
+    some = conform.to_tmdb_table(more.where("tmdb_id = 99"), "first")
+    plan = tables.not_yet_in(some, "tmdb_movies", database)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(year" in plan and "(year" in plan and "= 1990)" in plan
+    assert "EqualTo(created_at,first)" in plan or "In(created_at, [first])" in plan
+
+
 def test_users_query_the_tables_with_sql(spark, database):
     movies = spark.createDataFrame(
         [(i, f"tt{i}", f"T{i}", 1990 + i, i / 10, 900 + 50 * i) for i in range(20)],
