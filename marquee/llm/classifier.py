@@ -3,10 +3,21 @@
 A linear model of text statistics is fitted by the non-negative unbiased risk: trusted positives
 weigh with the class prior, texts drawn without regard to labels stand for the whole web, and the part of the risk
 that positives explain is taken off the unlabelled one, but never below zero. Labels that say 0
-are used for nothing but the prior.
+are used for nothing.
+
+The prior, the share of good texts among all, is estimated from the same two samples: a model that
+tells trusted from unlabelled texts scores the half that it has not seen, and above any score the
+share of unlabelled texts over the share of trusted ones is an upper bound of the prior, since all
+unlabelled good texts are there too. The least of these bounds is taken, as the mean of both halves.
 
 Fitting takes bounded samples (`POSITIVES`, `UNLABELLED` rows, those with the least hash of the
-id); the prior counts all labelled rows of the training folds, and scoring reads every whole text.
+id among documents that exist); mean and spread of the statistics are sums over all documents, and
+scoring reads every whole text.
+
+Cases: null and empty texts get the score of a text about which nothing is known. A null id is not
+held out and in no sample. Rows with equal ids are scored each by itself, equal texts alike; one of
+them is in a sample. Ties of the sampling hash go to the lower id. An empty table gives an empty
+result; without positives all texts get one score. Columns of other names are kept.
 """
 
 from __future__ import annotations
@@ -34,9 +45,8 @@ THRESHOLD = 0.3
 #: Byte and pair shares are many and weak: each group weighs about as much as the word shares.
 GROUPS = np.concatenate([np.full(256, 1 / 16), np.full(BIGRAMS, BIGRAMS**-0.5), np.full(DENSE, 1.0)])
 FARTHEST = 6.0
-#: Share of the labelled good rows that the class prior keeps. With a prior above the true one the
-#: corrected risk of the unlabelled texts goes below zero before junk is told apart.
-CAUTION = 0.95
+#: Scores that at least this share of the trusted texts reach are looked at for the prior.
+LEAST_TAIL = 0.7
 
 
 def statistics(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -109,17 +119,17 @@ class Model:
 
 def fit(
     positive: tuple[np.ndarray, np.ndarray], unlabelled: tuple[np.ndarray, np.ndarray], prior: float,
+    spread: tuple[np.ndarray, np.ndarray] | None = None, corrected: bool = True,
     steps: int = 400, rate: float = 0.02, decay: float = 1e-3,
 ) -> Model:
     """Minimise prior * loss(P, 1) + max(0, loss(U, 0) - prior * loss(P, 0)) by Adam, with the
-    logistic loss; where the second part is negative, a step goes against its gradient."""
+    logistic loss; where the second part is negative, a step goes against its gradient. Not
+    `corrected`, it tells P from U. `spread` has mean and deviation of the statistics."""
     if not len(positive[0]) or not len(unlabelled[0]):
         return Model(np.zeros(WIDTH), np.ones(WIDTH), np.zeros(WIDTH), float(np.log(prior / (1 - prior))))
-    n = len(positive[0]) + len(unlabelled[0])
-    parts = (positive[0], unlabelled[0])
-    mean = sum(x.sum(0, dtype=np.float64) for x in parts) / n
-    spread = sum(np.square(x - mean.astype(np.float32)).sum(0, dtype=np.float64) for x in parts) / n
-    model = Model(mean.astype(np.float32), (np.sqrt(spread) + 1e-4).astype(np.float32), np.zeros(WIDTH), 0.0)
+    both = np.concatenate((positive[0], unlabelled[0]))
+    mean, deviation = spread or (both.mean(0, dtype=np.float64), both.std(0, dtype=np.float64))
+    model = Model(mean.astype(np.float32), (deviation + 1e-4).astype(np.float32), np.zeros(WIDTH), 0.0)
     p, u = (model.scaled(*x).astype(np.float32) for x in (positive, unlabelled))
     w, b = np.zeros(WIDTH), 0.0
     moment, square = np.zeros(WIDTH + 1), np.zeros(WIDTH + 1)
@@ -132,9 +142,12 @@ def fit(
 
     for step in range(1, steps + 1):
         at_p, at_u = p @ w.astype(np.float32) + b, u @ w.astype(np.float32) + b
-        negative = np.logaddexp(0, at_u).mean() - prior * np.logaddexp(0, at_p).mean()
-        rest = mean_gradient(u, sigmoid(at_u)) - prior * mean_gradient(p, sigmoid(at_p))
-        gradient = prior * mean_gradient(p, sigmoid(at_p) - 1) + rest if negative >= 0 else -rest
+        if corrected:
+            negative = np.logaddexp(0, at_u).mean() - prior * np.logaddexp(0, at_p).mean()
+            rest = mean_gradient(u, sigmoid(at_u)) - prior * mean_gradient(p, sigmoid(at_p))
+            gradient = prior * mean_gradient(p, sigmoid(at_p) - 1) + rest if negative >= 0 else -rest
+        else:
+            gradient = mean_gradient(p, sigmoid(at_p) - 1) + mean_gradient(u, sigmoid(at_u))
         gradient[:-1] += decay * w
         moment = 0.9 * moment + 0.1 * gradient
         square = 0.999 * square + 0.001 * gradient**2
@@ -143,6 +156,28 @@ def fit(
     return Model(model.mean, model.scale, w, float(b))
 
 
+def tail_ratio(positive: np.ndarray, unlabelled: np.ndarray) -> float:
+    """The least share of unlabelled scores over the share of positive ones above a score."""
+    bounds = np.unique(np.quantile(positive, np.linspace(0, 1 - LEAST_TAIL, 181), method="lower"))
+    return min(float((unlabelled >= c).mean() / (positive >= c).mean()) for c in bounds)
+
+
+def class_prior(
+    positive: tuple[np.ndarray, np.ndarray], unlabelled: tuple[np.ndarray, np.ndarray],
+    spread: tuple[np.ndarray, np.ndarray] | None = None,
+) -> float:
+    """The share of positives among the unlabelled, from the scores of the halves not fitted on."""
+    if min(len(positive[0]), len(unlabelled[0])) < 2:
+        return 0.5
+    found = []
+    for half in (0, 1):
+        (p, unseen_p), (u, unseen_u) = (
+            [tuple(x[i::2] for x in sample) for i in (half, 1 - half)] for sample in (positive, unlabelled))
+        model = fit(p, u, 0.5, spread, corrected=False, steps=300, decay=1e-2)
+        found.append(tail_ratio(model.score(*unseen_p), model.score(*unseen_u)))
+    return min(max(sum(found) / 2, 0.05), 0.95)
+
+
 def _numbers(batches):
     """(which, bytes of the statistics) of each text."""
     for batch in batches:
@@ -178,24 +213,41 @@ def train(
         labels.where(F.col(doc_id).isNotNull() & F.col(label).isNotNull() & (fold_of(F.col(doc_id)) != 0))
         .groupBy(doc_id).agg((F.min(label) >= 1).alias("good"))
     )
-    share = votes.agg(F.avg(F.col("good").cast("double"))).first()[0]
-    prior = min(max(CAUTION * (share if share is not None else 0.5), 0.05), 0.95)
-    ids = docs.select(F.col(doc_id).alias("id"))
+    ids = docs.select(F.col(doc_id).alias("id")).where("id IS NOT NULL").distinct()
     order = F.xxhash64(F.lit("pu"), "id")
-    trusted = votes.where("good").select(F.col(doc_id).alias("id"))
+    trusted = votes.where("good").select(F.col(doc_id).alias("id")).join(ids, "id", "left_semi")
     marked = (
         trusted.orderBy(order, "id").limit(positives).select("id", F.lit("p").alias("which"))
-        .unionAll(
-            ids.where("id IS NOT NULL").orderBy(order, "id").limit(unlabelled).distinct()
-            .select("id", F.lit("u").alias("which"))
-        )
+        .unionAll(ids.orderBy(order, "id").limit(unlabelled).select("id", F.lit("u").alias("which")))
     )
     chosen = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text")).join(
         F.broadcast(marked), "id"  # at most positives + unlabelled rows
     )
     chosen = chosen.dropDuplicates(["id", "which"])
     sample = _collected(chosen)
-    return fit(sample["p"], sample["u"], prior)
+    spread = _spread(docs, text)
+    return fit(sample["p"], sample["u"], class_prior(sample["p"], sample["u"], spread), spread)
+
+
+def _moments(batches):
+    total = np.zeros((3, WIDTH))
+    for batch in batches:
+        values = statistics(batch.column("text"))[0].astype(np.float64)
+        total += [np.full(WIDTH, len(values)), values.sum(0), np.square(values).sum(0)]
+    release()
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(np.arange(WIDTH), pa.int32()), *(pa.array(x) for x in total)], names=["place", "n", "sum", "squares"])
+
+
+def _spread(docs: DataFrame, text: str) -> tuple[np.ndarray, np.ndarray] | None:
+    """Mean and deviation of each statistic over all documents."""
+    small_batches(docs.sparkSession)
+    sums = docs.select(F.col(text).alias("text")).mapInArrow(_moments, "place int, n double, sum double, squares double")
+    rows = sums.groupBy("place").agg(*(F.sum(c).alias(c) for c in ("n", "sum", "squares"))).orderBy("place").collect()
+    n, total, squares = (np.array([r[c] for r in rows]) for c in ("n", "sum", "squares"))  # WIDTH rows
+    if not len(n) or not n[0]:
+        return None
+    return total / n, np.sqrt(np.maximum(squares / n - (total / n) ** 2, 0))
 
 
 def score(docs: DataFrame, model: Model, *, text: str = "text", into: str = "score") -> DataFrame:

@@ -73,3 +73,67 @@ def test_risk_is_not_negative(spark):
     values = classifier.statistics(same)
     model = classifier.fit(values, values, 0.9)
     assert 0.3 < model.score(*values)[0] < 1
+
+
+def _mixture(seed, n, share):
+    """Statistics of good texts and of a mixture that has `share` of them."""
+    draw = np.random.default_rng(seed)
+    good = [" ".join(draw.choice(["the", "old", "man", "and", "sea", "went", "down"], 40)) for _ in range(n)]
+    mixed = [" ".join(draw.choice(["the", "old", "man", "and", "sea", "went", "down"] if draw.random() < share
+                                  else ["$$$", "WIN", "0000", "click", "the", "###"], 40)) for _ in range(2 * n)]
+    return tuple(classifier.statistics(pa.array(x)) for x in (good, mixed))
+
+
+@pytest.mark.parametrize("share", [0.3, 0.6, 0.9])
+def test_prior_is_estimated_from_positives_and_unlabelled(share):
+    positive, unlabelled = _mixture(4, 600, share)
+    assert abs(classifier.class_prior(positive, unlabelled) - share) < 0.08
+
+
+def test_tail_ratio_against_all_thresholds():
+    draw = np.random.default_rng(2)
+    p, u = draw.normal(1, 1, 400), draw.normal(0, 1, 700)
+    every = [np.mean(u >= c) / np.mean(p >= c) for c in p if np.mean(p >= c) >= classifier.LEAST_TAIL]
+    assert min(every) <= classifier.tail_ratio(p, u) <= min(every) * 1.1
+
+
+def test_fit_against_plain_descent():
+    """The risk that Adam reaches is no worse than that of many small steps along a numeric gradient."""
+    positive, unlabelled = _mixture(6, 150, 0.7)
+    prior = 0.65
+    model = classifier.fit(positive, unlabelled, prior)
+
+    def risk(m):
+        p, u = (m.scaled(*x) @ m.weights + m.bias for x in (positive, unlabelled))
+        rest = np.logaddexp(0, u).mean() - prior * np.logaddexp(0, p).mean()
+        return prior * np.logaddexp(0, -p).mean() + max(0, rest)
+
+    p, u = (model.scaled(*x).astype(float) for x in (positive, unlabelled))
+    w, b = np.zeros(classifier.WIDTH), 0.0
+    for _ in range(4_000):
+        sp, su = (1 / (1 + np.exp(-(x @ w + b))) for x in (p, u))
+        rest = np.logaddexp(0, u @ w + b).mean() - prior * np.logaddexp(0, p @ w + b).mean()
+        step = np.append(u.T @ su, su.sum()) / len(u) - prior * np.append(p.T @ sp, sp.sum()) / len(p)
+        step = step + prior * np.append(p.T @ (sp - 1), (sp - 1).sum()) / len(p) if rest >= 0 else -step
+        w, b = w - 0.05 * (step[:-1] + 1e-3 * w), b - 0.05 * step[-1]
+    reference = classifier.Model(model.mean, model.scale, w, b)
+    assert risk(model) <= risk(reference) + 0.01
+    agree = (model.score(*unlabelled) >= 0.5) == (reference.score(*unlabelled) >= 0.5)
+    assert agree.mean() > 0.98
+
+
+def test_spread_covers_all_documents(spark):
+    docs, _ = _labelled(spark)
+    docs += [(None, None), (7, ""), (7, "x" * 300_000)]
+    mean, deviation = classifier._spread(documents(spark, docs), "text")
+    values = classifier.statistics(pa.array([t for _, t in docs], pa.string()))[0].astype(float)
+    assert np.allclose(mean, values.mean(0), atol=1e-6) and np.allclose(deviation, values.std(0), atol=1e-4)
+    assert classifier._spread(documents(spark, []), "text") is None
+
+
+def test_labels_without_a_document_use_up_no_bound(spark):
+    docs, labels = _labelled(spark)
+    strangers = spark.range(10_000, 18_000).selectExpr("id AS doc_id", "1 AS quality", "0 AS toxic")
+    both = labels.unionByName(strangers)
+    model = classifier.train(documents(spark, docs), both, positives=40)
+    assert np.abs(model.weights).sum() > 0
