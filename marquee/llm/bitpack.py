@@ -17,7 +17,7 @@ can be lost and repeated. Only the count of ids of each partition goes to the dr
 Cases: a null or empty text is a document of the end id alone. A null document id comes first, rows
 with equal ids are ordered by a hash of the text. A document longer than a file gets one of its own.
 An empty table gives no file and an empty result. Folders must be of a file system that pyarrow can
-open on the executors.
+open on the executors. Columns of other names take no part.
 """
 
 from __future__ import annotations

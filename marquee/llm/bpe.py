@@ -8,7 +8,7 @@ boundary of pieces carries everything after it over; and inside one piece a list
 encoding if each two neighbours are, which the shared tokens pass on to both sides.
 
 Cases: a null or empty text has no ids. Equal long texts are encoded once. Rows with equal ids
-give a row each. An empty table gives an empty result.
+give a row each. An empty table gives an empty result. Columns of other names take no part.
 """
 
 from __future__ import annotations

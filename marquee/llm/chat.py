@@ -13,7 +13,8 @@ has no `<|`; in a role `|` becomes `\\|`.
 Cases: rows are ordered by turn, then role and text, a null turn first; rows that are equal are
 turns of their own. A null role or text is an empty one, a null list of parts has none, a null part
 counts for nothing, and a part of another type is an attachment of one token. Rows without a
-conversation id are one conversation.
+conversation id are one conversation. A long text is escaped like any other, and an empty table gives
+an empty result. Columns of other names take no part, whatever they are called.
 """
 
 from __future__ import annotations

@@ -25,7 +25,7 @@ twelve trees with 0.0002, and more alike ones far less. Between signatures that
 Cases: a null text, or one without words, has no shingles and belongs to no group but its own. A
 text with fewer words than a shingle is one shingle. Rows without an id take part; the least id of
 a group is taken over the others. Rows with equal ids are rows of their own. An empty table gives
-an empty result.
+an empty result. Columns of other names are kept, whatever they are called.
 """
 
 from __future__ import annotations
