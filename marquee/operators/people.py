@@ -106,10 +106,10 @@ def credits(movies: DataFrame, movie: str = "tmdb_id", keep: tuple[str, ...] = (
 
 
 def appearances(credit_rows: DataFrame, movie: str) -> DataFrame:
-    """Each person once per movie; credits without a movie connect nobody."""
-    return credit_rows.filter(F.col(movie).isNotNull()).groupBy(movie, "key").agg(
-        F.min("person").alias("person")
-    )
+    """Each person once per movie; credits without a movie connect nobody. Rows are distributed by
+    movie, which serves what follows: the size of a movie, and a join on it."""
+    rows = credit_rows.filter(F.col(movie).isNotNull()).select(movie, "key", "person").repartition(movie)
+    return rows.groupBy(movie, "key").agg(F.min("person").alias("person"))
 
 
 def top_people(
@@ -192,9 +192,12 @@ def collaboration_strength(credit_rows: DataFrame, movie: str) -> DataFrame:
     window over its distinct people, and the sums are shuffled by person.
     """
     people = F.count(F.lit(1)).over(Window.partitionBy(movie)) - 1
-    return appearances(credit_rows, movie).withColumn("others", people).groupBy("key").agg(
-        F.min("person").alias("person"), F.count(F.lit(1)).alias("movies"),
-        F.sum("others").alias("shared_appearances"), F.max("others").alias("most_partners"),
+    # by name too, so that the large aggregate hashes; a person has few names
+    by_name = appearances(credit_rows, movie).withColumn("others", people).groupBy("key", "person").agg(
+        F.count(F.lit(1)).alias("movies"), F.sum("others").alias("shared"), F.max("others").alias("most"))
+    return by_name.groupBy("key").agg(
+        F.min("person").alias("person"), F.sum("movies").alias("movies"),
+        F.sum("shared").alias("shared_appearances"), F.max("most").alias("most_partners"),
     )
 
 
@@ -225,11 +228,10 @@ def director_network(cast_rows: DataFrame, director_rows: DataFrame, movie: str)
     directors = appearances(director_rows, movie).select(
         movie, F.col("key").alias("director_key"), F.col("person").alias("director")
     )
-    return (
+    by_name = (
         appearances(cast_rows, movie).join(directors, movie)
-        .groupBy("director_key", "key")
-        .agg(
-            F.min("director").alias("director"), F.min("person").alias("person"),
-            F.count(F.lit(1)).alias("shared_movies"),
-        )
+        .groupBy("director_key", "key", "director", "person").agg(F.count(F.lit(1)).alias("n"))
+    )
+    return by_name.groupBy("director_key", "key").agg(
+        F.min("director").alias("director"), F.min("person").alias("person"), F.sum("n").alias("shared_movies"),
     )
