@@ -8,28 +8,24 @@ from .common import drop_stored, stored
 
 
 #: Neighbours from which a node is a hub, and parts into which its rows are divided.
-HUB, SALTS = 10_000, 64
+HUB, SALTS = 100_000, 64
 
 
-def _state(edges: DataFrame) -> tuple[int, int, int]:
-    """Count of the edges, a hash that no number of them makes too large, and the most that one
-    node has."""
-    ends = edges.select("u", "v", F.explode(F.array("u", "v")).alias("end")).groupBy("end").agg(
-        F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("u", "v", "end")).alias("mark"))
-    total, mark, most = ends.agg(F.sum("n"), F.bit_xor("mark"), F.max("n")).first()
-    return (total or 0) // 2, mark or 0, most or 0
+def _state(edges: DataFrame) -> tuple[int, int]:
+    """Count of the edges, and a hash that no number of them makes too large."""
+    return tuple(edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first())
 
 
-def _beside_least(rows: DataFrame, of: DataFrame, state: tuple[int, int, int]) -> DataFrame:
-    """`rows` (u, v) with the least neighbour m that u has in `of` (u, v), where no node has more
-    neighbours than in the edges of the state.
+def _beside_least(rows: DataFrame, of: DataFrame, n: int) -> DataFrame:
+    """`rows` (u, v) with the least neighbour m that u has in `of` (u, v), made of `n` edges.
 
     The rows of a hub are dealt out by a salt, and its least neighbour goes to each part. So many
-    neighbours make a hub that at most 20,000 nodes are one, whatever the number of edges is.
+    neighbours make a hub that at most 20,000 nodes are one, whatever the number of edges is; fewer
+    edges than a hub has cannot make one.
     """
     least = of.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("degree"))
-    many = max(HUB, state[0] // 10_000)
-    if state[2] <= many:
+    many = max(HUB, n // 10_000)
+    if n <= many:
         return rows.join(least, "u").select("u", "v", "m")
     hubs = F.broadcast(least.where(F.col("degree") > many).select(F.col("u").alias("hub")))
     salted = rows.join(hubs, F.col("u") == F.col("hub"), "left").select(
@@ -55,12 +51,12 @@ def components(links: DataFrame) -> DataFrame:
     while True:
         both = edges.unionAll(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         large = stored(
-            _beside_least(both.where("v > u"), both, state)
+            _beside_least(both.where("v > u"), both, state[0])
             .select(F.col("v").alias("u"), F.least("u", "m").alias("v")).distinct(),
             "large",
         )
         small = stored(
-            _beside_least(large, large, state).select(F.explode(F.array(
+            _beside_least(large, large, state[0]).select(F.explode(F.array(
                 F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct(F.col("u"), F.col("m").alias("v"))
             )).alias("e")).select("e.*").where("u <> v").distinct(),
             "small",
