@@ -33,7 +33,11 @@ from ..functions import (
 _VALUE = r"""(?:"[^"]*"|'[^']*'|[^\s>"']+)"""
 _ATTRIBUTES = rf"""(?:\s+[^\s=>/"']+(?:\s*=\s*{_VALUE})?)*"""
 _COMMENT = r"(?s)<!--.*?-->"
-_UNREAD = r"(?is)<!--.*?-->|<(script|style)(?=[\s>]).*?(?:</\1\s*>|\z)"
+_UNREAD = (
+    r"(?i)<!--[^-]*+(?:-(?!->)[^-]*+)*+-->"
+    r"|<(script|style)(?=[\s>])[^<]*+(?:<(?!/\1\s*>)[^<]*+)*+(?:</\1\s*>)?"
+)
+_HIDDEN = r"(?i)<(?:!--|script[\s>]|style[\s>])"
 # The parts of a tag that is surely one: no other tag can begin in its attributes.
 _SURE = r"""(?:\s+[^\s=>/"'<]+(?:\s*=\s*(?:"[^"<]*"|'[^'<]*'|[^\s>"'<]+))?)*+"""
 _TAG = rf"</?[A-Za-z][^\s/>]*+{_ATTRIBUTES}[^>]*>"
@@ -48,7 +52,9 @@ _OPEN = "\x05"
 _CONTROLS = _START + _TAGGED + _CLOSE + _END + _OPEN
 _MARKED = rf"{_START}[0-9]+[^{_CLOSE}]*{_CLOSE}|{_END}[0-9]+{_END}"
 #: Tags of a page that are walked over together, and levels that are numbered before the walk.
-_PIECE, _LEVELS = 256, 5
+_PIECE, _LEVELS = 256, 3
+#: What stands up to the end of the element whose number is the first group.
+_UP_TO_END = rf"([^{_END}]*+(?:{_END}(?!\1{_END})[^{_END}]*+)*+)"
 # Elements that have no end tag.
 VOID = (
     "area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr",
@@ -157,9 +163,8 @@ def numbered(html: Column) -> Column:
         walked = _woven(F.split(page, _TAG, -1), bound(tokens, marks))
         return F.when(F.contains(page, F.lit("<")), walked).otherwise(page)
 
-    hidden = reduce(or_, (F.contains(F.lower(html), F.lit(mark)) for mark in ("<!--", "<script", "<style")))
-    seen = F.when(hidden, F.regexp_replace(html, _UNREAD, "")).otherwise(html)
-    return bound(_peeled(F.translate(seen, _CONTROLS, "")), read)
+    seen = F.when(html.rlike(_HIDDEN), F.regexp_replace(html, _UNREAD, "")).otherwise(html)
+    return bound(_peeled(F.regexp_replace(seen, f"[{_CONTROLS}]", "")), read)
 
 
 @dataclass(frozen=True)
@@ -187,10 +192,10 @@ class Step:
 
     def inside(self, page: Column) -> Column:
         """What the first such element of a numbered page holds; nothing where there is none."""
-        return F.regexp_extract(page, self.opening() + rf"(.*?)(?:{_END}\1{_END}|\z)", 2)
+        return F.regexp_extract(page, self.opening() + _UP_TO_END, 2)
 
     def inside_each(self, page: Column) -> Column:
-        return F.regexp_extract_all(page, F.lit(self.opening() + rf"(.*?)(?:{_END}\1{_END}|\z)"), F.lit(2))
+        return F.regexp_extract_all(page, F.lit(self.opening() + _UP_TO_END), F.lit(2))
 
     def unread_inside(self, html: Column) -> Column:
         """What a script or style holds; `html` has no comments, and its elements no numbers."""
@@ -343,7 +348,7 @@ def extract_rotten_tomatoes(pages: DataFrame, html: str = "html") -> DataFrame:
     """Scores of each page, the years its details state, and whether both scores are shown."""
     others = [f"`{name}`" for name in pages.columns if name != html]
     read = settled(pages, others, _read=numbered(_marked(html, ROTTEN_TOMATOES_MARKERS)))
-    card = F.regexp_extract("_read", rf"{_SCORECARD}(.*?)(?:{_END}\1{_END}|\z)", 2)
+    card = F.regexp_extract("_read", _SCORECARD + _UP_TO_END, 2)
     shown = settled(read, [*others, "_read"], _card=card, _shown=F.col("_read").rlike(_SCORECARD))
     page = _fields(shown, [*others, "_shown"], [
         *((rule, rule.raw(F.col("_read"))) for rule in ROTTEN_TOMATOES_RULES),
