@@ -244,6 +244,8 @@ SQL["single_table_rows"] = _with(MOVIES, OMDB) + _OMDB_ROW + """
   FROM movies m LEFT JOIN omdb o USING (imdb_id)"""
 SQL["conformed_rows"] = """SELECT o_orderstatus, o_orderkey::INT AS o_orderkey, NULL::VARCHAR AS tagline,
   o_totalprice AS o_totalprice, TRY_CAST(o_orderpriority AS INT) AS o_orderpriority FROM orders"""
+SQL["stamped_columns"] = f"""SELECT * REPLACE ({_MOMENT.format('o_orderdate')} AS o_orderdate), 'tmdb' AS data_source,
+  {_RUN} AS processed_at FROM orders"""
 SQL["stamped_rows"] = f"""SELECT o_orderkey, 'tmdb' AS data_source, {_RUN} AS processed_at FROM orders"""
 SQL["titles_and_years"] = _with(MOVIES, OMDB) + """SELECT m.tmdb_id, m.known_year,
   coalesce(nullif(m.title, ''), o.omdb_title) AS known_title FROM movies m LEFT JOIN omdb o USING (imdb_id)"""

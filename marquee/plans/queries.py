@@ -371,6 +371,13 @@ def stamped_rows(spark, sf_dir):
     return conform.stamp(table(spark, sf_dir, "orders").select("o_orderkey"), "tmdb", RUN_AT)
 
 
+@query
+def stamped_columns(spark, sf_dir):
+    """All other columns pass."""
+    orders = table(spark, sf_dir, "orders").withColumn("o_orderdate", _moment("o_orderdate"))
+    return conform.stamp(orders, "tmdb", RUN_AT)
+
+
 @query
 def titles_and_years(spark, sf_dir):
     movies = _with_omdb(spark, sf_dir)
