@@ -35,8 +35,8 @@ MIN_LITERAL = 4
 MIN_COVERED = 13
 #: Tokens by which neighbouring diagonals of one passage may differ: words put in or left out.
 GAP = 16
-#: Slots of the table of anchors, a literal of the plan. Keys that share a slot cost time only.
-SLOTS = 1 << 18
+#: Slots of the table of anchors, a literal of so many bytes. Keys that share a slot cost time only.
+SLOTS = 1 << 17
 #: A capital inside a sentence gets a mark before the text goes to lower case.
 MARK = "\x01"
 INNER_CAPITAL = r"(?<=[\p{L}\p{M}0-9,;] )\p{Lu}(?=\p{Ll})"
@@ -130,17 +130,16 @@ def item_windows(items: DataFrame, window: int) -> DataFrame:
 
 
 def _anchor_table(windows: DataFrame) -> tuple[Column, list[tuple[int, int]], bool]:
-    """A table of `SLOTS` numbers, whose bits tell for each slot of a key which (length, offset) of
-    windows may stand around it; those pairs; and whether some anchors are single tokens."""
+    """A byte for each of `SLOTS` slots of a key, whose bits tell the offsets of windows that may
+    stand around it (modulo 8); the (length, offset) there are; and whether some anchors are single
+    tokens."""
     rows = windows.select("length", "offset", "single").distinct().collect()  # at most 2 for each place in a window
     kinds = sorted({(r["length"], r["offset"]) for r in rows})
-    bit = F.lit(0).cast("long")
-    for number, (length, offset) in enumerate(kinds):
-        bit = F.when((F.col("length") == length) & (F.col("offset") == offset), F.lit(1 << number).cast("long")).otherwise(bit)
-    held = {r["slot"]: r["bits"] for r in windows.groupBy(_slot(F.col("key")).alias("slot")).agg(
-        F.bit_or(bit).alias("bits")).collect()}  # at most SLOTS
-    numbers = ",".join(str(held.get(slot, 0)) for slot in range(SLOTS))
-    return F.split(F.lit(numbers), ",").cast("array<bigint>"), kinds, any(r["single"] for r in rows)
+    bit = F.call_function("shiftleft", F.lit(1), F.pmod(F.col("offset"), F.lit(8)).cast("int"))
+    table = bytearray(SLOTS)
+    for row in windows.groupBy(_slot(F.col("key")).alias("slot")).agg(F.bit_or(bit).alias("bits")).collect():  # at most SLOTS
+        table[row["slot"]] = row["bits"]
+    return F.lit(bytes(table)), kinds, any(r["single"] for r in rows)
 
 
 def _slot(key: Column) -> Column:
@@ -155,18 +154,24 @@ def doc_windows(docs: DataFrame, windows: DataFrame) -> DataFrame:
     hashed = settled(docs, ["k1", "k2", "tokens"], hashes=F.transform("tokens", lambda t: F.xxhash64(_bare(t))))
     hashes, size = F.col("hashes"), F.size("tokens")
 
-    def bits(i: Column) -> Column:
-        found = F.get(table, _slot(_pair_key(hashes, i)))
-        return found.bitwiseOR(F.get(table, _slot(F.get(hashes, i)))) if singles else found
+    def looked_up(i: Column, key: Column) -> Column:
+        return F.struct(i.alias("i"), F.substring(table, _slot(key) + 1, F.lit(1)).alias("byte"))
 
-    places = F.when(size > 0, F.filter(F.sequence(F.lit(0), size - 1), lambda i: bits(i) != 0))
+    def in_table(key_at) -> Column:
+        found = F.transform(F.sequence(F.lit(0), size - 1), lambda i: looked_up(i, key_at(i)))
+        return F.when(size > 0, F.filter(found, lambda x: x["byte"] != F.lit(b"\0"))).otherwise(F.array().cast(
+            "array<struct<i:int,byte:binary>>"))
+
+    places = in_table(lambda i: F.coalesce(_pair_key(hashes, i), F.lit(0)))
+    if singles:
+        places = F.concat(places, in_table(lambda i: F.get(hashes, i)))
     around = F.array(*(
-        F.struct(F.lit(n).alias("bit"), F.lit(length).alias("length"), F.lit(offset).alias("offset"))
-        for n, (length, offset) in enumerate(kinds)
+        F.struct(F.lit(length).alias("length"), F.lit(offset).alias("offset")) for length, offset in kinds
     ))
 
-    def standing(i: Column) -> Column:
-        fits = F.filter(around, lambda c: (F.call_function("getbit", bits(i), c["bit"]) == 1) & (i >= c["offset"])
+    def standing(place: Column) -> Column:
+        i, bits = place["i"], F.conv(F.hex(place["byte"]), 16, 10).cast("int")
+        fits = F.filter(around, lambda c: (F.call_function("getbit", bits, c["offset"] % 8) == 1) & (i >= c["offset"])
                         & (i - c["offset"] + c["length"] <= size))
         return F.transform(fits, lambda c: F.struct((i - c["offset"]).alias("at"), c["length"].alias("length")))
 
