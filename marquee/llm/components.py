@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Observation, functions as F
 
 from .common import drop_stored, stored
 
@@ -11,9 +11,13 @@ from .common import drop_stored, stored
 HUB, SALTS = 100_000, 64
 
 
-def _state(edges: DataFrame) -> tuple[int, int]:
-    """Count of the edges, and a hash that no number of them makes too large."""
-    return tuple(edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first())
+def _state(edges: DataFrame, purpose: str) -> tuple[DataFrame, tuple[int, int]]:
+    """The written edges, and what the write saw: their count, and a hash that no number of them
+    makes too large."""
+    seen = Observation()
+    held = stored(edges.observe(
+        seen, F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("u", "v")).alias("mark")), purpose)
+    return held, (seen.get["n"], seen.get["mark"])
 
 
 def _beside_least(rows: DataFrame, of: DataFrame, n: int) -> DataFrame:
@@ -42,12 +46,11 @@ def components(links: DataFrame) -> DataFrame:
     small star, the smaller ones. Each round is written out; the number of rounds grows with the
     logarithm of the longest path. Hubs are divided. Nulls and links of a node with itself say nothing.
     """
-    edges = stored(
+    edges, state = _state(
         links.where("a IS NOT NULL AND b IS NOT NULL AND a <> b")
         .select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(),
         "edges",
     )
-    state = _state(edges)
     while True:
         both = edges.unionAll(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         large = stored(
@@ -55,13 +58,12 @@ def components(links: DataFrame) -> DataFrame:
             .select(F.col("v").alias("u"), F.least("u", "m").alias("v")).distinct(),
             "large",
         )
-        small = stored(
+        small, after = _state(
             _beside_least(large, large, state[0]).select(F.explode(F.array(
                 F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct(F.col("u"), F.col("m").alias("v"))
             )).alias("e")).select("e.*").where("u <> v").distinct(),
             "small",
         )
-        after = _state(small)
         drop_stored(edges)
         drop_stored(large)
         edges = small

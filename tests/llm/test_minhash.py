@@ -120,8 +120,8 @@ def test_components(spark):
 def test_state_of_many_links(spark):
     """A sum of 40-bit hashes would not fit for so many."""
     edges = spark.range(20_000_000).selectExpr("id AS v", "id + 1 AS u")
-    count, mark = components._state(edges)
-    assert count == 20_000_000 and mark != components._state(edges.where("v <> 77"))[1]
+    held, (count, mark) = components._state(edges, "test")
+    assert count == held.count() == 20_000_000 and mark != components._state(edges.where("v <> 77"), "test")[1][1]
 
 
 def test_hubs_are_divided(spark, monkeypatch):
