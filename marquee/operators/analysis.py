@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..sources.files import drop_dir, shared_dir
 from .ranking import top, top_per_group
 
 
