@@ -74,3 +74,15 @@ def components(links: DataFrame) -> DataFrame:
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).unionAll(
         roots.select("node", F.col("node").alias("root"))
     )
+
+
+def extended(found: DataFrame, links: DataFrame) -> DataFrame:
+    """The components (node, root) of the links behind `found`, a written result of `components`,
+    and of more `links` (a, b): these are taken between the roots, so that few are left."""
+    side = {s: found.select(F.col("node").alias(s), F.col("root").alias(f"root_{s}")) for s in "ab"}
+    between = links.select("a", "b").join(side["a"], "a", "left").join(side["b"], "b", "left").select(
+        F.coalesce("root_a", "a").alias("a"), F.coalesce("root_b", "b").alias("b"))
+    joined = components(between).select(F.col("node").alias("at"), F.col("root").alias("to"))
+    old = found.join(joined, F.col("root") == F.col("at"), "left").select("node", F.coalesce("to", "root").alias("root"))
+    fresh = joined.join(found, F.col("at") == F.col("node"), "left_anti")
+    return old.unionAll(fresh.select(F.col("at").alias("node"), F.col("to").alias("root")))

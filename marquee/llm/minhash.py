@@ -38,7 +38,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, functions as F
 
 from .common import drop_stored, packed, sent_if_small, small_batches, stored, text_key, unpacked
-from .components import components
+from .components import components, extended
 from .words import SEED, byte_tables, chunks, mix, release, word_hashes
 
 TREES, DEPTH, LEAST_DEPTH = 12, 10, 3
@@ -248,9 +248,9 @@ def _divided(rows: DataFrame) -> DataFrame:
     )
 
 
-def exact_links(crowd: DataFrame, members: DataFrame, links: DataFrame, confirm, percent: int) -> DataFrame:
-    """The links between nodes of `crowd` (node, root), so many that no pair of the similarity lies
-    in different components of these and `links`."""
+def exactly_grouped(crowd: DataFrame, members: DataFrame, roots: DataFrame, confirm, percent: int) -> DataFrame:
+    """The components `roots` joined by links between nodes of `crowd` (node, root), so many that no
+    pair of the similarity lies in different components."""
     counts = members.mapInArrow(_counted, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
     common = np.zeros(BUCKETS, np.int64)  # at most BUCKETS rows
     common[counts.column("bucket").to_numpy()] = counts.column("n").to_numpy()
@@ -258,7 +258,7 @@ def exact_links(crowd: DataFrame, members: DataFrame, links: DataFrame, confirm,
     rows = stored(members.join(crowd, "node").mapInArrow(_first_shingles(common, percent), kinds), "first-shingles")
     hubs = _divided(rows).select("g", "hub.*")
     near = confirm(stored(_meeting(rows, hubs, percent, once=False), "met-hubs"), members)
-    after = components(links.unionAll(near))
+    after = stored(extended(roots, near), "after-hubs")
     fresh = (
         rows.drop("root").join(after, "node", "left")
         .select("g", "node", F.xxhash64(F.coalesce("root", "node")).alias("root"), "n", "rest")
@@ -266,9 +266,10 @@ def exact_links(crowd: DataFrame, members: DataFrame, links: DataFrame, confirm,
     fresh = stored(fresh, "first-shingles")
     left = stored(fresh.join(_divided(fresh).select("g"), "g"), "divided")
     far = confirm(stored(_meeting(left, left, percent, once=True), "met"), members)
-    for done in (rows, fresh, left):
+    all_ = stored(extended(after, far), "roots")
+    for done in (rows, fresh, left, after):
         drop_stored(done)
-    return near.unionAll(far)
+    return all_
 
 
 def _agreeing(batches):
@@ -356,28 +357,25 @@ def groups(
     best = both.groupBy("node").agg(F.max(F.struct("agree", "a", "b")).alias("p")).select("p.a", "p.b").distinct()
     best = stored(best, "best")
     links = confirm(best)
-    found = components(links)
+    found = stored(components(links), "found")
     part = [found.toDF(s, "root_" + s) for s in "ab"]
     rest = (
         pairs.join(best, ["a", "b"], "left_anti").join(part[0], "a", "left").join(part[1], "b", "left")
         .where(~F.coalesce(F.col("root_a") == F.col("root_b"), F.lit(False)))
     )
     more = confirm(rest)
-    links = stored(links.unionAll(more), "all-links")
-    roots = stored(components(links), "roots")
+    roots = stored(extended(found, more), "roots")
     crowd = crowded(nodes, roots)
     if not crowd.isEmpty():
         drop_stored(members)
         members = sets_of(crowd.select("node"))
-        added = stored(exact_links(crowd, members, links, confirm, percent), "exact-links")
-        before, roots = roots, stored(components(links.unionAll(added)), "roots")
+        before, roots = roots, exactly_grouped(crowd, members, roots, confirm, percent)
         drop_stored(before)
-        drop_stored(added)
 
     named = nodes.select("node", "id").join(roots, "node", "left").select("node", "id", F.coalesce("root", "node").alias("root"))
     least = named.groupBy("root").agg(F.min("id").alias("component"))
     labels = stored(named.join(least, "root").select("node", "component"), "labels")
-    for done in (met, pairs, members, best, links, more, roots, crowd, nodes):
+    for done in (met, pairs, members, best, links, more, found, roots, crowd, nodes):
         drop_stored(done)
     return signed.select("id", "k1", "k2", "n", "node").join(labels, "node", "left").select(
         "id", "k1", "k2", F.col("n").alias("n_shingles"),

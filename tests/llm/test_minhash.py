@@ -117,6 +117,20 @@ def test_components(spark):
     assert components.components(spark.createDataFrame([], "a long, b long")).collect() == []
 
 
+def test_more_links_join_components(spark):
+    r = random.Random(4)
+    some, more = ([(r.randrange(90), r.randrange(90)) for _ in range(n)] for n in (40, 25))
+    def found(links):
+        return components.components(spark.createDataFrame(links, "a long, b long"))
+    want = rows(found(some + more))
+    first = components.stored(found(some), "test")
+    both = components.extended(first, spark.createDataFrame(more, "a long, b long"))
+    alone = {x for x, _ in want}
+    assert [x for x in rows(both) if x[0] in alone] == want
+    assert all(a == b for a, b in rows(both) if a not in alone)
+    assert rows(components.extended(first, spark.createDataFrame([], "a long, b long"))) == rows(first)
+
+
 def test_state_of_many_links(spark):
     """A sum of 40-bit hashes would not fit for so many."""
     edges = spark.range(20_000_000).selectExpr("id AS v", "id + 1 AS u")
