@@ -22,6 +22,8 @@ RANGE_BYTES = 32 << 20
 PIECE_BYTES = 1 << 20
 #: A task takes several ranges beyond this.
 MOST_TASKS = 100_000
+#: A task takes ranges of about this many bytes of files in all.
+TASK_BYTES = 64 << 20
 _QUOTE, _BACK, _COMMA, _OPEN, _CLOSE = (ord(c) for c in '"\\,[]')
 _DEEPER = np.zeros(256, np.int64)
 _DEEPER[[ord("["), ord("{")]] = 1
@@ -132,8 +134,11 @@ def array_records(spark: SparkSession, path: str, range_bytes: int = RANGE_BYTES
     found = spark.read.format("binaryFile").load(path).select("path", "length").where("length > 0")
     ranges = found.select("path", "length", F.explode(
         F.sequence(F.lit(0).cast("long"), F.col("length") - 1, F.lit(range_bytes).cast("long"))).alias("start"))
-    # a task for each range, as their number is given: by the bytes of these rows all would be one
-    tasks = min(max(ranges.count(), 1), MOST_TASKS)
+    # tasks by the bytes of the files, as the few bytes of these rows would make all one task; a task
+    # for each small range would spend more on starting than on reading
+    counted_ranges, total = ranges.agg(F.count(F.lit(1)), F.coalesce(F.sum("length"), F.lit(0))).first()
+    by_bytes = max(2 * spark.sparkContext.defaultParallelism, -(-int(total) // TASK_BYTES))
+    tasks = min(max(counted_ranges, 1), by_bytes, MOST_TASKS)
     dealt = ranges.repartition(tasks, "path", "start")
 
     def count(batches):

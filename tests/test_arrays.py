@@ -71,6 +71,14 @@ def test_one_file_is_read_by_several_tasks(spark, tmp_path):
     assert [r.id for r in big] == list(range(2_000)) and json.loads(big[7].raw) == movies[7]
 
 
+def test_small_ranges_share_tasks(spark, tmp_path):
+    movies = [{"id": i, "title": f"t{i}"} for i in range(3_000)]
+    folder = written(tmp_path, big=json.dumps(movies))
+    records = arrays.array_records(spark, f"{folder}/tmdb_*.json", 64)
+    assert records.rdd.getNumPartitions() <= 2 * spark.sparkContext.defaultParallelism  # not one a range
+    assert sorted(json.loads(r.record)["id"] for r in records.collect()) == list(range(3_000))
+
+
 def test_strict_and_tolerant(spark, tmp_path):
     folder = written(tmp_path, good='[{"id":1}]', cut='[{"id":2},{"id":3', odd='[{"id":4},5,{"id":x},{"id":6}]', one='{"id":7}', text="no json")
     tolerant = files.read_records(spark, folder, fields=FIELDS, strict=False, range_bytes=7)
