@@ -4,7 +4,7 @@ Plain rules reject texts that are short or mostly repeated. For the rest, an iso
 at shares of symbols, marks, capitals, digits, repeats and word lengths: random splits separate an
 odd text from the others after few steps. The forest is grown on a bounded sample (`SAMPLE` texts
 with the least hash of the id, whatever their labels); the threshold on its score is calibrated on
-at most `LABELLED` labelled rows at the least cost, where a good row that is lost costs as much as
+all labelled rows at the least cost, on Spark, where a good row that is lost costs as much as
 `COST` bad ones that stay; so no single odd row decides. Statistics are taken of every whole text.
 
 Cases: a null or empty text has no words and fails the plain rules. Labels that are null, or of no
@@ -21,13 +21,15 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
-from .common import fold_of, small_batches
+from .common import drop_stored, fold_of, small_batches, stored
 from .words import SEED, byte_tables, chunks, mix, release, word_hashes
 
 MIN_WORDS, MAX_REPEATED = 50, 50
-SAMPLE, LABELLED = 6_000, 8_000
+SAMPLE = 6_000
+#: Distinct scores a range holds at least, and ranges at most, in calibrating.
+BUCKET_ROWS, MOST_BUCKETS = 10_000, 1_000
 TREES, TREE_ROWS = 128, 256
 COST = 20
 SYMBOLS = b"#*$%&|<>"
@@ -176,35 +178,64 @@ def _sampled(batches):
     for batch in batches:
         numbers = counts(batch.column("text"))
         yield pa.RecordBatch.from_arrays(
-            [batch.column("which"), pa.array(numbers.tolist(), pa.list_(pa.int64()))], names=["which", "numbers"])
+            [batch.column("id"), pa.array(numbers.tolist(), pa.list_(pa.int64()))], names=["id", "numbers"])
+
+
+def calibrate_scored(forest: Forest, scored: DataFrame, cost: float = COST) -> Forest:
+    """`calibrate` over all rows of `scored` (good boolean, score double) on Spark: the costs of
+    distinct scores come from running sums within ranges of scores plus the sums of the ranges before."""
+    if not forest.trees:
+        return forest
+    per = stored(scored.groupBy("score").agg(  # scored once, not by each of the jobs below
+        F.sum(F.col("good").cast("long")).alias("g"), F.sum((~F.col("good")).cast("long")).alias("b")), "scores")
+    totals = per.agg(F.sum("g"), F.sum("b"), F.count(F.lit(1))).first()
+    goods, bads, distinct = (int(v or 0) for v in totals)
+    if not goods or not bads:
+        drop_stored(per)
+        return forest
+    buckets = max(1, min(MOST_BUCKETS, distinct // BUCKET_ROWS))
+    bounds = sorted(set(per.approxQuantile("score", [i / buckets for i in range(1, buckets)], 1e-3))) if buckets > 1 else []
+    bucket = sum((F.when(F.col("score") > b, 1).otherwise(0) for b in bounds), F.lit(0))
+    ranged = per.withColumn("bucket", bucket)
+    sums = ranged.groupBy("bucket").agg(F.sum("g").alias("bg"), F.sum("b").alias("bb")).collect()
+    before, g_seen, b_seen = [], 0, 0
+    for row in sorted(sums, key=lambda r: r["bucket"]):
+        before.append((row["bucket"], g_seen, b_seen))
+        g_seen, b_seen = g_seen + row["bg"], b_seen + row["bb"]
+    offsets = scored.sparkSession.createDataFrame(before, "bucket int, og long, ob long")
+    upto = Window.partitionBy("bucket").orderBy("score").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    costs = ranged.join(F.broadcast(offsets), "bucket").select(
+        "score", (cost * (goods - F.col("og") - F.sum("g").over(upto)) + F.col("ob") + F.sum("b").over(upto)).alias("cost"))
+    best = costs.orderBy("cost", "score").first()["score"]
+    above = per.where(F.col("score") > best).agg(F.min("score")).first()[0]
+    drop_stored(per)
+    return Forest(forest.trees, forest.usual, float("inf") if above is None else (above + best) / 2)
 
 
 def fit(
     docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: str = "text", label: str = "quality",
-    sample: int = SAMPLE, labelled: int = LABELLED,
+    sample: int = SAMPLE,
 ) -> Forest:
-    """Grow on a sample of all texts that pass the plain rules, and calibrate on labelled ones."""
+    """Grow on a sample of all texts that pass the plain rules, and calibrate on all labelled ones."""
     ids = docs.select(F.col(doc_id).alias("id")).where("id IS NOT NULL").distinct()
     order = F.xxhash64(F.lit("forest"), "id")
     votes = (
         labels.where(F.col(doc_id).isNotNull() & F.col(label).isNotNull() & (fold_of(F.col(doc_id)) != 0))
         .groupBy(F.col(doc_id).alias("id")).agg(F.min(label).alias("vote"))
     )
-    chosen = ids.orderBy(order, "id").limit(sample).select("id", F.lit("all").alias("which")).unionAll(
-        votes.join(ids, "id", "left_semi").orderBy(order, "id").limit(labelled)
-        .select("id", F.when(F.col("vote") >= 1, "good").otherwise("bad").alias("which"))
-    )
+    chosen = ids.orderBy(order, "id").limit(sample)
+    texts = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"))
     rows = (
-        docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"))
-        .join(F.broadcast(chosen), "id").dropDuplicates(["id", "which"])  # at most sample + labelled rows
-        .select("which", "text").mapInArrow(_sampled, "which string, numbers array<bigint>").collect()
+        texts.join(F.broadcast(chosen), "id").dropDuplicates(["id"])  # at most sample rows, grown in order of id
+        .select("id", "text").mapInArrow(_sampled, "id long, numbers array<bigint>").collect()
     )
-
-    def of(which: str) -> np.ndarray:
-        numbers = np.array([r["numbers"] for r in rows if r["which"] == which], np.int64).reshape(-1, len(COUNTS))
-        return shares(numbers[~base_failed(numbers)])
-
-    return calibrate(grow_forest(of("all")), of("good"), of("bad"))
+    numbers = np.array([r["numbers"] for r in sorted(rows, key=lambda r: r["id"])], np.int64).reshape(-1, len(COUNTS))
+    forest = grow_forest(shares(numbers[~base_failed(numbers)]))
+    # every text is scored where it lies; only ids and scores meet the labels
+    judged = judge(texts, forest).select("id", "rules.base_failed", "rules.anomaly").where("id IS NOT NULL")
+    scored = judged.join(votes, "id").dropDuplicates(["id"]).where(~F.col("base_failed")).select(
+        (F.col("vote") >= 1).alias("good"), F.col("anomaly").alias("score"))
+    return calibrate_scored(forest, scored)
 
 
 def judge(

@@ -129,3 +129,16 @@ def test_registered_query(spark):
     judged = result.join(spark.read.parquet(f"{SF_LARGER}/labels.parquet"), "doc_id").where("NOT base_failed").collect()
     assert np.mean([r.kept for r in judged if r.quality == 1]) > 0.98
     assert np.mean([r.kept for r in judged if r.quality == 0]) < 0.2
+
+
+def test_threshold_of_all_labelled_rows_on_spark(spark, monkeypatch):
+    """Calibrated on every labelled row, in several ranges of scores, as `calibrate` does at once."""
+    monkeypatch.setattr(rules, "BUCKET_ROWS", 100)
+    random = np.random.default_rng(5)
+    usual, odd = random.normal(0, 1, (3_000, 3)), random.normal(4, 1, (400, 3))
+    forest = rules.grow_forest(np.concatenate([usual[:500], odd[:50]]))
+    good, bad = np.concatenate([usual, odd[:30]]), np.concatenate([odd[30:], usual[:100]])
+    rows = [(True, float(s)) for s in forest.score(good)] + [(False, float(s)) for s in forest.score(bad)]
+    scored = spark.createDataFrame(rows, "good boolean, score double").repartition(7)
+    assert rules.calibrate_scored(forest, scored).threshold == rules.calibrate(forest, good, bad).threshold
+    assert rules.calibrate_scored(forest, scored.where("good")).threshold == np.inf
