@@ -24,6 +24,8 @@ PIECE_BYTES = 1 << 20
 MOST_TASKS = 100_000
 #: A task takes ranges of about this many bytes of files in all.
 TASK_BYTES = 64 << 20
+#: Tasks of a listing job of many folders, for each core.
+LISTING_TASKS_PER_CORE = 4
 _QUOTE, _BACK, _COMMA, _OPEN, _CLOSE = (ord(c) for c in '"\\,[]')
 _DEEPER = np.zeros(256, np.int64)
 _DEEPER[[ord("["), ord("{")]] = 1
@@ -46,13 +48,16 @@ def _quotes(data: np.ndarray, escaped: bool) -> tuple[np.ndarray, bool]:
     return (data == _QUOTE) & (before % 2 == 0), bool(run[-1] % 2)
 
 
-def _pieces(stream, start: int, end: int) -> Iterator[np.ndarray]:
+def _pieces(stream, start: int, end: int, first: int = PIECE_BYTES) -> Iterator[np.ndarray]:
+    """Bytes from start to end: `first` bytes, then pieces twice as long each, up to PIECE_BYTES."""
     stream.seek(start)
+    step = max(1, min(first, PIECE_BYTES))
     while start < end:
-        data = stream.read(min(PIECE_BYTES, end - start))
+        data = stream.read(min(step, end - start))
         if not data:
             return
         start += len(data)
+        step = min(2 * step, PIECE_BYTES)
         yield np.frombuffer(data, np.uint8)
 
 
@@ -91,7 +96,8 @@ def elements(
     end, and what follows the array, is not whole."""
     place, escaped = start, _escaped_at(stream, start)
     held, begun, last = [], None, None  # parts of an element, where it begins, what stands before it
-    for data in _pieces(stream, start, size):
+    # the range first; beyond it only the end of its last element is wanted
+    for data in _pieces(stream, start, size, end - start):
         quotes, escaped = _quotes(data, escaped)
         inside = (np.cumsum(quotes) + in_string) % 2 == 1
         in_string = bool(inside[-1])
@@ -127,11 +133,23 @@ def first_byte(stream, size: int) -> int:
     return 0
 
 
+def _listed(spark: SparkSession, path: str) -> DataFrame:
+    """(path, length) of the matching files. Many folders are listed by a job of a few tasks for each
+    core, not of a task for each folder; the setting of the session is restored."""
+    name = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(min(int(before), LISTING_TASKS_PER_CORE * spark.sparkContext.defaultParallelism)))
+    try:
+        return spark.read.format("binaryFile").load(path).select("path", "length")
+    finally:
+        spark.conf.set(name, before)
+
+
 def array_records(spark: SparkSession, path: str, range_bytes: int = RANGE_BYTES) -> DataFrame:
     """(source_file, place, record, whole) of each element of the arrays in all matching files:
     where it begins, its text, and whether the file has its end. A file that holds no array is one
     record. `path` must be of a file system that pyarrow can open on the executors."""
-    found = spark.read.format("binaryFile").load(path).select("path", "length").where("length > 0")
+    found = _listed(spark, path).where("length > 0")
     ranges = found.select("path", "length", F.explode(
         F.sequence(F.lit(0).cast("long"), F.col("length") - 1, F.lit(range_bytes).cast("long"))).alias("start"))
     # tasks by the bytes of the files, as the few bytes of these rows would make all one task; a task

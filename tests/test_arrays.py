@@ -53,6 +53,40 @@ def test_pieces_are_no_matter(monkeypatch):
     assert [json.loads(t) for _, t, _ in by_ranges(json.dumps(values).encode(), 17)] == values
 
 
+def test_a_small_range_reads_about_its_own_bytes():
+    class Counted(io.BytesIO):
+        read_bytes = 0
+
+        def read(self, size=-1):
+            data = super().read(size)
+            Counted.read_bytes += len(data)
+            return data
+
+    data = json.dumps([{"id": i, "title": "t" * 40} for i in range(40_000)]).encode()  # about 2 MB
+    start, step = 1 << 20, 1 << 14
+    odd, depth, _ = arrays.summary(io.BytesIO(data), 0, start)
+    found = list(arrays.elements(Counted(data), start, start + step, len(data), bool(odd), depth))
+    assert found and all(whole for *_, whole in found)
+    assert Counted.read_bytes < 4 * step
+
+
+def test_many_folders_are_listed_by_a_few_tasks(spark, tmp_path):
+    for n in range(40):  # more folders than Spark lists on the driver
+        (tmp_path / f"part={n}").mkdir()
+        (tmp_path / f"part={n}" / "part-0").write_text(json.dumps([{"id": n}]))
+    tracker, name = spark.sparkContext.statusTracker(), "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    before = spark.conf.get(name)
+    spark.sparkContext.setJobGroup("listing", "listing")
+    try:
+        rows = arrays.array_records(spark, str(tmp_path / "part=*" / "part-*"))
+    finally:
+        spark.sparkContext.setJobGroup("other", "other")
+    stages = [s for j in tracker.getJobIdsForGroup("listing") for s in tracker.getJobInfo(j).stageIds]
+    assert stages and max(tracker.getStageInfo(s).numTasks for s in stages) <= 4 * spark.sparkContext.defaultParallelism
+    assert spark.conf.get(name) == before
+    assert sorted(json.loads(r.record)["id"] for r in rows.collect()) == list(range(40))
+
+
 def written(tmp_path, **texts):
     for name, text in texts.items():
         (tmp_path / f"tmdb_{name}.json").write_text(text)
