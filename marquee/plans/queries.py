@@ -262,11 +262,17 @@ def _enriched(spark, sf_dir) -> DataFrame:
     )
 
 
+def _staged(spark, sf_dir) -> str:
+    """The enriched movies as files, from which all tables are filled."""
+    staged = files.shared_dir(spark, "staged")
+    with files.shuffles_freed(spark):
+        _enriched(spark, sf_dir).write.option("compression", "zstd").parquet(staged)
+    return staged
+
+
 def _written_tables(spark, sf_dir) -> tuple[str, dict[str, tables.Inserted]]:
     """A database with the enriched movies in all four tables, and what the insert told."""
-    database = _new_database(spark)
-    staged = files.shared_dir(spark, "staged")
-    _enriched(spark, sf_dir).write.parquet(staged)
+    database, staged = _new_database(spark), _staged(spark, sf_dir)
     done = tables.insert_all(spark.read.parquet(staged), RUN_AT, database, strict=True)
     files.drop_dir(spark, staged)
     return database, done
@@ -285,10 +291,10 @@ def inserted_counts(spark, sf_dir):
 
 def _written_twice(spark, sf_dir, table: str) -> DataFrame:
     """A table after two equal runs of the insert into all four, the second of which adds nothing."""
-    database, staged = _new_database(spark), files.shared_dir(spark, "staged")
-    _enriched(spark, sf_dir).write.parquet(staged)
+    database, staged = _new_database(spark), _staged(spark, sf_dir)
     for _ in range(2):
         tables.insert_all(spark.read.parquet(staged), RUN_AT, database, strict=True, once=True)
+    files.drop_dir(spark, staged)
     return tables.read_table(spark, table, database)
 
 

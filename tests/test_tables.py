@@ -1,4 +1,5 @@
 import json
+import time
 import uuid
 
 import pytest
@@ -218,6 +219,55 @@ def test_a_repeated_run_adds_nothing(spark, database):
     assert "EqualTo(created_at,first)" in plan or "In(created_at, [first])" in plan
 
 
+def test_a_repeated_run_moves_no_rows(spark, database):
+    """Rows are compared one by one only for a year of which the table has others or not all."""
+    movies = spark.range(60).selectExpr(
+        "cast(id as int) as tmdb_id", "concat('tt', id) as imdb_id", "'x' as title", "if(id % 4 = 0, null, 1990 + cast(id % 4 as int)) as year")
+    rows = conform.to_tmdb_table(movies, "first")
+
+    def lacking(batch):
+        left = tables.not_yet_in(batch, "tmdb_movies", database)
+        return left, left._jdf.queryExecution().executedPlan().toString()
+
+    left, plan = lacking(rows)
+    assert left.count() == 60 and "Join" not in plan
+    tables.append(rows.where("year is not null"), "tmdb_movies", database)
+    left, plan = lacking(rows)
+    assert {r.year for r in left.collect()} == {None} and left.count() == 15
+    tables.append(rows.where("year is null and tmdb_id > 0"), "tmdb_movies", database)
+    left, plan = lacking(rows)
+    assert [r.tmdb_id for r in left.collect()] == [0] and "Join" in plan
+    tables.append(left, "tmdb_movies", database)
+    left, plan = lacking(rows)
+    assert left.count() == 0 and "Join" not in plan and "Exchange" not in plan
+    # one row in place of another, as many as there are; a row twice; another run
+    changed = rows.withColumn("title", F.expr("if(tmdb_id = 5, 'y', title)"))
+    assert [(r.tmdb_id, r.title) for r in lacking(changed)[0].collect()] == [(5, "y")]
+    assert lacking(rows.union(rows))[0].count() == 0
+    assert lacking(conform.to_tmdb_table(movies, "second"))[0].count() == 60
+    assert tables.append(rows, "tmdb_movies", database, once=True) == 0
+
+
+def test_an_append_leaves_no_shuffle_files(spark, database):
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    blocks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled():
+        files = blocks.getAllFiles()
+        return {files.apply(i).getName() for i in range(files.size()) if files.apply(i).getName().startswith("shuffle_")}
+
+    there = shuffled()
+    movies = spark.range(0, 2_000, 1, 8).selectExpr("cast(id as int) as tmdb_id", "1990 + cast(id % 7 as int) as year")
+    assert tables.append(conform.to_tmdb_table(movies, "now"), "tmdb_movies", database) == 2_000
+    for _ in range(50):
+        if not shuffled() - there:
+            break
+        time.sleep(0.2)
+    assert not shuffled() - there
+    assert spark.conf.get(name, None) == before
+
+
 def test_users_query_the_tables_with_sql(spark, database):
     movies = spark.createDataFrame(
         [(i, f"tt{i}", f"T{i}", 1990 + i, i / 10, 900 + 50 * i) for i in range(20)],
