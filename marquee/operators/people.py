@@ -224,14 +224,12 @@ def leader_network(credit_rows: DataFrame, movie: str, k: int = 10) -> DataFrame
 
 def director_network(cast_rows: DataFrame, director_rows: DataFrame, movie: str) -> DataFrame:
     """Director and cast member pairs with the number of movies they share. Each movie has a
-    few directors, so that the pairs are a small multiple of the credits."""
+    few directors, so that the pairs are a small multiple of the credits. They are grouped by their
+    two keys alone: one shuffle, of rows that map tasks have sorted and reduced."""
     directors = appearances(director_rows, movie).select(
         movie, F.col("key").alias("director_key"), F.col("person").alias("director")
     )
-    by_name = (
-        appearances(cast_rows, movie).join(directors, movie)
-        .groupBy("director_key", "key", "director", "person").agg(F.count(F.lit(1)).alias("n"))
-    )
-    return by_name.groupBy("director_key", "key").agg(
-        F.min("director").alias("director"), F.min("person").alias("person"), F.sum("n").alias("shared_movies"),
+    pairs = appearances(cast_rows, movie).join(directors, movie)
+    return pairs.groupBy("director_key", "key").agg(
+        F.min("director").alias("director"), F.min("person").alias("person"), F.count(F.lit(1)).alias("shared_movies"),
     )

@@ -134,3 +134,14 @@ def test_all_directors_of_a_movie(spark):
     edges = people.director_network(people.cast_credits(df), people.director_credits(df), "tmdb_id").collect()
     assert {(r.director, r.person): r.shared_movies for r in edges} == {
         ("D1", "A"): 1, ("D2", "A"): 1, ("D3", "A"): 2, ("D4", "A"): 1}
+
+
+def test_director_network_moves_pairs_once(spark):
+    """A pair with several names is one row, of the least names; one shuffle of the pairs gathers it."""
+    schema = "tmdb_id int, key string, person string"
+    cast = spark.createDataFrame([(1, "#1", "Bo"), (2, "#1", "Al"), (2, "#2", "Cy"), (3, "#1", "Di"), (None, "#1", "X")], schema)
+    directors = spark.createDataFrame([(1, "#9", "Q"), (1, "#9", "R"), (2, "#9", "P"), (3, "#8", "Z")], schema)
+    edges = people.director_network(cast, directors, "tmdb_id")
+    assert sorted(edges.collect()) == [("#8", "#1", "Z", "Di", 1), ("#9", "#1", "P", "Al", 2), ("#9", "#2", "P", "Cy", 1)]
+    plan = people.director_network(cast, directors, "tmdb_id")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 3
