@@ -200,6 +200,27 @@ def test_a_year_with_most_rows_is_written_by_several_tasks(spark, database, sett
     assert sum("year=1990" in name for name in back.inputFiles()) > 2
 
 
+def test_a_table_of_bounded_files_is_written_by_more_tasks(spark, database):
+    """Rows of one year, of far less than a usual piece."""
+    bounded = f"b{uuid.uuid4().hex[:10]}"
+    tables.create_all_tables(spark, bounded, max_records_per_file=5_000)
+    name = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(name, None)
+    movies = spark.range(0, 60_000, 1, 8).selectExpr(
+        "cast(id as int) as tmdb_id", "1990 as year", "concat_ws(' ', sha2(cast(id as string), 512), sha2(cast(-id as string), 512)) as overview")
+
+    def tasks(where):
+        assert tables.append(movies, "tmdb_movies", where) == 60_000
+        written = spark.table(f"{where}.tmdb_movies").groupBy(F.input_file_name().alias("file")).count().collect()
+        assert sum(r["count"] for r in written) == 60_000
+        return len({r.file.rsplit("/", 1)[1].split("-")[1] for r in written}), max(r["count"] for r in written)
+
+    assert tasks(database)[0] == 1
+    several, most = tasks(bounded)
+    assert several > 1 and most <= 5_000
+    assert spark.conf.get(name, None) == before
+
+
 def test_a_repeated_run_adds_nothing(spark, database):
     years = [(i, f"tt{i}", f"Film {i}", 1990 + i % 3 if i % 5 else None) for i in range(30)] + [(1, "tt1", "Film 1", 1991)] * 2
     movies = spark.createDataFrame(years, "tmdb_id int, imdb_id string, title string, year int")
